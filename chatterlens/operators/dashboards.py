@@ -60,7 +60,7 @@ def sentiment_columns(
     df: DataFrame, labels: Sequence[str], width: str = "5 minutes", time: str = "event_time"
 ) -> DataFrame:
     """The same counts with one column per label."""
-    counted = _bucketed(df, width, time).groupBy("bucket").pivot("sentiment", list(labels)).agg(F.count("*"))
+    counted = _bucketed(df, width, time).groupBy("bucket").pivot("sentiment", list(labels)).agg(F.count(F.lit(1)))
     return counted.fillna(0, list(labels))
 
 
