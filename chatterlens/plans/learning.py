@@ -150,7 +150,7 @@ def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents_tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = with_clean_text(spread(table(spark, sf_dir, "documents"), "doc_id"))
     words = tokenizer().transform(documents)
-    return words.select("doc_id", F.size(WORDS).alias("n"), F.md5(F.array_join(WORDS, " ")).alias("words_md5"))
+    return words.select("doc_id", F.size(WORDS).cast("long").alias("n"), F.md5(F.array_join(WORDS, " ")).alias("words_md5"))
 
 
 @query(
@@ -165,7 +165,7 @@ def documents_tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stop_words_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = kept_words(with_clean_text(spread(table(spark, sf_dir, "documents"), "doc_id")))
     return words.select(
-        "doc_id", F.size(KEPT_WORDS).alias("n"), F.md5(F.array_join(KEPT_WORDS, " ")).alias("words_md5")
+        "doc_id", F.size(KEPT_WORDS).cast("long").alias("n"), F.md5(F.array_join(KEPT_WORDS, " ")).alias("words_md5")
     )
 
 
@@ -276,7 +276,7 @@ def labels_in_index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(labels)), "label long, sentiment string")
 
 
-@query(f"WITH {LABELLED_SQL} SELECT count(*) AS n, 0 AS changed FROM labelled WHERE {_SPLIT_SQL} >= 80")
+@query(f"WITH {LABELLED_SQL} SELECT count(*) AS n, 0::BIGINT AS changed FROM labelled WHERE {_SPLIT_SQL} >= 80")
 def predictions_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the test part before saving and after loading, compared row by row."""
     path = shared_folder(spark, "model")
