@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chatterlens.functions.stopwords import ENGLISH
 from chatterlens.functions.text import clean_text, words_of
+from chatterlens.session import bounded
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def top_texts(df: DataFrame, column: str = "text", n: int = 50) -> DataFrame:
     keyed = df.filter(F.col(column).isNotNull()).select(F.md5(column).alias("digest"), column)
     counts = keyed.groupBy("digest").agg(F.count("*").alias("n"))
     winners = counts.orderBy(F.desc("n"), F.asc("digest")).limit(n)
-    texts = keyed.join(F.broadcast(winners), "digest")
+    texts = keyed.join(bounded(winners, n), "digest")
     return texts.groupBy("digest", "n").agg(F.collect_set(column)[0].alias(column)).select(column, "n")
 
 

@@ -6,7 +6,6 @@ states the same numbers as plain aggregations over (document, term) rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     IDF,
@@ -21,6 +20,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatterlens.session import bounded
+
 # Column names and vocabulary size of the saved pipelines.
 TEXT, LABEL_TEXT, LABEL = "comment_clean", "Sentiment", "label"
 WORDS, KEPT_WORDS = "words", "filtered_words"
@@ -82,11 +83,7 @@ def fit_features(train: DataFrame, size: int = VOCABULARY_SIZE, drop_empty: bool
     tokens = token_stages(drop_empty)
     words = kept_words(train, drop_empty).select(KEPT_WORDS)
     counter = fit_counts(words, size)
-    counts = counter.transform(words).select(COUNTS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        weights = fit_inverse_frequency(counts)
-    finally:
-        counts.unpersist()
+    weights = fit_inverse_frequency(counter.transform(words))
     return [fit_label_index(train), *tokens, counter, weights]
 
 
@@ -117,8 +114,8 @@ def inverse_frequency(counts: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def weighted_terms(words: DataFrame, keys: list[str], size: int = VOCABULARY_SIZE) -> DataFrame:
-    """TF-IDF per document and term of the vocabulary, as rows. The vocabulary is bounded and broadcast."""
+    """TF-IDF per document and term of the vocabulary, as rows. The vocabulary has at most ``size`` rows."""
     counts = term_counts(words, keys)
-    known = F.broadcast(vocabulary(words, size).select("term"))
+    known = bounded(vocabulary(words, size).select("term"), size)
     weights = inverse_frequency(counts.join(known, "term", "left_semi"), words)
-    return counts.join(F.broadcast(weights), "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
+    return counts.join(bounded(weights, size), "term").withColumn("tfidf", F.col("tf") * F.col("idf"))

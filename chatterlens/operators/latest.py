@@ -24,7 +24,8 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     rank = "_rank"
     if n > _RANK_LIMIT:
         salt = "_salt"
-        salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
+        spots = F.xxhash64(F.spark_partition_id(), *df.columns)
+        salted = df.withColumn(salt, F.pmod(spots, F.lit(_SALTS)))
         rounds = salted.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, salt).orderBy(*order)))
         df = rounds.filter(F.col(rank) <= n).drop(rank, salt)
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

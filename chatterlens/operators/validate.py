@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from chatterlens.functions.text import is_blank
 from chatterlens.functions.times import parse_time
 from chatterlens.schemas import DEAD_LETTER, MESSAGE, MESSAGE_FIELDS, VALIDATED
-from chatterlens.sources.tables import conform
+from chatterlens.sources.tables import conform, unfold
 
 MALFORMED = "malformed_json"
 MISSING_TEXT = "missing_text"
@@ -33,15 +33,13 @@ def decode_messages(values: DataFrame) -> DataFrame:
     others = [c for c in values.columns if c != "value"]
     raw = F.col("value").cast("string")
     parsed = F.from_json("raw", _DECODED, {"columnNameOfCorruptRecord": _BROKEN})
+    # An empty value parses to null rather than to a broken record.
+    broken = F.col(_BROKEN).isNotNull() | is_blank(F.col("raw"))
     return (
         values.select(*others, raw.alias("raw"))
-        .withColumn("parsed", parsed)
-        .select(
-            *others,
-            "raw",
-            *[f"parsed.{name}" for name in MESSAGE_FIELDS],
-            (F.col("parsed").isNull() | F.col(f"parsed.{_BROKEN}").isNotNull()).alias("malformed"),
-        )
+        .select(*others, "raw", unfold(parsed))
+        .withColumn("malformed", broken)
+        .drop(_BROKEN)
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.functions.text import with_clean_text
+from chatterlens.functions.text import drop_empty_text, with_clean_text
 from chatterlens.functions.times import utc_iso
 from chatterlens.schemas import MESSAGE_FIELDS
 from chatterlens.session import spread
@@ -57,13 +57,11 @@ def activity(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
 
 
 def messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """Canonical messages with their number, time and label."""
+    """Canonical messages with their number and time."""
     events = spread(table(spark, sf_dir, "events"), "event_id") if events is None else events
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("site"))
-    labels = table(spark, sf_dir, "labels")
     own = F.concat_ws(" ", "event_type", "props")
     rows = events.join(documents, events.event_id == documents.doc_id, "left")
-    rows = rows.join(labels, rows.event_id == labels.doc_id, "left")
     time = F.col("ts").cast("timestamp")
     return rows.select(
         "event_id",
@@ -72,7 +70,6 @@ def messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
         F.when(_every(29), "nope").otherwise(utc_iso(time)).alias("timestamp"),
         F.coalesce("site", F.lit("app")).alias("location"),
         time.alias("event_time"),
-        _sentiment().alias("sentiment"),
     )
 
 
@@ -113,7 +110,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     rows = documents.join(table(spark, sf_dir, "labels"), "doc_id")
     rows = rows.select("doc_id", F.col("text").alias("Comment"), _sentiment().alias("Sentiment"))
-    return with_clean_text(rows, "Comment").filter("comment_clean != ''")
+    return with_clean_text(drop_empty_text(rows, "Comment"), "Comment")
 
 
 # How often (of ten) each rule repeats the label; the last one always answers neutral.
@@ -150,13 +147,13 @@ ACTIVITY_SQL = f"""activity AS (
   SELECT e.event_id, 'u' || e.user_id AS "user", e.ts AS event_time, e.event_type AS source, {_SENTIMENT_SQL}
   FROM events e LEFT JOIN labels l ON l.doc_id = e.event_id)"""
 
-MESSAGES_SQL = f"""messages AS (
+MESSAGES_SQL = """messages AS (
   SELECT e.event_id,
     CASE WHEN e.event_id % 17 = 0 THEN '  ' ELSE coalesce(d.text, e.event_type || ' ' || e.props) END AS text,
     CASE WHEN e.event_id % 19 = 0 THEN '' ELSE 'u' || e.user_id END AS "user",
     CASE WHEN e.event_id % 29 = 0 THEN 'nope' ELSE strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS "timestamp",
-    coalesce(d.source, 'app') AS location, e.ts AS event_time, {_SENTIMENT_SQL}
-  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id LEFT JOIN labels l ON l.doc_id = e.event_id)"""
+    coalesce(d.source, 'app') AS location, e.ts AS event_time
+  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id)"""
 
 ROUTED_SQL = f"""{MESSAGES_SQL}, routed AS (
   SELECT *,

@@ -198,7 +198,7 @@ def cleaned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE {CLEAN_SQL.format('text')} <> '' GROUP BY location"""
 )
 def messages_with_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = drop_empty_text(with_clean_text(messages(spark, sf_dir)))
+    rows = drop_empty_text(messages(spark, sf_dir))
     return rows.groupBy("location").agg(F.count("*").alias("n"))
 
 
@@ -388,8 +388,8 @@ def upsert_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {MESSAGES_SQL}
     SELECT md5(text) AS text_md5, "user", "timestamp",
-      {time_sql("date_trunc('milliseconds', event_time)")} AS event_time, location AS source,
-      sentiment FROM messages"""
+      {time_sql("date_trunc('milliseconds', event_time)")} AS event_time, location AS source
+    FROM messages"""
 )
 def results_published_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "results-topic")
@@ -398,5 +398,5 @@ def results_published_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = spark.read.schema("value string").text(path)
     parsed = values.select(F.from_json("value", RESULT).alias("r")).select("r.*")
     return parsed.select(
-        F.md5("text").alias("text_md5"), "user", "timestamp", time_text("event_time").alias("event_time"), "source", "sentiment"
+        F.md5("text").alias("text_md5"), "user", "timestamp", time_text("event_time").alias("event_time"), "source"
     )

@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -47,6 +50,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/chatterlens/{purpose}-{uuid.uuid4().hex}"
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a join side that has at most ``rows`` short rows; a larger bound is left to the optimizer."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition a scan that has fewer partitions than the cluster has cores.
 

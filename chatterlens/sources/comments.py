@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatterlens.schemas import COMMENT_ITEM
+from chatterlens.sources.tables import unfold
 
 # Fixed value: location of a comment whose author has no channel id.
 UNKNOWN_LOCATION = "Unknown"
@@ -21,11 +22,11 @@ def comments_to_messages(items: DataFrame, column: str = "item") -> DataFrame:
     item = F.col(column)
     if isinstance(items.schema[column].dataType, T.StringType):
         item = F.from_json(item, COMMENT_ITEM)
-    comment = F.col("parsed.snippet.topLevelComment.snippet")
+    comment = F.col("snippet.topLevelComment.snippet")
     return (
-        items.select(item.alias("parsed"))
+        items.select(unfold(item))
         .select(
-            F.col("parsed.id").alias("id"),
+            "id",
             comment["textDisplay"].alias("text"),
             comment["authorDisplayName"].alias("user"),
             comment["publishedAt"].alias("timestamp"),

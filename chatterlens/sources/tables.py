@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,14 @@ def read_labelled_csv(
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
 
 
+def unfold(record: Column) -> Column:
+    """The fields of a parsed record as columns, computed once per row.
+
+    A plain selection of the fields would be copied, parsing included, into every filter that names one of them.
+    """
+    return F.inline(F.array(record))
+
+
 def conform(df: DataFrame, schema: T.StructType = RESULT) -> DataFrame:
     """Select exactly the declared columns in their declared types.
 

@@ -29,6 +29,8 @@ def validate_stream(
     """
     time = F.current_timestamp() if at is None else at
     judged = with_reason(decode_messages(values)).withColumn("_at", time)
+    # Only dead letters need the raw value; valid ones would hold their text twice while both sinks are written.
+    judged = judged.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
     counted = judged.observe(
         "validation",
         F.count("*").alias("messages"),
