@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterlens.functions.stopwords import ENGLISH
-from chatterlens.functions.text import clean_text, words_of
+from chatterlens.functions.text import clean_text, each, words_of
 from chatterlens.session import bounded
 
 
@@ -113,6 +113,6 @@ def trending_words(
     df: DataFrame, column: str = "text", n: int = 50, stop_words: Sequence[str] = ENGLISH
 ) -> DataFrame:
     """Most frequent words of the cleaned texts without stop words; ties are ordered by word."""
-    words = df.select(F.explode(words_of(clean_text(F.col(column)))).alias("word"))
-    topical = words.filter((F.col("word") != "") & ~F.col("word").isin(*stop_words))
+    words = df.select(each(words_of(clean_text(F.col(column)))).alias("word"))
+    topical = words.filter(F.col("word").isNotNull() & (F.col("word") != "") & ~F.col("word").isin(*stop_words))
     return top_values(topical, "word", n)

@@ -20,6 +20,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatterlens.functions.text import each
 from chatterlens.session import bounded
 
 # Column names and vocabulary size of the saved pipelines.
@@ -61,7 +62,8 @@ def fit_label_index(df: DataFrame) -> StringIndexerModel:
 
 def vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """The ``size`` most frequent terms of the corpus; ties in alphabetical order."""
-    terms = words.select(F.explode(KEPT_WORDS).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    terms = words.select(each(F.col(KEPT_WORDS)).alias("term")).filter("term is not null")
+    terms = terms.groupBy("term").agg(F.count("*").alias("n"))
     return terms.orderBy(F.desc("n"), F.asc("term")).limit(size)
 
 
@@ -102,7 +104,7 @@ def label_ranking(df: DataFrame) -> DataFrame:
 
 def term_counts(words: DataFrame, keys: list[str]) -> DataFrame:
     """Occurrences per document (``keys``) and term. A document is one row, so its terms meet before the shuffle."""
-    exploded = words.select(*keys, F.explode(KEPT_WORDS).alias("term"))
+    exploded = words.select(*keys, each(F.col(KEPT_WORDS)).alias("term")).filter("term is not null")
     return exploded.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 

@@ -25,6 +25,17 @@ def test_dropping_empty_text_agrees_with_cleaning(rows):
     assert cleaned.select("text").exceptAll(text.drop_empty_text(df)).count() == 0
 
 
+def test_every_character_is_cleaned_as_stated(spark):
+    """The stated rule is: lower case, then remove all but a-z, A-Z and whitespace."""
+    points = spark.range(1, 0x30000).filter("id < 55296 or id > 57343")
+    one = F.decode(F.encode(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')"), "UTF-8"), "UTF-8")
+    df = points.select(one.alias("text"))
+    stated = F.regexp_replace(F.lower("text"), "[^a-zA-Z\\s]", "")
+    assert df.filter(stated != text.clean_text(F.col("text"))).count() == 0
+    kept = text.drop_empty_text(df)
+    assert kept.count() == df.filter(stated != "").count() == kept.filter(stated != "").count()
+
+
 def test_clean_column_is_never_null(rows):
     df = text.with_clean_text(rows([(None,), ("A1",)], "text string"))
     assert sorted(r.comment_clean for r in df.collect()) == ["", "a"]
