@@ -29,10 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a stream. The braces make the path a pattern, as a stream source must not be one file."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files: int | None = None) -> DataFrame:
+    """The same table as a stream, at most ``files`` files per batch.
+
+    The braces make the path a pattern, as a stream source must not be one file.
+    """
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
 def _every(n: int) -> Column:

@@ -332,13 +332,13 @@ def text_split_and_trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH short AS (
-      SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN left(text, 3) WHEN doc_id % 11 <> 0 THEN text END AS text
+      SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN lang WHEN doc_id % 11 <> 0 THEN text END AS text
       FROM documents)
     SELECT doc_id, CASE WHEN text IS NULL OR length(text) < 5 THEN 'neutral' ELSE 'model' END AS answer FROM short"""
 )
 def short_texts_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("doc_id")
-    text = F.when(number % 13 == 0, F.substring("text", 1, 3)).when(number % 11 != 0, F.col("text"))
+    text = F.when(number % 13 == 0, F.col("lang")).when(number % 11 != 0, F.col("text"))
     documents = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
     return documents.select("doc_id", F.when(is_short(F.col("text")), "neutral").otherwise("model").alias("answer"))
 

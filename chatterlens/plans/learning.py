@@ -36,6 +36,7 @@ from chatterlens.operators.models import (
     split_by_hash,
     train,
 )
+from chatterlens.operators.quality import classification_metrics, confusion_matrix
 from chatterlens.operators.score import joined_words, naive_bayes_scorer, score_udf, score_with_udf
 from chatterlens.operators.validate import decode_messages, route
 from chatterlens.plans.chain import results_of
@@ -288,6 +289,48 @@ def predictions_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.count_if(F.col("before") != F.col("prediction")).alias("changed"))
 
 
+_TEST_SQL = f"""{_BAYES_SQL}, test AS (SELECT * FROM labelled WHERE {_SPLIT_SQL} >= 80),
+test_terms AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_words_sql('clean')}) AS term FROM test) GROUP BY ALL),
+test_sums AS (
+  SELECT x.doc_id, b.label, sum(x.tf * b.idf * b.log_likelihood) AS score
+  FROM test_terms x JOIN bayes b ON b.term = x.term GROUP BY ALL),
+test_ranked AS (
+  SELECT t.doc_id, c.label, row_number() OVER (
+    PARTITION BY t.doc_id ORDER BY c.prior + coalesce(s.score, 0) DESC, c.label) AS place
+  FROM test t JOIN classes c ON true LEFT JOIN test_sums s ON s.doc_id = t.doc_id AND s.label = c.label),
+cells AS (
+  SELECT c.label, r.label AS prediction, count(*) AS n FROM test t JOIN classes c ON c.sentiment = t.sentiment
+  JOIN test_ranked r ON r.doc_id = t.doc_id AND r.place = 1 GROUP BY ALL)"""
+
+
+@query(
+    f"""WITH {_TEST_SQL}
+    SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, n FROM cells"""
+)
+def naive_bayes_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusion_matrix(predict(_training(spark, sf_dir)[1], fitted(spark, sf_dir)))
+
+
+@query(
+    f"""WITH {_TEST_SQL}, sides AS (
+      SELECT c.label AS class, coalesce((SELECT sum(n) FROM cells x WHERE x.label = c.label), 0) AS support,
+        coalesce((SELECT sum(n) FROM cells x WHERE x.prediction = c.label), 0) AS predicted,
+        coalesce((SELECT sum(n) FROM cells x WHERE x.label = c.label AND x.prediction = c.label), 0) AS hits
+      FROM classes c),
+    rates AS (
+      SELECT *, CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted END AS pr,
+        CASE WHEN support = 0 THEN 0 ELSE hits / support END AS re FROM sides)
+    SELECT round(sum(hits) / sum(support), 6) AS accuracy, round(sum(support * pr) / sum(support), 6) AS precision,
+      round(sum(support * re) / sum(support), 6) AS recall,
+      round(sum(support * CASE WHEN pr + re = 0 THEN 0 ELSE 2 * pr * re / (pr + re) END) / sum(support), 6) AS f1_score
+    FROM rates"""
+)
+def naive_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = classification_metrics(predict(_training(spark, sf_dir)[1], fitted(spark, sf_dir)))
+    return scores.select(*[F.round(score, 6).alias(score) for score in scores.columns])
+
+
 # Scoring
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatterlens.session import use_utc
+from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(use_utc(spark), sf_dir)
+            return build(prepare(spark), sf_dir)
 
         QUERIES[build.__name__] = run
         if sql is not None:

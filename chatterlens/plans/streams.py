@@ -34,8 +34,13 @@ from chatterlens.streaming.runner import AVAILABLE_NOW, progress_table, run, sta
 from chatterlens.streaming.sinks import batch_folder, topic_folder
 
 
+# A batch is held while its sinks are written, so it must not be the whole table. The jobs with a watermark
+# hold nothing and read everything at once: files come in no order of time, and a cut would make rows late.
+FILES_PER_BATCH = 10_000
+
+
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages(spark, sf_dir, stream_table(spark, sf_dir, "events"))
+    return messages(spark, sf_dir, stream_table(spark, sf_dir, "events", FILES_PER_BATCH))
 
 
 @query(f"""WITH {MESSAGES_SQL} SELECT md5(text) AS text_md5, "user", "timestamp", location FROM messages""")
@@ -43,7 +48,8 @@ def stream_read_and_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic of JSON values, read from its start and appended to a table."""
     folder = shared_folder(spark, "stream-append")
     encode_messages(messages(spark, sf_dir)).write.parquet(f"{folder}/topic")
-    decoded = decode_messages(read_messages(spark, "parquet", f"{folder}/topic"))
+    values = read_messages(spark, "parquet", f"{folder}/topic", max_per_trigger=FILES_PER_BATCH)
+    decoded = decode_messages(values)
     run([start_table(decoded, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
     stored = spark.read.schema(decoded.schema).parquet(f"{folder}/table")
     return stored.select(F.md5("text").alias("text_md5"), "user", "timestamp", "location")
@@ -102,7 +108,8 @@ def stream_scored_to_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated messages scored once and written both as keyed documents and as JSON values."""
     folder = shared_folder(spark, "stream-score")
     _run_validation(spark, sf_dir, folder)
-    validated = spark.readStream.schema(VALIDATED).parquet(f"{folder}/valid")
+    reader = spark.readStream.schema(VALIDATED).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    validated = reader.parquet(f"{folder}/valid")
     writers = [document_log(f"{folder}/documents"), topic_folder(f"{folder}/results")]
     run([score_stream(validated, fitted(spark, sf_dir), writers, f"{folder}/score", AVAILABLE_NOW, at())])
     documents = upsert_view(read_log(spark, f"{folder}/documents"))
@@ -120,7 +127,8 @@ def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job started twice on one checkpoint: the second start finds nothing to do."""
     folder = shared_folder(spark, "stream-restart")
     for _ in range(2):
-        rows = activity(spark, sf_dir, stream_table(spark, sf_dir, "events")).select("event_id", "sentiment")
+        events = stream_table(spark, sf_dir, "events", FILES_PER_BATCH)
+        rows = activity(spark, sf_dir, events).select("event_id", "sentiment")
         run([start_batches(rows, batch_folder(f"{folder}/table"), f"{folder}/checkpoint", AVAILABLE_NOW)])
     return spark.read.parquet(f"{folder}/table").select("event_id", "sentiment")
 

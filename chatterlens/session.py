@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 
+PROGRESS_REPORTS = 10_000
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,16 +27,22 @@ def local_session(cpus: int | str = "*", memory: str = "12g", app: str = "chatte
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return use_utc(spark)
+    return prepare(spark)
+
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings every job relies on.
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Zone-less timestamps are read, bucketed and printed as UTC."""
+    Zone-less timestamps are read, bucketed and printed as UTC. Streaming state lies in RocksDB rather than on
+    the heap, unless the session names another store, and the progress of many batches is kept.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", PROGRESS_REPORTS)
     return spark
 
 

@@ -90,11 +90,18 @@ PROGRESS = T.StructType(
         T.StructField("input_rows_per_second", T.DoubleType()),
         T.StructField("processed_rows_per_second", T.DoubleType()),
         T.StructField("batch_milliseconds", T.LongType()),
+        T.StructField("offsets_behind", T.DoubleType()),
         T.StructField("observed", T.MapType(T.StringType(), T.LongType())),
     ]
 )
 
 
+def _offsets_behind(report: Mapping) -> float | None:
+    """How far the slowest topic partition lags, where the source tells."""
+    lags = [(source.get("metrics") or {}).get("maxOffsetsBehindLatest") for source in report.get("sources", [])]
+    return max((float(lag) for lag in lags if lag is not None), default=None)
+
+
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """One row per reported batch of a query, with the counts observed in it."""
     rows = []
@@ -113,6 +120,7 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
                 float(report.get("inputRowsPerSecond") or 0.0),
                 float(report.get("processedRowsPerSecond") or 0.0),
                 int(report.get("durationMs", {}).get("triggerExecution", 0)),
+                _offsets_behind(report),
                 observed,
             )
         )
