@@ -15,6 +15,11 @@ _RANK_LIMIT = 1000
 _SALTS = 64
 
 
+def _content(df: DataFrame) -> Column:
+    """A number for the whole row, to decide between rows that are otherwise equal in the same way everywhere."""
+    return F.xxhash64(*[F.col(name) for name, kind in df.dtypes if "map<" not in kind])
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of every key in the given order.
 
@@ -24,7 +29,7 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     rank = "_rank"
     if n > _RANK_LIMIT:
         salt = "_salt"
-        spots = F.xxhash64(F.spark_partition_id(), *df.columns)
+        spots = F.xxhash64(F.spark_partition_id(), _content(df))
         salted = df.withColumn(salt, F.pmod(spots, F.lit(_SALTS)))
         rounds = salted.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, salt).orderBy(*order)))
         df = rounds.filter(F.col(rank) <= n).drop(rank, salt)
@@ -39,7 +44,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], time: str, tie: str, n: i
 
 def drop_repeats(df: DataFrame, key: str, time: str) -> DataFrame:
     """One row per event id: the first seen."""
-    return best_per_key(df, [key], [F.asc(time)])
+    return best_per_key(df, [key], [F.asc(time), _content(df)])
 
 
 def with_document_id(df: DataFrame, columns: Sequence[str] = ("user", "timestamp", "text")) -> DataFrame:
@@ -49,7 +54,7 @@ def with_document_id(df: DataFrame, columns: Sequence[str] = ("user", "timestamp
 
 def upsert_view(log: DataFrame, key: Sequence[str] = ("id",), order: Sequence[str] = ("batch_id",)) -> DataFrame:
     """Current documents of an append-only log: a later write replaces an earlier one with the same key."""
-    return best_per_key(log, key, [F.desc(column) for column in order])
+    return best_per_key(log, key, [*[F.desc(column) for column in order], _content(log)])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

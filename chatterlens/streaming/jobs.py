@@ -13,6 +13,9 @@ from chatterlens.operators.validate import dead_letters, decode_messages, valid_
 from chatterlens.streaming.runner import start_batches
 from chatterlens.streaming.sinks import BatchWriter, batch_folder, derived, fan_out
 
+# Ids a task remembers between Arrow batches when it thins out repeats; a bound on its memory.
+REMEMBERED_IDS = 100_000
+
 
 def validate_stream(
     values: DataFrame,
@@ -70,22 +73,35 @@ def document_log(path: str) -> BatchWriter:
 def drop_repeats_stream(df: DataFrame, key: str = "id", time: str = "event_time", delay: str = "10 minutes") -> DataFrame:
     """Pass each event id once; its repeats are recognised for ``delay``.
 
-    Repeats that lie in the same Arrow batch go before the shuffle, so that an id that makes up much of the
-    stream does not send all of its copies to one task.
+    Streaming state has no map-side half, so an id that makes up much of the stream would send all of its copies
+    to one task. Each task therefore first passes on only the newest copy of an id per Arrow batch, and of later
+    batches only newer ones. As the newest copy is the last to become late, no id is lost by this.
     """
+    remembered = REMEMBERED_IDS
 
-    def first_in_batch(batches):
+    def newest_copies(batches):
         import numpy
         import pyarrow
 
+        passed = {}
         for batch in batches:
-            names = batch.schema.names
-            ids = batch.column(names.index(key)).dictionary_encode().indices
-            codes = ids.fill_null(-1).to_numpy(zero_copy_only=False)
-            _, first = numpy.unique(codes, return_index=True)
-            yield batch.take(pyarrow.array(numpy.sort(first)))
-
-    thinned = df.mapInArrow(first_in_batch, df.schema)
+            ids = batch.column(batch.schema.names.index(key))
+            times = batch.column(batch.schema.names.index(time)).cast(pyarrow.int64()).fill_null(0).to_numpy()
+            codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy()
+            rows = numpy.arange(batch.num_rows)
+            order = numpy.lexsort((-rows, times, codes))
+            last = numpy.append(codes[order][1:] != codes[order][:-1], True)[: len(order)]
+            newest = numpy.sort(order[last])
+            kept = []
+            for row, name in zip(newest.tolist(), ids.take(pyarrow.array(newest)).to_pylist()):
+                if name not in passed or times[row] > passed[name]:
+                    passed[name] = times[row]
+                    kept.append(row)
+            if len(passed) > remembered:
+                passed = {}
+            yield batch.take(pyarrow.array(kept, pyarrow.int64()))
+
+    thinned = df.mapInArrow(newest_copies, df.schema)
     return thinned.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 

@@ -41,7 +41,10 @@ def kafka_topic(servers: str, topic: str) -> BatchWriter:
 
 
 def search_index_options(index: str, key: str = "id") -> dict[str, str]:
-    """Connector options for a keyed search index: a later document replaces the one with the same key."""
+    """Connector options for a keyed search index: a later document replaces the one with the same key.
+
+    The option names and the write operation are fixed values of the connector.
+    """
     return {"es.resource": index, "es.write.operation": "index", "es.mapping.id": key}
 
 

@@ -164,6 +164,34 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
     assert sorted(values(spark.read.parquet(str(tmp_path / "out")), "id")) == ["1", "2", "hot"]
 
 
+def test_an_id_with_a_late_copy_still_passes(spark, tmp_path):
+    feed(
+        tmp_path / "in",
+        ("a", events(("1", "02:00:00", "p"))),
+        ("b", events(("2", "02:00:01", "p"))),
+        ("c", events(("late", "00:30:00", "p"), ("late", "02:01:00", "p"), ("gone", "00:30:00", "p"))),
+    )
+    once = jobs.drop_repeats_stream(event_stream(spark, tmp_path / "in"))
+    finish(runner.start_table(once, str(tmp_path / "out"), str(tmp_path / "cp"), NOW))
+    assert sorted(values(spark.read.parquet(str(tmp_path / "out")), "id")) == ["1", "2", "late"]
+
+
+def test_hot_ids_are_thinned_before_the_shuffle(spark, tmp_path):
+    number = F.col("id")
+    many = spark.range(60_000).select(
+        F.when(number % 3 == 0, "hot").otherwise(number.cast("string")).alias("id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + number % 100).alias("event_time"),
+    )
+    many.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(many.schema).parquet(str(tmp_path / "in"))
+    query = runner.start_table(jobs.drop_repeats_stream(stream), str(tmp_path / "out"), str(tmp_path / "cp"), NOW)
+    finish(query)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.count() == found.select("id").distinct().count() == 40_001
+    dropped = [op["customMetrics"]["numDroppedDuplicateRows"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert max(dropped) < 50
+
+
 def test_triggers_and_console(spark, tmp_path):
     feed(tmp_path / "in", ("a", RAW))
     stream = read_messages(spark, "text", str(tmp_path / "in"))
