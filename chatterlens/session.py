@@ -65,12 +65,16 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan that has fewer partitions than the cluster has cores.
+    """Hash-partition a small scan of few files, so that the text work behind it is shared.
 
-    A table of one row group is read by one task, and the text work behind the scan would stay there.
-    Large tables already have more splits than cores and are left as they are.
+    A file of one row group is read by one task, however many splits it has. Tables of at least as many files as
+    the cluster has cores, and tables of many splits, are left as they are. The number of splits tells the size,
+    so a tiny table is not cut into more pieces than it is worth.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    splits = df.rdd.getNumPartitions()
+    if splits > 2 * cores or len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(min(cores, 8 * splits), key)
