@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from chatterlens.functions import text as text_functions
 from chatterlens.functions.labels import argmax, label_at, label_from_map
-from chatterlens.functions.text import clean_text, drop_empty_text, is_short, with_clean_text
+from chatterlens.functions.text import drop_empty_text, is_short, with_clean_text
 from chatterlens.functions.times import parse_time, stamp, utc_iso
 from chatterlens.operators.dashboards import since
 from chatterlens.operators.latest import (
@@ -46,7 +46,7 @@ from chatterlens.plans.fixtures import (
     time_text,
 )
 from chatterlens.plans.registry import query
-from chatterlens.schemas import MESSAGE_FIELDS, RESULT
+from chatterlens.schemas import RESULT
 from chatterlens.session import shared_folder, spread
 from chatterlens.sources.chat import chat_lines_to_messages, chat_messages_only
 from chatterlens.sources.comments import comments_to_messages
@@ -278,7 +278,8 @@ def validation_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def repeats_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = messages(spark, sf_dir)
-    repeated = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("event_id") % 5 == 0, 2).otherwise(1))))
+    copies = F.when(F.col("event_id") % 5 == 0, 2).otherwise(1)
+    repeated = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     return drop_repeats(repeated, "event_id", "copy").select("event_id", F.md5("text").alias("text_md5"))
 
 

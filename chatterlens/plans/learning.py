@@ -16,6 +16,7 @@ from chatterlens.operators.features import (
     KEPT_WORDS,
     LABEL,
     LABEL_TEXT,
+    TEXT,
     WORDS,
     apply_stages,
     fit_features,
@@ -81,7 +82,9 @@ vocabulary AS (SELECT term, count(*) AS n FROM terms GROUP BY term ORDER BY n DE
 tf AS (
   SELECT doc_id, sentiment, term, count(*) AS tf FROM terms
   WHERE term IN (SELECT term FROM vocabulary) GROUP BY ALL),
-idf AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM {rows}) + 1) / (count(*) + 1)) AS idf FROM tf GROUP BY term)"""
+idf AS (
+  SELECT term, count(*) AS df, ln(((SELECT count(*) FROM {rows}) + 1) / (count(*) + 1)) AS idf
+  FROM tf GROUP BY term)"""
 
 
 _SPLIT_SQL = "CAST('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8) AS BIGINT) % 100"
@@ -89,7 +92,8 @@ _SPLIT_SQL = "CAST('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8) AS BIGINT) % 10
 _BAYES_SQL = f"""{LABELLED_SQL}, train AS (SELECT * FROM labelled WHERE {_SPLIT_SQL} < 80),
 {_features_sql('train')},
 classes AS (
-  SELECT sentiment, ln(count(*) + 1) - ln((SELECT count(*) FROM train) + (SELECT count(DISTINCT sentiment) FROM train)) AS prior,
+  SELECT sentiment,
+    ln(count(*) + 1) - ln((SELECT count(*) + count(DISTINCT sentiment) FROM train)) AS prior,
     row_number() OVER (ORDER BY count(*) DESC, sentiment) - 1 AS label FROM train GROUP BY sentiment),
 weights AS (SELECT sentiment, term, sum(tf * idf) AS weight FROM tf JOIN idf USING (term) GROUP BY ALL),
 totals AS (SELECT sentiment, sum(weight) AS total FROM weights GROUP BY sentiment),
@@ -284,8 +288,8 @@ def predictions_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fitted(spark, sf_dir)
     save_model(model, path)
     again = load_model(path)
-    rows = predict(_training(spark, sf_dir)[1], model).select("doc_id", "comment_clean", LABEL_TEXT, F.col("prediction").alias("before"))
-    rows = predict(rows, again)
+    before = predict(_training(spark, sf_dir)[1], model)
+    rows = predict(before.select("doc_id", TEXT, LABEL_TEXT, F.col("prediction").alias("before")), again)
     return rows.agg(F.count("*").alias("n"), F.count_if(F.col("before") != F.col("prediction")).alias("changed"))
 
 
