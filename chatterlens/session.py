@@ -33,14 +33,18 @@ def local_session(cpus: int | str = "*", memory: str = "12g", app: str = "chatte
     return prepare(spark)
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on.
 
-    Zone-less timestamps are read, bucketed and printed as UTC. Streaming state lies in RocksDB rather than on
-    the heap, unless the session names another store, and the progress of many batches is kept.
+    Zone-less timestamps are read, bucketed and printed as UTC, and the progress of many batches is kept. On a
+    cluster streaming state lies in RocksDB rather than on the heap, unless the session names another store.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
+    if not is_local(spark) and spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
         spark.conf.set(STATE_STORE, ROCKSDB)
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", PROGRESS_REPORTS)
     return spark
@@ -53,7 +57,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/chatterlens/{purpose}-{uuid.uuid4().hex}"

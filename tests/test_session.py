@@ -48,4 +48,9 @@ def test_broadcast_hint_needs_a_bound(spark):
 def test_prepare(spark):
     session.prepare(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-    assert "RocksDB" in spark.conf.get(session.STATE_STORE)
+    assert "RocksDB" not in spark.conf.get(session.STATE_STORE)
+    changed = {}
+    cluster = pretend("yarn", **{session.STATE_STORE.replace(".", "_"): "x.HDFSBackedStateStoreProvider"})
+    cluster.conf.set = staticmethod(changed.__setitem__)
+    session.prepare(cluster)
+    assert changed[session.STATE_STORE] == session.ROCKSDB

@@ -10,6 +10,7 @@ from chatterlens.operators.dashboards import sentiment_over_time
 from chatterlens.operators.latest import read_log, upsert_view
 from chatterlens.operators.models import classifiers, train
 from chatterlens.operators.validate import decode_messages, route
+from chatterlens.session import ROCKSDB, STATE_STORE
 from chatterlens.sources.topics import read_messages
 from chatterlens.streaming import jobs, runner, sinks
 
@@ -152,7 +153,17 @@ def test_live_buckets_equal_batch_buckets(spark, tmp_path):
     assert values(spark.read.parquet(str(tmp_path / "out")).select("bucket", "sentiment", "n")) == values(closed)
 
 
-def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
+@pytest.fixture(params=["heap", "rocksdb"])
+def state_store(spark, request):
+    """Run a test with both kinds of streaming state."""
+    before = spark.conf.get(STATE_STORE)
+    if request.param == "rocksdb":
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    yield
+    spark.conf.set(STATE_STORE, before)
+
+
+def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path, state_store):
     hot = [("hot", f"00:00:{i:02d}", "p") for i in range(50)]
     feed(
         tmp_path / "in",
