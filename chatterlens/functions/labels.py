@@ -33,6 +33,13 @@ def argmax(scores: Column) -> Column:
     return F.when(position >= 0, position.cast("int"))
 
 
+def confidence_of(scores: Column) -> Column:
+    """Probability of the largest of several unnormalised log scores."""
+    best = F.array_max(scores)
+    shares = F.transform(scores, lambda score: F.exp(score - best))
+    return 1 / F.aggregate(shares, F.lit(0.0), lambda total, share: total + share)
+
+
 def confidence(probability: Column) -> Column:
     """Probability of the predicted class."""
     return F.array_max(vector_to_array(probability))

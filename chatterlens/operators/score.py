@@ -13,7 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatterlens.functions.labels import DEFAULT_LABEL, THREE_CLASSES, argmax, confidence, label_at, label_from_map
+from chatterlens.functions.labels import (
+    DEFAULT_LABEL,
+    THREE_CLASSES,
+    argmax,
+    confidence,
+    confidence_of,
+    label_at,
+    label_from_map,
+)
 from chatterlens.functions.text import is_short, with_clean_text
 from chatterlens.functions.times import parse_time
 from chatterlens.operators.features import KEPT_WORDS
@@ -91,7 +99,7 @@ def score_with_udf(
     model_input: Column | None = None,
     labels: Mapping[int, str] = THREE_CLASSES,
 ) -> DataFrame:
-    """Add ``sentiment`` and ``model_failed`` by a plugged-in model.
+    """Add ``sentiment``, ``confidence`` and ``model_failed`` by a plugged-in model; batch or stream.
 
     Null and short texts are neutral without asking the model; texts on which the model fails are neutral too,
     but flagged, so that failures can be counted.
@@ -103,11 +111,17 @@ def score_with_udf(
     index = argmax(F.col("_scores"))
     return (
         scored.withColumn("sentiment", label_from_map(index, labels, DEFAULT_LABEL))
+        .withColumn("confidence", confidence_of(F.col("_scores")))
         .withColumn("model_failed", ~F.col("_guarded") & index.isNull())
         .drop("_guarded", "_scores")
     )
 
 
+def udf_results(scored: DataFrame, at: Column | None = None) -> DataFrame:
+    """RESULT rows of messages scored by a plugged-in model, with the failure flag."""
+    return _as_results(scored, at, ("model_failed",))
+
+
 def joined_words(column: str = KEPT_WORDS) -> Column:
     """Kept words as one text for a plugged-in model; words hold no blanks, so the join can be undone."""
     return F.when(F.size(column) > 0, F.array_join(column, " ")).otherwise("\n")

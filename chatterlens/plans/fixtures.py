@@ -102,7 +102,7 @@ def comment_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as chat lines, each third one followed by a keep-alive line."""
-    turns = spread(table(spark, sf_dir, "conversations"), "conv_id")
+    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
     line = F.concat(
         F.lit(":"), F.col("role"), F.lit("!h@x PRIVMSG #c :"), F.regexp_replace("text", "[\\r\\n]", " ")
     )

@@ -38,7 +38,7 @@ from chatterlens.operators.models import (
     train,
 )
 from chatterlens.operators.quality import classification_metrics, confusion_matrix
-from chatterlens.operators.score import joined_words, naive_bayes_scorer, score_udf, score_with_udf
+from chatterlens.operators.score import joined_words, naive_bayes_scorer, score_udf, score_with_udf, udf_results
 from chatterlens.operators.validate import decode_messages, route
 from chatterlens.plans.chain import results_of
 from chatterlens.plans.dashboard import STOP_WORDS_SQL
@@ -353,13 +353,18 @@ def messages_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {SCORED_SQL}
     SELECT md5("user" || chr(1) || "timestamp" || chr(1) || text) AS id,
-      CASE WHEN length(text) < 5 THEN 'neutral' ELSE predicted END AS sentiment, false AS model_failed FROM scored"""
+      CASE WHEN length(text) < 5 THEN 'neutral' ELSE predicted END AS sentiment,
+      CASE WHEN length(text) >= 5 THEN round(confidence, 6) END AS confidence, false AS model_failed FROM scored"""
 )
 def messages_scored_by_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same model as a plugged-in Python scorer behind the text guards."""
-    model = fitted(spark, sf_dir)
-    labels = dict(enumerate(labels_of(model)))
     valid, _ = route(decode_messages(raw_values(messages(spark, sf_dir))), at())
-    words = kept_words(with_clean_text(valid))
-    scored = score_with_udf(words, score_udf(naive_bayes_scorer(model), len(labels)), joined_words(), labels)
-    return with_document_id(scored).select("id", "sentiment", "model_failed")
+    results = with_document_id(scored_by_plugin(valid, fitted(spark, sf_dir)))
+    return results.select("id", "sentiment", F.round("confidence", 6).alias("confidence"), "model_failed")
+
+
+def scored_by_plugin(valid: DataFrame, model: PipelineModel) -> DataFrame:
+    """RESULT rows of valid messages by the numpy twin of a fitted naive Bayes pipeline."""
+    labels = dict(enumerate(labels_of(model)))
+    scorer = score_udf(naive_bayes_scorer(model), len(labels))
+    return udf_results(score_with_udf(kept_words(with_clean_text(valid)), scorer, joined_words(), labels), at())

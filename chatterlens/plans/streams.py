@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chatterlens.functions.times import stamp
 from chatterlens.operators.latest import read_log, upsert_view
-from chatterlens.operators.validate import decode_messages
+from chatterlens.operators.validate import decode_messages, route
 from chatterlens.plans.fixtures import (
     ACTIVITY_SQL,
     AT_TEXT,
@@ -24,7 +24,7 @@ from chatterlens.plans.fixtures import (
     time_sql,
     time_text,
 )
-from chatterlens.plans.learning import SCORED_SQL, fitted
+from chatterlens.plans.learning import SCORED_SQL, fitted, scored_by_plugin
 from chatterlens.plans.registry import query
 from chatterlens.schemas import DEAD_LETTER, RESULT, VALIDATED
 from chatterlens.session import shared_folder
@@ -122,6 +122,21 @@ def stream_scored_to_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {SCORED_SQL}
+    SELECT md5(text) AS text_md5, "user", "timestamp", location AS source, false AS model_failed,
+      CASE WHEN length(text) < 5 THEN 'neutral' ELSE predicted END AS sentiment FROM scored"""
+)
+def stream_scored_by_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a topic scored by a plugged-in Python model and appended to a table."""
+    folder = shared_folder(spark, "stream-plugin")
+    valid, _ = route(decode_messages(raw_values(_message_stream(spark, sf_dir))), at())
+    results = scored_by_plugin(valid, fitted(spark, sf_dir))
+    run([start_table(results, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
+    stored = spark.read.schema(results.schema).parquet(f"{folder}/table")
+    return stored.select(F.md5("text").alias("text_md5"), "user", "timestamp", "source", "model_failed", "sentiment")
+
+
 @query(f"WITH {ACTIVITY_SQL} SELECT event_id, sentiment FROM activity")
 def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job started twice on one checkpoint: the second start finds nothing to do."""

@@ -68,8 +68,8 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a small scan of few files, so that the text work behind it is shared.
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Hash-partition a small scan of few files by a unique key, so that the text work behind it is shared.
 
     A file of one row group is read by one task, however many splits it has. Tables of at least as many files as
     the cluster has cores, and tables of many splits, are left as they are. The number of splits tells the size,
@@ -81,4 +81,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     splits = df.rdd.getNumPartitions()
     if splits > 2 * cores or len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(min(cores, 8 * splits), key)
+    return df.repartition(min(cores, 8 * splits), *key)

@@ -123,6 +123,12 @@ def test_argmax(rows):
     assert [r.x for r in df.select(labels.argmax(F.col("s")).alias("x")).collect()] == [1, 0, None, None, 1]
 
 
+def test_confidence_of_log_scores(rows):
+    df = rows([([0.0, 0.0],), ([-1000.0, -1000.0, -1000.0],), ([5.0, -800.0],), (None,)], "s array<double>")
+    found = [r.x for r in df.select(labels.confidence_of(F.col("s")).alias("x")).collect()]
+    assert found[:1] + found[2:] == [0.5, 1.0, None] and abs(found[1] - 1 / 3) < 1e-12
+
+
 def test_stop_words_are_the_default_list(spark):
     from pyspark.ml.feature import StopWordsRemover
 
