@@ -6,6 +6,10 @@ states the same numbers as plain aggregations over (document, term) rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     IDF,
@@ -80,13 +84,31 @@ def fit_inverse_frequency(counts: DataFrame) -> IDFModel:
     return IDF(inputCol=COUNTS, outputCol=FEATURES).fit(counts)
 
 
-def fit_features(train: DataFrame, size: int = VOCABULARY_SIZE, drop_empty: bool = False) -> list[Transformer]:
-    """Fit the shared front of all pipelines once; returns its stages in saved order."""
+@contextmanager
+def featurised(
+    train: DataFrame, size: int = VOCABULARY_SIZE, drop_empty: bool = False
+) -> Iterator[tuple[list[Transformer], DataFrame]]:
+    """Fit the shared front of all pipelines once; gives its stages in saved order and the training features.
+
+    The text is read twice: for the vocabulary and for the counts. The counts are small and are kept while the
+    classifiers work, which then see label and features only.
+    """
     tokens = token_stages(drop_empty)
-    words = kept_words(train, drop_empty).select(KEPT_WORDS)
-    counter = fit_counts(words, size)
-    weights = fit_inverse_frequency(counter.transform(words))
-    return [fit_label_index(train), *tokens, counter, weights]
+    index = fit_label_index(train)
+    counter = fit_counts(apply_stages(train, tokens), size)
+    counted = apply_stages(train, [index, *tokens, counter]).select(LABEL, COUNTS)
+    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weights = fit_inverse_frequency(counted)
+        yield [index, *tokens, counter, weights], weights.transform(counted).select(LABEL, FEATURES)
+    finally:
+        counted.unpersist()
+
+
+def fit_features(train: DataFrame, size: int = VOCABULARY_SIZE, drop_empty: bool = False) -> list[Transformer]:
+    """The fitted front alone."""
+    with featurised(train, size, drop_empty) as (stages, _):
+        return stages
 
 
 def apply_stages(df: DataFrame, stages: list[Transformer]) -> DataFrame:

@@ -6,7 +6,7 @@ import time
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -17,7 +17,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.operators.features import FEATURES, LABEL, apply_stages, fit_features
+from chatterlens.operators.features import FEATURES, LABEL, apply_stages, featurised
 from chatterlens.operators.quality import classification_metrics
 from chatterlens.schemas import METRIC
 
@@ -49,11 +49,10 @@ def split_at_random(df: DataFrame, percent: int = 80, seed: int = 42) -> tuple[D
     return train, test
 
 
-def train(df: DataFrame, classifier: Estimator, front: list[Transformer] | None = None) -> PipelineModel:
-    """Fit one classifier on cleaned, labelled text. ``front`` are fitted feature stages to reuse."""
-    stages = fit_features(df) if front is None else front
-    fitted = classifier.fit(apply_stages(df, stages).select(LABEL, FEATURES))
-    return PipelineModel([*stages, fitted])
+def train(df: DataFrame, classifier: Estimator) -> PipelineModel:
+    """Fit one classifier on cleaned, labelled text."""
+    with featurised(df) as (front, features):
+        return PipelineModel([*front, classifier.fit(features)])
 
 
 def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -68,32 +67,27 @@ def compare_models(
 ) -> DataFrame:
     """Fit, time, evaluate and optionally save every classifier; one METRIC row each.
 
-    The text is featurised once and shared. A classifier that fails gets a row of zeros with its error.
+    The text is featurised once and shared, so reading and featurising are in nobody's training time. A
+    classifier that fails gets a row of zeros with its error.
     """
-    spark = train_rows.sparkSession
-    front = fit_features(train_rows)
-    columns = [LABEL, FEATURES]
-    fit_on = apply_stages(train_rows, front).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    judge_on = apply_stages(test_rows, front).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    # Filled here, so that reading and featurising are in nobody's training time.
-    fit_on.count()
     rows = []
-    try:
-        for name, classifier in (classifiers() if candidates is None else candidates).items():
-            try:
-                started = time.perf_counter()
-                fitted = classifier.fit(fit_on)
-                seconds = time.perf_counter() - started
-                scores = classification_metrics(fitted.transform(judge_on)).first()
-                if save_to is not None:
-                    save_model(PipelineModel([*front, fitted]), f"{save_to}/{name}_model")
-                rows.append((name, *[float(score) for score in scores], seconds, None))
-            except Exception as failure:  # one failed candidate must not end the comparison
-                rows.append((name, 0.0, 0.0, 0.0, 0.0, 0.0, str(failure)))
-    finally:
-        fit_on.unpersist()
-        judge_on.unpersist()
-    return metric_rows(spark, rows)
+    with featurised(train_rows) as (front, fit_on):
+        judge_on = apply_stages(test_rows, front).select(LABEL, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, classifier in (classifiers() if candidates is None else candidates).items():
+                try:
+                    started = time.perf_counter()
+                    fitted = classifier.fit(fit_on)
+                    seconds = time.perf_counter() - started
+                    scores = classification_metrics(fitted.transform(judge_on)).first()
+                    if save_to is not None:
+                        save_model(PipelineModel([*front, fitted]), f"{save_to}/{name}_model")
+                    rows.append((name, *[float(score) for score in scores], seconds, None))
+                except Exception as failure:  # one failed candidate must not end the comparison
+                    rows.append((name, 0.0, 0.0, 0.0, 0.0, 0.0, str(failure)))
+        finally:
+            judge_on.unpersist()
+    return metric_rows(train_rows.sparkSession, rows)
 
 
 def metric_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
