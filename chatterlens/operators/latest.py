@@ -53,7 +53,11 @@ def with_document_id(df: DataFrame, columns: Sequence[str] = ("user", "timestamp
 
 
 def upsert_view(log: DataFrame, key: Sequence[str] = ("id",), order: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """Current documents of an append-only log: a later write replaces an earlier one with the same key."""
+    """Current documents of an append-only log: a later write replaces an earlier one with the same key.
+
+    Where the key contains the time, as the content id does, a log filtered by event date gives the documents of
+    those dates without reading the others.
+    """
     return best_per_key(log, key, [*[F.desc(column) for column in order], _content(log)])
 
 
@@ -62,6 +66,11 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
+def rows_per_batch(log: DataFrame) -> DataFrame:
+    """How many rows each batch wrote."""
+    return log.groupBy("batch_id").agg(F.count("*").alias("n"))
+
+
 def compact_log(spark: SparkSession, path: str, target: str, key: Sequence[str] = ("id",)) -> None:
     """Rewrite a log as one batch folder of its current documents, in another place."""
     log = read_log(spark, path)

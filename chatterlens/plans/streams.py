@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterlens.functions.times import stamp
-from chatterlens.operators.latest import read_log, upsert_view
+from chatterlens.operators.latest import read_log, rows_per_batch, upsert_view
 from chatterlens.operators.validate import decode_messages, route
 from chatterlens.plans.fixtures import (
     ACTIVITY_SQL,
@@ -87,12 +87,15 @@ def stream_validated_and_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT count(*) AS messages, count(*) FILTER (WHERE reason IS NULL) AS valid, count(reason) AS invalid FROM routed"""
 )
 def stream_progress_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the validation job, added up over its batches."""
-    job = _run_validation(spark, sf_dir, shared_folder(spark, "stream-progress"))
-    observed = F.col("observed")
-    return progress_table(spark, job).agg(
-        *[F.sum(observed[f"validation.{name}"]).alias(name) for name in ("messages", "valid", "invalid")]
-    )
+    """Rows that the reported batches of the validation job left in its sinks."""
+    folder = shared_folder(spark, "stream-progress")
+    job = _run_validation(spark, sf_dir, folder)
+    batches = progress_table(spark, job).select("batch_id").distinct()
+    for name, sink in (("valid", "valid"), ("invalid", "dead")):
+        written = rows_per_batch(read_log(spark, f"{folder}/{sink}")).withColumnRenamed("n", name)
+        batches = batches.join(written, "batch_id", "left")
+    counts = batches.agg(F.sum("valid").alias("valid"), F.sum("invalid").alias("invalid"))
+    return counts.select((F.col("valid") + F.col("invalid")).alias("messages"), "valid", "invalid")
 
 
 @query(

@@ -49,6 +49,8 @@ def read_messages(
     if fmt == "kafka":
         if servers is None:
             raise ValueError("kafka needs servers")
+        if not stream and starting != "earliest":
+            raise ValueError("a batch has to start at the earliest offset")
         options = topic_options(servers, location, starting, max_per_trigger, min_partitions)
         return reader.format("kafka").options(**options).load().select("value")
     if fmt not in ("text", "parquet"):

@@ -28,7 +28,8 @@ def validate_stream(
 ) -> StreamingQuery:
     """Decode a topic once and send each message to the valid or to the dead-letter sink.
 
-    The counts of both branches are reported with every batch.
+    The counts of both branches are reported with every batch. They are there to watch the job: a part that is
+    computed again after the loss of an executor is counted again. The sinks hold the exact numbers.
     """
     time = F.current_timestamp() if at is None else at
     judged = with_reason(decode_messages(values)).withColumn("_at", time)

@@ -44,6 +44,12 @@ def test_frequent_keys_are_cut_before_the_shuffle(spark):
     assert plan(latest_per_key(hot(spark).withColumn("id", F.col("t")), ["k"], "t", "id", 5)).count("WindowGroupLimit") == 2
 
 
+def test_copies_and_versions_are_cut_before_the_shuffle(spark):
+    df = hot(spark).withColumn("batch_id", F.lit(1))
+    assert plan(drop_repeats(df, "k", "t")).count("WindowGroupLimit") == 2
+    assert plan(upsert_view(df, ["k"])).count("WindowGroupLimit") == 2
+
+
 def test_drop_repeats_is_idempotent(rows):
     df = rows([("a", 2, "late"), ("a", 1, "first"), ("b", 5, "only")], "id string, t int, v string")
     once = drop_repeats(df, "id", "t")

@@ -33,6 +33,8 @@ def test_read_messages_refuses_what_it_cannot_do(spark, tmp_path):
         read_messages(spark, "text", str(tmp_path), starting="latest")
     with pytest.raises(ValueError):
         read_messages(spark, "carrier pigeon", "x")
+    with pytest.raises(ValueError):
+        read_messages(spark, "kafka", "topic", "k:9092", starting="latest", stream=False)
 
 
 def test_read_messages_from_json_lines(spark, tmp_path):
