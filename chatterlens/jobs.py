@@ -31,7 +31,7 @@ def compare(spark: SparkSession, options: argparse.Namespace) -> None:
     dashboards.distribution(comments, "Sentiment").show()
     # Equal comments fall into the same part, so that none is tested on what it was trained with.
     train_rows, test_rows = models.split_by_hash(comments, "Comment")
-    metrics = models.compare_models(train_rows, test_rows, save_to=options.models)
+    metrics = models.compare_models(train_rows, test_rows, save_to=options.models, parallelism=options.parallel)
     models.save_metrics(metrics, f"{options.models}/comparison_results")
     quality.rank_models(metrics).show(truncate=False)
     quality.rank_models(metrics, "f1_score").show(truncate=False)
@@ -78,6 +78,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--comments", required=True, help="CSV with the columns Comment and Sentiment")
     command.add_argument("--one-line", action="store_true", help="no comment holds a line break, so files may be split")
     command.add_argument("--models", required=True, help="folder for the models and their metrics")
+    command.add_argument("--parallel", type=int, default=1, help="classifiers trained at a time")
 
     topic = argparse.ArgumentParser(add_help=False)
     topic.add_argument("--servers", help="Kafka servers; without them topics are folders")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -64,27 +65,35 @@ def compare_models(
     test_rows: DataFrame,
     candidates: Mapping[str, Estimator] | None = None,
     save_to: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Fit, time, evaluate and optionally save every classifier; one METRIC row each.
 
     The text is featurised once and shared, so reading and featurising are in nobody's training time. A
-    classifier that fails gets a row of zeros with its error.
+    classifier that fails gets a row of zeros with its error. ``parallelism`` classifiers are trained at a time:
+    iterative ones run many small jobs that leave most of a cluster idle, but times are only comparable at 1.
     """
-    rows = []
+    candidates = classifiers() if candidates is None else candidates
     with featurised(train_rows) as (front, fit_on):
         judge_on = apply_stages(test_rows, front).select(LABEL, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def judge(candidate: tuple[str, Estimator]) -> tuple:
+            name, classifier = candidate
+            try:
+                started = time.perf_counter()
+                fitted = classifier.fit(fit_on)
+                seconds = time.perf_counter() - started
+                scores = classification_metrics(fitted.transform(judge_on)).first()
+                if save_to is not None:
+                    save_model(PipelineModel([*front, fitted]), f"{save_to}/{name}_model")
+                return (name, *[float(score) for score in scores], seconds, None)
+            except Exception as failure:  # one failed candidate must not end the comparison
+                return (name, 0.0, 0.0, 0.0, 0.0, 0.0, str(failure))
+
         try:
-            for name, classifier in (classifiers() if candidates is None else candidates).items():
-                try:
-                    started = time.perf_counter()
-                    fitted = classifier.fit(fit_on)
-                    seconds = time.perf_counter() - started
-                    scores = classification_metrics(fitted.transform(judge_on)).first()
-                    if save_to is not None:
-                        save_model(PipelineModel([*front, fitted]), f"{save_to}/{name}_model")
-                    rows.append((name, *[float(score) for score in scores], seconds, None))
-                except Exception as failure:  # one failed candidate must not end the comparison
-                    rows.append((name, 0.0, 0.0, 0.0, 0.0, 0.0, str(failure)))
+            with ThreadPool(parallelism) as pool:
+                inherit = inheritable_thread_target(train_rows.sparkSession)
+                rows = pool.map(inherit(judge), candidates.items(), chunksize=1)
         finally:
             judge_on.unpersist()
     return metric_rows(train_rows.sparkSession, rows)

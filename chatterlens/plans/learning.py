@@ -272,7 +272,7 @@ def decision_tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def models_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_models(*_training(spark, sf_dir))
+    return compare_models(*_training(spark, sf_dir), parallelism=4)
 
 
 @query(f"WITH {_BAYES_SQL} SELECT CAST(label AS BIGINT) AS label, sentiment FROM classes")

@@ -155,5 +155,6 @@ def test_all_four_classifiers_train(comments):
         name: c.copy({c.getParam("numTrees"): 3} if c.hasParam("numTrees") else None)
         for name, c in m.classifiers().items()
     }
-    compared = m.compare_models(comments, comments, small)
+    compared = m.compare_models(comments, comments, small, parallelism=4)
+    assert [r.model for r in compared.collect()] == list(small)
     assert compared.filter(F.col("error").isNull()).count() == 4
