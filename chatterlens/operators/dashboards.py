@@ -74,9 +74,16 @@ def since(df: DataFrame, as_of: Column, width: str = "1 hour", time: str = "even
     return recent
 
 
+def newest(df: DataFrame, time: str = "event_time") -> Column:
+    """Time of the newest row, to be used in other columns. Stored results are asked for their last day only."""
+    if "event_date" in df.columns:
+        df = df.filter(F.col("event_date") >= df.agg(F.max("event_date")).scalar())
+    return df.agg(F.max(time)).scalar()
+
+
 def last_hour(df: DataFrame, time: str = "event_time") -> DataFrame:
     """Rows of the hour before the newest row."""
-    return since(df, df.agg(F.max(time)).scalar(), "1 hour", time)
+    return since(df, newest(df, time), "1 hour", time)
 
 
 def latest_rows(df: DataFrame, time: str = "event_time", tie: str = "id", n: int = 5) -> DataFrame:

@@ -10,7 +10,7 @@ from chatterlens.functions import text as text_functions
 from chatterlens.functions.labels import argmax, label_at, label_from_map
 from chatterlens.functions.text import drop_empty_text, is_short, with_clean_text
 from chatterlens.functions.times import parse_time, stamp, utc_iso
-from chatterlens.operators.dashboards import since
+from chatterlens.operators.dashboards import newest, since
 from chatterlens.operators.latest import (
     compact_log,
     drop_repeats,
@@ -134,7 +134,7 @@ def stored_results_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "results")
     write_results(conform(activity(spark, sf_dir), RESULT), path)
     stored = read_results(spark, path)
-    recent = since(stored, stored.agg(F.max("event_time")).scalar(), "1 day")
+    recent = since(stored, newest(stored), "1 day")
     return recent.groupBy("source", "sentiment").agg(F.count("*").alias("n"))
 
 

@@ -150,7 +150,7 @@ def test_conform(rows):
 
 
 def test_results_are_stored_by_date(spark, rows, tmp_path):
-    from chatterlens.operators.dashboards import since
+    from chatterlens.operators.dashboards import newest, since
 
     df = rows([("a", "2024-01-01 10:00:00"), ("b", "2024-01-03 10:00:00"), ("c", None)], "text string, event_time string")
     path = str(tmp_path / "results")
@@ -160,6 +160,7 @@ def test_results_are_stored_by_date(spark, rows, tmp_path):
     assert len(list((tmp_path / "gathered").glob("*/*.parquet"))) == 3
     stored = read_results(spark, path)
     assert stored.count() == 3
+    assert stored.filter(F.col("event_time") == newest(stored)).first().text == "b"
     recent = since(stored, F.lit("2024-01-03 10:30:00").cast("timestamp"))
     assert values(recent, "text") == ["b"]
     plan = recent._jdf.queryExecution().executedPlan().toString()
