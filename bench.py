@@ -14,11 +14,10 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from chatterlens.operators.models import compare_models  # noqa: E402
+from chatterlens.operators.models import compare_models, split_by_hash  # noqa: E402
 from chatterlens.plans.catalogue import QUERIES  # noqa: E402
 from chatterlens.plans.fixtures import labelled, table  # noqa: E402
 from chatterlens.plans.learning import fitted  # noqa: E402
-from chatterlens.operators.models import split_by_hash  # noqa: E402
 from chatterlens.session import local_session  # noqa: E402
 
 TIMED = (
