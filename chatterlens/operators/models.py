@@ -74,7 +74,10 @@ def compare_models(
     iterative ones run many small jobs that leave most of a cluster idle, but times are only comparable at 1.
     """
     candidates = classifiers() if candidates is None else candidates
-    with featurised(train_rows) as (front, fit_on):
+    with featurised(train_rows) as (front, features):
+        # Kept for the iterations of several classifiers, and filled before the first clock starts.
+        fit_on = features.persist(StorageLevel.MEMORY_AND_DISK)
+        fit_on.count()
         judge_on = apply_stages(test_rows, front).select(LABEL, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
 
         def judge(candidate: tuple[str, Estimator]) -> tuple:
@@ -95,6 +98,7 @@ def compare_models(
                 inherit = inheritable_thread_target(train_rows.sparkSession)
                 rows = pool.map(inherit(judge), candidates.items(), chunksize=1)
         finally:
+            fit_on.unpersist()
             judge_on.unpersist()
     return metric_rows(train_rows.sparkSession, rows)
 
