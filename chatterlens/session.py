@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,16 +50,22 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A new folder below ``spark.checkpoint.dir``, or the warehouse if that is unset; executors reach both.
 
-    Only a local master may fall back to a temporary folder of the machine.
+    All of a session's folders lie below one, which ``drop_shared_folders`` deletes.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not is_local(spark):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/chatterlens/{purpose}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/chatterlens/{spark.sparkContext.applicationId}"
+
+
+def drop_shared_folders(spark: SparkSession) -> None:
+    """Delete what the session has put below ``shared_folder``; for the end of a job, when nothing reads it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:

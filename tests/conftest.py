@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from chatterlens.session import local_session  # noqa: E402
+from chatterlens.session import drop_shared_folders, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,6 +13,7 @@ def spark():
     session = local_session(4, memory="6g", app="chatterlens-tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    drop_shared_folders(session)
     session.stop()
 
 

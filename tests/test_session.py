@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 
 from chatterlens import session
 
@@ -14,19 +15,28 @@ def pretend(master, **settings):
             get = staticmethod(lambda name, default=None: settings.get(name.replace(".", "_"), default))
 
     Session.sparkContext.master = master
+    Session.sparkContext.applicationId = "app-1"
     return Session
 
 
 def test_shared_folder_is_new_and_below_the_named_place():
     cluster = pretend("yarn", spark_checkpoint_dir="hdfs://shared/place/")
     first, second = (session.shared_folder(cluster, "x") for _ in range(2))
-    assert first != second and first.startswith("hdfs://shared/place/chatterlens/x-")
+    assert first != second and first.startswith("hdfs://shared/place/chatterlens/app-1/x-")
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(ValueError):
-        session.shared_folder(pretend("yarn"), "x")
-    assert session.shared_folder(pretend("local[2]"), "x")
+def test_shared_folder_lies_in_the_warehouse_if_no_place_is_named():
+    for master in ("yarn", "local[2]"):
+        folder = session.shared_folder(pretend(master, spark_sql_warehouse_dir="hdfs://tables"), "x")
+        assert folder.startswith("hdfs://tables/chatterlens/app-1/x-")
+
+
+def test_a_sessions_folders_can_be_dropped(spark):
+    folder = session.shared_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    session.drop_shared_folders(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folder)
 
 
 def test_spread_only_touches_small_scans_of_few_files(spark, tmp_path):
