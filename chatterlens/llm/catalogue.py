@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm import bottom_k, decontaminate
+import corpus_pipeline
+from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +120,36 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )
+
+
+@query()
+def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uses of documents in a mixture as large as the corpus that repeats no source more than 1.25 times."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixture(docs, max_repeats=corpus_pipeline.MAX_REPEATS).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their log weight, their draw, and whether the sample keeps them."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    found, least = importance.weighted(docs, labels)
+    return found.select("doc_id", "log_weight", "draw", (F.col("draw") >= F.lit(least)).alias("kept"))
+
+
+@query()
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that a smaller document has too: where they stand, and the document that keeps them."""
+    found = paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("kept_id").alias("kept_doc_id"),
+        F.col("begin").alias("first_word"),
+        (F.col("end") - F.col("begin")).alias("n_words"),
+    )
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)

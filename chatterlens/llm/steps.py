@@ -49,3 +49,31 @@ def _small_star(edges: DataFrame) -> DataFrame:
     joined = edges.join(least, F.col("a") == F.col("node"))
     others = joined.where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return others.union(least.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
+
+
+def kth_largest(df: DataFrame, column: str, k: int, bins: int = 1024, few: int = 10_000) -> float:
+    """The k-th largest value of a double column without nulls or NaN, exactly and without sorting.
+
+    Each round counts ``bins`` equal bins of the range that holds the value; a range of at most ``few`` rows is
+    fetched. Infinity if k is 0, minus infinity if there are at most k rows.
+    """
+    if k <= 0:
+        return float("inf")
+    rows, low, high = df.agg(F.count(column), F.min(column), F.max(column)).first()
+    if rows <= k:
+        return float("-inf")
+    inside, above = df, 0
+    while low < high:
+        if rows <= few:
+            values = sorted((row[0] for row in inside.select(column).collect()), reverse=True)
+            return values[k - above - 1]
+        width = (high - low) / bins
+        at = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).alias("bin")
+        counts = inside.groupBy(at).agg(F.count("*").alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"))
+        for found in sorted(counts.collect(), key=lambda row: -row.bin):
+            if above + found.rows >= k:
+                break
+            above += found.rows
+        rows, low, high = found.rows, found.low, found.high
+        inside = df.where(F.col(column).between(low, high))
+    return low
