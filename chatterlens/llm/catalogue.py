@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs
+from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs, token_counts
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +138,14 @@ def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "log_weight", "draw", (F.col("draw") >= F.lit(least)).alias("kept"))
 
 
+@query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their bytes and tokens, and whether they exceed 1024 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    counted = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @query()
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that a smaller document has too: where they stand, and the document that keeps them."""

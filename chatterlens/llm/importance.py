@@ -1,8 +1,9 @@
 """Quality by importance resampling: the ratio of two hashed n-gram models, sampled by Gumbel top-k.
 
 The target model is fitted on documents labelled good, the raw model on all documents. A document's log weight is the
-sum of log(target / raw) over its features: words, pairs of neighbouring words (a word that follows itself is one
-feature whatever the word) and runs of signs, each hashed into one of ``BUCKETS``. Adding Gumbel noise to the log
+sum of log(target / raw) over its features, divided by the root of their number, so that chance moves short and long
+texts alike. Features are words, pairs of neighbouring words (a word that follows itself is one feature whatever the
+word) and runs of signs, each hashed into one of ``BUCKETS``. Adding Gumbel noise to the log
 weights and taking the k largest samples k documents without replacement in proportion to their weights. The number
 k is that of documents whose log weight reaches a threshold, which labelled documents that the model has not seen set.
 """
@@ -89,6 +90,7 @@ def with_log_weight(docs: DataFrame, ratios: np.ndarray, text: str, column: str
         for batch in slices(batches, text):
             buckets, rows = features(batch.column(text))
             total = np.bincount(rows, weights=shared.value[buckets], minlength=batch.num_rows)
+            total /= np.sqrt(np.maximum(1, np.bincount(rows, minlength=batch.num_rows)))
             yield batch.append_column(column, pa.array(total, pa.float64()))
 
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
