@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs, token_counts
+from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs, permutation_index, token_counts
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,13 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every row whose id is divisible by 20."""
+    found = permutation_index.nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query()
 def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uses of documents in a mixture as large as the corpus that repeats no source more than 1.25 times."""
