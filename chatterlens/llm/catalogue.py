@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs, permutation_index, token_counts
+from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs, permutation_index, token_counts, url_models
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,10 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query()
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with host, path, the rule that fits and the verdict of rule or models."""
+    judged = url_models.judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
