@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, mixing, paragraphs, permutation_index, token_counts, url_models
+from chatterlens.llm import bottom_k, decontaminate, importance, language_filters, mixing, paragraphs, permutation_index, token_counts, url_models
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +130,16 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+@query()
+def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    filters = language_filters.learn(docs, ~held_out & F.col("doc_id").isNotNull(), "doc_id", "text", "lang")
+    found = language_filters.identify(docs.select("doc_id", "text", held_out.alias("held_out")), filters)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query()
 def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uses of documents in a mixture as large as the corpus that repeats no source more than 1.25 times."""
