@@ -11,9 +11,9 @@ shingles are kept whole, and for them this is exact.
 
 Large lists. Equal sets are one node from the start. The nodes of all lists with the same pivot (the member with the
 most common values) form one group. Groups of up to ``PAIRED`` nodes are compared pair by pair. In a larger one every
-node is compared with the pivot; only nodes that are then not connected with the pivot are compared with the others,
-and of those only with the ones that the exact bound lets pass: shingles that no other member of a large group has
-cannot be shared.
+node is compared with the pivot and with a few central members; only nodes that are then not connected with the pivot
+are compared with others, and of those only with the ones that share a rare shingle early enough: the exact prefix and
+position bounds over the whole sets of all members of large groups.
 """
 
 from __future__ import annotations
@@ -180,17 +180,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(similar(shared, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def held_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, n, held) of all members of large groups: set size, and how many of its shingles another member has.
+def ranked_sets(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, alone, prefix) of all members of large groups, their shingles ordered rarest first.
 
-    min(held) bounds what two members share.
+    Similar sets share a shingle of their prefixes. ``alone`` counts shingles that no other member has.
     """
     everyone = members.select("node").union(members.select("pivot")).distinct()
     own = sets.join(everyone, "node", "left_semi").select("node", F.explode("values").alias("value"))
-    alone = own.groupBy("value").agg(F.count("*").alias("spread"), F.min("node").alias("node")).where("spread = 1")
-    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-    sized = sets.select("node", F.size("values").cast("long").alias("n")).join(everyone, "node", "left_semi")
-    return sized.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("held"))
+    spread = own.groupBy("value").agg(F.count("*").alias("spread"))
+    ranked = own.join(spread, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("spread", "value"))).alias("order"))
+    n = F.size("order").cast("long")
+    alone = F.size(F.filter("order", lambda x: x["spread"] == 1)).cast("long")
+    return ranked.select("node", n.alias("n"), alone.alias("alone"), F.slice("order", F.lit(1), (n - share_of(n, percent) + 1).cast("int")).alias("prefix"))
 
 
 def with_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
@@ -198,28 +199,32 @@ def with_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
     return joined.withColumn("component", F.coalesce("component", "node"))
 
 
-def central_pairs(group: DataFrame) -> DataFrame:
+def central_pairs(members: DataFrame, ranked: DataFrame) -> DataFrame:
     """Pairs (a, b) of the ``CENTRAL`` members of each large group that have the fewest shingles of their own with
     all its members in other components."""
-    central = Window.partitionBy("pivot").orderBy(F.col("n") - F.col("held"), F.col("n").desc(), "node")
+    group = members.join(ranked.select("node", "n", "alone", "component"), "node")
+    central = Window.partitionBy("pivot").orderBy("alone", F.desc("n"), "node")
     chosen = group.withColumn("rank", F.row_number().over(central)).where(F.col("rank") <= CENTRAL)
-    chosen = chosen.select("pivot", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("held").alias("held_a"), F.col("n").alias("n_a"))
+    chosen = chosen.select("pivot", F.col("node").alias("a"), F.col("component").alias("component_a"))
     return chosen.join(group, "pivot").where("component != component_a").select("a", F.col("node").alias("b"))
 
 
-def outside_pairs(group: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of large groups that may still connect components.
+def outside_pairs(members: DataFrame, ranked: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of large groups that may still connect components.
 
-    One of any such pair is not connected with the pivot of the group. Sizes and ``held`` bound the similarity.
+    One of any such pair is not connected with the pivot of its group. The pair shares a shingle of both prefixes; if
+    that is the first they share, they share no more than what follows it in either order.
     """
-    group = group.join(pivots.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component")), "pivot")
-    columns = ("pivot", "node", "n", "held", "component")
-    one = group.where("component != pivot_component").where(100 * F.col("held") >= percent * F.col("n"))
-    one = one.select(*[F.col(c).alias(f"{c}_a") for c in columns])
-    two = group.select(*[F.col(c).alias(f"{c}_b") for c in columns])
-    possible = similar(F.least("held_a", "held_b"), F.col("n_a"), F.col("n_b"), percent)
-    same = (F.col("pivot_a") == F.col("pivot_b")) & (F.col("component_a") != F.col("component_b"))
-    both = one.join(two, same & possible)
+    named = ranked.select("node", "component")
+    pivots = named.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
+    outside = members.join(named, "node").join(pivots, "pivot").where("component != pivot_component").select("node").distinct()
+    entries = ranked.select("node", "n", "component", F.posexplode("prefix").alias("before", "entry"))
+    left = (F.col("n") - F.col("before")).alias("left")
+    entries = entries.where("entry.spread > 1").select("node", "n", "component", F.col("entry.value").alias("value"), left)
+    columns = ("node", "n", "component", "value", "left")
+    one, two = (rows.select(*[F.col(c).alias(f"{c}_{s}") for c in columns]) for rows, s in ((entries.join(outside, "node", "left_semi"), "a"), (entries, "b")))
+    possible = similar(F.least("left_a", "left_b"), F.col("n_a"), F.col("n_b"), percent)
+    both = one.join(two, (F.col("value_a") == F.col("value_b")) & (F.col("component_a") != F.col("component_b")) & possible)
     return both.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
@@ -251,10 +256,10 @@ def near_duplicates(
     links = stored(confirmed(pairs, sets, percent), "links")
     components = connected_components(links)
     if not large.isEmpty():
-        held = stored(held_shingles(large, sets), "held")
-        for step in (central_pairs, lambda group: outside_pairs(group, with_component(held, components), percent)):
-            group = stored(large.join(with_component(held, components), "node"), "group")
-            more = likely(_ordered(step(group)).distinct(), nodes, k, percent)
+        ranked = stored(ranked_sets(large, sets, percent), "ranked-sets")
+        for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
+            more = step(large, with_component(ranked, components))
+            more = likely(_ordered(more).distinct(), nodes, k, percent)
             links = stored(links.union(confirmed(more, sets, percent)), "links")
             components = connected_components(links)
     linked = rows.select("id", "key", F.col("n").alias("n_shingles"), "node").join(components, "node", "left")
