@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, language_filters, mixing, paragraphs, permutation_index, token_counts, url_models
+from chatterlens.llm import bottom_k, decontaminate, importance, language_filters, license_scan, mixing, paragraphs, permutation_index, token_counts, url_models
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +147,78 @@ def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs, max_repeats=corpus_pipeline.MAX_REPEATS).withColumnRenamed("id", "doc_id")
 
 
+def _licence_oracle() -> str:
+    """SQL with the templates' weights written out."""
+    idf, weights = license_scan.template_weights()
+    idf_rows = ", ".join(f"('{term}', {value!r}::DOUBLE)" for term, value in idf)
+    weight_rows = ", ".join(f"('{term}', {n}, '{licence}', {w!r}::DOUBLE)" for term, n, licence, w in weights)
+    cue = "|".join(license_scan.CUES)
+    return f"""
+    WITH numbered AS (
+        SELECT doc_id, text, coalesce(source, 'unknown') AS source, doc_id // 20 AS n FROM documents
+    ), shelved AS (
+        SELECT doc_id, lower(text) AS low, CASE WHEN n % 1000 = 0 THEN source
+            WHEN n % 100 = 0 THEN source || '/s' || (n // 100)::VARCHAR
+            ELSE source || '/s' || (n // 100)::VARCHAR || '/b' || (n // 10)::VARCHAR END AS directory,
+            CASE WHEN n % 10 = 0 THEN 'LICENSE' ELSE 'd' || doc_id::VARCHAR || '.txt' END AS name
+        FROM numbered
+    ), files AS (
+        SELECT *, directory || '/' || name AS path FROM shelved
+    ), passages AS (
+        SELECT DISTINCT doc_id, passage FROM (
+            SELECT doc_id, unnest(string_split(low, chr(10))) AS passage FROM files WHERE regexp_matches(low, '{cue}')
+            UNION ALL SELECT doc_id, low FROM files WHERE name = 'LICENSE'
+        ) WHERE regexp_matches(passage, '{cue}')
+    ), terms AS (
+        SELECT doc_id, passage, term, count(*) AS n FROM (
+            SELECT doc_id, passage, unnest(regexp_extract_all(passage, '{license_scan._TERM}')) AS term FROM passages
+        ) GROUP BY ALL
+    ), weighed AS (
+        SELECT doc_id, passage, term, n * coalesce(idf, {license_scan.highest_idf()!r}::DOUBLE) AS w
+        FROM terms LEFT JOIN (VALUES {idf_rows}) i(term, idf) USING (term)
+    ), norms AS (
+        SELECT doc_id, passage, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL
+    ), scored AS (
+        SELECT doc_id, licence, round(sum(w * weight) / any_value(norm), 6) AS score
+        FROM weighed JOIN (VALUES {weight_rows}) t(term, template, licence, weight) USING (term)
+        JOIN norms USING (doc_id, passage) GROUP BY doc_id, passage, template, licence
+    ), own AS (
+        SELECT doc_id, licence, score FROM scored WHERE score >= {license_scan.THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1
+    ), held AS (
+        SELECT directory, licence, score FROM own JOIN files USING (doc_id) WHERE name = 'LICENSE'
+        QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, licence) = 1
+    ), above AS (
+        SELECT DISTINCT directory, depth, array_to_string(string_split(directory, '/')[1:depth], '/') AS place
+        FROM (SELECT directory, unnest(generate_series(0, len(string_split(directory, '/')))) AS depth FROM files)
+    ), given AS (
+        SELECT above.directory, place, licence, score FROM above JOIN held ON held.directory = place
+        QUALIFY row_number() OVER (PARTITION BY above.directory ORDER BY depth DESC) = 1
+    )
+    SELECT f.doc_id, f.path, coalesce(o.licence, g.licence) AS licence,
+        CASE WHEN o.licence IS NOT NULL THEN f.path ELSE place END AS licence_from,
+        CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN g.licence IS NOT NULL THEN 'inherited' END AS licence_how,
+        coalesce(o.score, g.score) AS licence_score
+    FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN given g USING (directory)
+    """
+
+
+@query(_licence_oracle())
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their own or inherited licence.
+
+    The table has no paths, so every source is a tree: 20 ids to a number, ten numbers to a box, ten boxes to a
+    shelf. The first of each box, shelf and ten shelves is the licence file of its directory.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("source", F.lit("unknown")).alias("source"))
+    n = F.floor(F.col("doc_id") / 20)
+    shelf, box = (F.concat(F.lit(f"/{c}"), F.floor(n / size).cast("string")) for c, size in (("s", 100), ("b", 10)))
+    place = F.when(n % 1000 == 0, F.col("source")).when(n % 100 == 0, F.concat("source", shelf)).otherwise(F.concat("source", shelf, box))
+    name = F.when(n % 10 == 0, "LICENSE").otherwise(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select("doc_id", F.concat_ws("/", place, name).alias("path"), "text")
+    return license_scan.licences(files).drop("text")
+
+
 @query()
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their log weight, their draw, and whether the sample keeps them."""
