@@ -81,6 +81,7 @@ def main() -> None:
                     for name in ("valid_messages_stamped", "messages_scored", "messages_scored_by_plugin")
                 },
                 "training_seconds": {row.model: round(row.training_time, 2) for row in compared},
+                "fit_seconds": {row.model: round(row.fit_time, 2) for row in compared},
             }
         )
     )

@@ -3,7 +3,7 @@
     spark-submit --py-files chatterlens.zip chatterlens/jobs.py compare --comments comments.csv --models /models
     ... validate --servers kafka:9092 --input raw --valid checked --dead /dead --checkpoint /checkpoints/validate
     ... score --servers kafka:9092 --input checked --model /models/Naive_Bayes_model --documents /documents
-        --results scored --checkpoint /checkpoints/score
+        --dead /unscored --results scored --checkpoint /checkpoints/score
 
 Without ``--servers`` topics are folders of JSON lines. ``chatterlens.zip`` holds this package.
 """
@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
 from chatterlens.functions.text import drop_empty_text, with_clean_text
 from chatterlens.operators import dashboards, models, quality
-from chatterlens.operators.validate import decode_messages, route
+from chatterlens.operators.validate import decode_messages
 from chatterlens.session import prepare
 from chatterlens.sources.tables import read_labelled_csv
 from chatterlens.sources.topics import read_messages
@@ -30,17 +31,28 @@ def compare(spark: SparkSession, options: argparse.Namespace) -> None:
     comments = with_clean_text(drop_empty_text(comments, "Comment"), "Comment")
     dashboards.distribution(comments, "Sentiment").show()
     # Equal comments fall into the same part, so that none is tested on what it was trained with.
-    train_rows, test_rows = models.split_by_hash(comments, "Comment")
-    metrics = models.compare_models(train_rows, test_rows, save_to=options.models, parallelism=options.parallel)
+    split = models.split_at_random if options.random_split else lambda rows: models.split_by_hash(rows, "Comment")
+    train_rows, test_rows = split(comments)
+    metrics = models.compare_models(
+        train_rows, test_rows, save_to=options.models, parallelism=options.parallel, inspect=_show_predictions
+    )
     models.save_metrics(metrics, f"{options.models}/comparison_results")
     quality.rank_models(metrics).show(truncate=False)
     quality.rank_models(metrics, "f1_score").show(truncate=False)
     quality.model_outcomes(metrics).show()
 
 
+def _show_predictions(model: str, predicted: DataFrame) -> None:
+    """Print a model's confusion matrix and five of its predictions."""
+    print(model)
+    quality.confusion_matrix(predicted).orderBy("label", "prediction").show()
+    dashboards.preview(predicted, ["Comment", "Sentiment", "prediction"], "Comment").show(truncate=False)
+
+
 def _topic(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     fmt = "kafka" if options.servers else "text"
-    return read_messages(spark, fmt, options.input, options.servers, options.starting, options.max_per_trigger)
+    values = read_messages(spark, fmt, options.input, options.servers, options.starting, options.max_per_trigger)
+    return jobs.unique_values(values, options.unique_for) if options.unique_for else values
 
 
 def _topic_sink(options: argparse.Namespace, target: str) -> sinks.BatchWriter:
@@ -54,19 +66,23 @@ def _trigger(options: argparse.Namespace) -> str | None:
 def validate(spark: SparkSession, options: argparse.Namespace) -> None:
     """Send the valid messages of a topic to another topic and the others to the dead-letter table."""
     valid, dead = _topic_sink(options, options.valid), sinks.batch_folder(options.dead)
-    query = jobs.validate_stream(_topic(spark, options), valid, dead, options.checkpoint, _trigger(options))
-    runner.run([query])
-    runner.progress_table(spark, query).show(truncate=False)
+    with runner.progress_logged(spark, options.progress) if options.progress else nullcontext():
+        queries = [jobs.validate_stream(_topic(spark, options), valid, dead, options.checkpoint, _trigger(options))]
+        if options.console:
+            queries.append(runner.start_console(decode_messages(_topic(spark, options)), options.trigger))
+        runner.run(queries)
 
 
 def score(spark: SparkSession, options: argparse.Namespace) -> None:
-    """Score the messages of a topic; write keyed documents and, if asked for, a topic of results."""
-    messages, _ = route(decode_messages(_topic(spark, options)))
+    """Score the messages of a topic; write keyed documents, dead letters and, if asked for, a topic or an index."""
     writers = [jobs.document_log(options.documents)]
     if options.results:
-        writers.append(_topic_sink(options, options.results))
-    model = models.load_model(options.model)
-    runner.run([jobs.score_stream(messages, model, writers, options.checkpoint, _trigger(options))])
+        writers.append(sinks.derived(_topic_sink(options, options.results), lambda batch: batch.drop("arrival")))
+    if options.index:
+        writers.append(sinks.external_table("es", sinks.search_index_options(options.index)))
+    model, dead = models.load_model(options.model), sinks.batch_folder(options.dead)
+    query = jobs.score_topic_stream(_topic(spark, options), model, writers, dead, options.checkpoint, _trigger(options))
+    runner.run([query])
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -78,6 +94,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--comments", required=True, help="CSV with the columns Comment and Sentiment")
     command.add_argument("--one-line", action="store_true", help="no comment holds a line break, so files may be split")
     command.add_argument("--models", required=True, help="folder for the models and their metrics")
+    command.add_argument("--random-split", action="store_true", help="split at random instead of by comment")
     command.add_argument("--parallel", type=int, default=1, help="classifiers trained at a time")
 
     topic = argparse.ArgumentParser(add_help=False)
@@ -88,17 +105,21 @@ def _parser() -> argparse.ArgumentParser:
     topic.add_argument("--checkpoint", required=True)
     topic.add_argument("--trigger", help="interval such as '5 seconds'; default: as fast as possible")
     topic.add_argument("--once", action="store_true", help="work off what is there and stop")
+    topic.add_argument("--unique-for", help="drop values that came before within this time, such as '10 minutes'")
+    topic.add_argument("--dead", required=True, help="dead-letter table")
 
     command = commands.add_parser("validate", help=validate.__doc__, parents=[topic])
     command.set_defaults(run=validate)
     command.add_argument("--valid", required=True)
-    command.add_argument("--dead", required=True, help="dead-letter table")
+    command.add_argument("--progress", help="folder for one record per batch")
+    command.add_argument("--console", action="store_true", help="print the decoded messages too")
 
     command = commands.add_parser("score", help=score.__doc__, parents=[topic])
     command.set_defaults(run=score)
     command.add_argument("--model", required=True)
     command.add_argument("--documents", required=True)
-    command.add_argument("--results")
+    command.add_argument("--results", help="topic for the results")
+    command.add_argument("--index", help="search index for the results")
     return parser
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterlens.functions.stopwords import ENGLISH
 from chatterlens.functions.text import clean_text, each, words_of
-from chatterlens.session import bounded
+
+# Event times between which empty buckets are filled in.
+PLAUSIBLE = ("2000-01-01", "2100-01-01")
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -37,24 +39,38 @@ def sentiment_over_time(
     labels: Sequence[str] = (),
     fill: bool = False,
     time: str = "event_time",
+    plausible: tuple[str, str] = PLAUSIBLE,
 ) -> DataFrame:
     """Messages per time bucket and label.
 
-    With ``fill`` the buckets between the first and the last that hold no message appear too, with zero for
-    each of ``labels``. Rows without a time are in no bucket.
+    With ``fill`` the buckets between the first and the last of ``plausible`` times that hold no message appear too,
+    and each of these buckets has a number, if only zero, for each of ``labels``. Times are user text: buckets outside
+    ``plausible`` are given as they were counted, and nothing is filled in up to them. Rows without a time are in no
+    bucket.
     """
     counts = _bucketed(df, width, time).groupBy("bucket", "sentiment").agg(F.count("*").alias("n"))
     if not fill:
         return counts
     if not labels:
         raise ValueError("filling empty buckets needs the labels")
-    span = counts.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
-    steps = F.sequence("first", "last", F.expr(f"interval {width}"))
-    grid = span.select(F.explode(steps).alias("bucket")).select(
-        "bucket", F.explode(F.array(*[F.lit(label) for label in labels])).alias("sentiment")
-    )
-    joined = grid.join(counts, ["bucket", "sentiment"], "left")
-    return joined.select("bucket", "sentiment", F.coalesce("n", F.lit(0)).alias("n"))
+    # One row per bucket with all of its counts; the gap up to the next one is filled day by day.
+    held = counts.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("sentiment", "n"))).alias("held"))
+    inside = F.col("bucket").between(*[F.lit(end).cast("timestamp") for end in plausible])
+    held = held.withColumn("inside", inside)
+    following = F.lead("bucket").over(Window.partitionBy("inside").orderBy("bucket"))
+    held = held.withColumn("next", F.when(F.col("inside"), following))
+    step, day = F.expr(f"interval {width}"), F.expr("interval 1 day")
+    begin = F.col("bucket") + step
+    days = F.when(begin < F.col("next"), F.sequence(begin, F.col("next") - F.expr("interval 1 microsecond"), day))
+    gaps = held.select("next", F.explode(days).alias("day"))
+    until = F.least(F.col("day") + day, F.col("next")) - F.expr("interval 1 microsecond")
+    empty = gaps.select(F.explode(F.sequence("day", until, step)).alias("bucket"))
+    wanted = F.array(*[F.lit(label) for label in labels])
+    none = F.lit(None).cast(held.schema["held"].dataType)
+    rows = held.select("bucket", "held", "inside").unionByName(empty.select("bucket", none.alias("held"), F.lit(True).alias("inside")))
+    own = F.coalesce(F.map_keys("held"), F.array().cast("array<string>"))
+    rows = rows.withColumn("sentiment", F.explode(F.when(F.col("inside"), wanted).otherwise(own)))
+    return rows.select("bucket", "sentiment", F.coalesce(F.col("held")[F.col("sentiment")], F.lit(0)).alias("n"))
 
 
 def sentiment_columns(
@@ -75,15 +91,13 @@ def since(df: DataFrame, as_of: Column, width: str = "1 hour", time: str = "even
 
 
 def newest(df: DataFrame, time: str = "event_time") -> Column:
-    """Time of the newest row, to be used in other columns. Stored results are asked for their last day only."""
-    if "event_date" in df.columns:
-        df = df.filter(F.col("event_date") >= df.agg(F.max("event_date")).scalar())
+    """Time of the newest row, to be used in other columns. It reads the times of all rows."""
     return df.agg(F.max(time)).scalar()
 
 
-def last_hour(df: DataFrame, time: str = "event_time") -> DataFrame:
-    """Rows of the hour before the newest row."""
-    return since(df, newest(df, time), "1 hour", time)
+def last_hour(df: DataFrame, as_of: Column | None = None, time: str = "event_time") -> DataFrame:
+    """Rows of the hour before ``as_of``, which is now if not given. Stored results skip the folders of older days."""
+    return since(df, F.current_timestamp() if as_of is None else as_of, "1 hour", time)
 
 
 def latest_rows(df: DataFrame, time: str = "event_time", tie: str = "id", n: int = 5) -> DataFrame:
@@ -98,8 +112,8 @@ def preview(df: DataFrame, columns: Sequence[str], key: str, n: int = 5, width:
 
 
 def top_values(df: DataFrame, column: str = "user", n: int = 10) -> DataFrame:
-    """Most frequent values; ties are ordered by value."""
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    """Most frequent values; ties are ordered by value. Rows without a value are not counted."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(column)).limit(n)
 
 
@@ -112,7 +126,7 @@ def top_texts(df: DataFrame, column: str = "text", n: int = 50) -> DataFrame:
     keyed = df.filter(F.col(column).isNotNull()).select(F.md5(column).alias("digest"), column)
     counts = keyed.groupBy("digest").agg(F.count("*").alias("n"))
     winners = counts.orderBy(F.desc("n"), F.asc("digest")).limit(n)
-    texts = keyed.join(bounded(winners, n), "digest")
+    texts = keyed.join(winners, "digest")
     return texts.groupBy("digest", "n").agg(F.collect_set(column)[0].alias(column)).select(column, "n")
 
 

@@ -21,11 +21,10 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     Tokenizer,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatterlens.functions.text import each
-from chatterlens.session import bounded
 
 # Column names and vocabulary size of the saved pipelines.
 TEXT, LABEL_TEXT, LABEL = "comment_clean", "Sentiment", "label"
@@ -90,19 +89,19 @@ def featurised(
 ) -> Iterator[tuple[list[Transformer], DataFrame]]:
     """Fit the shared front of all pipelines once; gives its stages in saved order and the training features.
 
-    The text is read twice: for the vocabulary and for the counts. The counts are small and are kept while the
-    classifiers work, which then see label and features only.
+    The text is read and tokenised once; label and kept words are held until the features are. The classifiers then
+    see label and features only, which whoever uses them several times should persist.
     """
     tokens = token_stages(drop_empty)
-    index = fit_label_index(train)
-    counter = fit_counts(apply_stages(train, tokens), size)
-    counted = apply_stages(train, [index, *tokens, counter]).select(LABEL, COUNTS)
-    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    held = apply_stages(train, tokens).select(LABEL_TEXT, KEPT_WORDS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        index = fit_label_index(held)
+        counter = fit_counts(held, size)
+        counted = apply_stages(held, [index, counter]).select(LABEL, COUNTS)
         weights = fit_inverse_frequency(counted)
         yield [index, *tokens, counter, weights], weights.transform(counted).select(LABEL, FEATURES)
     finally:
-        counted.unpersist()
+        held.unpersist()
 
 
 def fit_features(train: DataFrame, size: int = VOCABULARY_SIZE, drop_empty: bool = False) -> list[Transformer]:
@@ -117,29 +116,28 @@ def apply_stages(df: DataFrame, stages: list[Transformer]) -> DataFrame:
     return df
 
 
-def label_ranking(df: DataFrame) -> DataFrame:
-    """The label index as rows. There are as many rows as labels, so one window holds them all."""
-    counts = df.groupBy(LABEL_TEXT).agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc("n"), F.asc(LABEL_TEXT))
-    return counts.select(LABEL_TEXT, (F.row_number().over(order) - 1).cast("double").alias(LABEL))
-
-
 def term_counts(words: DataFrame, keys: list[str]) -> DataFrame:
-    """Occurrences per document (``keys``) and term. A document is one row, so its terms meet before the shuffle."""
-    exploded = words.select(*keys, each(F.col(KEPT_WORDS)).alias("term")).filter("term is not null")
-    return exploded.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    """Occurrences per document (``keys``) and term. A document is one row, so its terms meet before the shuffle.
+
+    Every document also has one row with a null term, so that documents can be counted without reading them again.
+    """
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.col(KEPT_WORDS))
+    return words.select(*keys, each(marked).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
-def inverse_frequency(counts: DataFrame, documents: DataFrame) -> DataFrame:
-    """``ln((documents + 1) / (documents with the term + 1))`` per term."""
-    total = documents.agg(F.count("*")).scalar()
-    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return frequency.withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
+def term_weights(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+    """(term, n, df, idf) of the vocabulary: ``ln((documents + 1) / (documents with the term + 1))``."""
+    terms = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
+    documents = F.coalesce(terms.filter("term IS NULL").agg(F.first("df")).scalar(), F.lit(0))
+    known = terms.filter("term IS NOT NULL").orderBy(F.desc("n"), F.asc("term")).limit(size)
+    return known.withColumn("idf", F.log((documents + 1) / (F.col("df") + 1)))
 
 
 def weighted_terms(words: DataFrame, keys: list[str], size: int = VOCABULARY_SIZE) -> DataFrame:
-    """TF-IDF per document and term of the vocabulary, as rows. The vocabulary has at most ``size`` rows."""
+    """TF-IDF per document and term of the vocabulary, as rows.
+
+    The vocabulary has at most ``size`` rows, which are broadcast; the counts are made once.
+    """
     counts = term_counts(words, keys)
-    known = bounded(vocabulary(words, size).select("term"), size)
-    weights = inverse_frequency(counts.join(known, "term", "left_semi"), words)
-    return counts.join(bounded(weights, size), "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
+    weights = F.broadcast(term_weights(counts, size).select("term", "idf"))
+    return counts.join(weights, "term").withColumn("tfidf", F.col("tf") * F.col("idf"))

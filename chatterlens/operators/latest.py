@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from chatterlens.functions.text import content_key
 
 # Up to this rank Spark itself cuts each key down to n rows before the shuffle.
-_RANK_LIMIT = 1000
-_SALTS = 64
+_RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _content(df: DataFrame) -> Column:
@@ -23,14 +22,15 @@ def _content(df: DataFrame) -> Column:
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of every key in the given order.
 
-    A frequent key is cut before it is shuffled: by Spark's group limit for small ``n``, by a salted first
-    round for large ``n``. The order has to be total for a repeatable answer.
+    A frequent key is cut before it is shuffled: by Spark's group limit for small ``n``, by a first round over as
+    many parts of each key as there are shuffle partitions for large ``n``. The order has to be total for a
+    repeatable answer.
     """
-    rank = "_rank"
-    if n > _RANK_LIMIT:
+    rank, conf = "_rank", df.sparkSession.conf
+    if n > int(conf.get(_RANK_LIMIT)):
         salt = "_salt"
-        spots = F.xxhash64(F.spark_partition_id(), _content(df))
-        salted = df.withColumn(salt, F.pmod(spots, F.lit(_SALTS)))
+        salts = int(conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn(salt, F.pmod(_content(df), F.lit(salts)))
         rounds = salted.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, salt).orderBy(*order)))
         df = rounds.filter(F.col(rank) <= n).drop(rank, salt)
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -52,27 +52,40 @@ def with_document_id(df: DataFrame, columns: Sequence[str] = ("user", "timestamp
     return df.withColumn("id", content_key(*columns))
 
 
-def upsert_view(log: DataFrame, key: Sequence[str] = ("id",), order: Sequence[str] = ("batch_id",)) -> DataFrame:
+def upsert_view(
+    log: DataFrame, key: Sequence[str] = ("id",), order: Sequence[str] = ("run", "batch_id", "arrival")
+) -> DataFrame:
     """Current documents of an append-only log: a later write replaces an earlier one with the same key.
 
+    Later is a later run, batch and place in the topic, as far as the log has these columns; what is equal in all of
+    them is decided by content.
     Where the key contains the time, as the content id does, a log filtered by event date gives the documents of
     those dates without reading the others.
     """
-    return best_per_key(log, key, [*[F.desc(column) for column in order], _content(log)])
+    known = [F.desc(column) for column in order if column in log.columns]
+    return best_per_key(log, key, [*known, _content(log)])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All batches written by the batch-folder sink, with the batch they came from."""
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+    """All batches written by the batch-folder sink, with the run and batch they came from."""
+    return spark.read.parquet(path).withColumns({"run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("long")})
 
 
 def rows_per_batch(log: DataFrame) -> DataFrame:
     """How many rows each batch wrote."""
-    return log.groupBy("batch_id").agg(F.count("*").alias("n"))
+    return log.groupBy("run", "batch_id").agg(F.count("*").alias("n"))
 
 
 def compact_log(spark: SparkSession, path: str, target: str, key: Sequence[str] = ("id",)) -> None:
-    """Rewrite a log as one batch folder of its current documents, in another place."""
+    """Rewrite a log as one batch folder of its current documents, in another place.
+
+    The folder bears the log's last run and batch, and keeps the folders of event dates.
+    """
+    if path.rstrip("/") == target.rstrip("/"):
+        raise ValueError("a log cannot be compacted in place")
     log = read_log(spark, path)
-    last = log.agg(F.max("batch_id")).first()[0]
-    upsert_view(log, key).drop("batch_id").write.mode("overwrite").parquet(f"{target}/batch_id={last}")
+    run, batch_id = log.agg(F.max(F.struct("run", "batch_id"))).first()[0]
+    dates = [name for name in ("event_date",) if name in log.columns]
+    current = upsert_view(log, key).drop("run", "batch_id")
+    current = current.hint("rebalance", *dates) if dates else current
+    current.write.mode("overwrite").partitionBy(*dates).parquet(f"{target}/run={run}/batch_id={batch_id}")

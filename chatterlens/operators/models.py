@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -18,7 +18,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.operators.features import FEATURES, LABEL, apply_stages, featurised
+from chatterlens.operators.features import COUNTS, KEPT_WORDS, WORDS, apply_stages, featurised
 from chatterlens.operators.quality import classification_metrics
 from chatterlens.schemas import METRIC
 
@@ -39,8 +39,12 @@ def classifiers() -> dict[str, Estimator]:
 
 
 def split_by_hash(df: DataFrame, key: str, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Split into (train, test) by a digest of the key: the same rows in every run and under every partitioning."""
+    """Split into (train, test) by a digest of the key: the same rows in every run and under every partitioning.
+
+    Rows without a key are for training.
+    """
     bucket = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % 100
+    bucket = F.coalesce(bucket, F.lit(0))
     return df.filter(bucket < percent), df.filter(bucket >= percent)
 
 
@@ -66,19 +70,24 @@ def compare_models(
     candidates: Mapping[str, Estimator] | None = None,
     save_to: str | None = None,
     parallelism: int = 1,
+    inspect: Callable[[str, DataFrame], None] | None = None,
 ) -> DataFrame:
     """Fit, time, evaluate and optionally save every classifier; one METRIC row each.
 
-    The text is featurised once and shared, so reading and featurising are in nobody's training time. A
-    classifier that fails gets a row of zeros with its error. ``parallelism`` classifiers are trained at a time:
-    iterative ones run many small jobs that leave most of a cluster idle, but times are only comparable at 1.
+    The text is featurised once and shared; ``training_time`` is that plus the classifier's own ``fit_time``. A
+    classifier that fails gets a row of zeros with its error; one that only cannot be saved keeps its metrics beside
+    the error. ``inspect`` is given each model's name and its predictions for the test rows, such as for a confusion
+    matrix or samples. ``parallelism`` classifiers are trained at a time: iterative ones run many small jobs that
+    leave most of a cluster idle, but times are only comparable at 1.
     """
     candidates = classifiers() if candidates is None else candidates
+    began = time.perf_counter()
     with featurised(train_rows) as (front, features):
         # Kept for the iterations of several classifiers, and filled before the first clock starts.
         fit_on = features.persist(StorageLevel.MEMORY_AND_DISK)
         fit_on.count()
-        judge_on = apply_stages(test_rows, front).select(LABEL, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        featurising = time.perf_counter() - began
+        judge_on = apply_stages(test_rows, front).drop(WORDS, KEPT_WORDS, COUNTS).persist(StorageLevel.MEMORY_AND_DISK)
 
         def judge(candidate: tuple[str, Estimator]) -> tuple:
             name, classifier = candidate
@@ -86,12 +95,19 @@ def compare_models(
                 started = time.perf_counter()
                 fitted = classifier.fit(fit_on)
                 seconds = time.perf_counter() - started
-                scores = classification_metrics(fitted.transform(judge_on)).first()
-                if save_to is not None:
-                    save_model(PipelineModel([*front, fitted]), f"{save_to}/{name}_model")
-                return (name, *[float(score) for score in scores], seconds, None)
+                predicted = fitted.transform(judge_on)
+                scores = [float(score) for score in classification_metrics(predicted).first()]
+                if inspect is not None:
+                    inspect(name, predicted)
             except Exception as failure:  # one failed candidate must not end the comparison
-                return (name, 0.0, 0.0, 0.0, 0.0, 0.0, str(failure))
+                return (name, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, str(failure))
+            error = None
+            if save_to is not None:
+                try:
+                    save_model(PipelineModel([*front, fitted]), f"{save_to}/{name}_model")
+                except Exception as failure:  # the model was judged all the same
+                    error = f"not saved: {failure}"
+            return (name, *scores, featurising + seconds, seconds, error)
 
         try:
             with ThreadPool(parallelism) as pool:

@@ -147,11 +147,11 @@ def naive_bayes_scorer(model: PipelineModel) -> Callable[[], Scorer]:
         place = {term: i for i, term in enumerate(terms)}
 
         def scores(texts):
-            rows = numpy.empty((len(texts), len(priors)))
-            for i, text in enumerate(texts):
-                words = [] if text == "\n" else text.split(" ")
-                known = [place[word] for word in words if word in place]
-                rows[i] = priors + term_weights[known].sum(axis=0)
+            words = [[] if text == "\n" else text.split(" ") for text in texts]
+            row = numpy.repeat(numpy.arange(len(words)), [len(found) for found in words])
+            at = numpy.fromiter((place.get(word, -1) for found in words for word in found), int, len(row))
+            rows = numpy.tile(priors, (len(words), 1))
+            numpy.add.at(rows, row[at >= 0], term_weights[at[at >= 0]])
             return rows
 
         return scores

@@ -55,11 +55,6 @@ def extract_fields(values: DataFrame, paths: Mapping[str, str] = MESSAGE_PATHS)
     return values.select("*", *[F.get_json_object(text, path).alias(name) for name, path in paths.items()])
 
 
-def is_valid(text: Column, user: Column) -> Column:
-    """The validity rule: text and user are both non-blank. Never null."""
-    return ~is_blank(text) & ~is_blank(user)
-
-
 def with_reason(decoded: DataFrame) -> DataFrame:
     """Add the first reason for which a message is not valid; null for valid messages."""
     return decoded.withColumn(
@@ -70,8 +65,8 @@ def with_reason(decoded: DataFrame) -> DataFrame:
     )
 
 
-def valid_messages(judged: DataFrame, at: Column | None = None) -> DataFrame:
-    """The valid branch, stamped with the validation flag and time (whole seconds)."""
+def valid_messages(judged: DataFrame, at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The valid branch, stamped with the validation flag and time (whole seconds). ``keep`` names further columns."""
     time = F.current_timestamp() if at is None else at
     stamped = (
         judged.filter(F.col("reason").isNull())
@@ -79,7 +74,7 @@ def valid_messages(judged: DataFrame, at: Column | None = None) -> DataFrame:
         .withColumn("validated", F.lit(True))
         .withColumn("validation_time", F.date_trunc("second", time))
     )
-    return conform(stamped, VALIDATED)
+    return conform(stamped, T.StructType([*[stamped.schema[name] for name in keep], *VALIDATED.fields]))
 
 
 def dead_letters(judged: DataFrame, at: Column | None = None) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from chatterlens.functions.text import drop_empty_text, with_clean_text
 from chatterlens.functions.times import utc_iso
 from chatterlens.schemas import MESSAGE_FIELDS
-from chatterlens.session import spread
 
 LABELS = ["negative", "neutral", "positive"]
 
@@ -63,7 +62,7 @@ def activity(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
 
 def messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Canonical messages with their number and time."""
-    events = spread(table(spark, sf_dir, "events"), "event_id") if events is None else events
+    events = table(spark, sf_dir, "events") if events is None else events
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("site"))
     own = F.concat_ws(" ", "event_type", "props")
     rows = events.join(documents, events.event_id == documents.doc_id, "left")
@@ -102,7 +101,7 @@ def comment_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as chat lines, each third one followed by a keep-alive line."""
-    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    turns = table(spark, sf_dir, "conversations")
     line = F.concat(
         F.lit(":"), F.col("role"), F.lit("!h@x PRIVMSG #c :"), F.regexp_replace("text", "[\\r\\n]", " ")
     )
@@ -112,7 +111,7 @@ def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled comments: documents that have labels, cleaned, without empty ones."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = documents.join(table(spark, sf_dir, "labels"), "doc_id")
     rows = rows.select("doc_id", F.col("text").alias("Comment"), _sentiment().alias("Sentiment"))
     return with_clean_text(drop_empty_text(rows, "Comment"), "Comment")

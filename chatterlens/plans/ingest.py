@@ -47,7 +47,7 @@ from chatterlens.plans.fixtures import (
 )
 from chatterlens.plans.registry import query
 from chatterlens.schemas import RESULT
-from chatterlens.session import shared_folder, spread
+from chatterlens.session import shared_folder
 from chatterlens.sources.chat import chat_lines_to_messages, chat_messages_only
 from chatterlens.sources.comments import comments_to_messages
 from chatterlens.sources.tables import CSV_OPTIONS, conform, read_labelled_csv, read_results, write_results
@@ -188,7 +188,7 @@ def encoded_and_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM documents"
 )
 def cleaned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = with_clean_text(spread(table(spark, sf_dir, "documents"), "doc_id"))
+    documents = with_clean_text(table(spark, sf_dir, "documents"))
     size = F.length("comment_clean").cast("long")
     return documents.select("doc_id", F.md5("comment_clean").alias("clean_md5"), size.alias("size"))
 
@@ -322,7 +322,7 @@ def labels_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def text_split_and_trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.md5(text_functions.before_first(text, ".")).alias("before_md5"),
         F.md5(text_functions.strip(text_functions.after_first(text, "."))).alias("after_md5"),
@@ -379,8 +379,8 @@ def upsert_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, compact = shared_folder(spark, "log"), shared_folder(spark, "compact")
     documents = with_document_id(messages(spark, sf_dir)).select("id", "text")
-    for batch_id in (0, 1):  # the second write replaces the first, document by document
-        documents.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+    for run in ("1", "2"):  # the second write replaces the first, document by document
+        documents.write.parquet(f"{log}/run={run}/batch_id=0")
     compact_log(spark, log, compact)
     current = upsert_view(read_log(spark, compact))
     return current.select("id", F.md5("text").alias("text_md5"))
@@ -389,7 +389,7 @@ def upsert_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {MESSAGES_SQL}
     SELECT md5(text) AS text_md5, "user", "timestamp",
-      {time_sql("date_trunc('milliseconds', event_time)")} AS event_time, location AS source
+      {time_sql("event_time")} AS event_time, location AS source
     FROM messages"""
 )
 def results_published_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,3 +401,17 @@ def results_published_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(
         F.md5("text").alias("text_md5"), "user", "timestamp", time_text("event_time").alias("event_time"), "source"
     )
+
+
+@query(
+    f"""WITH {MESSAGES_SQL} SELECT "user", event_id, md5(text) AS text_md5 FROM messages
+    QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY event_time DESC, event_id DESC) = 1"""
+)
+def upsert_in_arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All writes of a key in one batch: the one that came last into the topic stays."""
+    log = shared_folder(spark, "arrival-log")
+    place = F.struct(F.col("event_time").alias("time"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+    rows = messages(spark, sf_dir).select("user", "event_id", "text", place.alias("arrival"))
+    rows.write.parquet(f"{log}/run=1/batch_id=0")
+    current = upsert_view(read_log(spark, log), ["user"])
+    return current.select("user", "event_id", F.md5("text").alias("text_md5"))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayesModel
+from collections.abc import Callable
+
+from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizerModel, IDFModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.functions.labels import label_at
 from chatterlens.functions.text import with_clean_text
+from chatterlens.operators.dashboards import preview
 from chatterlens.operators.features import (
     FEATURES,
     KEPT_WORDS,
@@ -22,6 +25,7 @@ from chatterlens.operators.features import (
     fit_features,
     fit_label_index,
     kept_words,
+    term_counts,
     tokenizer,
     vocabulary,
     weighted_terms,
@@ -44,7 +48,7 @@ from chatterlens.plans.chain import results_of
 from chatterlens.plans.dashboard import STOP_WORDS_SQL
 from chatterlens.plans.fixtures import CLEAN_SQL, LABELLED_SQL, ROUTED_SQL, at, labelled, messages, raw_values, table
 from chatterlens.plans.registry import query
-from chatterlens.session import shared_folder, spread
+from chatterlens.session import shared_folder
 
 _MODELS: dict[tuple[str, str, str], PipelineModel] = {}
 
@@ -130,10 +134,14 @@ scored AS (
 
 
 @query(
-    f"SELECT doc_id, CASE WHEN {_SPLIT_SQL} < 80 THEN 'train' ELSE 'test' END AS part FROM documents"
+    f"""SELECT doc_id, CASE WHEN key IS NULL OR {_SPLIT_SQL.replace('doc_id', 'key')} < 80 THEN 'train' ELSE 'test' END AS part
+    FROM (SELECT doc_id, CASE WHEN doc_id % 37 <> 0 THEN doc_id END AS key FROM documents)"""
 )
 def split_into_train_and_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train_rows, test_rows = split_by_hash(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    """Some rows have no key."""
+    number = F.col("doc_id")
+    keyed = table(spark, sf_dir, "documents").select("doc_id", F.when(number % 37 != 0, number).alias("key"))
+    train_rows, test_rows = (part.drop("key") for part in split_by_hash(keyed, "key"))
     return train_rows.withColumn("part", F.lit("train")).unionByName(test_rows.withColumn("part", F.lit("test")))
 
 
@@ -153,7 +161,7 @@ def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, len(words) AS n, md5(array_to_string(words, ' ')) AS words_md5 FROM tokens"""
 )
 def documents_tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = with_clean_text(spread(table(spark, sf_dir, "documents"), "doc_id"))
+    documents = with_clean_text(table(spark, sf_dir, "documents"))
     words = tokenizer().transform(documents)
     return words.select("doc_id", F.size(WORDS).cast("long").alias("n"), F.md5(F.array_join(WORDS, " ")).alias("words_md5"))
 
@@ -168,7 +176,7 @@ def documents_tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM tokens LEFT JOIN kept USING (doc_id)"""
 )
 def stop_words_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = kept_words(with_clean_text(spread(table(spark, sf_dir, "documents"), "doc_id")))
+    words = kept_words(with_clean_text(table(spark, sf_dir, "documents")))
     return words.select(
         "doc_id", F.size(KEPT_WORDS).cast("long").alias("n"), F.md5(F.array_join(KEPT_WORDS, " ")).alias("words_md5")
     )
@@ -247,32 +255,162 @@ def naive_bayes_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _predictions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _test_terms(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame:
+    """(doc_id, feature, value) of the test part: counts times inverse frequency, without any vector."""
+    stages = {type(stage): stage for stage in model.stages}
+    terms = stages[CountVectorizerModel].vocabulary
+    known = _term_rows(spark, terms, ["feature", "idf"], range(len(terms)), stages[IDFModel].idf.toArray().tolist())
+    counts = term_counts(kept_words(_training(spark, sf_dir)[1]), ["doc_id"])
+    joined = counts.join(F.broadcast(known), "term")
+    return joined.select("doc_id", "feature", (F.col("tf") * F.col("idf")).alias("value"))
+
+
+def _first_largest(scores: DataFrame) -> DataFrame:
+    """(doc_id, class) of the largest (doc_id, class, score); of equal ones the first class."""
+    best = F.max(F.struct("score", (-F.col("class")).alias("minus")))
+    return scores.groupBy("doc_id").agg((-best["minus"]).alias("class"))
+
+
+def _linear_classes(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame:
+    """(doc_id, class) recomputed from the coefficients of a logistic regression."""
+    fit = model.stages[-1]
+    weights = [
+        (feature, number, float(value))
+        for number, row in enumerate(fit.coefficientMatrix.toArray())
+        for feature, value in enumerate(row)
+        if value
+    ]
+    weights = F.broadcast(spark.createDataFrame(weights, "feature long, class int, weight double"))
+    start = spark.createDataFrame(list(enumerate(fit.interceptVector.toArray().tolist())), "class int, start double")
+    sums = _test_terms(spark, sf_dir, model).join(weights, "feature").groupBy("doc_id", "class")
+    sums = sums.agg(F.sum(F.col("value") * F.col("weight")).alias("sum"))
+    cells = _training(spark, sf_dir)[1].select("doc_id", F.explode(F.array(*[F.lit(n) for n in range(fit.numClasses)])).alias("class"))
+    scores = cells.join(F.broadcast(start), "class").join(sums, ["doc_id", "class"], "left")
+    return _first_largest(scores.select("doc_id", "class", (F.col("start") + F.coalesce("sum", F.lit(0.0))).alias("score")))
+
+
+def _tree_classes(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame:
+    """(doc_id, class) recomputed from the saved rules of a decision tree or forest, level by level."""
+    path = shared_folder(spark, "trees")
+    fit = model.stages[-1]
+    fit.save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    nodes = nodes.select("treeID", "nodeData.*") if "nodeData" in nodes.columns else nodes.withColumn("treeID", F.lit(0))
+    limit = F.when(F.col("leftChild") >= 0, F.col("split.leftCategoriesOrThreshold")[0])
+    nodes = nodes.select(
+        "treeID", F.col("id").alias("at"), "leftChild", "rightChild", F.col("split.featureIndex").alias("feature"),
+        limit.alias("limit"), "impurityStats",
+    )
+    values = _test_terms(spark, sf_dir, model).groupBy("doc_id")
+    values = values.agg(F.map_from_entries(F.collect_list(F.struct(F.col("feature").cast("int"), "value"))).alias("x"))
+    rows = _training(spark, sf_dir)[1].select("doc_id").join(values, "doc_id", "left")
+    trees = F.array(*[F.lit(tree) for tree in range(getattr(fit, "getNumTrees", 1))])
+    place = rows.select("doc_id", "x", F.explode(trees).alias("treeID"), F.lit(0).alias("at"))
+    for _ in range(fit.getMaxDepth()):
+        inner = F.broadcast(nodes.filter("leftChild >= 0").drop("impurityStats"))
+        value = F.coalesce(F.col("x")[F.col("feature")], F.lit(0.0))
+        after = F.when(F.col("leftChild").isNull(), F.col("at")).when(value <= F.col("limit"), F.col("leftChild"))
+        place = place.join(inner, ["treeID", "at"], "left").select("doc_id", "x", "treeID", after.otherwise(F.col("rightChild")).alias("at"))
+    leaves = place.join(F.broadcast(nodes.select("treeID", "at", "impurityStats")), ["treeID", "at"])
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b)
+    votes = leaves.select("doc_id", total.alias("total"), F.posexplode("impurityStats").alias("class", "n"))
+    return _first_largest(votes.groupBy("doc_id", "class").agg(F.sum(F.col("n") / F.col("total")).alias("score")))
+
+
+def _checked_predictions(spark: SparkSession, sf_dir: str, name: str, classes: Callable) -> DataFrame:
+    """Test documents with their label, whether the model's class is the recomputed one, and whether the model has
+    learned: it is right on its training part at least as often as the most frequent label is."""
     model = fitted(spark, sf_dir, name)
-    scored = predict(_training(spark, sf_dir)[1], model)
-    return scored.select(
-        "doc_id", F.col(LABEL_TEXT).alias("expected"), label_at(F.col("prediction"), labels_of(model)).alias("sentiment")
+    train_rows, test_rows = _training(spark, sf_dir)
+    right = predict(train_rows, model).agg(
+        F.count_if(F.col("prediction") == F.col(LABEL)).alias("right"), F.count_if(F.col(LABEL) == 0).alias("most")
     )
+    learned = right.select(F.col("right") >= F.col("most")).scalar()
+    scored = predict(test_rows, model).select("doc_id", F.col(LABEL_TEXT).alias("expected"), "prediction")
+    joined = scored.join(classes(spark, sf_dir, model), "doc_id", "left")
+    same = F.coalesce(F.col("prediction") == F.col("class"), F.lit(False))
+    return joined.select("doc_id", "expected", same.alias("same_class"), learned.alias("learned"))
+
 
+_CHECKED_SQL = f"""WITH {LABELLED_SQL} SELECT doc_id, sentiment AS expected, true AS same_class, true AS learned
+    FROM labelled WHERE {_SPLIT_SQL} >= 80"""
 
-@query()
+
+@query(_CHECKED_SQL)
 def logistic_regression_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "Logistic_Regression")
+    return _checked_predictions(spark, sf_dir, "Logistic_Regression", _linear_classes)
 
 
-@query()
+@query(_CHECKED_SQL)
 def random_forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "Random_Forest")
+    return _checked_predictions(spark, sf_dir, "Random_Forest", _tree_classes)
 
 
-@query()
+@query(_CHECKED_SQL)
 def decision_tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "Decision_Tree")
+    return _checked_predictions(spark, sf_dir, "Decision_Tree", _tree_classes)
+
+
+class _NoWriter(Transformer):
+    """A fitted model that cannot be saved."""
+
+    def __init__(self, fitted_model: Transformer):
+        super().__init__()
+        self.fitted_model = fitted_model
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.fitted_model.transform(dataset)
 
 
-@query()
+class _Unsaveable(Estimator):
+    def _fit(self, dataset: DataFrame) -> Transformer:
+        return _NoWriter(NaiveBayes().fit(dataset))
+
+
+_COMPARED = {"Logistic_Regression": True, "Random_Forest": True, "Naive_Bayes": True, "Decision_Tree": True}
+
+
+@query(
+    f"""WITH {LABELLED_SQL}, test AS (SELECT count(*) AS n FROM labelled WHERE {_SPLIT_SQL} >= 80)
+    SELECT model, judged, saved, judged AS recall_is_accuracy, judged AS as_evaluated, CASE WHEN judged THEN n ELSE 0 END AS judged_rows,
+      CASE WHEN judged THEN least(n, 5) ELSE 0 END AS samples
+    FROM test, (VALUES {', '.join(f"('{name}', true, true)" for name in _COMPARED)},
+      ('Not_Fitting', false, false), ('Not_Saveable', true, false)) m(model, judged, saved)"""
+)
 def models_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_models(*_training(spark, sf_dir), parallelism=4)
+    """The four classifiers, one that cannot be fitted and one that cannot be saved, judged and checked.
+
+    The metrics are held against Spark's evaluator; each model's confusion matrix covers all test rows.
+    """
+    seen: dict[str, tuple] = {}
+
+    def inspect(name: str, predicted: DataFrame) -> None:
+        measures = ("accuracy", "f1", "weightedPrecision", "weightedRecall")
+        found = [MulticlassClassificationEvaluator(labelCol=LABEL, metricName=m).evaluate(predicted) for m in measures]
+        judged = confusion_matrix(predicted).agg(F.sum("n")).first()[0]
+        seen[name] = (*found, judged, preview(predicted, ["Comment", "prediction"], "doc_id").count())
+
+    # Features of this kind are not 0 and 1, which the Bernoulli model refuses.
+    candidates = classifiers() | {"Not_Fitting": NaiveBayes(modelType="bernoulli"), "Not_Saveable": _Unsaveable()}
+    metrics = compare_models(
+        *_training(spark, sf_dir), candidates, save_to=shared_folder(spark, "compared"), parallelism=4, inspect=inspect
+    )
+    schema = "model string, e_accuracy double, e_f1 double, e_precision double, e_recall double, judged_rows long, samples long"
+    joined = metrics.join(spark.createDataFrame([(name, *row) for name, row in seen.items()], schema), "model", "left")
+    close = [
+        F.abs(F.col(ours) - F.col(theirs)) < 1e-9
+        for ours, theirs in (("accuracy", "e_accuracy"), ("f1_score", "e_f1"), ("precision", "e_precision"), ("recall", "e_recall"))
+    ]
+    judged = F.col("judged_rows").isNotNull()
+    return joined.select(
+        "model",
+        judged.alias("judged"),
+        F.col("error").isNull().alias("saved"),
+        (judged & (F.abs(F.col("recall") - F.col("accuracy")) < 1e-9)).alias("recall_is_accuracy"),
+        F.coalesce(close[0] & close[1] & close[2] & close[3], F.lit(False)).alias("as_evaluated"),
+        F.coalesce("judged_rows", F.lit(0)).alias("judged_rows"),
+        F.coalesce("samples", F.lit(0)).alias("samples"),
+    )
 
 
 @query(f"WITH {_BAYES_SQL} SELECT CAST(label AS BIGINT) AS label, sentiment FROM classes")

@@ -5,6 +5,9 @@ Each one works off its input and stops. Sinks and checkpoints lie in the shared
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from chatterlens.plans.fixtures import (
     messages,
     raw_values,
     stream_table,
+    table,
     time_sql,
     time_text,
 )
@@ -30,8 +34,15 @@ from chatterlens.schemas import DEAD_LETTER, RESULT, VALIDATED
 from chatterlens.session import shared_folder
 from chatterlens.sources.topics import encode_messages, read_messages
 from chatterlens.streaming.jobs import document_log, drop_repeats_stream, live_sentiment, score_stream, validate_stream
-from chatterlens.streaming.runner import AVAILABLE_NOW, progress_table, run, start_batches, start_table
-from chatterlens.streaming.sinks import batch_folder, topic_folder
+from chatterlens.streaming.runner import (
+    AVAILABLE_NOW,
+    progress_logged,
+    progress_table,
+    run,
+    start_batches,
+    start_table,
+)
+from chatterlens.streaming.sinks import batch_folder, fan_out, topic_folder
 
 
 # A batch is held while its sinks are written, so it must not be the whole table. The jobs with a watermark
@@ -83,19 +94,39 @@ def stream_validated_and_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {ROUTED_SQL}
-    SELECT count(*) AS messages, count(*) FILTER (WHERE reason IS NULL) AS valid, count(reason) AS invalid FROM routed"""
+    f"""WITH {ROUTED_SQL}, counts AS (
+      SELECT count(*) AS messages, count(*) FILTER (WHERE reason IS NULL) AS valid, count(reason) AS invalid FROM routed)
+    SELECT 'progress' AS told_by, *, messages AS input_rows FROM counts UNION ALL SELECT 'sinks', *, messages FROM counts"""
 )
 def stream_progress_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that the reported batches of the validation job left in its sinks."""
+    """What the logged batches of the validation job report, beside what they left in its sinks."""
     folder = shared_folder(spark, "stream-progress")
-    job = _run_validation(spark, sf_dir, folder)
-    batches = progress_table(spark, job).select("batch_id").distinct()
-    for name, sink in (("valid", "valid"), ("invalid", "dead")):
-        written = rows_per_batch(read_log(spark, f"{folder}/{sink}")).withColumnRenamed("n", name)
-        batches = batches.join(written, "batch_id", "left")
-    counts = batches.agg(F.sum("valid").alias("valid"), F.sum("invalid").alias("invalid"))
-    return counts.select((F.col("valid") + F.col("invalid")).alias("messages"), "valid", "invalid")
+    with progress_logged(spark, f"{folder}/progress"):
+        _run_validation(spark, sf_dir, folder)
+    observed = [F.sum(F.col("observed")[f"validation.{name}"]).alias(name) for name in ("messages", "valid", "invalid")]
+    told = progress_table(spark, f"{folder}/progress").agg(*observed, F.sum("input_rows").alias("input_rows"))
+    valid, dead = (rows_per_batch(read_log(spark, f"{folder}/{sink}")).agg(F.sum("n").alias("n")) for sink in ("valid", "dead"))
+    held = valid.select(F.col("n").alias("valid"), dead.scalar().alias("invalid"))
+    both = F.col("valid") + F.col("invalid")
+    held = held.select(F.lit("sinks").alias("told_by"), both.alias("messages"), "valid", "invalid", both.alias("input_rows"))
+    return told.select(F.lit("progress").alias("told_by"), "messages", "valid", "invalid", "input_rows").unionByName(held)
+
+
+@query(
+    f"""WITH {ROUTED_SQL}
+    SELECT md5(text) AS text_md5, "user", "timestamp", {time_sql('parsed_time')} AS event_time, '{AT_TEXT}.000000' AS validation_time
+    FROM routed WHERE reason IS NULL"""
+)
+def stream_valid_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid branch published as a topic and read back, times to the microsecond."""
+    folder = shared_folder(spark, "stream-valid-topic")
+    values = raw_values(_message_stream(spark, sf_dir))
+    sinks = topic_folder(f"{folder}/topic"), batch_folder(f"{folder}/dead")
+    run([validate_stream(values, *sinks, f"{folder}/checkpoint", AVAILABLE_NOW, at())])
+    published = read_messages(spark, "text", f"{folder}/topic/*/*", stream=False)
+    parsed = published.select(F.from_json(F.col("value").cast("string"), VALIDATED).alias("m")).select("m.*")
+    times = [time_text(name).alias(name) for name in ("event_time", "validation_time")]
+    return parsed.select(F.md5("text").alias("text_md5"), "user", "timestamp", *times)
 
 
 @query(
@@ -140,28 +171,110 @@ def stream_scored_by_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(F.md5("text").alias("text_md5"), "user", "timestamp", "source", "model_failed", "sentiment")
 
 
+def _append_events(spark: SparkSession, sf_dir: str, folder: str, parts: int) -> Iterator[int]:
+    """The events in ``parts`` by number, each appended to a folder when its turn comes."""
+    events = activity(spark, sf_dir)
+    for part in range(parts):
+        chosen = events.filter(F.pmod("event_id", F.lit(parts)) == part)
+        chosen.write.mode("append").parquet(f"{folder}/in")
+        yield part
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, folder: str, files: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(activity(spark, sf_dir).schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(f"{folder}/in")
+
+
 @query(f"WITH {ACTIVITY_SQL} SELECT event_id, sentiment FROM activity")
 def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same job started twice on one checkpoint: the second start finds nothing to do."""
+    """A job stopped and started again on one checkpoint while its input grows, and once without anything new."""
     folder = shared_folder(spark, "stream-restart")
+
+    def work_off() -> None:
+        rows = _event_stream(spark, sf_dir, folder).select("event_id", "sentiment")
+        run([start_batches(rows, fan_out(batch_folder(f"{folder}/table")), f"{folder}/checkpoint", AVAILABLE_NOW)])
+
+    for _ in _append_events(spark, sf_dir, folder, 3):
+        work_off()
+    work_off()
+    return read_log(spark, f"{folder}/table").select("event_id", "sentiment")
+
+
+@query(f"WITH {ACTIVITY_SQL} SELECT event_id, sentiment, copy FROM activity, (VALUES (1), (2)) c(copy)")
+def stream_of_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs with checkpoints of their own on one sink: both begin at batch 0, and neither loses rows."""
+    folder = shared_folder(spark, "stream-two")
+    for copy in (1, 2):
+        rows = activity(spark, sf_dir, stream_table(spark, sf_dir, "events", FILES_PER_BATCH))
+        rows = rows.select("event_id", "sentiment", F.lit(copy).alias("copy"))
+        run([start_batches(rows, batch_folder(f"{folder}/table"), f"{folder}/checkpoint{copy}", AVAILABLE_NOW)])
+    return read_log(spark, f"{folder}/table").select("event_id", "sentiment", "copy")
+
+
+@query(f"WITH {ACTIVITY_SQL} SELECT event_id, sentiment, true AS bounded FROM activity")
+def stream_in_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several files read one at a time at an interval; each batch holds the rows of one file at most."""
+    folder = shared_folder(spark, "stream-bounded")
+    for _ in _append_events(spark, sf_dir, folder, 3):
+        pass
+    files = spark.read.parquet(f"{folder}/in").groupBy(F.input_file_name()).count()
+    most = files.agg(F.max("count").alias("most"))
+    rows = _event_stream(spark, sf_dir, folder, files=1).select("event_id", "sentiment")
+    job = start_batches(rows, fan_out(batch_folder(f"{folder}/table")), f"{folder}/checkpoint", "100 milliseconds")
+    job.processAllAvailable()
+    run([job], timeout=0)
+    log = read_log(spark, f"{folder}/table")
+    bounded = rows_per_batch(log).agg(F.max("n").alias("n"), F.count("*").alias("batches"))
+    held = bounded.select(((F.col("n") <= most.scalar()) & (F.col("batches") == files.agg(F.count("*")).scalar())).alias("bounded"))
+    return log.select("event_id", "sentiment", held.scalar().alias("bounded"))
+
+
+@query(f"WITH {ACTIVITY_SQL} SELECT event_id, sentiment, 1::BIGINT AS failures FROM activity")
+def stream_sink_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second sink of a batch fails once: the query fails, and its restart writes the batch to both again."""
+    folder = shared_folder(spark, "stream-retried")
+    failures = []
+
+    def fails_once(batch: DataFrame, batch_id: int) -> None:
+        if not failures:
+            failures.append(batch_id)
+            raise RuntimeError("sink is down")
+
+    for _ in _append_events(spark, sf_dir, folder, 2):
+        pass
     for _ in range(2):
-        events = stream_table(spark, sf_dir, "events", FILES_PER_BATCH)
-        rows = activity(spark, sf_dir, events).select("event_id", "sentiment")
-        run([start_batches(rows, batch_folder(f"{folder}/table"), f"{folder}/checkpoint", AVAILABLE_NOW)])
-    return spark.read.parquet(f"{folder}/table").select("event_id", "sentiment")
+        rows = _event_stream(spark, sf_dir, folder).select("event_id", "sentiment")
+        write = fan_out(batch_folder(f"{folder}/table"), fails_once)
+        try:
+            run([start_batches(rows, write, f"{folder}/checkpoint", AVAILABLE_NOW)])
+        except StreamingQueryException as failure:
+            if "sink is down" not in str(failure):
+                raise
+    return read_log(spark, f"{folder}/table").select("event_id", "sentiment", F.lit(len(failures)).cast("long").alias("failures"))
 
 
-@query("SELECT event_id, user_id FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END AS version FROM events")
 def stream_repeats_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches with other copies of the events: the first copies stay.
+
+    Some events are first seen in the second batch; the last batch has new ids an hour late.
+    """
     folder = shared_folder(spark, "stream-repeats")
-    events = stream_table(spark, sf_dir, "events")
-    copies = F.when(F.col("event_id") % 5 == 0, 2).otherwise(1)
-    repeated = events.select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("event_time"), F.explode(F.sequence(F.lit(1), copies))
-    ).drop("col")
-    once = drop_repeats_stream(repeated, "event_id")
-    run([start_table(once, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
-    return spark.read.schema(once.schema).parquet(f"{folder}/table").select("event_id", "user_id")
+    numbered = table(spark, sf_dir, "events").select("event_id")
+    begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    first = F.when(F.col("event_id") % 7 == 3, 1).otherwise(0)
+    schema = "event_id long, version int, event_time timestamp"
+    for version in range(4):
+        number = F.col("event_id") if version < 3 else -F.col("event_id") - 1
+        seconds = F.pmod("event_id", F.lit(60)) + (120 * version if version < 3 else -3600)
+        copies = numbered.filter(first <= version).select(
+            number.alias("event_id"), F.lit(version).alias("version"), (begin + F.make_dt_interval(secs=seconds)).alias("event_time")
+        )
+        copies.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        once = drop_repeats_stream(stream, "event_id")
+        run([start_table(once, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
+    return spark.read.schema(schema).parquet(f"{folder}/table").select("event_id", "version")
 
 
 @query(
@@ -177,3 +290,23 @@ def stream_live_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     run([start_table(counts, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
     stored = spark.read.schema(counts.schema).parquet(f"{folder}/table")
     return stored.select(time_text("bucket").alias("bucket"), "sentiment", "n")
+
+
+@query(
+    f"""WITH {ACTIVITY_SQL}, counts AS (
+      SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS bucket, sentiment, count(*) AS n FROM activity GROUP BY ALL)
+    SELECT {time_sql('bucket')} AS bucket, sentiment, n FROM counts
+    WHERE bucket + INTERVAL 5 MINUTE <= (SELECT max(event_time) FROM activity) - INTERVAL 10 MINUTE"""
+)
+def stream_live_sentiment_with_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same buckets when copies of closed ones come late, in a second batch: they change nothing."""
+    folder = shared_folder(spark, "stream-late")
+    rows = activity(spark, sf_dir)
+    newest = rows.agg(F.max("event_time")).scalar()
+    closed = F.window("event_time", "5 minutes")["end"] <= newest - F.expr("interval 10 minutes")
+    for part in (rows, rows.filter(closed)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        counts = live_sentiment(_event_stream(spark, sf_dir, folder))
+        run([start_table(counts, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
+    stored = spark.read.schema(counts.schema).parquet(f"{folder}/table")
+    return stored.select(time_text("bucket").alias("bucket"), "sentiment", "n")

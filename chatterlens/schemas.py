@@ -50,6 +50,7 @@ METRIC = _fields(
     precision=T.DoubleType(),
     recall=T.DoubleType(),
     training_time=T.DoubleType(),
+    fit_time=T.DoubleType(),
     error=T.StringType(),
 )
 

@@ -4,12 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
-
-PROGRESS_REPORTS = 10_000
+from pyspark.sql import SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,13 +34,12 @@ def is_local(spark: SparkSession) -> bool:
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on.
 
-    Zone-less timestamps are read, bucketed and printed as UTC, and the progress of many batches is kept. On a
-    cluster streaming state lies in RocksDB rather than on the heap, unless the session names another store.
+    Zone-less timestamps are read, bucketed and printed as UTC. On a cluster streaming state lies in RocksDB rather
+    than on the heap, unless the session names another store.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if not is_local(spark) and spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
         spark.conf.set(STATE_STORE, ROCKSDB)
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", PROGRESS_REPORTS)
     return spark
 
 
@@ -66,24 +60,3 @@ def drop_shared_folders(spark: SparkSession) -> None:
     """Delete what the session has put below ``shared_folder``; for the end of a job, when nothing reads it any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a join side that has at most ``rows`` short rows; a larger bound is left to the optimizer."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Hash-partition a small scan of few files by a unique key, so that the text work behind it is shared.
-
-    A file of one row group is read by one task, however many splits it has. Tables of at least as many files as
-    the cluster has cores, and tables of many splits, are left as they are. The number of splits tells the size,
-    so a tiny table is not cut into more pieces than it is worth.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits > 2 * cores or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(min(cores, 8 * splits), *key)

@@ -44,11 +44,11 @@ def conform(df: DataFrame, schema: T.StructType = RESULT) -> DataFrame:
     return df.select(*columns)
 
 
-def write_results(df: DataFrame, path: str, mode: str = "overwrite", gather: bool = False) -> None:
+def write_results(df: DataFrame, path: str, mode: str = "overwrite", gather: bool = True) -> None:
     """Store results as Parquet in one folder per event date, so that time ranges prune folders.
 
-    Results that arrive in order of time are written where they are. ``gather`` first brings the rows of a date
-    together in files of even size, a large date in several, for results whose tasks each hold many dates.
+    ``gather`` first brings the rows of a date together in files of even size, a large date in several; else every
+    task writes a file for each date that it holds, which suits results that arrive in order of time.
     """
     dated = df.withColumn("event_date", F.to_date("event_time"))
     if gather:

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from chatterlens.schemas import MESSAGE_FIELDS
 
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+#: Where a value stood in its topic: later records of a key have larger ones.
+ARRIVAL = "struct<time timestamp, partition int, offset long>"
+
 
 def topic_options(
     servers: str,
@@ -40,10 +45,10 @@ def read_messages(
     min_partitions: int | None = None,
     stream: bool = True,
 ) -> DataFrame:
-    """Raw values of a topic as one binary ``value`` column.
+    """Raw values of a topic as a binary ``value`` column, and for Kafka and Parquet their ``arrival``.
 
     ``fmt`` is ``kafka`` (``location`` is the topic), ``text`` (a folder of JSON lines) or ``parquet`` (a folder
-    of files with a ``value`` column). A folder is always read from its start.
+    of files with a ``value`` and, if it has been kept, an ``arrival`` column). A folder is always read from its start.
     """
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
@@ -52,16 +57,18 @@ def read_messages(
         if not stream and starting != "earliest":
             raise ValueError("a batch has to start at the earliest offset")
         options = topic_options(servers, location, starting, max_per_trigger, min_partitions)
-        return reader.format("kafka").options(**options).load().select("value")
+        return reader.format("kafka").options(**options).load().select(
+            "value", F.struct(F.col("timestamp").alias("time"), "partition", "offset").alias("arrival")
+        )
     if fmt not in ("text", "parquet"):
         raise ValueError(f"unknown topic format {fmt!r}")
     if starting != "earliest":
         raise ValueError("a folder can only be read from its start")
     if max_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    kind = "string" if fmt == "text" else "binary"
-    rows = reader.schema(f"value {kind}").format(fmt).load(location)
-    return rows.select(F.col("value").cast("binary").alias("value"))
+    if fmt == "text":
+        return reader.schema("value string").text(location).select(F.col("value").cast("binary").alias("value"))
+    return reader.schema(f"value binary, arrival {ARRIVAL}").parquet(location)
 
 
 def encode_messages(df: DataFrame) -> DataFrame:
@@ -71,5 +78,5 @@ def encode_messages(df: DataFrame) -> DataFrame:
 
 
 def encode_rows(df: DataFrame) -> DataFrame:
-    """One JSON value per row with all of its columns; null fields are left out."""
-    return df.select(F.to_json(F.struct("*")).alias("value"))
+    """One JSON value per row with all of its columns, times to the microsecond; null fields are left out."""
+    return df.select(F.to_json(F.struct("*"), {"timestampFormat": TIME_FORMAT}).alias("value"))

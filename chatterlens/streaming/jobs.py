@@ -13,9 +13,6 @@ from chatterlens.operators.validate import dead_letters, decode_messages, valid_
 from chatterlens.streaming.runner import start_batches
 from chatterlens.streaming.sinks import BatchWriter, batch_folder, derived, fan_out
 
-# Ids a task remembers between Arrow batches when it thins out repeats; a bound on its memory.
-REMEMBERED_IDS = 100_000
-
 
 def validate_stream(
     values: DataFrame,
@@ -61,10 +58,37 @@ def score_stream(
 
     The prediction time is set before the batch is handed out, so that all sinks hold the same value.
     """
-    results = with_document_id(score_messages(messages, model, at))
+    results = with_document_id(score_messages(messages, model, at, _kept(messages)))
     return start_batches(results, fan_out(*writers), checkpoint, trigger, name=name)
 
 
+def score_topic_stream(
+    values: DataFrame,
+    model: PipelineModel,
+    writers: list[BatchWriter],
+    dead: BatchWriter,
+    checkpoint: str,
+    trigger: str | None = None,
+    at: Column | None = None,
+    name: str = "score",
+) -> StreamingQuery:
+    """Decode a topic once, score its valid messages once and write them to all sinks, and the others to ``dead``."""
+    judged = with_reason(decode_messages(values)).withColumn("_at", F.current_timestamp() if at is None else at)
+
+    def results(batch: DataFrame) -> DataFrame:
+        kept = _kept(batch)
+        valid = valid_messages(batch, F.col("_at"), (*kept, "_at"))
+        return with_document_id(score_messages(valid, model, F.col("_at"), kept))
+
+    write = fan_out(derived(fan_out(*writers), results), derived(dead, lambda batch: dead_letters(batch, F.col("_at"))))
+    return start_batches(judged, write, checkpoint, trigger, name=name)
+
+
+def _kept(messages: DataFrame) -> tuple[str, ...]:
+    """Where a message stood in its topic, if the topic tells; it decides between two writes of one key."""
+    return ("arrival",) if "arrival" in messages.columns else ()
+
+
 def document_log(path: str) -> BatchWriter:
     """Sink of ``upsert_view``: results by batch, pruned by event date."""
     dated = lambda batch: batch.withColumn("event_date", F.to_date("event_time"))
@@ -72,40 +96,40 @@ def document_log(path: str) -> BatchWriter:
 
 
 def drop_repeats_stream(df: DataFrame, key: str = "id", time: str = "event_time", delay: str = "10 minutes") -> DataFrame:
-    """Pass each event id once; its repeats are recognised for ``delay``.
+    """Pass each event id once, as ``drop_repeats`` does for a batch: its first copy. Repeats are recognised for ``delay``.
+
+    First is the copy of the earlier micro-batch, within the rows that a task reads at a time the one of the earlier
+    time. A copy that is late is not passed, but one that is not late stands in for it.
 
-    Streaming state has no map-side half, so an id that makes up much of the stream would send all of its copies
-    to one task. Each task therefore first passes on only the newest copy of an id per Arrow batch, and of later
-    batches only newer ones. As the newest copy is the last to become late, no id is lost by this.
+    Streaming state has no map-side half, so an id that makes up much of the stream would send all of its copies to
+    one task. Of each Arrow batch therefore only the first and the last copy of an id go on.
     """
-    remembered = REMEMBERED_IDS
 
-    def newest_copies(batches):
+    def ends(batches):
         import numpy
         import pyarrow
 
-        passed = {}
         for batch in batches:
-            ids = batch.column(batch.schema.names.index(key))
-            times = batch.column(batch.schema.names.index(time)).cast(pyarrow.int64()).fill_null(0).to_numpy()
-            codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy()
-            rows = numpy.arange(batch.num_rows)
-            order = numpy.lexsort((-rows, times, codes))
-            last = numpy.append(codes[order][1:] != codes[order][:-1], True)[: len(order)]
-            newest = numpy.sort(order[last])
-            kept = []
-            for row, name in zip(newest.tolist(), ids.take(pyarrow.array(newest)).to_pylist()):
-                if name not in passed or times[row] > passed[name]:
-                    passed[name] = times[row]
-                    kept.append(row)
-            if len(passed) > remembered:
-                passed = {}
-            yield batch.take(pyarrow.array(kept, pyarrow.int64()))
-
-    thinned = df.mapInArrow(newest_copies, df.schema)
+            rows = pyarrow.array(numpy.arange(batch.num_rows))
+            copies = pyarrow.table([batch.column(key), batch.column(time), rows], names=["key", "time", "row"])
+            ordered = copies.sort_by([("time", "ascending"), ("row", "ascending")])
+            ordered = ordered.append_column("place", rows).group_by("key", use_threads=False)
+            found = ordered.aggregate([("place", "first"), ("place", "last"), ("row", "first"), ("row", "last")])
+            places = pyarrow.concat_arrays([found[f"place_{end}"].combine_chunks() for end in ("first", "last")])
+            kept = pyarrow.concat_arrays([found[f"row_{end}"].combine_chunks() for end in ("first", "last")])
+            _, once = numpy.unique(places.to_numpy(), return_index=True)
+            yield batch.take(kept.take(pyarrow.array(once)))
+
+    thinned = df.mapInArrow(ends, df.schema)
     return thinned.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def unique_values(values: DataFrame, delay: str) -> DataFrame:
+    """Raw values of a topic without those that the topic has had within ``delay`` of their arrival here."""
+    keyed = values.withColumn("value_id", F.md5("value")).withColumn("seen_at", F.current_timestamp())
+    return drop_repeats_stream(keyed, "value_id", "seen_at", delay).drop("value_id", "seen_at")
+
+
 def live_sentiment(
     results: DataFrame, width: str = "5 minutes", delay: str = "10 minutes", time: str = "event_time"
 ) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import threading
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from chatterlens.streaming.sinks import BatchWriter
 
@@ -102,26 +105,69 @@ def _offsets_behind(report: Mapping) -> float | None:
     return max((float(lag) for lag in lags if lag is not None), default=None)
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per reported batch of a query, with the counts observed in it."""
-    rows = []
-    for report in query.recentProgress:
-        observed = {
-            f"{group}.{name}": int(value)
-            for group, values in report.get("observedMetrics", {}).items()
-            for name, value in (values.asDict() if hasattr(values, "asDict") else values).items()
-            if value is not None
-        }
-        rows.append(
-            (
-                report.get("name") or str(report["id"]),
-                int(report["batchId"]),
-                int(report["numInputRows"]),
-                float(report.get("inputRowsPerSecond") or 0.0),
-                float(report.get("processedRowsPerSecond") or 0.0),
-                int(report.get("durationMs", {}).get("triggerExecution", 0)),
-                _offsets_behind(report),
-                observed,
-            )
-        )
-    return spark.createDataFrame(rows, PROGRESS)
+class ProgressLog(StreamingQueryListener):
+    """Writes one JSON file for every batch that a query reports, so that none is forgotten however long it runs."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.running: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        with self.changed:
+            self.running.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        report = json.loads(event.progress.json)
+        context = self.spark.sparkContext
+        file = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{report['runId']}-{report['batchId']}.json")
+        out = file.getFileSystem(context._jsc.hadoopConfiguration()).create(file, True)
+        out.write(bytearray(json.dumps(progress_row(report)).encode()))
+        out.close()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.running.discard(str(event.runId))
+            self.changed.notify_all()
+
+
+@contextmanager
+def progress_logged(spark: SparkSession, path: str) -> Iterator[None]:
+    """Log the progress of all queries that run inside; leaves when the reports of those that have ended are written."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield
+        with log.changed:
+            active = {str(query.runId) for query in spark.streams.active}
+            log.changed.wait_for(lambda: not log.running - active, timeout=60)
+    finally:
+        spark.streams.removeListener(log)
+
+
+def progress_row(report: Mapping) -> dict:
+    """A report as a record of ``PROGRESS``."""
+    observed = {
+        f"{group}.{name}": int(value)
+        for group, values in (report.get("observedMetrics") or {}).items()
+        for name, value in values.items()
+        if value is not None
+    }
+    return {
+        "query": report.get("name") or report["id"],
+        "batch_id": report["batchId"],
+        "input_rows": report["numInputRows"],
+        "input_rows_per_second": float(report.get("inputRowsPerSecond") or 0.0),
+        "processed_rows_per_second": float(report.get("processedRowsPerSecond") or 0.0),
+        "batch_milliseconds": report.get("durationMs", {}).get("triggerExecution", 0),
+        "offsets_behind": _offsets_behind(report),
+        "observed": observed,
+    }
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """One row per logged batch, with the counts observed in it."""
+    return spark.read.schema(PROGRESS).json(path)

@@ -1,8 +1,13 @@
-"""Sinks of a micro-batch. Each writer takes (batch, batch id) and may be called again for the same batch."""
+"""Sinks of a micro-batch. Each writer takes (batch, batch id) and may be called again for the same batch.
+
+Batch ids begin at 0 with every new checkpoint. Folders are therefore named by run and batch, where a run is what one
+checkpoint drives: a restart goes on with its run, a new checkpoint begins another beside it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -12,20 +17,41 @@ from chatterlens.sources.topics import encode_rows
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+# Spark's local property with the id of the streaming query, which lives in its checkpoint. Fixed value.
+_QUERY_ID = "sql.streaming.queryId"
+
+
+def run_folder(batch: DataFrame, path: str) -> str:
+    """The folder of the run that writes the batch: the time of its first write, then the checkpoint's id.
+
+    Later runs have larger names. Batches written outside a stream belong to the run ``batch``.
+    """
+    context = batch.sparkSession.sparkContext
+    run = context.getLocalProperty(_QUERY_ID) or "batch"
+    pattern = context._jvm.org.apache.hadoop.fs.Path(f"{path}/run=*_{run}")
+    found = pattern.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(pattern)
+    if found:
+        return f"{path}/{found[0].getPath().getName()}"
+    return f"{path}/run={datetime.now(timezone.utc):%Y%m%dT%H%M%S.%f}_{run}"
+
+
 def batch_folder(path: str, partition_by: tuple[str, ...] = ()) -> BatchWriter:
-    """One Parquet folder per batch. A repeated batch overwrites its own folder, so replay adds nothing."""
+    """One Parquet folder per run and batch. A repeated batch overwrites its own folder, so replay adds nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+        if partition_by:
+            # Without this every task would write a file for every value.
+            batch = batch.hint("rebalance", *partition_by)
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{run_folder(batch, path)}/batch_id={batch_id}")
 
     return write
 
 
 def topic_folder(path: str) -> BatchWriter:
-    """JSON lines, one folder per batch: a topic that needs no service."""
+    """JSON lines, one folder per run and batch: a topic that needs no service."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        encode_rows(batch).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+        encode_rows(batch).write.mode("overwrite").text(f"{run_folder(batch, path)}/batch_id={batch_id}")
 
     return write
 

@@ -47,13 +47,22 @@ def test_filled_buckets(results):
         d.sentiment_over_time(results, fill=True)
 
 
+def test_far_dates_are_counted_but_nothing_is_filled_up_to_them(rows):
+    times = [("2024-01-01 00:01:00", "a"), ("2024-01-03 00:01:00", "a"), ("9999-12-31 00:01:00", "b"), (None, "a")]
+    df = rows(times, "t string, sentiment string").withColumn("event_time", F.col("t").cast("timestamp"))
+    filled = d.sentiment_over_time(df, labels=["a"], fill=True)
+    assert filled.count() == 2 * 288 + 1 + 1
+    assert [tuple(r) for r in filled.filter("n > 0").groupBy("sentiment").agg(F.sum("n")).orderBy("sentiment").collect()] == [("a", 2), ("b", 1)]
+
+
 def test_sentiment_columns(results):
     wide = clock(d.sentiment_columns(results, ["negative", "neutral", "positive"]))
     assert values(wide) == [("00:00", 0, 0, 2), ("00:05", 1, 0, 0), ("00:20", 0, 1, 0)]
 
 
 def test_time_ranges(results):
-    assert sorted(values(d.last_hour(results), "id")) == [1, 2, 3, 4]
+    assert sorted(values(d.last_hour(results, d.newest(results)), "id")) == [1, 2, 3, 4]
+    assert d.last_hour(results).count() == 0
     at = F.lit("2024-01-01 00:21:00").cast("timestamp")
     assert sorted(values(d.since(results, at, "16 minutes"), "id")) == [3, 4]
 
@@ -67,6 +76,7 @@ def test_latest_and_preview(results):
 def test_top_values_break_ties_by_name(results):
     assert [tuple(r) for r in d.top_values(results.dropna(subset="user"), "user", 2).collect()] == [("ann", 3), ("bob", 1)]
     assert [r.source for r in d.top_values(results.filter("id != 5"), "source").collect()] == ["s1", "s2"]
+    assert None not in [r.user for r in d.top_values(results, "user").collect()]
 
 
 def test_top_texts(results, spark):

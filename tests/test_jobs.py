@@ -8,7 +8,9 @@ from conftest import values
 from chatterlens import jobs
 from chatterlens.operators import models
 from chatterlens.operators.latest import read_log, upsert_view
+from chatterlens.functions.text import with_clean_text
 from chatterlens.sources.tables import CSV_OPTIONS
+from chatterlens.streaming.runner import progress_table
 
 POSITIVE = ["love this phone", "great video, thanks", "what a great day", "best thing ever", "really love it"]
 NEGATIVE = ["hate this ad", "worst video ever", "this is awful", "so bad", "I hate the lag"]
@@ -27,24 +29,41 @@ def test_train_validate_and_score(spark, rows, tmp_path, monkeypatch):
     sent = [{"text": t, "user": "u", "timestamp": "2024-01-01T00:00:00Z", "location": "x"} for t in ("I love it", "hate", "")]
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "a").write_text("\n".join([*map(json.dumps, sent), "broken"]) + "\n")
-    place = {name: str(tmp_path / name) for name in ("raw", "valid", "dead", "cp1", "cp2", "documents", "results")}
+    place = {name: str(tmp_path / name) for name in ("raw", "valid", "dead", "cp1", "cp2", "documents", "results", "progress", "unscored")}
     jobs.main(
         ["validate", "--input", place["raw"], "--valid", place["valid"], "--dead", place["dead"]]
-        + ["--checkpoint", place["cp1"], "--once"]
+        + ["--checkpoint", place["cp1"], "--once", "--progress", place["progress"]]
     )
     assert sorted(values(spark.read.parquet(place["dead"]), "reason")) == ["malformed_json", "missing_text"]
     jobs.main(
         ["score", "--input", place["valid"], "--model", str(tmp_path / "models" / "Naive_Bayes_model")]
         + ["--documents", place["documents"], "--results", place["results"], "--checkpoint", place["cp2"], "--once"]
+        + ["--dead", place["unscored"], "--unique-for", "10 minutes"]
     )
     documents = upsert_view(read_log(spark, place["documents"]))
     assert values(documents.select("text", "sentiment")) == [("I love it", "positive"), ("hate", "negative")]
     assert spark.read.text(place["results"]).count() == 2
+    assert progress_table(spark, place["progress"]).agg({"input_rows": "sum"}).first()[0] == 4
+
+
+def test_score_keeps_dead_letters_and_drops_repeats(spark, rows, tmp_path):
+    comments = rows([("good", "positive"), ("bad", "negative")], "Comment string, Sentiment string")
+    models.save_model(models.train(with_clean_text(comments, "Comment"), models.classifiers()["Naive_Bayes"]), str(tmp_path / "model"))
+    line = json.dumps({"text": "good day", "user": "u", "timestamp": "2024-01-01T00:00:00Z", "location": "x"})
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a").write_text("\n".join([line, line, line, "broken", '{"text":"x"}']) + "\n")
+    place = {name: str(tmp_path / name) for name in ("raw", "dead", "documents", "topic", "cp", "model")}
+    jobs.main(
+        ["score", "--input", place["raw"], "--model", place["model"], "--documents", place["documents"], "--once"]
+        + ["--dead", place["dead"], "--results", place["topic"], "--checkpoint", place["cp"], "--unique-for", "1 hour"]
+    )
+    assert sorted(values(spark.read.parquet(place["dead"]), "reason")) == ["malformed_json", "missing_user"]
+    assert read_log(spark, place["documents"]).count() == spark.read.text(place["topic"]).count() == 1
 
 
 def test_topics_of_a_cluster_need_no_folder():
     options = jobs._parser().parse_args(
-        ["score", "--servers", "k:9092", "--input", "in", "--model", "m", "--documents", "d", "--checkpoint", "c"]
+        ["score", "--servers", "k:9092", "--input", "in", "--model", "m", "--documents", "d", "--checkpoint", "c", "--dead", "x"]
     )
     assert options.run is jobs.score and options.results is None and options.starting == "earliest"
     with pytest.raises(SystemExit):

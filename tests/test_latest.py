@@ -1,3 +1,4 @@
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -65,10 +66,29 @@ def test_document_id_tells_equal_times_apart(rows):
 
 def test_upsert_log_and_compaction(spark, rows, tmp_path):
     log, compact = str(tmp_path / "log"), str(tmp_path / "compact")
-    rows([("a", 1), ("b", 1)], "id string, v int").write.parquet(f"{log}/batch_id=0")
-    rows([("b", 2), ("c", 2)], "id string, v int").write.parquet(f"{log}/batch_id=1")
+    rows([("a", 1), ("b", 1)], "id string, v int").write.parquet(f"{log}/run=1/batch_id=0")
+    rows([("b", 2), ("c", 2)], "id string, v int").write.parquet(f"{log}/run=1/batch_id=1")
     current = upsert_view(read_log(spark, log)).select("id", "v")
     assert values(current) == [("a", 1), ("b", 2), ("c", 2)]
     compact_log(spark, log, compact)
-    rows([("c", 3)], "id string, v int").write.parquet(f"{compact}/batch_id=2")
+    rows([("c", 3)], "id string, v int").write.parquet(f"{compact}/run=2/batch_id=0")
     assert values(upsert_view(read_log(spark, compact)).select("id", "v")) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_compaction_keeps_dates_and_its_source(spark, rows, tmp_path):
+    log, compact = str(tmp_path / "log"), str(tmp_path / "compact")
+    dated = rows([("a", "2024-01-01"), ("b", "2024-01-02")], "id string, event_date string")
+    for run in (1, 2):
+        dated.write.partitionBy("event_date").parquet(f"{log}/run={run}/batch_id=0")
+    compact_log(spark, log, compact)
+    assert len(list((tmp_path / "compact").glob("run=2/batch_id=0/event_date=*"))) == 2
+    assert read_log(spark, compact).count() == 2
+    with pytest.raises(ValueError):
+        compact_log(spark, log, log + "/")
+    assert read_log(spark, log).count() == 4
+
+
+def test_the_last_arrival_of_a_batch_stays(rows):
+    log = rows([("a", 1, 5, "later"), ("a", 1, 4, "earlier"), ("a", 0, 9, "before")], "id string, batch_id int, o int, v string")
+    log = log.withColumn("arrival", F.struct("o")).drop("o")
+    assert values(upsert_view(log), "v") == ["later"]

@@ -44,7 +44,6 @@ def test_tokens(rows):
 def test_label_index_order(rows):
     df = rows([("b",), ("b",), ("c",), ("a",)], "Sentiment string")
     assert list(f.fit_label_index(df).labels) == ["b", "a", "c"]
-    assert values(f.label_ranking(df)) == [("a", 1.0), ("b", 0.0), ("c", 2.0)]
 
 
 def test_vocabulary_order_and_size(comments):
@@ -85,6 +84,8 @@ def test_split_is_disjoint_complete_and_stable(spark):
     assert first == set(values(again, "id"))
     assert first.isdisjoint(values(test, "id")) and train.count() + test.count() == 2000
     assert 1500 < len(first) < 1700
+    unnamed = [part.count() for part in m.split_by_hash(spark.range(5).select(F.lit(None).cast("long").alias("id")), "id")]
+    assert unnamed == [5, 0]
     left, right = m.split_at_random(df)
     assert left.count() + right.count() == 2000
 
@@ -146,6 +147,7 @@ def test_comparison_survives_a_failing_candidate(comments, tmp_path):
     assert found["Broken"].accuracy == 0.0 and "missing" in found["Broken"].error
     assert found["Naive_Bayes"].error is None and found["Naive_Bayes"].accuracy > 0.8
     assert found["Naive_Bayes"].recall == pytest.approx(found["Naive_Bayes"].accuracy)
+    assert found["Naive_Bayes"].training_time >= found["Naive_Bayes"].fit_time > 0
     loaded = m.load_model(str(tmp_path / "Decision_Tree_model"))
     assert loaded.transform(comments).count() == comments.count()
 
@@ -158,3 +160,23 @@ def test_all_four_classifiers_train(comments):
     compared = m.compare_models(comments, comments, small, parallelism=4)
     assert [r.model for r in compared.collect()] == list(small)
     assert compared.filter(F.col("error").isNull()).count() == 4
+
+
+def test_a_model_that_cannot_be_saved_keeps_its_metrics(comments, tmp_path, monkeypatch):
+    def no_room(model, path):
+        raise OSError("disk is full")
+
+    monkeypatch.setattr(m, "save_model", no_room)
+    seen = []
+    only = {"Naive_Bayes": m.classifiers()["Naive_Bayes"]}
+    compared = m.compare_models(comments, comments, only, str(tmp_path), inspect=lambda name, rows: seen.append((name, rows.count())))
+    row = compared.first()
+    assert row.accuracy > 0.8 and "disk is full" in row.error
+    assert seen == [("Naive_Bayes", comments.count())]
+
+
+def test_text_is_tokenised_once(comments):
+    weighted = f.weighted_terms(f.kept_words(comments), ["id"])
+    weighted.collect()
+    plan = weighted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Generate ") == 1

@@ -39,22 +39,6 @@ def test_a_sessions_folders_can_be_dropped(spark):
         spark.read.parquet(folder)
 
 
-def test_spread_only_touches_small_scans_of_few_files(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(1000).repartition(8).write.parquet(str(tmp_path / "many"))
-    one, many = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "many"))
-    assert session.spread(one, "id").rdd.getNumPartitions() == 4
-    assert session.spread(many, "id") is many
-
-
-def test_broadcast_hint_needs_a_bound(spark):
-    def hinted(rows):
-        plan = session.bounded(spark.range(5), rows)._jdf.queryExecution().analyzed().toString()
-        return "ResolvedHint" in plan
-
-    assert hinted(10_000) and not hinted(10_000_000)
-
-
 def test_prepare(spark):
     session.prepare(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

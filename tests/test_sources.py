@@ -154,8 +154,8 @@ def test_results_are_stored_by_date(spark, rows, tmp_path):
 
     df = rows([("a", "2024-01-01 10:00:00"), ("b", "2024-01-03 10:00:00"), ("c", None)], "text string, event_time string")
     path = str(tmp_path / "results")
-    write_results(conform(df), path)
-    write_results(conform(df.repartition(8)), str(tmp_path / "gathered"), gather=True)
+    write_results(conform(df), path, gather=False)
+    write_results(conform(df.repartition(8)), str(tmp_path / "gathered"))
     assert values(read_results(spark, str(tmp_path / "gathered"))) == values(read_results(spark, path))
     assert len(list((tmp_path / "gathered").glob("*/*.parquet"))) == 3
     stored = read_results(spark, path)

@@ -41,14 +41,16 @@ def test_validate_stream_equals_batch(spark, rows, tmp_path):
     stream = read_messages(spark, "text", str(tmp_path / "in"), max_per_trigger=1)
     at = F.lit("2024-02-01").cast("timestamp")
     folders = [str(tmp_path / name) for name in ("valid", "dead")]
-    query = jobs.validate_stream(
-        stream, *[sinks.batch_folder(p) for p in folders], str(tmp_path / "cp"), NOW, at, name="checked"
-    )
-    finish(query)
+    with runner.progress_logged(spark, str(tmp_path / "progress")):
+        finish(
+            jobs.validate_stream(
+                stream, *[sinks.batch_folder(p) for p in folders], str(tmp_path / "cp"), NOW, at, name="checked"
+            )
+        )
     expected = route(decode_messages(rows([(r,) for r in RAW], "value string")), at)
     for path, batch in zip(folders, expected):
-        assert values(spark.read.parquet(path).drop("batch_id")) == values(batch)
-    progress = runner.progress_table(spark, query)
+        assert values(spark.read.parquet(path).drop("run", "batch_id")) == values(batch)
+    progress = runner.progress_table(spark, str(tmp_path / "progress"))
     assert [r.input_rows for r in progress.filter("input_rows > 0").orderBy("batch_id").collect()] == [2, 2]
     observed = progress.agg(*[F.sum(F.col("observed")[f"validation.{n}"]).alias(n) for n in ("messages", "valid", "invalid")])
     assert tuple(observed.first()) == (4, 2, 2)
@@ -77,7 +79,7 @@ def test_fan_out_gives_all_sinks_the_same(spark, tmp_path):
     documents = upsert_view(read_log(spark, str(tmp_path / "docs")))
     sent = spark.read.schema("value string").text(str(tmp_path / "topic"))
     sent = sent.select(F.from_json("value", "id string, sentiment string, predicted_at timestamp").alias("r")).select("r.*")
-    stored = documents.select("id", "sentiment", F.date_trunc("millisecond", "predicted_at").alias("predicted_at"))
+    stored = documents.select("id", "sentiment", "predicted_at")
     assert values(stored) == values(sent) and stored.count() == 2
     assert sorted(values(sent, "sentiment")) == ["negative", "positive"]
     again = spark.read.parquet(str(tmp_path / "docs"))
@@ -91,6 +93,24 @@ def test_repeated_batch_overwrites_itself(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 6
 
 
+def test_another_checkpoint_writes_beside_the_first(spark, tmp_path):
+    feed(tmp_path / "in", ("a", RAW))
+    out = str(tmp_path / "out")
+    for checkpoint in ("cp1", "cp1", "cp2"):
+        stream = read_messages(spark, "text", str(tmp_path / "in"))
+        finish(runner.start_batches(stream, sinks.batch_folder(out), str(tmp_path / checkpoint), NOW))
+    log = read_log(spark, out)
+    assert log.count() == 8 and log.select("run").distinct().count() == 2
+    assert values(log.select("batch_id").distinct(), "batch_id") == [0]
+
+
+def test_only_repeats_run_python_in_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = event_stream(spark, tmp_path / "in")
+    plans = [rows._jdf.queryExecution().logical().toString() for rows in (jobs.drop_repeats_stream(stream), jobs.live_sentiment(stream))]
+    assert [plan.count("MapInArrow") for plan in plans] == [1, 0]
+
+
 def test_empty_batches_are_skipped(spark):
     seen = []
     write = sinks.fan_out(lambda batch, batch_id: seen.append(batch_id))

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from chatterlens.operators.validate import (
     decode_messages,
     extract_fields,
-    is_valid,
     route,
     validation_report,
     with_reason,
@@ -58,8 +57,9 @@ def test_route_is_a_partition_of_the_input(rows):
 
 
 def test_valid_rule(rows):
-    df = rows([("a", "b"), ("a", None), (None, "b"), (" ", "b"), ("a", "\r\n")], "t string, u string")
-    assert values(df.select(is_valid(F.col("t"), F.col("u")).alias("v")), "v") == [True, False, False, False, False]
+    df = rows([("a", "b"), ("a", None), (None, "b"), (" ", "b"), ("a", "\r\n")], "text string, user string")
+    judged = with_reason(df.withColumn("malformed", F.lit(False)))
+    assert [r.reason is None for r in judged.collect()] == [True, False, False, False, False]
 
 
 def test_report_counts_every_problem(rows):
