@@ -21,7 +21,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     Tokenizer,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterlens.functions.text import each
@@ -116,21 +116,31 @@ def apply_stages(df: DataFrame, stages: list[Transformer]) -> DataFrame:
     return df
 
 
+# Counted once per document; words hold no white space, so it is none of them.
+_DOCUMENT = "\n"
+
+
 def term_counts(words: DataFrame, keys: list[str]) -> DataFrame:
     """Occurrences per document (``keys``) and term. A document is one row, so its terms meet before the shuffle.
 
-    Every document also has one row with a null term, so that documents can be counted without reading them again.
+    Every document also has one row for itself, a line break, so that documents need not be read again to be counted.
     """
-    marked = F.concat(F.array(F.lit(None).cast("string")), F.col(KEPT_WORDS))
-    return words.select(*keys, each(marked).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    marked = F.concat(F.array(F.lit(_DOCUMENT)), F.col(KEPT_WORDS))
+    exploded = words.select(*keys, each(marked).alias("term")).filter("term is not null")
+    return exploded.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
 def term_weights(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """(term, n, df, idf) of the vocabulary: ``ln((documents + 1) / (documents with the term + 1))``."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
-    documents = F.coalesce(terms.filter("term IS NULL").agg(F.first("df")).scalar(), F.lit(0))
-    known = terms.filter("term IS NOT NULL").orderBy(F.desc("n"), F.asc("term")).limit(size)
-    return known.withColumn("idf", F.log((documents + 1) / (F.col("df") + 1)))
+    document = F.col("term") == _DOCUMENT
+    known = terms.orderBy(document.desc(), F.desc("n"), F.asc("term")).limit(size + 1)
+    # At most size + 1 rows, so one window holds them all.
+    documents = F.max(F.when(document, F.col("df"))).over(Window.partitionBy())
+    idf = F.log((documents + 1) / (F.col("df") + 1))
+    # Nulled rather than compared, as the comparison would reach the counts through a join and make them anew.
+    known = known.select(F.when(~document, F.col("term")).alias("term"), "n", "df", idf.alias("idf"))
+    return known.filter("term is not null")
 
 
 def weighted_terms(words: DataFrame, keys: list[str], size: int = VOCABULARY_SIZE) -> DataFrame:
