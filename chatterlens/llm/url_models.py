@@ -80,20 +80,20 @@ def log_ratios(counts: DataFrame) -> DataFrame:
     length = F.length("run")
     contexts = counts.select(F.substring(F.col("run"), F.lit(1), length - 1).alias("context"), "allowed", "blocked", length.alias("n"))
     contexts = contexts.groupBy("context", "n").agg(F.sum("allowed").alias("all_allowed"), F.sum("blocked").alias("all_blocked"))
-    done = None
+    orders = []
     for n in range(1, ORDER + 1):
         runs = counts.where(length == n).withColumn("context", F.substring("run", 1, n - 1))
         runs = runs.join(contexts.where(F.col("n") == n).drop("n"), "context")
-        if done is None:
+        if n == 1:
             runs = runs.withColumn("p_allowed", F.lit(1 / SYMBOLS)).withColumn("p_blocked", F.lit(1 / SYMBOLS))
         else:
-            shorter = done.select(F.col("run").alias("shorter"), "p_allowed", "p_blocked").where(F.length("shorter") == n - 1)
+            shorter = orders[-1].select(F.col("run").alias("shorter"), "p_allowed", "p_blocked")
             runs = runs.withColumn("shorter", F.substring("run", 2, n)).join(shorter, "shorter").drop("shorter")
         for how in ("allowed", "blocked"):
             p = (F.col(how) + SMOOTHING * F.col(f"p_{how}")) / (F.col(f"all_{how}") + SMOOTHING)
             runs = runs.withColumn(f"p_{how}", p)
-        runs = runs.select("run", "allowed", "blocked", "p_allowed", "p_blocked")
-        done = runs if done is None else done.union(runs)
+        orders.append(stored(runs.select("run", "allowed", "blocked", "p_allowed", "p_blocked"), "url-chances"))
+    done = reduce(DataFrame.union, orders)
     seen = F.col("allowed") + F.col("blocked")
     return done.select("run", seen.alias("seen"), F.log(F.col("p_allowed") / F.col("p_blocked")).alias("ratio"))
 
