@@ -158,13 +158,13 @@ def licences(
     directories = rows.where("path IS NOT NULL").select(directory(F.col("path")).alias("directory")).distinct()
     given = inherited(directories, held)
     own = own.select(F.col("path").alias("__path"), F.col("key").alias("__key"), F.col("licence").alias("__own"), F.col("score").alias("__own_score"))
-    given = given.select(F.col("directory").alias("__directory"), "from", F.col("licence").alias("__given"), F.col("score").alias("__given_score"))
+    given = given.select(F.col("directory").alias("__directory"), F.col("from").alias("__from"), F.col("licence").alias("__given"), F.col("score").alias("__given_score"))
     found = files.join(_checked(own), (F.col(path) == F.col("__path")) & (key == F.col("__key")), "left")
     found = found.join(_checked(given), directory(F.col(path)) == F.col("__directory"), "left")
     return found.select(
         *[f"`{name}`" for name in files.columns],
         F.coalesce("__own", "__given").alias("licence"),
-        F.when(F.col("__own").isNotNull(), F.col(path)).otherwise(F.col("from")).alias("licence_from"),
+        F.when(F.col("__own").isNotNull(), F.col(path)).otherwise(F.col("__from")).alias("licence_from"),
         F.when(F.col("__own").isNotNull(), "own").when(F.col("__given").isNotNull(), "inherited").alias("licence_how"),
         F.coalesce("__own_score", "__given_score").alias("licence_score"),
     )

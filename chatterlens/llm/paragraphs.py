@@ -131,8 +131,8 @@ def _checked(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def _same_row(id_: Column, key: Column) -> Column:
-    return id_.eqNullSafe(F.col("row.id")) & (key == F.col("row.key"))
+def _same_row(id_: Column, key: Column, row: str) -> Column:
+    return id_.eqNullSafe(F.col(f"{row}.id")) & (key == F.col(f"{row}.key"))
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, bands: int, percent: int) -> DataFrame:
@@ -145,7 +145,7 @@ def similar_classes(docs: DataFrame, classes: DataFrame, bands: int, percent: in
     pairs = stored(pairs.select("class", "row", "place", "first").distinct(), "paragraph-pairs")
     ends = pairs.select("class", "row", "place").union(pairs.select("first.class", "first.row", "first.place"))
     places = ends.distinct().groupBy("row").agg(F.collect_list("place").alias("places"))
-    texts = docs.join(_checked(stored(places, "places")), _same_row(F.col("id"), F.col("key")))
+    texts = docs.join(_checked(stored(places, "places")), _same_row(F.col("id"), F.col("key"), "row"))
     sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>")
     sets = stored(sets.dropDuplicates(["class"]), "paragraph-sets")
     one, two = (sets.select(F.col("class").alias(c), F.col("values").alias(f"values_{c}")) for c in "ab")
@@ -208,11 +208,11 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     """
     found = repeated_passages(docs, key, text, percent)
     spans = found.groupBy("id", "key").agg(F.array_sort(F.collect_list(F.array("begin", "end"))).alias("__spans"))
-    spans = stored(spans.select(F.struct("id", "key").alias("row"), "__spans"), "spans")
+    spans = stored(spans.select(F.struct("id", "key").alias("__row"), "__spans"), "spans")
     names = [f"`{name}`" for name in docs.columns]
     added = [T.StructField("__spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("__empty", T.BooleanType())]
     schema = T.StructType([*docs.schema.fields, *added])
-    same = _same_row(F.col(f"`{key}`").cast("long"), text_key(text))
+    same = _same_row(F.col(f"`{key}`").cast("long"), text_key(text), "__row")
     joined = docs.join(_checked(spans), same, "left").select(*names, "__spans")
     left = joined.mapInArrow(_cutter(text), schema)
     return left.where("NOT __empty").select(*names)

@@ -83,13 +83,13 @@ class Lengths:
 _workers: dict[tuple[str, int], Lengths] = {}
 
 
-def _counter(path: str, table) -> Callable:
+def _counter(path: str, table, column: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One cache for each worker process and table, shared by the tasks that the worker runs.
         lengths = _workers.setdefault((path, id(table)), Lengths(path, table.value))
-        for batch in slices(batches, "text"):
-            counts = lengths.of(["" if text is None else text for text in batch.column("text").to_pylist()])
-            kept = [name for name in batch.schema.names if name != "text"]
+        for batch in slices(batches, column):
+            counts = lengths.of(["" if text is None else text for text in batch.column(column).to_pylist()])
+            kept = [name for name in batch.schema.names if name != column]
             columns = [batch.column(name) for name in kept] + [pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "n_tokens"])
 
@@ -137,6 +137,5 @@ def token_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     table = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, text, path))
     rows = docs.drop("n_tokens") if text != "n_tokens" else docs
-    rows = rows.withColumnRenamed(text, "text") if text != "text" else rows
-    fields = [field for field in rows.schema.fields if field.name != "text"]
-    return rows.mapInArrow(_counter(path, table), T.StructType([*fields, T.StructField("n_tokens", T.LongType())]))
+    fields = [field for field in rows.schema.fields if field.name != text]
+    return rows.mapInArrow(_counter(path, table, text), T.StructType([*fields, T.StructField("n_tokens", T.LongType())]))

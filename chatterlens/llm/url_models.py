@@ -140,10 +140,10 @@ def judged(pages: DataFrame, rules: Rules = RULES, url: str = "url") -> DataFram
     parts = known.join(scored, "url").groupBy("verdict")
     parts = parts.agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).collect()
     least = threshold({row.verdict: (row.mean, row.spread) for row in parts})
-    scored = scored.withColumnRenamed("url", "scored_url")
+    scored = scored.select(F.col("url").alias("__url"), F.col("score").alias("__score"))
     scored = F.broadcast(scored) if scored.count() <= BROADCAST_ROWS else scored
-    found = ruled.join(scored, F.col(url) == F.col("scored_url"), "left").drop("scored_url")
-    found = found.withColumn("score", F.coalesce("score", F.lit(0.0)))
+    found = ruled.join(scored, F.col(url) == F.col("__url"), "left").drop("__url")
+    found = found.withColumn("score", F.coalesce("__score", F.lit(0.0))).drop("__score")
     learned = F.when(F.col("score") >= F.lit(least), "allow").otherwise("block")
     return found.withColumn("verdict", F.coalesce("verdict", learned))
 
