@@ -90,7 +90,7 @@ def with_log_weight(docs: DataFrame, ratios: np.ndarray, text: str, column: str
         for batch in slices(batches, text):
             buckets, rows = features(batch.column(text))
             total = np.bincount(rows, weights=shared.value[buckets], minlength=batch.num_rows)
-            total /= np.sqrt(np.maximum(1, np.bincount(rows, minlength=batch.num_rows)))
+            total = total / np.sqrt(np.maximum(1, np.bincount(rows, minlength=batch.num_rows)))
             yield batch.append_column(column, pa.array(total, pa.float64()))
 
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
