@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, slices, words_of
-from chatterlens.llm.steps import connected_components, stored
+from chatterlens.llm.steps import connected_components, lasting, stored, temporary
 
 K = 32
 PAIRED = 32
@@ -240,34 +240,36 @@ def near_duplicates(
     own component. Rows with equal texts are linked whatever their ids; a null id never becomes a component's id
     unless all are null. Other columns are not read.
     """
-    rows = docs.select(F.col(key).alias("id"), text_key(text).alias("key"), F.col(text).alias("text"))
-    rows = stored(sketches(rows, "text", length, k), "sketches")
-    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("values").alias("values"), F.min(F.struct("key", "id")).alias("first")
-    )
-    nodes = stored(nodes, "nodes")
-    members = stored(groups(postings(nodes, k, percent)), "groups")
-    pairs = stored(likely(candidates(members), nodes, k, percent), "pairs")
-    sizes = members.groupBy("pivot").agg(F.count("*").alias("size")).where(F.col("size") >= PAIRED)
-    large = stored(members.join(sizes, "pivot").select("pivot", "node"), "large-groups")
-    wanted = [pairs.select(F.col(c).alias("node")) for c in "ab"] + [large.select(F.col(c).alias("node")) for c in ("pivot", "node")]
-    wanted = wanted[0].union(wanted[1]).union(wanted[2]).union(wanted[3]).distinct()
-    sets = stored(full_sets(docs, key, text, length, nodes, wanted), "sets")
-    links = stored(confirmed(pairs, sets, percent), "links")
-    components = connected_components(links)
-    if not large.isEmpty():
-        ranked = stored(ranked_sets(large, sets, percent), "ranked-sets")
-        for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
-            more = step(large, with_component(ranked, components))
-            more = likely(_ordered(more).distinct(), nodes, k, percent)
-            links = stored(links.union(confirmed(more, sets, percent)), "links")
-            components = connected_components(links)
-    linked = rows.select("id", "key", F.col("n").alias("n_shingles"), "node").join(components, "node", "left")
-    linked = linked.withColumn("component", F.coalesce("component", "node")).drop("node")
-    first = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("component_id"))
-    return linked.join(first, "component", "left").select(
-        "id", "key", "n_shingles", "component", F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    with temporary(docs.sparkSession):
+        rows = docs.select(F.col(key).alias("id"), text_key(text).alias("key"), F.col(text).alias("text"))
+        rows = stored(sketches(rows, "text", length, k), "sketches")
+        nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
+            F.first("n").alias("n"), F.first("values").alias("values"), F.min(F.struct("key", "id")).alias("first")
+        )
+        nodes = stored(nodes, "nodes")
+        members = stored(groups(postings(nodes, k, percent)), "groups")
+        pairs = stored(likely(candidates(members), nodes, k, percent), "pairs")
+        sizes = members.groupBy("pivot").agg(F.count("*").alias("size")).where(F.col("size") >= PAIRED)
+        large = stored(members.join(sizes, "pivot").select("pivot", "node"), "large-groups")
+        wanted = [pairs.select(F.col(c).alias("node")) for c in "ab"] + [large.select(F.col(c).alias("node")) for c in ("pivot", "node")]
+        wanted = wanted[0].union(wanted[1]).union(wanted[2]).union(wanted[3]).distinct()
+        sets = stored(full_sets(docs, key, text, length, nodes, wanted), "sets")
+        links = stored(confirmed(pairs, sets, percent), "links")
+        components = connected_components(links)
+        if not large.isEmpty():
+            ranked = stored(ranked_sets(large, sets, percent), "ranked-sets")
+            for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
+                more = step(large, with_component(ranked, components))
+                more = likely(_ordered(more).distinct(), nodes, k, percent)
+                links = stored(links.union(confirmed(more, sets, percent)), "links")
+                components = connected_components(links)
+        linked = rows.select("id", "key", F.col("n").alias("n_shingles"), "node").join(components, "node", "left")
+        linked = linked.withColumn("component", F.coalesce("component", "node")).drop("node")
+        first = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("component_id"))
+        found = linked.join(first, "component", "left").select(
+            "id", "key", "n_shingles", "component", F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
+        )
+        return lasting(found, "near-duplicates")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 5, percent: int = 80) -> DataFrame:
@@ -277,7 +279,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", length: i
     without words stay, all of them, but for such repeats of null texts with the same id, which stay too.
     """
     found = near_duplicates(docs, key, text, length, percent).where("component IS NOT NULL")
-    found = stored(found.select("id", "key", "component"), "near-duplicates")
     first = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"), F.count("*").alias("rows"))
     first = first.where("rows > 1")
     lost = found.join(first, "component").where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))))

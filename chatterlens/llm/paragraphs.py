@@ -22,13 +22,13 @@ from pyspark.sql import types as T
 
 from chatterlens.llm.bottom_k import BROADCAST_ROWS, text_key
 from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, slices, words_of
-from chatterlens.llm.steps import connected_components, stored
+from chatterlens.llm.steps import connected_components, lasting, release, stored, temporary
 
 SHINGLE = 5
 PARAGRAPH = 24
 PASSAGE = 50
 PERCENT = 80
-ROWS = 2
+ROWS = 1
 RECALL = 0.95
 _POSITION_BITS = np.uint64(28)
 _SEEDS = mixed(np.arange(1, 65, dtype=np.uint64))
@@ -68,7 +68,7 @@ def anchors(words: Words, hashes: np.ndarray) -> np.ndarray:
 
 
 def _paragraphs(bands: int):
-    """Arrow function: (id, key, text) to one row per text with lists of positions, classes and band keys."""
+    """Arrow function: (row, text) to the place, class and band keys of every paragraph."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -78,8 +78,7 @@ def _paragraphs(bands: int):
             at = anchors(words, shingles)
             at, row = _thinned(at, whole[at], words.text_of_word()[at]) if len(at) else (at, at)
             columns = {
-                "id": batch.column("id").take(pa.array(row)),
-                "key": batch.column("key").take(pa.array(row)),
+                "row": batch.column("row").take(pa.array(row)),
                 "place": pa.array(at - words.first[row], pa.int64()),
                 "class": pa.array(as_long(whole[at]), pa.int64()),
             }
@@ -131,73 +130,94 @@ def _checked(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def _same_row(id_: Column, key: Column, row: str) -> Column:
-    return id_.eqNullSafe(F.col(f"{row}.id")) & (key == F.col(f"{row}.key"))
+def row_key(key: str, text: str) -> Column:
+    """One number for id and text; rows that repeat both are one document."""
+    return F.xxhash64(F.col(f"`{key}`").cast("long"), text_key(text))
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, bands: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes that collide in a band and whose shingles are similar enough."""
-    bands_of = F.array(*[F.col(f"band{band}") for band in range(bands)])
-    entries = classes.select("class", "row", "place", F.explode(bands_of).alias("band"))
+def colliding_classes(classes: DataFrame, bands: int) -> DataFrame:
+    """Pairs (a, b) of each class with the first class of its band, unless both are of one text."""
+    band_of = F.explode(F.array(*[F.col(f"band{band}") for band in range(bands)]))
+    entries = classes.select("class", "row", band_of.alias("band"))
     in_band = Window.partitionBy("band").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = F.first(F.struct("class", "row", "place")).over(in_band)
-    pairs = entries.withColumn("first", first).where("class != first.class AND row != first.row")
-    pairs = stored(pairs.select("class", "row", "place", "first").distinct(), "paragraph-pairs")
-    ends = pairs.select("class", "row", "place").union(pairs.select("first.class", "first.row", "first.place"))
-    places = ends.distinct().groupBy("row").agg(F.collect_list("place").alias("places"))
-    texts = docs.join(_checked(stored(places, "places")), _same_row(F.col("id"), F.col("key"), "row"))
+    pairs = entries.withColumn("first", F.first(F.struct("class", "row")).over(in_band))
+    pairs = pairs.where("class != first.class AND row != first.row")
+    return pairs.select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
+
+
+def similar_classes(docs: DataFrame, found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose shingles are similar enough, taken from one paragraph of each class."""
+    ends = _checked(stored(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "wanted"), "ends"))
+    places = found.join(ends, F.col("class") == F.col("wanted")).groupBy("class")
+    places = places.agg(F.first("row").alias("row"), F.first("place").alias("place"))
+    places = places.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list("place").alias("places"))
+    texts = docs.join(_checked(stored(places, "places")), F.col("row") == F.col("wanted_row"))
     sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>")
     sets = stored(sets.dropDuplicates(["class"]), "paragraph-sets")
     one, two = (sets.select(F.col("class").alias(c), F.col("values").alias(f"values_{c}")) for c in "ab")
-    both = pairs.select(F.col("class").alias("b"), F.col("first.class").alias("a")).distinct().join(two, "b").join(one, "a")
+    both = pairs.join(two, "b").join(one, "a")
     shared = F.size(F.array_intersect("values_a", "values_b"))
     union = F.size("values_a") + F.size("values_b") - shared
     return both.where(100 * shared >= percent * union).select("a", "b")
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, key, kept_id, begin, end) of every passage to cut: word positions, end exclusive.
+    """(id, row, kept_id, begin, end) of every passage to cut: word positions, end exclusive.
 
     Words are parted by ASCII blanks, A-Z lower-cased; shingles have ``SHINGLE`` words. A passage is made of the
     paragraphs of one text that are equal or similar (``percent``) to such of the smallest document of their
-    component, ``kept_id``; overlapping ones are one passage. Repeats within that smallest document stay. ``key`` is
-    a hash of the text; documents are ordered by id, a null id last, then by ``key``, and rows that repeat both are
+    component, ``kept_id``; overlapping ones are one passage. Repeats within that smallest document stay. ``row`` is a
+    hash of id and text; documents are ordered by id, a null id last, then by ``row``, and rows that repeat both are
     one document. Null and empty texts and those with fewer words than a paragraph have no passages. An empty table
     gives an empty result. Other columns are not read.
     """
     bands = bands_for(percent / 100)
-    docs = docs.select(F.col(key).cast("long").alias("id"), text_key(text).alias("key"), F.col(text).alias("text"))
-    schema = "id long, key long, place long, class long, " + ", ".join(f"band{band} long" for band in range(bands))
-    found = stored(docs.mapInArrow(_paragraphs(bands), schema), "paragraphs")
-    row = F.struct(F.col("id").isNull().alias("none"), "id", "key")
-    classes = found.groupBy("class").agg(
-        F.min(F.struct(row.alias("row"), "place")).alias("least"),
-        F.max(row).alias("last"),
-        *[F.first(f"band{band}").alias(f"band{band}") for band in range(bands)],
-    )
-    classes = classes.select("class", "least.row", "least.place", (F.col("last") != F.col("least.row")).alias("repeated"), *[f"band{band}" for band in range(bands)])
-    classes = stored(classes, "classes")
-    links = stored(similar_classes(docs, classes, bands, percent), "paragraph-links")
-    components = connected_components(links).select(F.col("node").alias("class"), "component")
-    wanted = classes.where("repeated").select("class").union(components.select("class")).distinct()
-    wanted = wanted.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    wanted = wanted.join(classes.select("class", "row"), "class")
-    kept = wanted.groupBy("component").agg(F.min("row").alias("kept"))
-    wanted = stored(wanted.join(kept, "component").select(F.col("class").alias("wanted"), "kept"), "wanted")
-    cut = found.select("id", "key", "place", "class").join(_checked(wanted), F.col("class") == F.col("wanted"))
-    cut = cut.where(~(F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("key") == F.col("kept.key"))))
-    cut = cut.select("id", "key", "place", F.col("kept.id").alias("kept_id"))
-    return _passages(cut)
+    docs = docs.select(F.col(key).cast("long").alias("id"), row_key(key, text).alias("row"), F.col(text).alias("text"))
+    with temporary(docs.sparkSession):
+        schema = "row long, place long, class long, " + ", ".join(f"band{band} long" for band in range(bands))
+        found = stored(docs.select("row", "text").mapInArrow(_paragraphs(bands), schema), "paragraphs")
+        classes = found.groupBy("class").agg(
+            F.min("row").alias("row"),
+            F.max("row").alias("last"),
+            *[F.first(f"band{band}").alias(f"band{band}") for band in range(bands)],
+        )
+        repeated = (F.col("row") != F.col("last")).alias("repeated")
+        classes = stored(classes.select("class", "row", repeated, *[f"band{band}" for band in range(bands)]), "classes")
+        release(docs.sparkSession)
+        pairs = stored(colliding_classes(classes, bands), "paragraph-pairs")
+        release(docs.sparkSession)
+        links = stored(similar_classes(docs, found, pairs, percent), "paragraph-links")
+        components = connected_components(links).select(F.col("node").alias("class"), "component")
+        wanted = classes.where("repeated").select("class").union(components.select("class")).distinct()
+        wanted = wanted.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))
+        held = found.select("row", "place", "class").join(wanted, F.col("class") == F.col("wanted")).drop("wanted", "class")
+        held = stored(held, "repeated-paragraphs")
+        cut = stored(_later_rows(docs, held), "later-paragraphs")
+        return lasting(_passages(cut), "passages")
+
+
+def _later_rows(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """(id, row, place, kept_id) of the paragraphs (row, place, component) that are not of the component's first text."""
+    ids = docs.select("id", "row").join(held.select("row").distinct(), "row", "left_semi").distinct()
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    named = held.join(ids, "row")
+    kept = named.groupBy("component").agg(F.min(order).alias("kept"))
+    later = named.join(kept, "component").where("row != kept.row")
+    return later.select("id", "row", "place", F.col("kept.id").alias("kept_id"))
 
 
 def _passages(cut: DataFrame) -> DataFrame:
     """Join overlapping paragraphs of a text, and those that a gap of less than a shingle parts."""
-    by_place = Window.partitionBy("id", "key").orderBy("place")
+    by_place = Window.partitionBy("row").orderBy("place")
     apart = F.col("place") - F.lag("place").over(by_place) >= PARAGRAPH + SHINGLE
     run = F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(by_place)
-    runs = cut.distinct().withColumn("run", run).groupBy("id", "key", "run")
-    ends = runs.agg(F.min("kept_id").alias("kept_id"), F.min("place").alias("begin"), F.max("place").alias("last"))
-    return ends.select("id", "key", "kept_id", "begin", (F.col("last") + PARAGRAPH).alias("end"))
+    cut = cut.groupBy("row", "place").agg(F.first("id").alias("id"), F.min("kept_id").alias("kept_id"))
+    runs = cut.withColumn("run", run).groupBy("row", "run")
+    ends = runs.agg(
+        F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("place").alias("begin"), F.max("place").alias("last")
+    )
+    return ends.select("id", "row", "kept_id", "begin", (F.col("last") + PARAGRAPH).alias("end"))
 
 
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -207,13 +227,12 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     included.
     """
     found = repeated_passages(docs, key, text, percent)
-    spans = found.groupBy("id", "key").agg(F.array_sort(F.collect_list(F.array("begin", "end"))).alias("__spans"))
-    spans = stored(spans.select(F.struct("id", "key").alias("__row"), "__spans"), "spans")
+    spans = found.groupBy(F.col("row").alias("__row")).agg(F.array_sort(F.collect_list(F.array("begin", "end"))).alias("__spans"))
+    spans = stored(spans, "spans")
     names = [f"`{name}`" for name in docs.columns]
     added = [T.StructField("__spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("__empty", T.BooleanType())]
     schema = T.StructType([*docs.schema.fields, *added])
-    same = _same_row(F.col(f"`{key}`").cast("long"), text_key(text), "__row")
-    joined = docs.join(_checked(spans), same, "left").select(*names, "__spans")
+    joined = docs.join(_checked(spans), row_key(key, text) == F.col("__row"), "left").select(*names, "__spans")
     left = joined.mapInArrow(_cutter(text), schema)
     return left.where("NOT __empty").select(*names)
 

@@ -2,19 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterlens.session import shared_folder
 
+_temporary: list[list[str]] = []
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a result to the shared folder and read it back: short lineage, and lost executors lose nothing."""
     folder = shared_folder(df.sparkSession, purpose)
+    if _temporary:
+        _temporary[-1].append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete what is stored inside, and let Spark drop the shuffle files of what was computed from it.
+
+    What comes out has to be stored by ``lasting`` before.
+    """
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for folder in _temporary.pop():
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        release(spark)
+
+
+def lasting(df: DataFrame, purpose: str) -> DataFrame:
+    """Store a result that outlives the innermost ``temporary``."""
+    inner = _temporary.pop()
+    try:
+        return stored(df, purpose)
+    finally:
+        _temporary.append(inner)
+
+
+def release(spark: SparkSession) -> None:
+    """Have shuffle files of finished jobs deleted; Spark does so once the driver has collected its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (a, b); a component's name is its smallest node.
 
