@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -35,8 +37,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on.
 
     Zone-less timestamps are read, bucketed and printed as UTC. On a cluster streaming state lies in RocksDB rather
-    than on the heap, unless the session names another store.
+    than on the heap, unless the session names another store. Python workers find this package where the driver has
+    it; a cluster whose machines do not share that folder gets it with ``--py-files``.
     """
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = [place for place in environment.get("PYTHONPATH", "").split(os.pathsep) if place]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if not is_local(spark) and spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
         spark.conf.set(STATE_STORE, ROCKSDB)

@@ -16,6 +16,7 @@ def pretend(master, **settings):
 
     Session.sparkContext.master = master
     Session.sparkContext.applicationId = "app-1"
+    Session.sparkContext.environment = {}
     return Session
 
 
