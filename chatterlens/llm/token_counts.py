@@ -80,13 +80,17 @@ class Lengths:
         return counts
 
 
-_workers: dict[tuple[str, int], Lengths] = {}
+# One cache for each worker process, shared by the tasks that it runs with the same table.
+_worker: dict[tuple[str, int], Lengths] = {}
 
 
 def _counter(path: str, table, column: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # One cache for each worker process and table, shared by the tasks that the worker runs.
-        lengths = _workers.setdefault((path, id(table)), Lengths(path, table.value))
+        frequent = table.value
+        if (path, len(frequent)) not in _worker:
+            _worker.clear()
+            _worker[path, len(frequent)] = Lengths(path, frequent)
+        lengths = _worker[path, len(frequent)]
         for batch in slices(batches, column):
             counts = lengths.of(["" if text is None else text for text in batch.column(column).to_pylist()])
             kept = [name for name in batch.schema.names if name != column]
