@@ -295,7 +295,7 @@ def _tree_classes(spark: SparkSession, sf_dir: str, model: PipelineModel) -> Dat
     fit = model.stages[-1]
     fit.save(path)
     nodes = spark.read.parquet(f"{path}/data")
-    nodes = nodes.select("treeID", "nodeData.*") if "nodeData" in nodes.columns else nodes.withColumn("treeID", F.lit(0))
+    nodes = nodes.select("treeID", "nodeData.*") if "nodeData" in nodes.columns else nodes.withColumn("treeID", F.col("id") * 0)
     limit = F.when(F.col("leftChild") >= 0, F.col("split.leftCategoriesOrThreshold")[0])
     nodes = nodes.select(
         "treeID", F.col("id").alias("at"), "leftChild", "rightChild", F.col("split.featureIndex").alias("feature"),
@@ -304,8 +304,10 @@ def _tree_classes(spark: SparkSession, sf_dir: str, model: PipelineModel) -> Dat
     values = _test_terms(spark, sf_dir, model).groupBy("doc_id")
     values = values.agg(F.map_from_entries(F.collect_list(F.struct(F.col("feature").cast("int"), "value"))).alias("x"))
     rows = _training(spark, sf_dir)[1].select("doc_id").join(values, "doc_id", "left")
-    trees = F.array(*[F.lit(tree) for tree in range(getattr(fit, "getNumTrees", 1))])
-    place = rows.select("doc_id", "x", F.explode(trees).alias("treeID"), F.lit(0).alias("at"))
+    # Not constants, which would turn the first look-up into a join without keys.
+    last = F.when(F.col("doc_id").isNotNull(), getattr(fit, "getNumTrees", 1) - 1)
+    place = rows.select("doc_id", "x", F.explode(F.sequence(F.lit(0), last)).alias("treeID"))
+    place = place.withColumn("at", F.col("treeID") * 0)
     for _ in range(fit.getMaxDepth()):
         inner = F.broadcast(nodes.filter("leftChild >= 0").drop("impurityStats"))
         value = F.coalesce(F.col("x")[F.col("feature")], F.lit(0.0))
