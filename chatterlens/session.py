@@ -8,6 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# Texts are long: a batch of Spark's usual size would be held in full by the executor and its Python workers alike.
+ARROW_BATCH = "8m"
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -36,8 +39,8 @@ def is_local(spark: SparkSession) -> bool:
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on.
 
-    Zone-less timestamps are read, bucketed and printed as UTC. On a cluster streaming state lies in RocksDB rather
-    than on the heap, unless the session names another store. Python workers find this package where the driver has
+    Zone-less timestamps are read, bucketed and printed as UTC, and Python workers get batches of bounded size. On a
+    cluster streaming state lies in RocksDB rather than on the heap, unless the session names another store. Workers find this package where the driver has
     it; a cluster whose machines do not share that folder gets it with ``--py-files``.
     """
     root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
@@ -45,6 +48,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([root, *known])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     if not is_local(spark) and spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
         spark.conf.set(STATE_STORE, ROCKSDB)
     return spark
