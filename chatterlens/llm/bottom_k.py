@@ -48,7 +48,7 @@ def least_shared(k: int, percent: int) -> int:
     return k
 
 
-def shingle_set(words: Words, hashes: np.ndarray, valid: np.ndarray, row: int, length: int) -> np.ndarray:
+def shingle_set(words: Words, hashes: np.ndarray, row: int, length: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a text; all its words as one if they are fewer than a shingle."""
     first, end = int(words.first[row]), int(words.first[row + 1])
     if end - first >= length:
@@ -70,8 +70,8 @@ def _sets(text: str, length: int, k: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             words = words_of(batch.column(text), BLANK_SEPARATED)
-            hashes, valid = words.windows(length)
-            sets = [shingle_set(words, hashes, valid, row, length) for row in range(batch.num_rows)]
+            hashes, _ = words.windows(length)
+            sets = [shingle_set(words, hashes, row, length) for row in range(batch.num_rows)]
             kept = [as_long((s[:k] if k else s) ^ _SIGN) for s in sets]
             offsets = np.cumsum([0, *map(len, kept)])
             flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)

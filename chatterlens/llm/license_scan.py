@@ -99,7 +99,7 @@ def best_licences(files: DataFrame, templates: list[tuple[str, str]], threshold:
     weights = F.broadcast(spark.createDataFrame(weights, "term string, template int, licence string, weight double"))
     terms = passages(files).select("path", "key", "place", F.explode(F.regexp_extract_all("passage", F.lit(f"({_TERM})"), F.lit(1))).alias("term"))
     terms = terms.groupBy("path", "key", "place", "term").agg(F.count("*").alias("n")).join(idf, "term", "left")
-    terms = terms.withColumn("w", F.col("n") * F.coalesce("idf", F.lit(highest_idf(templates))))
+    terms = stored(terms.withColumn("w", F.col("n") * F.coalesce("idf", F.lit(highest_idf(templates)))), "terms")
     by_passage = ("path", "key", "place")
     norms = terms.groupBy(*by_passage).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = terms.join(weights, "term").groupBy(*by_passage, "template", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
