@@ -5,8 +5,9 @@ begins where the content says: at the smallest of any ``PASSAGE - PARAGRAPH + 1`
 texts that share ``PASSAGE`` words in a row therefore share at least one paragraph, wherever the run stands. The first
 and the last words of a text are paragraphs too.
 
-Equal paragraphs are one class. Classes that collide in a band are compared with the band's first class by the exact
-Jaccard similarity of their shingles. Of every component the smallest document keeps its occurrences; all others are
+Equal paragraphs are one class. Classes that collide in a band are compared by the exact Jaccard similarity of their
+shingles: each with the band's first class, all with each other in small bands, and in large ones those that share a
+shingle of their prefixes and are not connected yet. Of every component the smallest document keeps its occurrences; all others are
 cut.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatterlens.llm.bottom_k import BROADCAST_ROWS, text_key
+from chatterlens.llm.bottom_k import BROADCAST_ROWS, PAIRED, candidates, central_pairs, outside_pairs, ranked_sets, similar, text_key, with_component
 from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, slices, words_of
 from chatterlens.llm.steps import connected_components, lasting, release, stored, temporary
 
@@ -28,7 +29,7 @@ SHINGLE = 5
 PARAGRAPH = 24
 PASSAGE = 50
 PERCENT = 80
-ROWS = 1
+ROWS = 2
 RECALL = 0.95
 _POSITION_BITS = np.uint64(28)
 _SEEDS = mixed(np.arange(1, 65, dtype=np.uint64))
@@ -135,30 +136,49 @@ def row_key(key: str, text: str) -> Column:
     return F.xxhash64(F.col(f"`{key}`").cast("long"), text_key(text))
 
 
-def colliding_classes(classes: DataFrame, bands: int) -> DataFrame:
-    """Pairs (a, b) of each class with the first class of its band, unless both are of one text."""
+def band_groups(classes: DataFrame, bands: int) -> DataFrame:
+    """(pivot, node) without repeats: all classes of the bands that have the same first class, but that one itself."""
     band_of = F.explode(F.array(*[F.col(f"band{band}") for band in range(bands)]))
-    entries = classes.select("class", "row", band_of.alias("band"))
-    in_band = Window.partitionBy("band").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pairs = entries.withColumn("first", F.first(F.struct("class", "row")).over(in_band))
-    pairs = pairs.where("class != first.class AND row != first.row")
-    return pairs.select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
-
-
-def similar_classes(docs: DataFrame, found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose shingles are similar enough, taken from one paragraph of each class."""
-    ends = _checked(stored(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "wanted"), "ends"))
-    places = found.join(ends, F.col("class") == F.col("wanted")).groupBy("class")
-    places = places.agg(F.first("row").alias("row"), F.first("place").alias("place"))
-    places = places.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list("place").alias("places"))
-    texts = docs.join(_checked(stored(places, "places")), F.col("row") == F.col("wanted_row"))
-    sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>")
-    sets = stored(sets.dropDuplicates(["class"]), "paragraph-sets")
-    one, two = (sets.select(F.col("class").alias(c), F.col("values").alias(f"values_{c}")) for c in "ab")
-    both = pairs.join(two, "b").join(one, "a")
+    entries = classes.select(F.col("class").alias("node"), band_of.alias("band"))
+    in_band = Window.partitionBy("band").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return entries.withColumn("pivot", F.first("node").over(in_band)).where("node != pivot").select("pivot", "node").distinct()
+
+
+def shingle_sets(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, values, only) of the classes of groups: their shingles, and the text that alone has the class, else null."""
+    wanted = members.select("node").union(members.select("pivot")).distinct().withColumnRenamed("node", "wanted")
+    places = found.join(_checked(stored(wanted, "wanted-sets")), F.col("class") == F.col("wanted")).groupBy("class")
+    only = F.when(F.min("row") == F.max("row"), F.min("row")).alias("only")
+    places = stored(places.agg(F.min(F.struct("row", "place")).alias("first"), only), "first-places")
+    by_row = places.groupBy(F.col("first.row").alias("wanted_row")).agg(F.collect_list("first.place").alias("places"))
+    texts = docs.join(_checked(stored(by_row, "places")), F.col("row") == F.col("wanted_row"))
+    sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>").dropDuplicates(["class"])
+    return sets.join(places.select("class", "only"), "class").withColumnRenamed("class", "node")
+
+
+def similar_classes(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose shingles are similar enough, without those that one text alone has."""
+    one, two = (sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "values", "only")]) for s in "ab")
+    both = pairs.join(two, F.col("b") == F.col("node_b")).join(one, F.col("a") == F.col("node_a"))
+    both = both.where(~F.coalesce(F.col("only_a") == F.col("only_b"), F.lit(False)))
     shared = F.size(F.array_intersect("values_a", "values_b"))
-    union = F.size("values_a") + F.size("values_b") - shared
-    return both.where(100 * shared >= percent * union).select("a", "b")
+    return both.where(similar(shared, F.size("values_a"), F.size("values_b"), percent)).select("a", "b")
+
+
+def linked_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the classes that are similar to another, as ``bottom_k.near_duplicates`` finds them."""
+    links = stored(similar_classes(candidates(members), sets, percent), "paragraph-links")
+    components = connected_components(links)
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("size")).where(F.col("size") >= PAIRED)
+    large = stored(members.join(sizes, "pivot").select("pivot", "node"), "large-bands")
+    if not large.isEmpty():
+        ranked = stored(ranked_sets(large, sets, percent), "ranked-sets")
+        for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
+            more = step(large, with_component(ranked, components))
+            more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            links = stored(links.union(similar_classes(more, sets, percent)), "paragraph-links")
+            components = connected_components(links)
+    return components
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -166,7 +186,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Words are parted by ASCII blanks, A-Z lower-cased; shingles have ``SHINGLE`` words. A passage is made of the
     paragraphs of one text that are equal or similar (``percent``) to such of the smallest document of their
-    component, ``kept_id``; overlapping ones are one passage. Repeats within that smallest document stay. ``row`` is a
+    component, ``kept_id``; overlapping ones are one passage. Similar paragraphs that one text alone has are no link. Repeats within that smallest document stay. ``row`` is a
     hash of id and text; documents are ordered by id, a null id last, then by ``row``, and rows that repeat both are
     one document. Null and empty texts and those with fewer words than a paragraph have no passages. An empty table
     gives an empty result. Other columns are not read.
@@ -182,12 +202,12 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             *[F.first(f"band{band}").alias(f"band{band}") for band in range(bands)],
         )
         repeated = (F.col("row") != F.col("last")).alias("repeated")
-        classes = stored(classes.select("class", "row", repeated, *[f"band{band}" for band in range(bands)]), "classes")
+        classes = stored(classes.select("class", repeated, *[f"band{band}" for band in range(bands)]), "classes")
         release(docs.sparkSession)
-        pairs = stored(colliding_classes(classes, bands), "paragraph-pairs")
+        members = stored(band_groups(classes, bands), "bands")
         release(docs.sparkSession)
-        links = stored(similar_classes(docs, found, pairs, percent), "paragraph-links")
-        components = connected_components(links).select(F.col("node").alias("class"), "component")
+        sets = stored(shingle_sets(docs, found, members), "paragraph-sets")
+        components = linked_classes(members, sets, percent).select(F.col("node").alias("class"), "component")
         wanted = classes.where("repeated").select("class").union(components.select("class")).distinct()
         wanted = wanted.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
         wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))

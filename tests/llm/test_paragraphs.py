@@ -68,3 +68,44 @@ def test_bands_reach_their_recall():
     for similarity in (0.6, 0.8, 0.95):
         bands = p.bands_for(similarity)
         assert 1 - (1 - similarity**p.ROWS) ** bands >= p.RECALL
+
+
+def similar_pairs(sets, percent):
+    near = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+    return {(a, b) for a in sets for b in sets if a < b and near(sets[a], sets[b])}
+
+
+def test_classes_unlike_the_first_of_their_band_are_compared(rows):
+    """Triples of texts of one paragraph: two differ in the last word, the third has only the first 19 words of both."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    docs = []
+    for i in range(0, 120, 3):
+        start = [word() for _ in range(23)]
+        texts = [[*start, word()], [*start, word()], [*start[:19], *[word() for _ in range(5)]]]
+        docs += [(i + k, " ".join(text)) for k, text in enumerate(texts)]
+    found = p.repeated_passages(rows(docs, "doc_id long, text string")).collect()
+    got = {(r.id, r.kept_id) for r in found}
+    assert got <= {(i + 1, i) for i in range(0, 120, 3)} and len(got) >= p.RECALL * 40
+
+
+def test_all_classes_of_a_large_band_are_compared(rows):
+    """Pairs of similar classes in one band whose first class resembles none."""
+    sets, shared = {0: set(range(1000, 1020))}, {1000}
+    for i in range(20):
+        own = {10_000 + 100 * i + k for k in range(18)} | shared
+        sets[2 * i + 1], sets[2 * i + 2] = own | {50_000 + i}, own | {60_000 + i}
+    members = rows([(0, node) for node in sets if node], "pivot long, node long")
+    data = [(node, sorted(v), None if node % 2 else node) for node, v in sets.items()]
+    found = p.linked_classes(members, rows(data, "node long, values array<long>, only long"), 80)
+    got = {r.node: r.component for r in found.collect()}
+    pairs = similar_pairs(sets, 80)
+    assert len(pairs) == 20 and set(got) == {x for pair in pairs for x in pair}
+    assert all(got[a] == got[b] for a, b in pairs) and len(set(got.values())) == 20
+
+
+def test_pairs_of_one_text_alone_are_no_link(rows):
+    sets = [(1, list(range(20)), 7), (2, list(range(1, 21)), 7), (3, list(range(2, 22)), None)]
+    sets = rows(sets, "node long, values array<long>, only long")
+    pairs = rows([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    assert values(p.similar_classes(pairs, sets, 80)) == [(1, 3), (2, 3)]
