@@ -69,7 +69,7 @@ def anchors(words: Words, hashes: np.ndarray) -> np.ndarray:
 
 
 def _paragraphs(bands: int):
-    """Arrow function: (row, text) to the place, class and band keys of every paragraph."""
+    """Arrow function: (row, text) to the first and last place, class and band keys of every run of paragraphs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -77,10 +77,11 @@ def _paragraphs(bands: int):
             shingles, _ = words.windows(SHINGLE)
             whole, _ = words.windows(PARAGRAPH)
             at = anchors(words, shingles)
-            at, row = _thinned(at, whole[at], words.text_of_word()[at]) if len(at) else (at, at)
+            at, last, row = _runs(at, whole[at], words.text_of_word()[at]) if len(at) else (at, at, at)
             columns = {
                 "row": batch.column("row").take(pa.array(row)),
                 "place": pa.array(at - words.first[row], pa.int64()),
+                "last": pa.array(last - words.first[row], pa.int64()),
                 "class": pa.array(as_long(whole[at]), pa.int64()),
             }
             for band, values in enumerate(band_keys(shingles, at, bands)):
@@ -90,12 +91,11 @@ def _paragraphs(bands: int):
     return run
 
 
-def _thinned(at: np.ndarray, classes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Without the inner ones of a run of overlapping equal paragraphs, as in a word said a thousand times."""
-    same = np.zeros(len(at) + 1, bool)
-    same[1:-1] = (classes[1:] == classes[:-1]) & (row[1:] == row[:-1]) & (np.diff(at) < PARAGRAPH)
-    kept = ~(same[:-1] & same[1:])
-    return at[kept], row[kept]
+def _runs(at: np.ndarray, classes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place, last place and text of each run of overlapping equal paragraphs, as in a word said a thousand times."""
+    same = (classes[1:] == classes[:-1]) & (row[1:] == row[:-1]) & (np.diff(at) < PARAGRAPH)
+    begins = np.flatnonzero(np.concatenate([[True], ~same]))
+    return at[begins], at[np.concatenate([begins[1:], [len(at)]]) - 1], row[begins]
 
 
 def band_keys(shingles: np.ndarray, at: np.ndarray, bands: int) -> Iterator[np.ndarray]:
@@ -194,14 +194,14 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     bands = bands_for(percent / 100)
     docs = docs.select(F.col(key).cast("long").alias("id"), row_key(key, text).alias("row"), F.col(text).alias("text"))
     with temporary(docs.sparkSession):
-        schema = "row long, place long, class long, " + ", ".join(f"band{band} long" for band in range(bands))
+        schema = "row long, place long, last long, class long, " + ", ".join(f"band{band} long" for band in range(bands))
         found = stored(docs.select("row", "text").mapInArrow(_paragraphs(bands), schema), "paragraphs")
         classes = found.groupBy("class").agg(
             F.min("row").alias("row"),
-            F.max("row").alias("last"),
+            F.max("row").alias("last_row"),
             *[F.first(f"band{band}").alias(f"band{band}") for band in range(bands)],
         )
-        repeated = (F.col("row") != F.col("last")).alias("repeated")
+        repeated = (F.col("row") != F.col("last_row")).alias("repeated")
         classes = stored(classes.select("class", repeated, *[f"band{band}" for band in range(bands)]), "classes")
         release(docs.sparkSession)
         members = stored(band_groups(classes, bands), "bands")
@@ -211,31 +211,31 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         wanted = classes.where("repeated").select("class").union(components.select("class")).distinct()
         wanted = wanted.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
         wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))
-        held = found.select("row", "place", "class").join(wanted, F.col("class") == F.col("wanted")).drop("wanted", "class")
+        held = found.select("row", "place", "last", "class").join(wanted, F.col("class") == F.col("wanted")).drop("wanted", "class")
         held = stored(held, "repeated-paragraphs")
         cut = stored(_later_rows(docs, held), "later-paragraphs")
         return lasting(_passages(cut), "passages")
 
 
 def _later_rows(docs: DataFrame, held: DataFrame) -> DataFrame:
-    """(id, row, place, kept_id) of the paragraphs (row, place, component) that are not of the component's first text."""
+    """(id, row, place, last, kept_id) of the paragraphs (row, place, last, component) that are not of the component's first text."""
     ids = docs.select("id", "row").join(held.select("row").distinct(), "row", "left_semi").distinct()
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     named = held.join(ids, "row")
     kept = named.groupBy("component").agg(F.min(order).alias("kept"))
     later = named.join(kept, "component").where("row != kept.row")
-    return later.select("id", "row", "place", F.col("kept.id").alias("kept_id"))
+    return later.select("id", "row", "place", "last", F.col("kept.id").alias("kept_id"))
 
 
 def _passages(cut: DataFrame) -> DataFrame:
-    """Join overlapping paragraphs of a text, and those that a gap of less than a shingle parts."""
+    """Join overlapping runs of paragraphs of a text, and those that a gap of less than a shingle parts."""
     by_place = Window.partitionBy("row").orderBy("place")
-    apart = F.col("place") - F.lag("place").over(by_place) >= PARAGRAPH + SHINGLE
-    run = F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(by_place)
-    cut = cut.groupBy("row", "place").agg(F.first("id").alias("id"), F.min("kept_id").alias("kept_id"))
-    runs = cut.withColumn("run", run).groupBy("row", "run")
+    before = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.sum(F.coalesce(F.col("apart"), F.lit(True)).cast("int")).over(by_place)
+    cut = cut.groupBy("row", "place").agg(F.max("last").alias("last"), F.first("id").alias("id"), F.min("kept_id").alias("kept_id"))
+    runs = cut.withColumn("apart", F.col("place") - before >= PARAGRAPH + SHINGLE).withColumn("run", run).groupBy("row", "run")
     ends = runs.agg(
-        F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("place").alias("begin"), F.max("place").alias("last")
+        F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("place").alias("begin"), F.max("last").alias("last")
     )
     return ends.select("id", "row", "kept_id", "begin", (F.col("last") + PARAGRAPH).alias("end"))
 

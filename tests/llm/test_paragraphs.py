@@ -109,3 +109,19 @@ def test_pairs_of_one_text_alone_are_no_link(rows):
     sets = rows(sets, "node long, values array<long>, only long")
     pairs = rows([(1, 2), (1, 3), (2, 3)], "a long, b long")
     assert values(p.similar_classes(pairs, sets, 80)) == [(1, 3), (2, 3)]
+
+
+def test_a_repeated_line_is_cut_as_a_whole(rows):
+    """Lines of 1 to 30 words, said until they have 200 words or more, each in two documents between other words."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    docs = []
+    for n in (1, 2, 7, 10, 23, 24, 30):
+        line = [word() for _ in range(n)]
+        for times in (200 // n + 1, 260 // n + 1):
+            docs.append((len(docs), " ".join([word() for _ in range(60)] + line * times + [word() for _ in range(60)])))
+    after = {r.doc_id: r.text for r in p.cut_passages(rows(docs, "doc_id long, text string")).collect()}
+    for i in range(0, len(docs), 2):
+        assert after[i] == docs[i][1]
+        assert not windows(after[i]) & windows(after[i + 1])
+        assert len(after[i + 1].split()) <= 120 + 2 * (p.PASSAGE - p.PARAGRAPH)
