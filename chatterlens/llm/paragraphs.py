@@ -8,7 +8,7 @@ and the last words of a text are paragraphs too.
 Equal paragraphs are one class. Classes that collide in a band are compared by the exact Jaccard similarity of their
 shingles: each with the band's first class, all with each other in small bands, and in large ones those that share a
 shingle of their prefixes and are not connected yet. Of every component the smallest document keeps its occurrences; all others are
-cut.
+cut, and with them the words to both sides that agree with those beside the kept occurrence.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,8 @@ from chatterlens.llm.steps import connected_components, lasting, release, stored
 SHINGLE = 5
 PARAGRAPH = 24
 PASSAGE = 50
+REACH = PASSAGE - PARAGRAPH + 1
+SLACK = 2  # words by which similar paragraphs may be shifted
 PERCENT = 80
 ROWS = 2
 RECALL = 0.95
@@ -48,7 +51,7 @@ def anchors(words: Words, hashes: np.ndarray) -> np.ndarray:
     first, end = words.first[:-1], words.first[1:]
     long_enough = end - first >= PARAGRAPH
     ends = np.concatenate([first[long_enough], end[long_enough] - PARAGRAPH])
-    reach = PASSAGE - PARAGRAPH + 1
+    reach = REACH
     if len(hashes) < reach:
         return np.unique(ends)
     low = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
@@ -126,6 +129,31 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: (text, runs) to the runs with hashes of the words around, outwards from ``SLACK`` words inside.
+
+    ``REACH`` words outside are enough: where more agree, another paragraph of both texts begins.
+    """
+    for batch in slices(batches, "text"):
+        words = words_of(batch.column("text"), BLANK_SEPARATED)
+        hashes = (words.hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        runs, held = batch.column("runs"), batch.column("runs").flatten()
+        text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(runs).to_numpy())
+        columns = {field.name: held.field(i) for i, field in enumerate(held.type)}
+        low = words.first[text]
+        begin, end = (low + columns[name].to_numpy() for name in ("place", "last"))
+        end = end + PARAGRAPH
+        least, most = np.maximum(low, begin - REACH), np.minimum(words.first[text + 1], end + REACH)
+        columns["left"] = _lists([hashes[a : b + SLACK][::-1] for a, b in zip(least, begin)])
+        columns["right"] = _lists([hashes[a - SLACK : b] for a, b in zip(end, most)])
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
+
+
 def _checked(rows: DataFrame) -> DataFrame:
     """Broadcast up to ``BROADCAST_ROWS`` short rows; more are joined by a shuffle."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
@@ -186,7 +214,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Words are parted by ASCII blanks, A-Z lower-cased; shingles have ``SHINGLE`` words. A passage is made of the
     paragraphs of one text that are equal or similar (``percent``) to such of the smallest document of their
-    component, ``kept_id``; overlapping ones are one passage. Similar paragraphs that one text alone has are no link. Repeats within that smallest document stay. ``row`` is a
+    component, ``kept_id``, and of the words beside them that agree with that document's; overlapping ones are one passage. Similar paragraphs that one text alone has are no link. Repeats within that smallest document stay. ``row`` is a
     hash of id and text; documents are ordered by id, a null id last, then by ``row``, and rows that repeat both are
     one document. Null and empty texts and those with fewer words than a paragraph have no passages. An empty table
     gives an empty result. Other columns are not read.
@@ -211,33 +239,66 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         wanted = classes.where("repeated").select("class").union(components.select("class")).distinct()
         wanted = wanted.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
         wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))
-        held = found.select("row", "place", "last", "class").join(wanted, F.col("class") == F.col("wanted")).drop("wanted", "class")
+        held = found.select("row", "place", "last", "class").join(wanted, F.col("class") == F.col("wanted")).drop("wanted")
         held = stored(held, "repeated-paragraphs")
-        cut = stored(_later_rows(docs, held), "later-paragraphs")
-        return lasting(_passages(cut), "passages")
+        around = stored(_surrounded(docs, stored(_named(docs, held), "named-paragraphs")), "surrounded-paragraphs")
+        release(docs.sparkSession)
+        return lasting(_passages(_extended(around)), "passages")
 
 
-def _later_rows(docs: DataFrame, held: DataFrame) -> DataFrame:
-    """(id, row, place, last, kept_id) of the paragraphs (row, place, last, component) that are not of the component's first text."""
+def _named(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """The runs (row, place, last, class, component) with id, kept_id, and whether they are of the component's first text.
+
+    Components that one text alone has are left out.
+    """
     ids = docs.select("id", "row").join(held.select("row").distinct(), "row", "left_semi").distinct()
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    named = held.join(ids, "row")
-    kept = named.groupBy("component").agg(F.min(order).alias("kept"))
-    later = named.join(kept, "component").where("row != kept.row")
-    return later.select("id", "row", "place", "last", F.col("kept.id").alias("kept_id"))
+    named = held.distinct().join(ids, "row")
+    first = named.groupBy("component").agg(F.min(order).alias("first"), F.max("row").alias("high"), F.min("row").alias("low"))
+    named = named.join(first.where("low != high"), "component").withColumn("kept", F.col("row") == F.col("first.row"))
+    return named.select("row", "id", "place", "last", "class", "component", F.col("first.id").alias("kept_id"), "kept")
+
+
+def _surrounded(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The named runs with left and right: hashes of the words around."""
+    runs = named.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*named.columns)).alias("runs"))
+    texts = docs.join(_checked(stored(runs, "runs")), F.col("row") == F.col("wanted_row"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields)
+    return texts.select("text", "runs").mapInArrow(_contexts, schema + ", left array<int>, right array<int>")
+
+
+def _agreeing(one: Column, two: Column) -> Column:
+    """Number of first entries that two arrays have in common."""
+    parted = F.array_position(F.zip_with(one, two, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+    return F.when(parted == 0, F.size(one)).otherwise(parted - 1)
+
+
+def _extended(around: DataFrame) -> DataFrame:
+    """(id, row, kept_id, begin, end) of the runs that are not kept, with the words to both sides that agree.
+
+    Equal paragraphs are laid on each other, similar ones also shifted by up to ``SLACK`` words.
+    """
+    kept = around.where("kept").select("component", *[F.col(c).alias(f"kept_{c}") for c in ("class", "left", "right")])
+    both = around.where("NOT kept").join(kept.distinct(), "component")
+
+    def words(side: str) -> Column:
+        outside = lambda name, at: F.slice(name, at + 1, SLACK + REACH)
+        laid = [_agreeing(outside(side, SLACK), outside(f"kept_{side}", at)) for at in range(2 * SLACK + 1)]
+        return F.when(F.col("class") == F.col("kept_class"), laid[SLACK]).otherwise(F.greatest(*laid))
+
+    begin, end = F.col("place") - words("left"), F.col("last") + PARAGRAPH + words("right")
+    return both.select("id", "row", "kept_id", begin.alias("begin"), end.alias("end"))
 
 
 def _passages(cut: DataFrame) -> DataFrame:
-    """Join overlapping runs of paragraphs of a text, and those that a gap of less than a shingle parts."""
-    by_place = Window.partitionBy("row").orderBy("place")
-    before = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    """Join overlapping spans of a text, and those that a gap of less than a shingle parts."""
+    by_place = Window.partitionBy("row").orderBy("begin")
+    before = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum(F.coalesce(F.col("apart"), F.lit(True)).cast("int")).over(by_place)
-    cut = cut.groupBy("row", "place").agg(F.max("last").alias("last"), F.first("id").alias("id"), F.min("kept_id").alias("kept_id"))
-    runs = cut.withColumn("apart", F.col("place") - before >= PARAGRAPH + SHINGLE).withColumn("run", run).groupBy("row", "run")
-    ends = runs.agg(
-        F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("place").alias("begin"), F.max("last").alias("last")
-    )
-    return ends.select("id", "row", "kept_id", "begin", (F.col("last") + PARAGRAPH).alias("end"))
+    cut = cut.groupBy("row", "begin").agg(F.max("end").alias("end"), F.first("id").alias("id"), F.min("kept_id").alias("kept_id"))
+    runs = cut.withColumn("apart", F.col("begin") - before >= SHINGLE).withColumn("run", run).groupBy("row", "run")
+    ends = runs.agg(F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return ends.select("id", "row", "kept_id", "begin", "end")
 
 
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -125,3 +125,25 @@ def test_a_repeated_line_is_cut_as_a_whole(rows):
         assert after[i] == docs[i][1]
         assert not windows(after[i]) & windows(after[i + 1])
         assert len(after[i + 1].split()) <= 120 + 2 * (p.PASSAGE - p.PARAGRAPH)
+
+
+def test_passages_are_cut_to_their_ends(rows):
+    """Passages of 50 to 120 words between other words, in three documents each; some begin or end their text.
+
+    A similar paragraph is cut with the up to ``SLACK`` other words that it has at an end.
+    """
+    rng = random.Random(10)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    docs, expected = [], {}
+    for n in range(50, 121, 2):
+        passage = [word() for _ in range(n)]
+        for copy in range(3):
+            before, behind = ([word() for _ in range(rng.choice((0, 3, 70)))] for _ in range(2))
+            if copy:
+                expected[len(docs)] = len(docs) - copy, len(before), len(before) + n
+            docs.append((len(docs), " ".join(before + passage + behind)))
+    found = p.repeated_passages(rows(docs, "doc_id long, text string")).collect()
+    assert sorted(r.id for r in found) == sorted(expected)
+    for r in found:
+        kept, begin, end = expected[r.id]
+        assert r.kept_id == kept and begin - p.SLACK <= r.begin <= begin and end <= r.end <= end + p.SLACK
