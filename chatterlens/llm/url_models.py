@@ -2,12 +2,11 @@
 
 The URLs that rules allow and block train two variable-order Markov models over characters. A character's chance given
 its context is its count, smoothed by its chance in the shorter context, down to a uniform one. The difference of the
-log chances is tabled for each run of 1 to ``ORDER`` characters, runs hashed into ``BUCKETS`` per length, so that the
-table has a fixed size. A URL's score is the mean difference over its characters, each taken in the longest run that
-the table has; the threshold lies between the mean scores of the two classes in proportion to their spreads.
+log chances is tabled for each run of 1 to ``ORDER`` characters. A URL's score is the mean difference over its
+characters, each taken in the longest run that ends there and that the table has; the threshold lies between the mean scores of the two classes in proportion to their spreads.
 
-DataFrame functions only: runs are counted with partial aggregation, the table is one row that a scalar subquery
-reads, and each distinct URL is scored once.
+DataFrame functions only: runs are counted with partial aggregation, each distinct run is looked up once by a join,
+and each distinct URL is scored once.
 """
 
 from __future__ import annotations
@@ -20,8 +19,6 @@ from pyspark.sql import functions as F
 from chatterlens.llm.steps import stored
 
 ORDER = 5
-BUCKETS = 65_521
-FACTOR = 131
 PAD = "^" * (ORDER - 1)
 SMOOTHING = 1.0
 SYMBOLS = 256.0
@@ -59,12 +56,6 @@ def _padded(url: Column) -> Column:
     return F.concat(F.lit(PAD), F.coalesce(url, F.lit("")))
 
 
-def _bucket(codes: list[Column]) -> Column:
-    """Bucket of a run of characters, lengths apart."""
-    number = reduce(lambda total, code: total * FACTOR + code, codes[1:], codes[0])
-    return number % BUCKETS + (len(codes) - 1) * BUCKETS
-
-
 def run_counts(urls: DataFrame) -> DataFrame:
     """(run, allowed, blocked): how often each run of 1 to ``ORDER`` characters ends in a URL (url, verdict)."""
     ends = urls.select("verdict", _padded(F.col("url")).alias("text"))
@@ -98,27 +89,27 @@ def log_ratios(counts: DataFrame) -> DataFrame:
     return done.select("run", seen.alias("seen"), F.log(F.col("p_allowed") / F.col("p_blocked")).alias("ratio"))
 
 
-def ratio_table(ratios: DataFrame) -> DataFrame:
-    """One row: the array of all buckets' mean ratios, null in buckets without a run."""
-    codes = [F.ascii(F.substring("run", k, 1)).cast("long") for k in range(1, ORDER + 1)]
-    bucket = F.coalesce(*[F.when(F.length("run") == n, _bucket(codes[:n])) for n in range(1, ORDER + 1)])
-    means = ratios.groupBy(bucket.alias("bucket")).agg((F.sum(F.col("seen") * F.col("ratio")) / F.sum("seen")).alias("ratio"))
-    every = ratios.sparkSession.range(ORDER * BUCKETS).withColumnRenamed("id", "bucket")
-    filled = every.join(means, "bucket", "left")
-    listed = filled.agg(F.array_sort(F.collect_list(F.struct("bucket", "ratio"))).alias("entries"))
-    return listed.select(F.transform("entries", lambda entry: entry["ratio"]).alias("ratios"))
+def longest_ratios(runs: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(run, ratio): for each run the ratio of the longest of its ends that the table has; runs without one are left out."""
+    ends = F.explode(F.array(*[F.substring("run", ORDER + 1 - n, n) for n in range(1, ORDER + 1)]))
+    found = runs.select("run", ends.alias("end")).join(ratios.select(F.col("run").alias("end"), "ratio"), "end")
+    return found.groupBy("run").agg(F.max_by("ratio", F.length("end")).alias("ratio"))
 
 
-def scores(urls: DataFrame, table: DataFrame) -> DataFrame:
+def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
     """(url, score) of every distinct URL that is neither null nor empty: the mean over its characters of the ratio of
     the longest run that the table has."""
     distinct = urls.select("url").where("length(url) > 0").distinct().withColumn("text", _padded(F.col("url")))
     ends = distinct.select("url", "text", F.explode(F.sequence(F.lit(ORDER), F.length("text"))).alias("end"))
-    codes = [F.ascii(F.substring(F.col("text"), F.col("end") - k, F.lit(1))).cast("long").alias(f"code{k}") for k in range(ORDER)]
-    ends = ends.select("url", *codes)
-    runs = [_bucket([F.col(f"code{k}") for k in reversed(range(n))]).cast("int") for n in range(ORDER, 0, -1)]
-    ratio = F.coalesce(*[F.get(table.scalar(), run) for run in runs], F.lit(0.0))
-    return ends.groupBy("url").agg(F.avg(ratio).alias("score"))
+    runs = ends.select("url", F.substring(F.col("text"), F.col("end") - (ORDER - 1), F.lit(ORDER)).alias("run"))
+    longest = _checked(stored(longest_ratios(runs.select("run").distinct(), ratios), "url-ratios"))
+    found = runs.join(longest, "run", "left")
+    return found.groupBy("url").agg(F.avg(F.coalesce("ratio", F.lit(0.0))).alias("score"))
+
+
+def _checked(rows: DataFrame) -> DataFrame:
+    """Broadcast up to ``BROADCAST_ROWS`` short rows; more are joined by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 def judged(pages: DataFrame, rules: Rules = RULES, url: str = "url") -> DataFrame:
@@ -135,14 +126,12 @@ def judged(pages: DataFrame, rules: Rules = RULES, url: str = "url") -> DataFram
     ruled = ruled.withColumn("rule", rule).withColumn("verdict", verdict)
     known = ruled.where("verdict IS NOT NULL").select(F.col(url).alias("url"), "verdict")
     counts = stored(run_counts(known), "url-runs")
-    table = stored(ratio_table(log_ratios(counts)), "url-ratios")
-    scored = stored(scores(ruled.select(F.col(url).alias("url")), table), "url-scores")
+    scored = stored(scores(ruled.select(F.col(url).alias("url")), log_ratios(counts)), "url-scores")
     parts = known.join(scored, "url").groupBy("verdict")
     parts = parts.agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).collect()
     least = threshold({row.verdict: (row.mean, row.spread) for row in parts})
     scored = scored.select(F.col("url").alias("__url"), F.col("score").alias("__score"))
-    scored = F.broadcast(scored) if scored.count() <= BROADCAST_ROWS else scored
-    found = ruled.join(scored, F.col(url) == F.col("__url"), "left").drop("__url")
+    found = ruled.join(_checked(scored), F.col(url) == F.col("__url"), "left").drop("__url")
     found = found.withColumn("score", F.coalesce("__score", F.lit(0.0))).drop("__score")
     learned = F.when(F.col("score") >= F.lit(least), "allow").otherwise("block")
     return found.withColumn("verdict", F.coalesce("verdict", learned))

@@ -192,6 +192,15 @@ def test_verdicts_equal_brute_force(spark):
     assert sum(abs(r.score - expected[r.page_id][4]) for r in got) / len(got) < 0.05
 
 
+def test_runs_are_looked_up_exactly(spark):
+    pages = spark.read.parquet(f"{TABLES}/pages.parquet").select("page_id", "url")
+    given = pages.collect()
+    expected = {p.page_id: row for p, row in zip(given, brute_verdicts([p.url for p in given], url_models.RULES))}
+    for r in url_models.judged(pages).collect():
+        assert (r.host, r.path, r.rule, r.verdict) == expected[r.page_id][:4]
+        assert r.score == pytest.approx(expected[r.page_id][4], abs=1e-9)
+
+
 EDGE = [None, "", "no scheme/here", "http://EXAMPLE.net", "http://Sub.Example.NET/en/x?q#f", "a://b://c/d", "https://x.org/fr/",
         "https://x.org/frx", "http://notexample.net/en/", "http://example.com.evil/de/", "http://h?x/y", "ü://ß.org/fr/é", "http://x.org/" + "a" * 20_000]
 
