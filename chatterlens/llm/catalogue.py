@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, language_filters, license_scan, mixing, paragraphs, permutation_index, token_counts, url_models
+from chatterlens.llm import bottom_k, decontaminate, importance, language_filters, license_scan, mixing, paragraphs, periodic_runs, permutation_index, token_counts, url_models
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,3 +258,40 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with host, path, the rule that fits and the verdict of rule or models."""
     judged = url_models.judged(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten says its words from a place on again and again, by a rule on the hash of the id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), cut.alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    index = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    said = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", index(i).cast("int")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(said, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the number of their periodic runs, the run of most periods, and digests of runs and rest."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+
+    def order(one: Column, two: Column) -> Column:
+        left, right = one["length"] * two["period"], two["length"] * one["period"]
+        tie = F.when(one["start"] != two["start"], one["start"] - two["start"]).otherwise(one["period"] - two["period"])
+        return F.when(left != right, F.signum(right - left)).otherwise(F.signum(tie)).cast("int")
+
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    found = found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.get(F.array_sort("runs", order), F.lit(0)).alias("most"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    exponent = F.expr("1000 * most.length div most.period")
+    return found.select(
+        "doc_id", "n_runs", "most.start", "most.length", "most.period", exponent.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
