@@ -9,7 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chatterlens.llm import bottom_k, decontaminate, importance, language_filters, license_scan, mixing, paragraphs, periodic_runs, permutation_index, token_counts, url_models
+from chatterlens.llm import (
+    bottom_k,
+    byte_pairs,
+    decontaminate,
+    importance,
+    language_filters,
+    license_scan,
+    mixing,
+    paragraphs,
+    periodic_runs,
+    permutation_index,
+    token_alignment,
+    token_counts,
+    url_models,
+)
 from chatterlens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,3 +309,29 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_runs", "most.start", "most.length", "most.period", exponent.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
     )
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the groups that two tokenizers have in common, and how usual their links are in the corpus."""
+    byte_level, by_piece = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), byte_level, by_piece)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    scored = token_alignment.with_link_scores(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return scored.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+@query()
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the number of their tokens, and digests of the ids and of the bytes that these decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    decoded = byte_pairs.decode(encoded, path)
+    return decoded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -1,0 +1,89 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from conftest import values
+from pyspark.sql import functions as F
+
+from chatterlens.llm import byte_pairs as b
+from chatterlens.llm.catalogue import QUERIES
+
+TABLES = "/root/testdata/sf0.001"
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=b.read_ranks(PATH), special_tokens={})
+
+
+def odd_texts(n, seed):
+    rng = random.Random(seed)
+    signs = [*"abcdefghijklmnopqrstuvwxyz", *"'tsrmdlve", *"      ", "\n", "\t", "\r\n", "0", "77", *".,;=-_", *"ABC", "é", "ß", "ñ",
+             "中文", "кий", "\xa0", "　", "\x85", "​", " ", "\x1c", "\x1f", "\x00", "🙂", "́", "½", "<|endoftext|>"]
+    return ["".join(rng.choice(signs) for _ in range(rng.randrange(120))) for _ in range(n)]
+
+
+def test_ids_and_bytes_equal_the_library(rows, library):
+    texts = [None, "", " ", "a" * 300, "=" * 400, " \n " * 40, "it's we'll I'D", "<|endoftext|>", *odd_texts(150, 1)]
+    docs = [(i, text, "x") for i, text in enumerate(texts)] + [(None, "null id", "x"), (7, "<|endoftext|>", "x")]
+    found = b.decode(b.encode(rows(docs, "doc_id long, text string, ids string"), PATH, PATTERN), PATH)
+    assert found.columns == ["id", "ids", "decoded"]
+    got = [(r.id, list(r.ids), bytes(r.decoded)) for r in found.collect()]
+    expected = [(key, library.encode_ordinary(text or ""), (text or "").encode()) for key, text, _ in docs]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_every_token_is_folded_like_the_library(spark, library):
+    """Words that the library merges from bytes: tokens with a letter before or behind, and each token by itself."""
+    rng, vocabulary = random.Random(2), b.Vocabulary(PATH)
+    tokens = [t.decode() for t in rng.sample(sorted(vocabulary.ranks), 6000) if b"\xff" not in t and _valid(t)]
+    words = [w for w in {t + rng.choice("aeqz7") for t in tokens} | {rng.choice("xK") + t for t in tokens} if w.encode() not in vocabulary.ranks]
+    with b._literals(spark, single=vocabulary.single, merges=vocabulary.merges) as table:
+        df = spark.createDataFrame([(w,) for w in words], "word string")
+        found = df.select("word", b.folded(F.col("word"), table).alias("ids")).collect()
+    assert len(found) > 5000
+    for row in found:
+        assert row.ids == library._encode_single_piece(row.word.encode())
+
+
+def _valid(token):
+    try:
+        return bool(token.decode())
+    except UnicodeDecodeError:
+        return False
+
+
+def test_words_cover_the_text(rows):
+    texts = odd_texts(100, 3)
+    df = rows([(t,) for t in texts], "text string")
+    joined = df.select("text", F.array_join(b.words_of(F.col("text"), PATTERN), "").alias("joined")).collect()
+    assert all(row.text == row.joined for row in joined)
+
+
+def test_a_table_without_frequent_words_changes_nothing(rows, library, monkeypatch):
+    monkeypatch.setattr(b, "FREQUENT", 3)
+    texts = ["zqxa zqxb zqxc zqxd"] * 3 + ["zqxa zqxb zqxe zqxa"]
+    found = b.encode(rows(list(enumerate(texts)), "doc_id long, text string"), PATH, PATTERN)
+    assert {r.id: r.ids for r in found.collect()} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_decoding_unknown_and_null_ids(rows):
+    found = b.decode(rows([(1, None), (2, [10**6]), (3, []), (4, [0])], "id long, ids array<int>"), PATH)
+    got = {r.id: r.decoded for r in found.collect()}
+    assert got[1] is None and got[2] is None and bytes(got[3]) == b"" and bytes(got[4]) == b"!"
+
+
+def test_empty_table(rows):
+    assert b.decode(b.encode(rows([], "doc_id long, text string"), PATH, PATTERN), PATH).count() == 0
+
+
+def test_query_equals_library(spark, library):
+    digest = lambda value: hashlib.sha256(value).hexdigest()
+    expected = []
+    for doc in spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode_ordinary(doc.text or "")
+        expected.append((doc.doc_id, len(ids), digest(" ".join(map(str, ids)).encode()), digest((doc.text or "").encode())))
+    assert values(QUERIES["op13_byte_pairs"](spark, TABLES)) == sorted(expected, key=repr)
