@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import chain, compress
 from pathlib import Path
 
 import numpy as np
@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from chatterlens.llm.hashing import slices
 from chatterlens.llm.steps import lasting, stored, temporary
 
-CACHED = 1 << 18  # pieces that a worker keeps
+CACHED = 1 << 17  # pieces that a worker keeps, and as many from before
 SHORT = 64  # characters of a piece that is kept
 ID_BITS = 20
 BROADCAST_PAIRS = 1_000_000  # rows of three numbers
@@ -51,7 +51,7 @@ def pieces(text: str) -> list[str]:
 
 
 class Aligner:
-    """Both tokenizers with the bytes of their tokens, and the pieces that were aligned since the cache was full."""
+    """Both tokenizers with the bytes of their tokens, and a cache of aligned pieces."""
 
     def __init__(self, byte_level: str, by_piece: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -65,7 +65,15 @@ class Aligner:
             self.a_bytes[number] = bytes(alphabet[c] for c in token) if set(token) <= alphabet.keys() else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=by_piece)
         self.b_bytes = [self._bytes_of_piece(number) for number in range(self.b.get_piece_size())]
+        self.a_sizes, self.b_sizes = (np.array([len(part) for part in parts]) for parts in (self.a_bytes, self.b_bytes))
+        #: Ids as they stand in the text of groups: before another id of their side, and at their side's end.
+        self.a_names, self.b_names = (
+            [f"{number}{mark}" for number in range(size) for mark in marks]
+            for size, marks in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;"))
+        )
+        #: Aligned pieces since ``before`` was full, and those of the time before that are not met again yet.
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
 
     def _bytes_of_piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -78,36 +86,62 @@ class Aligner:
     def aligned(self, texts: list[str | None]) -> list[list[tuple] | None]:
         """The aligned pieces of each text; None for one without tokens."""
         cut = [pieces(text) if text else None for text in texts]
-        fresh = list(set().union(*filter(None, cut)).difference(self.known))
-        a = self.a.encode_batch_fast(fresh, add_special_tokens=False)
+        new = set().union(*filter(None, cut)).difference(self.known)
+        again = new & self.before.keys()
+        self.known.update((piece, self.before[piece]) for piece in again)
+        fresh = list(new - again)
+        a = [found.ids for found in self.a.encode_batch_fast(fresh, add_special_tokens=False)]
         b = self.b.encode([piece[1:] for piece in fresh], num_threads=1)
-        for piece, one, two in zip(fresh, a, b):
-            self.known[piece] = self._align(piece.encode(), one.ids, two)
+        whole = [self._joined(self.a_bytes, one) == self._joined(self.b_bytes, two) == piece.encode() for piece, one, two in zip(fresh, a, b)]
+        kept = [list(compress(column, whole)) for column in (fresh, a, b)]
+        self.known.update(dict.fromkeys(fresh))
+        self.known.update(zip(kept[0], self._align(*kept[1:])))
         found = [parts and [self.known[piece] for piece in parts] for parts in cut]
+        for piece in fresh:
+            if len(piece) > SHORT:
+                del self.known[piece]
         if len(self.known) > CACHED:
-            self.known = {}
-        else:
-            for piece in fresh:
-                if len(piece) > SHORT:
-                    del self.known[piece]
+            self.known, self.before = {}, self.known
         return [None if parts is None or None in parts else parts for parts in found]
 
-    def _align(self, text: bytes, a: list[int], b: list[int]) -> tuple | None:
-        """Number of ids of both, groups and links, the groups as text, and the linked pairs as 8-byte numbers."""
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != text or b"".join(b_parts) != text:
-            return None
-        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
-        a_index, b_index = ({end: i + 1 for i, end in enumerate(ends)} for ends in (a_ends, b_ends))
-        groups, pairs, i, j = [], [], 0, 0
-        for end in sorted(a_index.keys() & b_index.keys()):
-            a_next, b_next = a_index[end], b_index[end]
-            groups.append(f"{','.join(map(str, a[i:a_next]))}|{','.join(map(str, b[j:b_next]))}")
-            while i < a_next:
-                pairs.append(a[i] << ID_BITS | b[j])
-                a_end, b_end = a_ends[i], b_ends[j]
-                i, j = i + (a_end <= b_end), j + (b_end <= a_end)
-        return len(a), len(b), len(groups), len(pairs), ";".join(groups), np.array(pairs, np.int64).tobytes()
+    @staticmethod
+    def _joined(parts: list[bytes], ids: list[int]) -> bytes:
+        return b"".join([parts[number] for number in ids])
+
+    def _align(self, a: list[list[int]], b: list[list[int]]) -> Iterator[tuple]:
+        """Number of ids of both, groups and links, the groups as text, and the linked pairs as 8-byte numbers, of
+        each of many pieces. Their bytes follow each other, so one pair of dictionaries has the ends of all."""
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        a_index, b_index = ({end: at for at, end in enumerate(ends.tolist(), 1)} for ends in (a_ends, b_ends))
+        common = sorted(a_index.keys() & b_index.keys())
+        a_cuts, b_cuts = (np.array([index[end] for end in common], np.int64) for index in (a_index, b_index))
+
+        # Every end of either side ends the bytes that one token of each side share: a link.
+        linked = np.union1d(a_ends, b_ends)
+        pairs = a_ids[np.searchsorted(a_ends, linked)] << ID_BITS | b_ids[np.searchsorted(b_ends, linked)]
+
+        # A's ids of a group, then B's: their places in the order in which the groups are written.
+        a_names, b_names = a_ids * 2, b_ids * 2
+        a_names[a_cuts - 1] += 1
+        b_names[b_cuts - 1] += 1
+        a_group, b_group = (np.searchsorted(cuts, np.arange(len(ids)), "right") for cuts, ids in ((a_cuts, a_ids), (b_cuts, b_ids)))
+        before_a, before_b = np.append(0, b_cuts)[a_group], a_cuts[b_group] if len(b_ids) else b_group
+        written = [""] * (len(a_ids) + len(b_ids))
+        for place, code in zip((np.arange(len(a_ids)) + before_a).tolist(), a_names.tolist()):
+            written[place] = self.a_names[code]
+        for place, code in zip((np.arange(len(b_ids)) + before_b).tolist(), b_names.tolist()):
+            written[place] = self.b_names[code]
+
+        a_counts, b_counts = (np.array([len(ids) for ids in side], np.int64) for side in (a, b))
+        a_to, b_to = np.cumsum(a_counts), np.cumsum(b_counts)
+        ends = a_ends[a_to - 1] if len(a) else a_to
+        n_groups, n_links = (np.diff(np.searchsorted(places, ends, "right"), prepend=0) for places in (common, linked))
+        w, packed = 0, pairs.tobytes()
+        at = 0
+        for n_a, n_b, groups, links in zip(a_counts.tolist(), b_counts.tolist(), n_groups.tolist(), n_links.tolist()):
+            yield n_a, n_b, groups, links, "".join(written[w : w + n_a + n_b]), packed[at : at + 8 * links]
+            w, at = w + n_a + n_b, at + 8 * links
 
 
 # One cache for each worker process, shared by the tasks that it runs with the same files.
@@ -128,7 +162,7 @@ def _scanner(files) -> Callable:
             for parts in _worker[key].aligned(batch.column("text").to_pylist()):
                 *numbers, text, linked = zip(*parts) if parts else ((), (), (), (), (), ())
                 counts.append([sum(n) for n in numbers])
-                groups.append(";".join(text))
+                groups.append("".join(text)[:-1])
                 distinct, n = np.unique(np.frombuffer(b"".join(linked), np.int64), return_counts=True)
                 pairs.append(distinct)
                 times.append(n)

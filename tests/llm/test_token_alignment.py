@@ -88,7 +88,9 @@ def test_pieces_and_cache(monkeypatch):
     before = aligner.aligned(["a few words here", "x" * 500])
     assert all(len(piece) <= t.SHORT for piece in aligner.known)
     monkeypatch.setattr(t, "CACHED", 2)
-    assert aligner.aligned(["a few words here", "x" * 500]) == before and not aligner.known
+    for _ in range(3):
+        assert aligner.aligned(["a few words here", "x" * 500]) == before and not aligner.known
+    assert aligner.before
 
 
 def test_empty_table(rows):
