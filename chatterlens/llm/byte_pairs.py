@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm.steps import kth_largest, lasting, stored, temporary
+from chatterlens.llm.steps import kth_largest, stored, temporary
 
 FREQUENT = 1 << 19  # distinct words in the look-up table, besides the tokens
 ID_BITS = 20
 MERGE_SLOTS = 65_521
 WORD_SLOTS = 524_287
-CHUNK = 256  # byte strings joined at a time
+CHUNK = 64  # byte strings joined at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,16 +42,8 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _slots(slot: np.ndarray, slots: int, keys: pa.Array, values: pa.Array) -> pa.Array:
-    """One list of maps, the n-th with the entries of slot n."""
-    order = np.argsort(slot, kind="stable")
-    ends = np.searchsorted(slot[order], np.arange(slots + 1)).astype(np.int32)
-    maps = pa.MapArray.from_arrays(pa.array(ends), keys.take(pa.array(order)), values.take(pa.array(order)))
-    return pa.ListArray.from_arrays(pa.array([0, slots], pa.int32()), maps)
-
-
 def _merges(ranks: dict[bytes, int]) -> pa.Array:
-    """Maps from a pair of ids to the id of their joint bytes."""
+    """One list of maps from a pair of ids to the id of their joint bytes; a pair is in the map of its slot."""
     keys, merged = [], []
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
@@ -60,23 +52,26 @@ def _merges(ranks: dict[bytes, int]) -> pa.Array:
                 keys.append(left << ID_BITS | right)
                 merged.append(rank)
     keys = np.array(keys, np.int64)
-    return _slots(keys % MERGE_SLOTS, MERGE_SLOTS, pa.array(keys), pa.array(merged, pa.int64()))
+    order = np.argsort(keys % MERGE_SLOTS, kind="stable")
+    ends = np.searchsorted((keys % MERGE_SLOTS)[order], np.arange(MERGE_SLOTS + 1))
+    slots = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[order]), pa.array(np.array(merged)[order]))
+    return pa.ListArray.from_arrays(pa.array([0, MERGE_SLOTS], pa.int32()), slots)
 
 
 @contextmanager
-def _literals(spark: SparkSession, **values: pa.Array) -> Iterator[dict[str, Column]]:
-    """Arrays of one value each, which expressions made inside take as literals."""
-    row = spark.createDataFrame(pa.table(values))
-    names = {name: f"chatterlens_{name}_{uuid.uuid4().hex}" for name in values}
-    for name, variable in names.items():
-        spark.sql(f"DECLARE VARIABLE {variable} {row.schema[name].dataType.simpleString()}")
+def _literals(*rows: DataFrame) -> Iterator[dict[str, Column]]:
+    """The columns of tables of one row, which expressions made inside take as literals."""
+    names = {name: f"chatterlens_{name}_{uuid.uuid4().hex}" for row in rows for name in row.columns}
+    spark = rows[0].sparkSession
     try:
-        for name, variable in names.items():
-            spark.sql(f"SET VAR {variable} = (SELECT {name} FROM {{row}})", row=row)
+        for row in rows:
+            for name in row.columns:
+                spark.sql(f"DECLARE VARIABLE {names[name]} {row.schema[name].dataType.simpleString()}")
+                spark.sql(f"SET VAR {names[name]} = (SELECT {name} FROM {{row}})", row=row)
         yield {name: F.expr(variable) for name, variable in names.items()}
     finally:
         for variable in names.values():
-            spark.sql(f"DROP TEMPORARY VARIABLE {variable}")
+            spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {variable}")
 
 
 def _bytes_of(word: Column) -> Column:
@@ -132,6 +127,15 @@ def _slot_of(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(WORD_SLOTS)).cast("int")
 
 
+def _word_table(words: DataFrame) -> DataFrame:
+    """One row with the ``words``: a list of maps from word to ids; a word is in the map of its slot."""
+    entry = F.struct("word", "ids")
+    held = words.groupBy(_slot_of(F.col("word")).cast("long").alias("slot")).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
+    slots = words.sparkSession.range(WORD_SLOTS).withColumnRenamed("id", "slot").join(held, "slot", "left")
+    by_slot = F.array_sort(F.collect_list(F.struct("slot", "held")), lambda one, two: F.signum(one["slot"] - two["slot"]).cast("int"))
+    return slots.agg(F.transform(by_slot, lambda slot: slot["held"]).alias("words"))
+
+
 class Vocabulary:
     """The tables of a rank file, made once on the driver. Their size is that of the file."""
 
@@ -140,6 +144,10 @@ class Vocabulary:
         self.single = pa.array([[self.ranks[bytes([b])] for b in range(256)]], pa.list_(pa.int64()))
         self.merges = _merges(self.ranks)
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row with the ``single`` ids of bytes and the ``merges``."""
+        return spark.createDataFrame(pa.table({"single": self.single, "merges": self.merges}))
+
     def tokens(self, spark: SparkSession) -> DataFrame:
         """(word, ids) of the tokens that are strings by themselves."""
         words, ids = [], []
@@ -151,12 +159,12 @@ class Vocabulary:
                 continue
         return spark.createDataFrame(pa.table({"word": words, "ids": pa.array(ids, pa.list_(pa.int32()))}))
 
-    def pieces(self) -> pa.Array:
-        """Bytes by id."""
+    def pieces(self, spark: SparkSession) -> DataFrame:
+        """One row with the ``pieces``, bytes by id."""
         pieces: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             pieces[rank] = token
-        return pa.array([pieces], pa.list_(pa.binary()))
+        return spark.createDataFrame(pa.table({"pieces": pa.array([pieces], pa.list_(pa.binary()))}))
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str, pattern: str) -> DataFrame:
@@ -172,7 +180,7 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str, pattern:
     counted = stored(counted.join(F.broadcast(tokens), "word", "left_anti").withColumn("n", F.col("n").cast("double")), "words")
     least = kth_largest(counted, "n", FREQUENT + 1)
     found = counted.where(F.col("n") > F.lit(least)).repartition("word")
-    with _literals(spark, single=vocabulary.single, merges=vocabulary.merges) as table:
+    with _literals(vocabulary.table(spark)) as table:
         return found.select("word", folded(F.col("word"), table).alias("ids")).union(tokens)
 
 
@@ -185,19 +193,15 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     """
     spark, vocabulary = docs.sparkSession, Vocabulary(path)
     with temporary(spark):
-        words = frequent_words(docs, vocabulary, text, pattern)
-        words = lasting(words.select("word", "ids", _slot_of(F.col("word")).alias("slot")), "frequent-words")
-    known = words.toArrow()
-    slots = _slots(known["slot"].to_numpy(), WORD_SLOTS, known["word"].combine_chunks(), known["ids"].combine_chunks())
-
-    with _literals(spark, single=vocabulary.single, merges=vocabulary.merges, words=slots) as table:
+        words = stored(frequent_words(docs, vocabulary, text, pattern), "frequent-words")
+        with _literals(vocabulary.table(spark), _word_table(words)) as table:
 
-        def encoded(word: Column) -> Column:
-            look = F.try_element_at(F.get(table["words"], _slot_of(word)), word)
-            return F.coalesce(look, folded(word, table))
+            def encoded(word: Column) -> Column:
+                look = F.try_element_at(F.get(table["words"], _slot_of(word)), word)
+                return F.coalesce(look, folded(word, table))
 
-        cut = words_of(F.col(f"`{text}`"), pattern)
-        return docs.select(F.col(f"`{key}`").alias("id"), F.flatten(F.transform(cut, encoded)).alias("ids"))
+            cut = words_of(F.col(f"`{text}`"), pattern)
+            return docs.select(F.col(f"`{key}`").alias("id"), F.flatten(F.transform(cut, encoded)).alias("ids"))
 
 
 def decoded(ids: Column, pieces: Column) -> Column:
@@ -211,5 +215,5 @@ def decoded(ids: Column, pieces: Column) -> Column:
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The rows with ``decoded``, the bytes of their ids; null for null ids or such that the file has not."""
-    with _literals(tokens.sparkSession, pieces=Vocabulary(path).pieces()) as table:
+    with _literals(Vocabulary(path).pieces(tokens.sparkSession)) as table:
         return tokens.withColumn("decoded", decoded(F.col(f"`{ids}`"), table["pieces"]))

@@ -41,7 +41,7 @@ def test_every_token_is_folded_like_the_library(spark, library):
     rng, vocabulary = random.Random(2), b.Vocabulary(PATH)
     tokens = [t.decode() for t in rng.sample(sorted(vocabulary.ranks), 6000) if b"\xff" not in t and _valid(t)]
     words = [w for w in {t + rng.choice("aeqz7") for t in tokens} | {rng.choice("xK") + t for t in tokens} if w.encode() not in vocabulary.ranks]
-    with b._literals(spark, single=vocabulary.single, merges=vocabulary.merges) as table:
+    with b._literals(vocabulary.table(spark)) as table:
         df = spark.createDataFrame([(w,) for w in words], "word string")
         found = df.select("word", b.folded(F.col("word"), table).alias("ids")).collect()
     assert len(found) > 5000
