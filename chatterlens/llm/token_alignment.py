@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from chatterlens.llm.hashing import slices
 from chatterlens.llm.steps import lasting, stored, temporary
 
-CACHED = 1 << 17  # pieces that a worker keeps, and as many from before
+CACHED = 1 << 18  # pieces that a worker keeps, and as many from before
 SHORT = 64  # characters of a piece that is kept
 ID_BITS = 20
 BROADCAST_PAIRS = 1_000_000  # rows of three numbers
@@ -92,21 +92,29 @@ class Aligner:
         fresh = list(new - again)
         a = [found.ids for found in self.a.encode_batch_fast(fresh, add_special_tokens=False)]
         b = self.b.encode([piece[1:] for piece in fresh], num_threads=1)
-        whole = [self._joined(self.a_bytes, one) == self._joined(self.b_bytes, two) == piece.encode() for piece, one, two in zip(fresh, a, b)]
-        kept = [list(compress(column, whole)) for column in (fresh, a, b)]
-        self.known.update(dict.fromkeys(fresh))
-        self.known.update(zip(kept[0], self._align(*kept[1:])))
-        found = [parts and [self.known[piece] for piece in parts] for parts in cut]
-        for piece in fresh:
+        if not self._all_whole(fresh, a, b):
+            self.known.update(dict.fromkeys(fresh))
+            whole = [self._all_whole(*([one] for one in found)) for found in zip(fresh, a, b)]
+            fresh, a, b = (list(compress(column, whole)) for column in (fresh, a, b))
+        self.known.update(zip(fresh, self._align(a, b)))
+        found = [parts and list(map(self.known.__getitem__, parts)) for parts in cut]
+        for piece in new:
             if len(piece) > SHORT:
                 del self.known[piece]
         if len(self.known) > CACHED:
             self.known, self.before = {}, self.known
         return [None if parts is None or None in parts else parts for parts in found]
 
-    @staticmethod
-    def _joined(parts: list[bytes], ids: list[int]) -> bytes:
-        return b"".join([parts[number] for number in ids])
+    def _all_whole(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> bool:
+        """Whether the bytes of both encodings are those of the texts."""
+        sizes = np.array([len(text.encode()) for text in texts], np.int64)
+        for parts, lengths, ids in ((self.a_bytes, self.a_sizes, a), (self.b_bytes, self.b_sizes, b)):
+            flat = list(chain.from_iterable(ids))
+            ends = np.cumsum([len(one) for one in ids], dtype=np.int64)
+            totals = np.append(0, np.cumsum(lengths[flat] if flat else []))[ends]
+            if not np.array_equal(totals, np.cumsum(sizes)) or b"".join([parts[number] for number in flat]) != "".join(texts).encode():
+                return False
+        return True
 
     def _align(self, a: list[list[int]], b: list[list[int]]) -> Iterator[tuple]:
         """Number of ids of both, groups and links, the groups as text, and the linked pairs as 8-byte numbers, of
