@@ -39,7 +39,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
         size = max(n, BATCH_BYTES)
@@ -106,7 +106,7 @@ def words_of(texts: pa.Array, classes: np.ndarray) -> Words:
     ends[nonempty[1:] - 1] = inside[nonempty[1:] - 1]
     starts = np.flatnonzero(begins)
     if len(starts):
-        up, down = _powers_up_to(len(data))
+        up, down = powers_up_to(len(data))
         hashes = mixed(np.add.reduceat(_BYTES[low] * up, starts) * down[starts])
     else:
         hashes = np.zeros(0, np.uint64)

@@ -1,14 +1,18 @@
-"""Repeated passages: MinHash bands over short paragraphs, exact Jaccard, and components of equal or similar ones.
+"""Repeated passages: MinHash bands over paragraphs, exact Jaccard, and components of equal or similar ones.
 
-Passages may sit anywhere in a line, so line breaks cannot part them. A paragraph is a run of ``PARAGRAPH`` words that
-begins where the content says: at the smallest of any ``PASSAGE - PARAGRAPH + 1`` consecutive shingle hashes. Two
-texts that share ``PASSAGE`` words in a row therefore share at least one paragraph, wherever the run stands. The first
-and the last words of a text are paragraphs too.
+A paragraph is a line of at least ``PARAGRAPH`` words; a line of more than ``LONG`` words is cut into several where its
+words say. Equal paragraphs are one class. Classes that share a band and do not lie in one text alone are compared by
+the exact Jaccard similarity of their shingles: each with the band's first class, all with each other in small bands,
+and in large ones those that share a shingle of their prefixes and are not connected yet.
 
-Equal paragraphs are one class. Classes that collide in a band are compared by the exact Jaccard similarity of their
-shingles: each with the band's first class, all with each other in small bands, and in large ones those that share a
-shingle of their prefixes and are not connected yet. Of every component the smallest document keeps its occurrences; all others are
-cut, and with them the words to both sides that agree with those beside the kept occurrence.
+A repeated run of words may stand anywhere in a line. Beside the paragraphs there are therefore pieces of ``PARAGRAPH``
+words that begin where the content says: at the smallest of any ``PASSAGE - PARAGRAPH + 1`` consecutive shingle hashes.
+Two texts that share ``PASSAGE`` words in a row share at least one piece, wherever the run stands. The first and the
+last words of a text are pieces too. Pieces are compared by equality.
+
+Of every component of paragraphs, and of every class of pieces, the smallest document keeps its occurrences; in all
+others they are cut. A similar paragraph is cut from the first to the last shingle that it shares with those it
+resembles, a piece with the words to both sides that agree with those beside a kept one.
 """
 
 from __future__ import annotations
@@ -23,19 +27,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatterlens.llm.bottom_k import BROADCAST_ROWS, PAIRED, candidates, central_pairs, outside_pairs, ranked_sets, similar, text_key, with_component
-from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, slices, words_of
+from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, powers_up_to, slices, words_of
 from chatterlens.llm.steps import connected_components, lasting, release, stored, temporary
 
 SHINGLE = 5
 PARAGRAPH = 24
 PASSAGE = 50
 REACH = PASSAGE - PARAGRAPH + 1
-SLACK = 2  # words by which similar paragraphs may be shifted
+LONG = 200  # words of a line that stays whole
+PART = 64  # shingles of which the least begins a part of a longer line
 PERCENT = 80
 ROWS = 2
 RECALL = 0.95
+_LINE_BREAK = 10
 _POSITION_BITS = np.uint64(28)
 _SEEDS = mixed(np.arange(1, 65, dtype=np.uint64))
+_WHOLE = np.uint64(0x5851F42D4C957F2D)
 
 
 def bands_for(similarity: float, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -46,14 +53,8 @@ def bands_for(similarity: float, rows: int = ROWS, recall: float = RECALL) -> in
     return bands
 
 
-def anchors(words: Words, hashes: np.ndarray) -> np.ndarray:
-    """First words of all paragraphs, in order of text and place; none in texts of fewer words than a paragraph."""
-    first, end = words.first[:-1], words.first[1:]
-    long_enough = end - first >= PARAGRAPH
-    ends = np.concatenate([first[long_enough], end[long_enough] - PARAGRAPH])
-    reach = REACH
-    if len(hashes) < reach:
-        return np.unique(ends)
+def _least_places(hashes: np.ndarray, reach: int) -> np.ndarray:
+    """Place of the smallest of each ``reach`` consecutive hashes; of equal upper bits the first."""
     low = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
     least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64) & low
     width = 1
@@ -62,38 +63,89 @@ def anchors(words: Words, hashes: np.ndarray) -> np.ndarray:
         width *= 2
     if width < reach:
         least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
-    text = words.text_of_word()
-    span = reach + SHINGLE - 2
-    inside = text[: len(least)] == text[span : span + len(least)]
-    chosen = (least[inside] & low).astype(np.int64)
+    return (least & low).astype(np.int64)
+
+
+def anchors(words: Words, hashes: np.ndarray) -> np.ndarray:
+    """First words of all pieces, in order of text and place; none in texts of fewer words than a piece."""
+    first, end = words.first[:-1], words.first[1:]
+    long_enough = end - first >= PARAGRAPH
+    ends = np.concatenate([first[long_enough], end[long_enough] - PARAGRAPH])
+    if len(hashes) < REACH:
+        return np.unique(ends)
+    least, text = _least_places(hashes, REACH), words.text_of_word()
+    span = REACH + SHINGLE - 2
+    chosen = least[text[: len(least)] == text[span : span + len(least)]]
     chosen = chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
     chosen = chosen[chosen + PARAGRAPH <= end[text[chosen]]]
     return np.unique(np.concatenate([ends, chosen]))
 
 
-def _paragraphs(bands: int):
-    """Arrow function: (row, text) to the first and last place, class and band keys of every run of paragraphs."""
+def paragraphs_of(words: Words, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and ends of all paragraphs, in order."""
+    n = len(words.starts)
+    after_break = np.searchsorted(words.starts, np.flatnonzero(words.data == _LINE_BREAK))
+    begins = np.unique(np.concatenate([words.first[:-1], after_break]))
+    begins = begins[begins < n]
+    ends = np.append(begins[1:], n)
+    cuts = [begins]
+    for begin, end in zip(begins[ends - begins > LONG].tolist(), ends[ends - begins > LONG].tolist()):
+        at = begin
+        for place in np.unique(begin + _least_places(shingles[begin : end - SHINGLE + 1], PART)).tolist():
+            if place - at >= PARAGRAPH and end - place >= PARAGRAPH:
+                cuts.append(np.array([place]))
+                at = place
+    begins = np.sort(np.concatenate(cuts)) if len(cuts) > 1 else begins
+    ends = np.append(begins[1:], n)
+    enough = ends - begins >= PARAGRAPH
+    return begins[enough], ends[enough]
+
+
+def _found(bands: int):
+    """Arrow function: (id, row, text) to begin, end, class and band keys of all pieces and paragraphs.
+
+    Pieces have no band keys; overlapping equal ones are one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = words_of(batch.column("text"), BLANK_SEPARATED)
             shingles, _ = words.windows(SHINGLE)
             whole, _ = words.windows(PARAGRAPH)
+            text = words.text_of_word()
             at = anchors(words, shingles)
-            at, last, row = _runs(at, whole[at], words.text_of_word()[at]) if len(at) else (at, at, at)
-            columns = {
-                "row": batch.column("row").take(pa.array(row)),
-                "place": pa.array(at - words.first[row], pa.int64()),
-                "last": pa.array(last - words.first[row], pa.int64()),
-                "class": pa.array(as_long(whole[at]), pa.int64()),
-            }
-            for band, values in enumerate(band_keys(shingles, at, bands)):
-                columns[f"band{band}"] = pa.array(as_long(values), pa.int64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            at, last, _ = _runs(at, whole[at], text[at]) if len(at) else (at, at, at)
+            yield _batch(batch, words, text, at, last + PARAGRAPH, whole[at], [None] * bands)
+            begin, end = paragraphs_of(words, shingles)
+            yield _batch(batch, words, text, begin, end, _whole_hashes(words, begin, end), band_keys(shingles, begin, end, bands))
 
     return run
 
 
+def _batch(batch: pa.RecordBatch, words: Words, text: np.ndarray, begin: np.ndarray, end: np.ndarray, classes: np.ndarray, keys) -> pa.RecordBatch:
+    row = text[begin] if len(begin) else begin
+    columns = {name: batch.column(name).take(pa.array(row, pa.int64())) for name in ("id", "row")}
+    columns |= {"begin": pa.array(begin - words.first[row], pa.int64()), "end": pa.array(end - words.first[row], pa.int64())}
+    columns["class"] = pa.array(as_long(classes), pa.int64())
+    for band, values in enumerate(keys):
+        columns[f"band{band}"] = pa.nulls(len(begin), pa.int64()) if values is None else pa.array(as_long(values), pa.int64())
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _over(function: np.ufunc, values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A function such as minimum over the values from each begin to its end, none of them empty."""
+    if not len(begin):
+        return np.zeros(0, values.dtype)
+    return function.reduceat(np.append(values, values[:1]), np.column_stack([begin, end]).ravel())[::2]
+
+
+def _whole_hashes(words: Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of all words of each paragraph, none that a piece has too."""
+    up, down = powers_up_to(len(words.hashes))
+    total = _over(np.add, words.hashes * up, begin, end) * down[begin]
+    return mixed((total + (end - begin).astype(np.uint64)) ^ _WHOLE)
+
+
 def _runs(at: np.ndarray, classes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First place, last place and text of each run of overlapping equal paragraphs, as in a word said a thousand times."""
     same = (classes[1:] == classes[:-1]) & (row[1:] == row[:-1]) & (np.diff(at) < PARAGRAPH)
@@ -101,38 +153,36 @@ def _runs(at: np.ndarray, classes: np.ndarray, row: np.ndarray) -> tuple[np.ndar
     return at[begins], at[np.concatenate([begins[1:], [len(at)]]) - 1], row[begins]
 
 
-def band_keys(shingles: np.ndarray, at: np.ndarray, bands: int) -> Iterator[np.ndarray]:
+def band_keys(shingles: np.ndarray, begin: np.ndarray, end: np.ndarray, bands: int) -> Iterator[np.ndarray]:
     """Per band a hash of ``ROWS`` MinHash values of each paragraph."""
-    spread = shingles[at[:, None] + np.arange(PARAGRAPH - SHINGLE + 1)] if len(at) else np.zeros((0, 1), np.uint64)
     for band in range(bands):
-        key = np.full(len(at), band, np.uint64)
+        key = np.full(len(begin), band, np.uint64)
         for seed in _SEEDS[band * ROWS : (band + 1) * ROWS]:
-            key = mixed(key + mixed(spread ^ seed).min(axis=1, initial=np.uint64(2**64 - 1)))
+            key = mixed(key + _over(np.minimum, mixed(shingles ^ seed), begin, end - SHINGLE + 1))
         yield key
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: (text, places) to (class, values), the distinct shingles of the paragraphs at the places."""
+    """Arrow function: (text, places) to (class, values, at): the distinct shingles of each paragraph in order of
+    their first place, and these places within the paragraph."""
     for batch in slices(batches, "text"):
         words = words_of(batch.column("text"), BLANK_SEPARATED)
         shingles, _ = words.windows(SHINGLE)
-        whole, _ = words.windows(PARAGRAPH)
-        classes, values = [], []
-        for row, places in enumerate(batch.column("places").to_pylist()):
-            for place in places:
-                at = int(words.first[row]) + place
-                classes.append(whole[at])
-                values.append(as_long(np.unique(shingles[at : at + PARAGRAPH - SHINGLE + 1])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(as_long(np.array(classes, np.uint64)), pa.int64()), pa.array(values, pa.list_(pa.int64()))],
-            names=["class", "values"],
-        )
+        held = batch.column("places").flatten()
+        text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("places")).to_numpy())
+        values, at = [], []
+        for begin, end in zip(*(words.first[text] + held.field(name).to_numpy() for name in ("begin", "end"))):
+            _, places = np.unique(shingles[begin : end - SHINGLE + 1], return_index=True)
+            at.append(np.sort(places))
+            values.append(as_long(shingles[begin + at[-1]]))
+        columns = [held.field("class"), _lists(values, np.int64), _lists(at, np.int64)]
+        yield pa.RecordBatch.from_arrays(columns, names=["class", "values", "at"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: (text, runs) to the runs with hashes of the words around, outwards from ``SLACK`` words inside.
+    """Arrow function: (text, runs) to the runs with hashes of the words to both sides, outwards.
 
-    ``REACH`` words outside are enough: where more agree, another paragraph of both texts begins.
+    ``REACH`` words are enough: where more agree, another piece of both texts begins.
     """
     for batch in slices(batches, "text"):
         words = words_of(batch.column("text"), BLANK_SEPARATED)
@@ -140,18 +190,16 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, held = batch.column("runs"), batch.column("runs").flatten()
         text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(runs).to_numpy())
         columns = {field.name: held.field(i) for i, field in enumerate(held.type)}
-        low = words.first[text]
-        begin, end = (low + columns[name].to_numpy() for name in ("place", "last"))
-        end = end + PARAGRAPH
-        least, most = np.maximum(low, begin - REACH), np.minimum(words.first[text + 1], end + REACH)
-        columns["left"] = _lists([hashes[a : b + SLACK][::-1] for a, b in zip(least, begin)])
-        columns["right"] = _lists([hashes[a - SLACK : b] for a, b in zip(end, most)])
+        low, high = words.first[text], words.first[text + 1]
+        begin, end = (low + columns[name].to_numpy() for name in ("begin", "end"))
+        columns["left"] = _lists([hashes[a:b][::-1] for a, b in zip(np.maximum(low, begin - REACH), begin)])
+        columns["right"] = _lists([hashes[a:b] for a, b in zip(end, np.minimum(high, end + REACH))])
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
+def _lists(arrays: list[np.ndarray], kind: type = np.int32) -> pa.Array:
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, kind)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat.astype(kind)))
 
 
 def _checked(rows: DataFrame) -> DataFrame:
@@ -161,40 +209,53 @@ def _checked(rows: DataFrame) -> DataFrame:
 
 def row_key(key: str, text: str) -> Column:
     """One number for id and text; rows that repeat both are one document."""
-    return F.xxhash64(F.col(f"`{key}`").cast("long"), text_key(text))
+    return F.xxhash64(F.col(f"`{key}`").try_cast("long"), text_key(text))
 
 
 def band_groups(classes: DataFrame, bands: int) -> DataFrame:
-    """(pivot, node) without repeats: all classes of the bands that have the same first class, but that one itself."""
+    """(pivot, node) without repeats: all classes of the bands that have the same first class, but that one itself.
+
+    Bands whose classes all lie in one text alone are left out: their pairs are no links.
+    """
     band_of = F.explode(F.array(*[F.col(f"band{band}") for band in range(bands)]))
-    entries = classes.select(F.col("class").alias("node"), band_of.alias("band"))
-    in_band = Window.partitionBy("band").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return entries.withColumn("pivot", F.first("node").over(in_band)).where("node != pivot").select("pivot", "node").distinct()
+    entries = classes.where("band0 IS NOT NULL").select(F.col("class").alias("node"), "row", "last_row", band_of.alias("band"))
+    ends = entries.groupBy("band").agg(
+        F.min("row").alias("lowest"), F.max("last_row").alias("highest"), F.min("node").alias("pivot"), F.max("node").alias("other")
+    )
+    ends = _checked(stored(ends.where("lowest != highest AND pivot != other").select(F.col("band").alias("wanted"), "pivot"), "bands"))
+    return entries.join(ends, F.col("band") == F.col("wanted")).where("node != pivot").select("pivot", "node").distinct()
 
 
 def shingle_sets(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, values, only) of the classes of groups: their shingles, and the text that alone has the class, else null."""
+    """(node, values, at, only) of the classes of groups: their shingles, and the text that alone has the class, else null."""
     wanted = members.select("node").union(members.select("pivot")).distinct().withColumnRenamed("node", "wanted")
     places = found.join(_checked(stored(wanted, "wanted-sets")), F.col("class") == F.col("wanted")).groupBy("class")
     only = F.when(F.min("row") == F.max("row"), F.min("row")).alias("only")
-    places = stored(places.agg(F.min(F.struct("row", "place")).alias("first"), only), "first-places")
-    by_row = places.groupBy(F.col("first.row").alias("wanted_row")).agg(F.collect_list("first.place").alias("places"))
+    places = stored(places.agg(F.min(F.struct("row", "begin", "end")).alias("first"), only), "first-places")
+    by_row = places.groupBy(F.col("first.row").alias("wanted_row")).agg(
+        F.collect_list(F.struct("class", "first.begin", "first.end")).alias("places")
+    )
     texts = docs.join(_checked(stored(by_row, "places")), F.col("row") == F.col("wanted_row"))
-    sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>").dropDuplicates(["class"])
-    return sets.join(places.select("class", "only"), "class").withColumnRenamed("class", "node")
+    sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>, at array<long>")
+    return sets.dropDuplicates(["class"]).join(places.select("class", "only"), "class").withColumnRenamed("class", "node")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    one, two = (sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", *columns)]) for s in "ab")
+    return pairs.join(two, F.col("b") == F.col("node_b")).join(one, F.col("a") == F.col("node_a"))
 
 
 def similar_classes(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingles are similar enough, without those that one text alone has."""
-    one, two = (sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "values", "only")]) for s in "ab")
-    both = pairs.join(two, F.col("b") == F.col("node_b")).join(one, F.col("a") == F.col("node_a"))
+    both = _with_sets(pairs, sets, ("values", "only"))
     both = both.where(~F.coalesce(F.col("only_a") == F.col("only_b"), F.lit(False)))
     shared = F.size(F.array_intersect("values_a", "values_b"))
     return both.where(similar(shared, F.size("values_a"), F.size("values_b"), percent)).select("a", "b")
 
 
-def linked_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the classes that are similar to another, as ``bottom_k.near_duplicates`` finds them."""
+def linked_classes(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) and (node, component) of the classes that are similar to another, as ``bottom_k.near_duplicates``
+    finds them."""
     links = stored(similar_classes(candidates(members), sets, percent), "paragraph-links")
     components = connected_components(links)
     sizes = members.groupBy("pivot").agg(F.count("*").alias("size")).where(F.col("size") >= PAIRED)
@@ -206,7 +267,21 @@ def linked_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
             more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             links = stored(links.union(similar_classes(more, sets, percent)), "paragraph-links")
             components = connected_components(links)
-    return components
+    return links, components
+
+
+def shared_spans(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, from, to) within each linked paragraph: the words from its first shingle that a linked one has to its last."""
+    both = _with_sets(links.distinct(), sets, ("values", "at"))
+
+    def span(own: str, other: str) -> list[Column]:
+        shared = F.array_intersect(f"values_{own}", f"values_{other}")  # in the order of the first array
+        place = lambda value: F.get(f"at_{own}", (F.array_position(f"values_{own}", value) - 1).cast("int"))
+        last = place(F.element_at(shared, -1)) + SHINGLE
+        return [F.col(own).alias("node"), place(F.element_at(shared, 1)).alias("from"), last.alias("to")]
+
+    spans = both.select(*span("a", "b")).union(both.select(*span("b", "a")))
+    return spans.groupBy("node").agg(F.min("from").alias("from"), F.max("to").alias("to"))
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -214,80 +289,112 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Words are parted by ASCII blanks, A-Z lower-cased; shingles have ``SHINGLE`` words. A passage is made of the
     paragraphs of one text that are equal or similar (``percent``) to such of the smallest document of their
-    component, ``kept_id``, and of the words beside them that agree with that document's; overlapping ones are one passage. Similar paragraphs that one text alone has are no link. Repeats within that smallest document stay. ``row`` is a
-    hash of id and text; documents are ordered by id, a null id last, then by ``row``, and rows that repeat both are
-    one document. Null and empty texts and those with fewer words than a paragraph have no passages. An empty table
-    gives an empty result. Other columns are not read.
+    component, ``kept_id``, and of the runs of words that equal such of the smallest document that has them, if they
+    hold a piece; a run of ``PASSAGE`` words always does. Overlapping passages, and those that fewer words than a
+    shingle part, are one. Similar paragraphs that one text alone has are no link. Repeats within the document that
+    keeps them stay. Lines and texts of fewer words than a paragraph have no passages.
+
+    ``row`` is a hash of id and text; documents are ordered by id, a null id last, then by ``row``, and rows that
+    repeat both are one document. Ids are whole numbers, or strings that spell them; other strings have no id. Null
+    and empty texts have no passages. An empty table gives an empty result. Other columns are not read.
     """
     bands = bands_for(percent / 100)
-    docs = docs.select(F.col(key).cast("long").alias("id"), row_key(key, text).alias("row"), F.col(text).alias("text"))
+    docs = docs.select(F.col(key).try_cast("long").alias("id"), row_key(key, text).alias("row"), F.col(text).alias("text"))
     with temporary(docs.sparkSession):
-        schema = "row long, place long, last long, class long, " + ", ".join(f"band{band} long" for band in range(bands))
-        found = stored(docs.select("row", "text").mapInArrow(_paragraphs(bands), schema), "paragraphs")
+        names = [f"band{band}" for band in range(bands)]
+        schema = ", ".join(f"{name} long" for name in ["id", "row", "begin", "end", "class", *names])
+        found = stored(docs.mapInArrow(_found(bands), schema), "paragraphs")
         classes = found.groupBy("class").agg(
-            F.min("row").alias("row"),
-            F.max("row").alias("last_row"),
-            *[F.first(f"band{band}").alias(f"band{band}") for band in range(bands)],
+            F.min("row").alias("row"), F.max("row").alias("last_row"), *[F.first(name).alias(name) for name in names]
         )
-        repeated = (F.col("row") != F.col("last_row")).alias("repeated")
-        classes = stored(classes.select("class", repeated, *[f"band{band}" for band in range(bands)]), "classes")
+        classes = stored(classes.where("row != last_row OR band0 IS NOT NULL"), "classes")
         release(docs.sparkSession)
-        members = stored(band_groups(classes, bands), "bands")
+        members = stored(band_groups(classes, bands), "band-groups")
         release(docs.sparkSession)
         sets = stored(shingle_sets(docs, found, members), "paragraph-sets")
-        components = linked_classes(members, sets, percent).select(F.col("node").alias("class"), "component")
-        wanted = classes.where("repeated").select("class").union(components.select("class")).distinct()
-        wanted = wanted.join(components, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        links, components = linked_classes(members, sets, percent)
+        linked = components.join(shared_spans(links, sets), "node").withColumnRenamed("node", "class")
+        wanted = classes.where("row != last_row").select("class").union(linked.select("class")).distinct()
+        wanted = wanted.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
         wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))
-        held = found.select("row", "place", "last", "class").join(wanted, F.col("class") == F.col("wanted")).drop("wanted")
-        held = stored(held, "repeated-paragraphs")
-        around = stored(_surrounded(docs, stored(_named(docs, held), "named-paragraphs")), "surrounded-paragraphs")
+        held = found.join(wanted, F.col("class") == F.col("wanted")).select(
+            "id", "row", "begin", "end", "class", "component", "from", "to", F.col("band0").isNull().alias("piece")
+        )
+        named = stored(_named(stored(held.distinct(), "held")), "named-paragraphs")
         release(docs.sparkSession)
-        return lasting(_passages(_extended(around)), "passages")
+        around = stored(_surrounded(docs, named.where("piece")), "surrounded-pieces")
+        cut = _cut_paragraphs(named.where("NOT piece AND NOT kept")).union(_extended(around))
+        return lasting(_passages(cut), "passages")
 
 
-def _named(docs: DataFrame, held: DataFrame) -> DataFrame:
-    """The runs (row, place, last, class, component) with id, kept_id, and whether they are of the component's first text.
+def _named(held: DataFrame) -> DataFrame:
+    """The occurrences with kept_id, whether the component's first text has them (kept) and has their class (exact).
 
     Components that one text alone has are left out.
     """
-    ids = docs.select("id", "row").join(held.select("row").distinct(), "row", "left_semi").distinct()
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    named = held.distinct().join(ids, "row")
-    first = named.groupBy("component").agg(F.min(order).alias("first"), F.max("row").alias("high"), F.min("row").alias("low"))
-    named = named.join(first.where("low != high"), "component").withColumn("kept", F.col("row") == F.col("first.row"))
-    return named.select("row", "id", "place", "last", "class", "component", F.col("first.id").alias("kept_id"), "kept")
+    order = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("own")
+    classes = held.groupBy("component", "class").agg(order, F.min("row").alias("low"), F.max("row").alias("high"))
+    classes = stored(classes, "held-classes")
+    first = classes.groupBy("component").agg(F.min("own").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
+    first = first.where("low != high").select(F.col("component").alias("named"), "first")
+    kept = classes.join(first, F.col("component") == F.col("named")).select(
+        F.col("class").alias("named"), "first", (F.col("own.row") == F.col("first.row")).alias("exact")
+    )
+    named = held.join(_checked(stored(kept, "kept")), F.col("class") == F.col("named"))
+    columns = [F.col("first.id").alias("kept_id"), "exact", (F.col("row") == F.col("first.row")).alias("kept")]
+    return named.select(*held.columns, *columns)
+
+
+def _cut_paragraphs(named: DataFrame) -> DataFrame:
+    """(id, row, kept_id, begin, end) of paragraphs: all of one that the keeping text has too, else what is shared."""
+    part = ~F.col("exact") & F.col("from").isNotNull()
+    begin, end = F.col("begin") + F.col("from"), F.col("begin") + F.col("to")
+    return named.select(
+        "id", "row", "kept_id", F.when(part, begin).otherwise(F.col("begin")).alias("begin"), F.when(part, end).otherwise(F.col("end")).alias("end")
+    )
 
 
 def _surrounded(docs: DataFrame, named: DataFrame) -> DataFrame:
     """The named runs with left and right: hashes of the words around."""
-    runs = named.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*named.columns)).alias("runs"))
+    kept = named.select("id", "row", "begin", "end", "class", "kept_id", "kept")
+    runs = kept.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*kept.columns)).alias("runs"))
     texts = docs.join(_checked(stored(runs, "runs")), F.col("row") == F.col("wanted_row"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields)
-    return texts.select("text", "runs").mapInArrow(_contexts, schema + ", left array<int>, right array<int>")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    return texts.select("text", "runs").mapInArrow(_contexts, schema + ", left array<int>, right array<int>").distinct()
 
 
 def _agreeing(one: Column, two: Column) -> Column:
-    """Number of first entries that two arrays have in common."""
+    """Number of first entries that two arrays have in common; none with a null one."""
     parted = F.array_position(F.zip_with(one, two, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
-    return F.when(parted == 0, F.size(one)).otherwise(parted - 1)
+    return F.coalesce(F.when(parted == 0, F.size(one)).otherwise(parted - 1), F.lit(0))
 
 
-def _extended(around: DataFrame) -> DataFrame:
-    """(id, row, kept_id, begin, end) of the runs that are not kept, with the words to both sides that agree.
+def agreements(contexts: DataFrame) -> DataFrame:
+    """(class, side, words, agree) of contexts (class, side, words, kept): first words shared with a kept one at most.
 
-    Equal paragraphs are laid on each other, similar ones also shifted by up to ``SLACK`` words.
+    In the order of their words a context shares most with the kept ones next to it. Equal contexts are one row and
+    contexts of different first words share nothing, so those that many texts have do not meet in one task.
     """
-    kept = around.where("kept").select("component", *[F.col(c).alias(f"kept_{c}") for c in ("class", "left", "right")])
-    both = around.where("NOT kept").join(kept.distinct(), "component")
+    each = contexts.where(F.size("words") > 0).groupBy("class", "side", "words").agg(F.max("kept").alias("held"))
+    each = each.withColumn("kept_words", F.when(F.col("held"), F.col("words")))
+    near = Window.partitionBy("class", "side", F.get("words", F.lit(0)))
+    nearest = [F.last("kept_words", ignorenulls=True).over(near.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)) for order in (F.asc("words"), F.desc("words"))]
+    return each.select("class", "side", "words", F.greatest(*[_agreeing(F.col("words"), other) for other in nearest]).alias("agree"))
 
-    def words(side: str) -> Column:
-        outside = lambda name, at: F.slice(name, at + 1, SLACK + REACH)
-        laid = [_agreeing(outside(side, SLACK), outside(f"kept_{side}", at)) for at in range(2 * SLACK + 1)]
-        return F.when(F.col("class") == F.col("kept_class"), laid[SLACK]).otherwise(F.greatest(*laid))
 
-    begin, end = F.col("place") - words("left"), F.col("last") + PARAGRAPH + words("right")
-    return both.select("id", "row", "kept_id", begin.alias("begin"), end.alias("end"))
+def _extended(around: DataFrame) -> DataFrame:
+    """(id, row, kept_id, begin, end) of the runs that are not kept, with the words to both sides that agree with a
+    kept run's of the same class."""
+    sides = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("words")) for side in ("left", "right")]))
+    contexts = around.select("class", "kept", sides.alias("context")).select("class", "kept", "context.side", "context.words")
+    agree = stored(agreements(contexts), "agreements")
+    cut = around.where("NOT kept")
+    for side in ("left", "right"):
+        known = agree.where(F.col("side") == side).select(F.col("class").alias("known"), F.col("words").alias("known_words"), F.col("agree").alias(f"{side}_agree"))
+        cut = cut.join(known, (F.col("class") == F.col("known")) & (F.col(side) == F.col("known_words")), "left").drop("known", "known_words")
+    begin = F.col("begin") - F.coalesce("left_agree", F.lit(0))
+    end = F.col("end") + F.coalesce("right_agree", F.lit(0))
+    return cut.select("id", "row", "kept_id", begin.alias("begin"), end.alias("end"))
 
 
 def _passages(cut: DataFrame) -> DataFrame:
