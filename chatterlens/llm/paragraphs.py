@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatterlens.llm.bottom_k import BROADCAST_ROWS, PAIRED, candidates, central_pairs, outside_pairs, ranked_sets, similar, text_key, with_component
+from chatterlens.llm.bottom_k import PAIRED, candidates, central_pairs, outside_pairs, ranked_sets, similar, text_key, with_component
 from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, powers_up_to, slices, words_of
 from chatterlens.llm.steps import connected_components, lasting, release, stored, temporary
 
@@ -39,6 +39,8 @@ PART = 64  # shingles of which the least begins a part of a longer line
 PERCENT = 80
 ROWS = 2
 RECALL = 0.95
+BROADCAST_ROWS = 200_000  # rows of a few numbers
+BROADCAST_KEYS = 1_000_000  # rows of one number
 _LINE_BREAK = 10
 _POSITION_BITS = np.uint64(28)
 _SEEDS = mixed(np.arange(1, 65, dtype=np.uint64))
@@ -203,8 +205,22 @@ def _lists(arrays: list[np.ndarray], kind: type = np.int32) -> pa.Array:
 
 
 def _checked(rows: DataFrame) -> DataFrame:
-    """Broadcast up to ``BROADCAST_ROWS`` short rows; more are joined by a shuffle."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    """Broadcast up to ``BROADCAST_ROWS`` rows of a few numbers, or ``BROADCAST_KEYS`` of one; more are shuffled."""
+    most = BROADCAST_KEYS if len(rows.columns) == 1 else BROADCAST_ROWS
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def _checked_lists(rows: DataFrame, lists: str) -> DataFrame:
+    """The same for rows with lists of a few numbers, by the entries of all lists."""
+    entries = rows.agg(F.sum(F.size(lists))).first()[0] or 0
+    return F.broadcast(rows) if entries <= BROADCAST_ROWS else rows
+
+
+def _texts_with(docs: DataFrame, lists: DataFrame, name: str) -> DataFrame:
+    """The documents of the lists (wanted_row, lists) with them. Texts of no list are left out before any shuffle."""
+    wanted = _checked(stored(lists.select(F.col("wanted_row").alias("kept_row")), f"{name}-rows"))
+    kept = docs.join(wanted, F.col("row") == F.col("kept_row"), "left_semi")
+    return kept.join(_checked_lists(lists, name), F.col("row") == F.col("wanted_row"))
 
 
 def row_key(key: str, text: str) -> Column:
@@ -235,7 +251,7 @@ def shingle_sets(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataF
     by_row = places.groupBy(F.col("first.row").alias("wanted_row")).agg(
         F.collect_list(F.struct("class", "first.begin", "first.end")).alias("places")
     )
-    texts = docs.join(_checked(stored(by_row, "places")), F.col("row") == F.col("wanted_row"))
+    texts = _texts_with(docs, stored(by_row, "places"), "places")
     sets = texts.select("text", "places").mapInArrow(_shingles, "class long, values array<long>, at array<long>")
     return sets.dropDuplicates(["class"]).join(places.select("class", "only"), "class").withColumnRenamed("class", "node")
 
@@ -314,11 +330,12 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         sets = stored(shingle_sets(docs, found, members), "paragraph-sets")
         links, components = linked_classes(members, sets, percent)
         linked = components.join(shared_spans(links, sets), "node").withColumnRenamed("node", "class")
-        wanted = classes.where("row != last_row").select("class").union(linked.select("class")).distinct()
-        wanted = wanted.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        linked = stored(linked.withColumnRenamed("class", "linked"), "linked")
+        wanted = classes.where("row != last_row").select("class").union(linked.select("linked")).distinct()
         wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))
-        held = found.join(wanted, F.col("class") == F.col("wanted")).select(
-            "id", "row", "begin", "end", "class", "component", "from", "to", F.col("band0").isNull().alias("piece")
+        held = found.join(wanted, F.col("class") == F.col("wanted"), "left_semi")
+        held = held.join(_checked(linked), F.col("class") == F.col("linked"), "left").select(
+            "id", "row", "begin", "end", "class", F.coalesce("component", "class").alias("component"), "from", "to", F.col("band0").isNull().alias("piece")
         )
         named = stored(_named(stored(held.distinct(), "held")), "named-paragraphs")
         release(docs.sparkSession)
@@ -358,7 +375,7 @@ def _surrounded(docs: DataFrame, named: DataFrame) -> DataFrame:
     """The named runs with left and right: hashes of the words around."""
     kept = named.select("id", "row", "begin", "end", "class", "kept_id", "kept")
     runs = kept.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*kept.columns)).alias("runs"))
-    texts = docs.join(_checked(stored(runs, "runs")), F.col("row") == F.col("wanted_row"))
+    texts = _texts_with(docs, stored(runs, "runs"), "runs")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     return texts.select("text", "runs").mapInArrow(_contexts, schema + ", left array<int>, right array<int>").distinct()
 
@@ -420,7 +437,7 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
     names = [f"`{name}`" for name in docs.columns]
     added = [T.StructField("__spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("__empty", T.BooleanType())]
     schema = T.StructType([*docs.schema.fields, *added])
-    joined = docs.join(_checked(spans), row_key(key, text) == F.col("__row"), "left").select(*names, "__spans")
+    joined = docs.join(_checked_lists(spans, "__spans"), row_key(key, text) == F.col("__row"), "left").select(*names, "__spans")
     left = joined.mapInArrow(_cutter(text), schema)
     return left.where("NOT __empty").select(*names)
 
