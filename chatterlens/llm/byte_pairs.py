@@ -15,6 +15,7 @@ import base64
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -24,11 +25,13 @@ from pyspark.sql import functions as F
 
 from chatterlens.llm.steps import kth_largest, stored, temporary
 
-FREQUENT = 1 << 19  # distinct words in the look-up table, besides the tokens
-ID_BITS = 20
+FREQUENT = 400_000  # distinct words in the look-up table, besides the tokens
+ID_BITS = 18
+PLACE_BITS = 27  # of a byte in its word
 MERGE_SLOTS = 65_521
 WORD_SLOTS = 524_287
-CHUNK = 64  # byte strings joined at a time
+JOINED = 8  # byte strings joined by one expression
+CHUNK = 32  # of these, joined at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -75,8 +78,8 @@ def _literals(*rows: DataFrame) -> Iterator[dict[str, Column]]:
 
 
 def _bytes_of(word: Column) -> Column:
-    """The bytes of a string as numbers from 0 to 255."""
-    return F.transform(F.split(F.decode(word.cast("binary"), "ISO-8859-1"), ""), F.ascii)
+    """The bytes of a string as characters of the same numbers."""
+    return F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
 
 
 def folded(word: Column, table: dict[str, Column]) -> Column:
@@ -85,27 +88,27 @@ def folded(word: Column, table: dict[str, Column]) -> Column:
     The state is one number for each part of the word: the rank of the part joined with the next one, the part's first
     byte and its id. The least number is the leftmost pair of least rank.
     """
-    mask = (1 << ID_BITS) - 1
+    mask, places, above = (1 << ID_BITS) - 1, (1 << PLACE_BITS) - 1 << ID_BITS, ID_BITS + PLACE_BITS
 
     def part(token: Column, begin: Column, following: Column) -> Column:
         key = F.shiftleft(token, ID_BITS).bitwiseOR(following)
         rank = F.try_element_at(F.get(table["merges"], F.pmod(key, F.lit(MERGE_SLOTS)).cast("int")), key)
-        return F.shiftleft(F.coalesce(rank, F.lit(mask).cast("long")), 2 * ID_BITS).bitwiseOR(begin).bitwiseOR(token)
+        return F.shiftleft(F.coalesce(rank, F.lit(mask).cast("long")), above).bitwiseOR(begin).bitwiseOR(token)
 
     def merged(parts: Column, least: Column, at: Column) -> Column:
-        token, begin = F.shiftright(least, 2 * ID_BITS), least.bitwiseAND(mask << ID_BITS)
-        left, right = F.get(parts, at - 2), F.get(parts, at + 1)
-        here = part(token, begin, right.bitwiseAND(mask))
-        before = part(left.bitwiseAND(mask), left.bitwiseAND(mask << ID_BITS), token)
-        behind = F.slice(parts, at + 2, F.size(parts))
-        return F.when(at > 1, F.concat(F.slice(parts, F.lit(1), at - 2), F.array(before, here), behind)).otherwise(
-            F.concat(F.array(here), behind)
-        )
+        token, begin = F.shiftright(least, above), least.bitwiseAND(places)
+
+        def joined(one: Column, place: Column) -> Column:
+            here = part(token, begin, F.get(parts, at + 1).bitwiseAND(mask))
+            before = part(one.bitwiseAND(mask), one.bitwiseAND(places), token)
+            return F.when(place == at - 1, here).when(place == at - 2, before).otherwise(one)
+
+        return F.transform(F.filter(parts, lambda _, place: place != at), joined)
 
     def step(parts: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
             place = F.array_position(parts, least).cast("int")
-            return F.when(least >= mask << 2 * ID_BITS, parts).otherwise(_let(place, lambda at: merged(parts, least, at)))
+            return F.when(least >= mask << above, parts).otherwise(_let(place, lambda at: merged(parts, least, at)))
 
         return _let(F.array_min(parts), merge)
 
@@ -113,7 +116,7 @@ def folded(word: Column, table: dict[str, Column]) -> Column:
         first = lambda place: F.shiftleft(place.cast("long"), ID_BITS)
         return F.transform(ids, lambda one, place: part(one, first(place), F.get(ids, place + 1)))
 
-    ids = F.transform(_bytes_of(word), lambda byte: F.get(table["single"], byte))
+    ids = F.transform(_bytes_of(word), lambda byte: F.get(table["single"], F.ascii(byte)))
     rounds = F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2)))
     return F.aggregate(rounds, _let(ids, begun), step, lambda parts: F.transform(parts, lambda x: x.bitwiseAND(mask).cast("int")))
 
@@ -137,10 +140,12 @@ def _word_table(words: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The tables of a rank file, made once on the driver. Their size is that of the file."""
+    """The tables of a rank file, made on the driver. Their size is that of the file."""
 
     def __init__(self, path: str):
         self.ranks = read_ranks(path)
+        if max(self.ranks.values()) >= (1 << ID_BITS) - 1:
+            raise ValueError(f"ids of {path} need more than {ID_BITS} bits")
         self.single = pa.array([[self.ranks[bytes([b])] for b in range(256)]], pa.list_(pa.int64()))
         self.merges = _merges(self.ranks)
 
@@ -167,6 +172,11 @@ class Vocabulary:
         return spark.createDataFrame(pa.table({"pieces": pa.array([pieces], pa.list_(pa.binary()))}))
 
 
+@cache
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str, pattern: str) -> DataFrame:
     """(word, ids) of all tokens and of up to ``FREQUENT`` of the most frequent other words of all documents.
 
@@ -191,7 +201,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     texts have no ids. Each row is a document of its own, also if rows repeat or the id is null. Other columns are not
     read. An empty table gives an empty result.
     """
-    spark, vocabulary = docs.sparkSession, Vocabulary(path)
+    spark, vocabulary = docs.sparkSession, vocabulary_of(path)
     with temporary(spark):
         words = stored(frequent_words(docs, vocabulary, text, pattern), "frequent-words")
         with _literals(vocabulary.table(spark), _word_table(words)) as table:
@@ -205,15 +215,28 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
 
 def decoded(ids: Column, pieces: Column) -> Column:
-    """The bytes of token ids, joined in two steps so that long texts are not copied once for each token."""
-    joined = lambda parts: F.aggregate(parts, F.lit(b""), lambda all_before, part: F.concat(all_before, part))
+    """The bytes of token ids, joined in steps so that long texts are not copied once for each token.
+
+    Null if one of the ids has no bytes.
+    """
+    none = F.lit(b"")
+    joined = lambda parts: F.aggregate(parts, none, lambda all_before, part: F.concat(all_before, part))
+
+    def piece(place: Column) -> Column:
+        return F.when(place < F.size(ids), F.get(pieces, F.get(ids, place))).otherwise(none)
+
+    def begins(low: Column, high: Column, step: int) -> Column:
+        return F.sequence(low, F.greatest(low, high), F.lit(step))
+
+    def chunk(begin: Column) -> Column:
+        high = F.least(begin + JOINED * CHUNK, F.size(ids)) - 1
+        few = lambda first: F.concat(*[piece(first + more) for more in range(JOINED)])
+        return joined(F.transform(begins(begin, high, JOINED), few))
 
-    chunk = lambda begin: F.transform(F.slice(ids, begin, CHUNK), lambda one: F.get(pieces, one))
-    begins = F.sequence(F.lit(1), F.greatest(F.size(ids), F.lit(1)), F.lit(CHUNK))
-    return joined(F.transform(begins, lambda begin: joined(chunk(begin))))
+    return F.when(ids.isNotNull(), joined(F.transform(begins(F.lit(0), F.size(ids) - 1, JOINED * CHUNK), chunk)))
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The rows with ``decoded``, the bytes of their ids; null for null ids or such that the file has not."""
-    with _literals(Vocabulary(path).pieces(tokens.sparkSession)) as table:
+    with _literals(vocabulary_of(path).pieces(tokens.sparkSession)) as table:
         return tokens.withColumn("decoded", decoded(F.col(f"`{ids}`"), table["pieces"]))
