@@ -2,8 +2,9 @@
 
 A piece is a run of text from one blank or line break to the next. Where a blank or line break follows a character
 that is no white space, byte-level BPE begins a new pre-token whatever stands around, so a text has as many tokens as
-its pieces have together. Frequent pieces are counted over all documents by bounded summaries of tasks and encoded
-once; all others are encoded by the worker that meets them and kept in its cache. Pieces are never shuffled.
+its pieces have together. Frequent pieces of a bounded sample of the documents are encoded once; all others are encoded
+by the worker that meets them and kept in its cache. Pieces are never shuffled, and all texts but the sample are read
+once. The sample decides speed only: every count comes from the tokenizer.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from tokenizers import Tokenizer
 from chatterlens.llm.hashing import slices
 
 FREQUENT = 1 << 15
+SAMPLE = 20_000  # documents that the frequent pieces are taken from
+SAMPLE_TASKS = 8
 CACHED = 1 << 19
 SHORT = 64
 
@@ -119,15 +122,20 @@ def _summary(path: str) -> Callable:
 
 
 def frequent_pieces(docs: DataFrame, text: str, path: str) -> dict[str, int]:
-    """Token counts of up to ``FREQUENT`` pieces that are frequent over all documents.
+    """Token counts of up to ``FREQUENT`` pieces that are frequent in about ``SAMPLE`` documents, chosen by their hash.
 
-    Each task sends its ``FREQUENT`` most frequent pieces of at most ``SHORT`` characters. The table decides speed
-    only, never a count.
+    Equal texts count once.
+    The sample is read by ``SAMPLE_TASKS`` tasks, each of which sends its ``FREQUENT`` most frequent pieces of at most
+    ``SHORT`` characters to the driver, whatever the number of documents. The table decides speed only, never a count.
     """
-    found = docs.select(F.col(text).alias("text")).mapInArrow(_summary(path), "piece string, n long")
-    found = found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(FREQUENT)
-    known = [row.piece for row in found.collect()]
+    parts = max(1, docs.count() // SAMPLE)
+    texts = docs.select(F.col(text).alias("text"))
+    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0).distinct().repartition(SAMPLE_TASKS)
+    found: Counter[str] = Counter()
+    for row in sample.mapInArrow(_summary(path), "piece string, n long").collect():
+        found[row.piece] += row.n
     special = special_strings(path)
+    known = sorted(found, key=lambda piece: (-found[piece], piece))[:FREQUENT]
     known = [piece for piece in known if not (special and special.search(piece))]
     return dict(zip(known, encoded_lengths(path, known)))
 
