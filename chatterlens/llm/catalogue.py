@@ -171,7 +171,7 @@ def _licence_oracle() -> str:
     WITH numbered AS (
         SELECT doc_id, text, coalesce(source, 'unknown') AS source, doc_id // 20 AS n FROM documents
     ), shelved AS (
-        SELECT doc_id, lower(text) AS low, CASE WHEN n % 1000 = 0 THEN source
+        SELECT doc_id, text, lower(text) AS low, CASE WHEN n % 1000 = 0 THEN source
             WHEN n % 100 = 0 THEN source || '/s' || (n // 100)::VARCHAR
             ELSE source || '/s' || (n // 100)::VARCHAR || '/b' || (n // 10)::VARCHAR END AS directory,
             CASE WHEN n % 10 = 0 THEN 'LICENSE' ELSE 'd' || doc_id::VARCHAR || '.txt' END AS name
@@ -181,8 +181,11 @@ def _licence_oracle() -> str:
     ), passages AS (
         SELECT DISTINCT doc_id, passage FROM (
             SELECT doc_id, unnest(string_split(low, chr(10))) AS passage FROM files WHERE regexp_matches(low, '{cue}')
-            UNION ALL SELECT doc_id, low FROM files WHERE name = 'LICENSE'
+            UNION ALL SELECT doc_id, unnest(string_split(regexp_replace(low, '{license_scan.COMMENT_BREAK}', ' ', 'g'), chr(10)))
+            FROM files WHERE regexp_matches(low, '{cue}')
         ) WHERE regexp_matches(passage, '{cue}')
+        UNION SELECT doc_id, low FROM files WHERE name = 'LICENSE' AND regexp_matches(low, '{cue}')
+        UNION SELECT doc_id, left(ltrim(regexp_replace(low, '[ \\t\\r\\n]+', ' ', 'g'), ' '), {license_scan.HEAD}) FROM files WHERE name = 'LICENSE' AND regexp_matches(low, '{cue}')
     ), terms AS (
         SELECT doc_id, passage, term, count(*) AS n FROM (
             SELECT doc_id, passage, unnest(regexp_extract_all(passage, '{license_scan._TERM}')) AS term FROM passages
@@ -193,12 +196,23 @@ def _licence_oracle() -> str:
     ), norms AS (
         SELECT doc_id, passage, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL
     ), scored AS (
-        SELECT doc_id, licence, round(sum(w * weight) / any_value(norm), 6) AS score
+        SELECT doc_id, passage, licence, round(sum(w * weight) / any_value(norm), 6) AS score
         FROM weighed JOIN (VALUES {weight_rows}) t(term, template, licence, weight) USING (term)
         JOIN norms USING (doc_id, passage) GROUP BY doc_id, passage, template, licence
+    ), ranked AS (
+        SELECT doc_id, passage, licence, max(score) AS score FROM scored GROUP BY ALL
+    ), clear AS (
+        SELECT *, coalesce(score > lead(score) OVER by_score
+                AND 1 - score <= {license_scan.LEAD} * (1 - lead(score) OVER by_score), true) AS clear,
+            row_number() OVER by_score AS place
+        FROM ranked WINDOW by_score AS (PARTITION BY doc_id, passage ORDER BY score DESC, licence)
+    ), tagged AS (
+        SELECT doc_id, regexp_extract(text, '{license_scan.SPDX}', 1) AS licence FROM files
     ), own AS (
-        SELECT doc_id, licence, score FROM scored WHERE score >= {license_scan.THRESHOLD}
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1
+        SELECT doc_id, licence, score FROM (
+            SELECT doc_id, licence, score, 1 AS later FROM clear WHERE place = 1 AND clear AND score >= {license_scan.THRESHOLD}
+            UNION ALL SELECT doc_id, licence, 1.0, 0 FROM tagged WHERE licence <> '')
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY later, score DESC, licence) = 1
     ), held AS (
         SELECT directory, licence, score FROM own JOIN files USING (doc_id) WHERE name = 'LICENSE'
         QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, licence) = 1

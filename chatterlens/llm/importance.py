@@ -126,7 +126,8 @@ def weighted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """(documents with log_weight and draw, least draw that is sampled).
 
     Documents keep their columns; ``log_weight`` and ``draw`` replace any of these names. A null or empty text has
-    log weight 0. Repeated rows have equal draws and stay or go together, so ties may add to k. Without good or
+    log weight 0. Only ``label`` is read of the labels: a document that is toxic but of good quality is good here.
+    Repeated rows have equal draws and stay or go together, so ties may add to k. Without good or
     without bad labels among the documents everything is kept; an empty table gives an empty result.
     """
     docs = docs.drop("log_weight", "draw")

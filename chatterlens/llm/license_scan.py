@@ -1,9 +1,10 @@
 """Licence scans: TF-IDF cosine of notices and licence files to templates, then inheritance from directories.
 
-A passage is a line with a cue word, or all of a licence file's text. Its terms are weighted by count and by the
-inverse document frequency over the templates (a term of no template has the highest); the template of the largest
-cosine names the licence. A file without a notice of its own has the licence of the nearest directory above it that
-holds a licence file. DataFrame functions only.
+A passage is a line with a cue word, a run of comment lines joined to one line, or all of a licence file's text and its
+head. Its terms are weighted by count and by the inverse document frequency over the templates (a term of no template
+has the highest); the template of the largest cosine names the licence, if no other licence comes close. A declared SPDX
+identifier is taken as it stands and comes first. A file without a notice of its own has the licence of the nearest
+directory above it that holds a licence file. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 from chatterlens.llm.steps import stored
 
 THRESHOLD = 0.6
+LEAD = 0.8  # the best licence lacks at most this share of what the next one lacks of a cosine of 1
+HEAD = 50  # characters of a licence file's head, white space counted once
 BROADCAST_ROWS = 500_000
 
 #: Licence and text of usual notices. Fixed values.
-TEMPLATES = [
+NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
         "Apache-2.0",
@@ -29,11 +32,61 @@ TEMPLATES = [
         "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution.",
+    ),
     (
         "BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met",
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific "
+        "prior written permission.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
     ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
@@ -57,8 +110,40 @@ TEMPLATES = [
     ),
 ]
 
+#: Licence and its name in short notices. Fixed values.
+NAMES = [
+    ("0BSD", "BSD Zero Clause License"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("Artistic-2.0", "Artistic License 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSL-1.0", "Boost Software License, Version 1.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal Public Domain Dedication"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL-3.0", "GNU General Public License, version 3"),
+    ("ISC", "ISC License"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("MIT", "MIT License"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+    ("Unlicense", "Unlicense"),
+    ("Zlib", "zlib License"),
+]
+PHRASES = ("Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "{}")
+TEMPLATES = NOTICES + [(licence, phrase.format(name)) for licence, name in NAMES for phrase in PHRASES]
+
 CUES = ("licens", "licenc", "copyright", "spdx", "permission", "redistribut", "public domain")
-LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)[^/]*$"
+LICENCE_FILE = r"(?i)(^|/)(licen[cs]es?|copying|unlicense)([._-][^/]*)?$"
+#: The break before a comment line that follows another line.
+COMMENT_BREAK = r"\n[ \t]*(//+|#+|\*+|--+|;+|%+)[ \t]*"
+SPDX = r"(?i)spdx-license-identifier:[ \t]*([a-z0-9]([a-z0-9.+-]*[a-z0-9+])?([ \t]+(and|or|with)[ \t]+[a-z0-9]([a-z0-9.+-]*[a-z0-9+])?)*)"
 _TERM = r"[a-z]+|[0-9]+(\.[0-9]+)*"
 _CUE = "|".join(CUES)
 
@@ -80,19 +165,33 @@ def highest_idf(templates: list[tuple[str, str]] = TEMPLATES) -> float:
 
 
 def passages(files: DataFrame) -> DataFrame:
-    """(path, key, place, passage): lower-cased lines with a cue, and whole licence files that have one.
+    """(path, key, place, passage): lower-cased lines and joined comment lines with a cue; of licence files that have
+    one also the whole and its head.
 
     Only texts with a cue are cut into lines.
     """
     low = F.lower("text")
     cued = files.where("path IS NOT NULL").withColumn("low", low).where(F.col("low").rlike(_CUE))
-    lines = F.filter(F.split("low", "\n"), lambda line: line.rlike(_CUE))
-    found = F.when(F.col("path").rlike(LICENCE_FILE), F.array_union(F.array("low"), lines)).otherwise(lines)
+    joined = F.regexp_replace("low", COMMENT_BREAK, " ")
+    lines = F.filter(F.array_union(F.split("low", "\n"), F.split(joined, "\n")), lambda line: line.rlike(_CUE))
+    whole = F.array(F.col("low"), F.left(F.ltrim(F.regexp_replace("low", r"[ \t\r\n]+", " ")), F.lit(HEAD)))
+    found = F.when(F.col("path").rlike(LICENCE_FILE), F.array_union(whole, lines)).otherwise(lines)
     return cued.select("path", "key", F.posexplode(found).alias("place", "passage"))
 
 
+def declared(files: DataFrame) -> DataFrame:
+    """(path, key, licence) of files that declare an SPDX identifier; the first one counts."""
+    found = files.where("path IS NOT NULL AND contains(lower(text), 'spdx-license-identifier')")
+    found = found.select("path", "key", F.regexp_extract("text", SPDX, 1).alias("licence"))
+    return found.where("licence != ''").distinct()
+
+
 def best_licences(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
-    """(path, key, licence, score) of files whose best passage reaches the threshold; ties go to the first name."""
+    """(path, key, licence, score) of files with an identifier, or with a passage that reaches the threshold.
+
+    A passage whose best licence has no ``LEAD`` before the next one names none. Of several passages the best
+    score counts, then the first name. An identifier has the score 1.
+    """
     spark = files.sparkSession
     idf, weights = template_weights(templates)
     idf = F.broadcast(spark.createDataFrame(idf, "term string, idf double"))
@@ -104,7 +203,14 @@ def best_licences(files: DataFrame, templates: list[tuple[str, str]], threshold:
     norms = terms.groupBy(*by_passage).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = terms.join(weights, "term").groupBy(*by_passage, "template", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     scored = dots.join(norms, list(by_passage)).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
-    best = scored.where(F.col("score") >= threshold).groupBy("path", "key").agg(F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"))
+    ranked = scored.groupBy(*by_passage, "licence").agg((-F.max("score")).alias("minus")).groupBy(*by_passage)
+    ranked = ranked.agg(F.array_sort(F.collect_list(F.struct("minus", "licence"))).alias("ranked"))  # as many as licences
+    first, second = (F.get("ranked", F.lit(n)) for n in range(2))
+    lead = (first["minus"] < second["minus"]) & (1 + first["minus"] <= LEAD * (1 + second["minus"]))
+    clear = F.coalesce(lead, F.lit(True))
+    named = ranked.where((-first["minus"] >= threshold) & clear).select("path", "key", F.lit(1).alias("after"), first["minus"].alias("minus"), first["licence"].alias("licence"))
+    tagged = declared(files).select("path", "key", F.lit(0).alias("after"), F.lit(-1.0).alias("minus"), "licence")
+    best = named.union(tagged).groupBy("path", "key").agg(F.min(F.struct("after", "minus", "licence")).alias("best"))
     return best.select("path", "key", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("score"))
 
 
@@ -142,7 +248,7 @@ def licences(
 ) -> DataFrame:
     """Add licence, licence_from, licence_how and licence_score to every file; columns of these names are replaced.
 
-    ``licence_how`` is ``own`` for a notice in the file's text (``licence_from`` is then its path), ``inherited`` for
+    ``licence_how`` is ``own`` for a notice or an identifier in the file's text (``licence_from`` is then its path), ``inherited`` for
     the nearest directory above that holds a licence file (``licence_from`` is the directory, empty for the top), or
     null. Of several licence files of a directory the best score counts, then the first name. A null path has no
     directory and no licence; a null or empty text has no notice, but inherits. Rows that repeat path and text are

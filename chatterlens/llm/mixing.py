@@ -1,8 +1,8 @@
 """Mixing sources: shares raised to a power, the power found by bisection, weights realised as block permutations.
 
 The weight of a source is its share of all tokens raised to a power and normalised: 1 keeps the shares, 0 gives every
-source the same. Bisection finds the smallest power whose weights repeat no source more than ``max_repeats`` times
-within the budget, or the power whose weights have a wanted entropy. A source then gives whole epochs and a part of
+source the same, more than 1 favours large sources. Bisection finds the smallest power whose weights repeat no source
+more than ``max_repeats`` times within the budget, or the power whose weights have a wanted entropy. A source then gives whole epochs and a part of
 one. Each epoch is a permutation of blocks and of the rows within them, both by hash, so that no source is sorted or
 summed in one piece: sums over rows stay within a block, sums over blocks have one row per block.
 """
@@ -10,6 +10,7 @@ summed in one piece: sums over rows stay within a block, sums over blocks have o
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from chatterlens.llm.steps import stored
 
 STEPS = 60
+STEEPEST = 1024.0  # power beyond which the weights are those of the largest sources alone
+ENTROPY_REPEATS = 16.0  # repeats that a wanted entropy may need
 BLOCK_ROWS = 4096
 MAX_SOURCES = 100_000
 
@@ -39,21 +42,31 @@ def most_repeats(totals: Totals, weights: list[float], budget: int) -> float:
 
 
 def power_for(totals: Totals, budget: int, max_repeats: float | None = None, target_entropy: float | None = None) -> float:
-    """The power between 0 and 1 by bisection; both measures fall as it grows.
+    """The power by bisection; repeats and entropy both fall as it grows.
 
-    0 if even equal weights meet the limit or reach no more than the entropy; 1 if only the shares themselves do.
-    A budget that no weights can fill within the limit is an error.
+    For a limit of repeats the power is between 0 and 1: 0 if even equal weights meet it, 1 if only the shares do. A
+    budget that no weights can fill within the limit is an error. For an entropy it is between 0 and ``STEEPEST``; an
+    entropy that no power gives is an error, as is one whose weights need more than ``max_repeats`` repeats, or
+    ``ENTROPY_REPEATS`` if no limit is given.
     """
-
-    def fits(power: float) -> bool:
-        weights = tempered(totals, power)
-        if max_repeats is not None:
-            return most_repeats(totals, weights, budget) <= max_repeats
-        return entropy(weights) <= target_entropy
-
-    if max_repeats is not None and budget > max_repeats * sum(tokens for _, tokens in totals):
-        raise ValueError("the budget needs more repeats than allowed")
-    low, high = 0.0, 1.0
+    if target_entropy is None:
+        if budget > max_repeats * sum(tokens for _, tokens in totals):
+            raise ValueError("the budget needs more repeats than allowed")
+        return _least_power(lambda power: most_repeats(totals, tempered(totals, power), budget) <= max_repeats, 1.0)
+    power = _least_power(lambda power: entropy(tempered(totals, power)) <= target_entropy, STEEPEST)
+    weights = tempered(totals, power)
+    if abs(entropy(weights) - target_entropy) > 1e-6:
+        least, most = (entropy(tempered(totals, end)) for end in (STEEPEST, 0.0))
+        raise ValueError(f"no power gives the entropy {target_entropy}: it can be {least:.6f} to {most:.6f}")
+    limit = ENTROPY_REPEATS if max_repeats is None else max_repeats
+    if most_repeats(totals, weights, budget) > limit:
+        raise ValueError(f"the entropy {target_entropy} needs more than {limit} repeats of a source")
+    return power
+
+
+def _least_power(fits: Callable[[float], bool], high: float) -> float:
+    """The least power up to ``high`` that fits, and ``high`` if none does; what fits, fits at larger powers too."""
+    low = 0.0
     if fits(low):
         return low
     for _ in range(STEPS):
@@ -89,14 +102,15 @@ def mixture(
     ``target`` is the source's part of the budget (all tokens of the documents, if none is given), rounded down.
     Epochs before the last are whole; of the last the rows that end within the target are taken, in the order of the
     permutation. ``begins`` counts the source's tokens before the row, over all epochs: to interleave the sources,
-    order by begins / target. Give one of ``max_repeats`` and ``target_entropy``.
+    order by begins / target. Give ``max_repeats``, or ``target_entropy`` and, if it may need more or fewer repeats than
+    ``ENTROPY_REPEATS``, ``max_repeats`` as their limit; a target that cannot be met is an error.
 
     A null source is a source of its own. Null and empty texts have no tokens and are left out. Repeated rows are
     uses of their own; equal rows are interchangeable. An empty table gives an empty result. Up to ``MAX_SOURCES``
     sources are weighed on the driver; more are an error.
     """
-    if (max_repeats is None) == (target_entropy is None):
-        raise ValueError("give one of max_repeats and target_entropy")
+    if max_repeats is None and target_entropy is None:
+        raise ValueError("give max_repeats or target_entropy")
     spark = docs.sparkSession
     rows = stored(sized(docs, key, text, source), "sized")
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))

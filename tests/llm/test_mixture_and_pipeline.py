@@ -56,6 +56,10 @@ def test_powers_meet_their_target():
     assert mixing.most_repeats(totals, weights, 13_200) == pytest.approx(4.0)
     weights = mixing.tempered(totals, mixing.power_for(totals, 13_200, target_entropy=0.9))
     assert mixing.entropy(weights) == pytest.approx(0.9)
+    for wanted in (0.2, 0.01, 1.0):
+        power = mixing.power_for(totals, 13_200, target_entropy=wanted, max_repeats=1000)
+        assert mixing.entropy(mixing.tempered(totals, power)) == pytest.approx(wanted)
+    assert mixing.power_for(totals, 13_200, target_entropy=0.2) > 1
     assert mixing.power_for(totals, 600, max_repeats=4.0) == 0.0
     assert mixing.power_for(totals, 13_200, max_repeats=1.0) == pytest.approx(1.0)
     with pytest.raises(ValueError):
@@ -131,3 +135,25 @@ def test_mixture_uses_what_was_kept(stages):
     kept = set(values(stages[4], "doc_id"))
     used = values(stages[5], "doc_id")
     assert set(used) <= kept and len(set(used)) > 0.8 * len(kept)
+
+
+def test_targets_that_cannot_be_met_are_errors():
+    totals = [("a", 10_000), ("b", 10_000), ("c", 5)]
+    with pytest.raises(ValueError, match="it can be 0.693147 to 1.098612"):
+        mixing.power_for(totals, 20_005, target_entropy=0.5)
+    with pytest.raises(ValueError, match="no power"):
+        mixing.power_for(totals, 20_005, target_entropy=1.2)
+    with pytest.raises(ValueError, match="16.0 repeats"):
+        mixing.power_for(totals, 20_005, target_entropy=1.09)
+    assert mixing.power_for(totals, 20_005, target_entropy=1.09, max_repeats=2000) > 0
+
+
+def test_mixture_of_a_wanted_entropy(rows):
+    docs = rows(documents(), "doc_id long, text string, source string")
+    held = {}
+    for r in mixing.mixture(docs, target_entropy=1.2).collect():
+        held[r.source] = held.get(r.source, 0) + r.tokens
+    shares = [n / sum(held.values()) for n in held.values()]
+    assert mixing.entropy(shares) == pytest.approx(1.2, abs=0.05)
+    with pytest.raises(ValueError):
+        mixing.mixture(docs)

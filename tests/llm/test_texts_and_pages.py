@@ -125,6 +125,58 @@ def test_notices_and_inheritance(rows):
     assert license_scan.licences(df.limit(0)).count() == 0
 
 
+def named(rows, texts):
+    files = rows([(f"d{i}/x.py", text) for i, text in enumerate(texts)], "path string, text string")
+    found = {r.path: r.licence for r in license_scan.licences(files).collect()}
+    return [found[f"d{i}/x.py"] for i in range(len(texts))]
+
+
+def test_licences_that_are_easily_confused(rows):
+    cases = {
+        "Released under the MIT License.": "MIT",
+        "Released under the BSD License": None,
+        "Released under the BSD 2-Clause License": "BSD-2-Clause",
+        "GNU General Public License, version 2": "GPL-2.0",
+        "GNU General Public License, version 3": "GPL-3.0",
+        "licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+        "Licensed under the Creative Commons Attribution 4.0 International License": "CC-BY-4.0",
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "# spdx-license-identifier: Apache-2.0.": "Apache-2.0",
+        "/* SPDX-License-Identifier: (none) */": None,
+        "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */ Released under the MIT License.": "GPL-2.0-only WITH Classpath-exception-2.0",
+        "released into the public domain, free and unencumbered software": "Unlicense",
+        "she was licensed to practise": None,
+    }
+    assert dict(zip(cases, named(rows, list(cases)))) == cases
+
+
+def test_every_notice_names_its_licence(rows):
+    texts = [text for _, text in license_scan.TEMPLATES]
+    assert named(rows, texts) == [licence for licence, _ in license_scan.TEMPLATES]
+
+
+def test_wrapped_headers(rows):
+    import textwrap
+
+    headers = []
+    for mark in ("# ", " * ", "// ", "-- "):
+        for licence, text in license_scan.NOTICES:
+            if len(text) > 100:
+                lines = textwrap.wrap(text, 60)
+                headers.append((licence, "code()\n" + "".join(f"{mark}{line}\n" for line in lines) + "more = code()\n"))
+    assert named(rows, [text for _, text in headers]) == [licence for licence, _ in headers]
+
+
+def test_names_of_licence_files(rows):
+    text = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989" + " preamble" * 500
+    paths = ["a/LICENSE", "b/LICENSE.txt", "c/COPYING", "d/licenses", "e/licensed_users.txt", "f/copyings"]
+    files = [(f"{p}", text) for p in paths] + [(f"{p[0]}/x", "plain") for p in paths]
+    found = {r.path: r.licence for r in license_scan.licences(rows(files, "path string, text string")).collect()}
+    assert [found[f"{p[0]}/x"] for p in paths] == ["GPL-2.0"] * 4 + [None] * 2
+
+
 # URLs
 
 
@@ -217,3 +269,14 @@ def test_edge_urls(rows):
     assert url_models.judged(pages.limit(0)).count() == 0
     alone = url_models.judged(rows([(1, "http://a.com/")], "page_id int, url string"))
     assert alone.first().verdict == "allow"
+
+
+def test_no_pieces_are_shuffled_and_the_sample_is_bounded(spark, rows, monkeypatch):
+    docs = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'the same text', concat('own ', id, ' the end')) text")
+    plan = token_counts.token_counts(docs, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    monkeypatch.setattr(token_counts, "SAMPLE", 100)
+    known = token_counts.frequent_pieces(docs, "text", PATH)
+    assert known[" the"] == known[" end"] == 1 and len(known) < 300
+    monkeypatch.setattr(token_counts, "FREQUENT", 1)
+    assert len(token_counts.frequent_pieces(docs, "text", PATH)) == 1
