@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -54,6 +56,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries that are started inside keep their state in RocksDB, as ``transformWithState`` needs; a local session
+    has another store by default."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, or the warehouse if that is unset; executors reach both.
 
@@ -67,7 +81,13 @@ def _session_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/chatterlens/{spark.sparkContext.applicationId}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, whatever store it lies in, and the path as that system takes it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def drop_shared_folders(spark: SparkSession) -> None:
     """Delete what the session has put below ``shared_folder``; for the end of a job, when nothing reads it any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = hadoop_path(spark, _session_folder(spark))
+    files.delete(path, True)
