@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from chatterlens.operators.keyed_table import KeyedTable
 from chatterlens.sources.topics import encode_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -47,6 +48,16 @@ def batch_folder(path: str, partition_by: tuple[str, ...] = ()) -> BatchWriter:
     return write
 
 
+def keyed_documents(table: KeyedTable) -> BatchWriter:
+    """Upsert batches into a keyed table, which knows the last batch of each checkpoint: a repeated batch is skipped."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID) or "batch"
+        table.upsert(batch, batch_id, run)
+
+    return write
+
+
 def topic_folder(path: str) -> BatchWriter:
     """JSON lines, one folder per run and batch: a topic that needs no service."""
 
