@@ -117,7 +117,7 @@ def apply_stages(df: DataFrame, stages: list[Transformer]) -> DataFrame:
 
 
 # Counted once per document; words hold no white space, so it is none of them.
-_DOCUMENT = "\n"
+DOCUMENT = "\n"
 
 
 def term_counts(words: DataFrame, keys: list[str]) -> DataFrame:
@@ -125,7 +125,7 @@ def term_counts(words: DataFrame, keys: list[str]) -> DataFrame:
 
     Every document also has one row for itself, a line break, so that documents need not be read again to be counted.
     """
-    marked = F.concat(F.array(F.lit(_DOCUMENT)), F.col(KEPT_WORDS))
+    marked = F.concat(F.array(F.lit(DOCUMENT)), F.col(KEPT_WORDS))
     exploded = words.select(*keys, each(marked).alias("term")).filter("term is not null")
     return exploded.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
@@ -133,7 +133,7 @@ def term_counts(words: DataFrame, keys: list[str]) -> DataFrame:
 def term_weights(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """(term, n, df, idf) of the vocabulary: ``ln((documents + 1) / (documents with the term + 1))``."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
-    document = F.col("term") == _DOCUMENT
+    document = F.col("term") == DOCUMENT
     known = terms.orderBy(document.desc(), F.desc("n"), F.asc("term")).limit(size + 1)
     # At most size + 1 rows, so one window holds them all.
     documents = F.max(F.when(document, F.col("df"))).over(Window.partitionBy())

@@ -53,7 +53,7 @@ from chatterlens.session import shared_folder
 _MODELS: dict[tuple[str, str, str], PipelineModel] = {}
 
 
-def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split_by_hash(labelled(spark, sf_dir), "doc_id")
 
 
@@ -61,7 +61,7 @@ def fitted(spark: SparkSession, sf_dir: str, name: str = "Naive_Bayes") -> Pipel
     """The named classifier fitted on the training part, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MODELS:
-        _MODELS[key] = train(_training(spark, sf_dir)[0], classifiers()[name])
+        _MODELS[key] = train(training(spark, sf_dir)[0], classifiers()[name])
     return _MODELS[key]
 
 
@@ -93,7 +93,7 @@ idf AS (
 
 _SPLIT_SQL = "CAST('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8) AS BIGINT) % 100"
 
-_BAYES_SQL = f"""{LABELLED_SQL}, train AS (SELECT * FROM labelled WHERE {_SPLIT_SQL} < 80),
+BAYES_SQL = f"""{LABELLED_SQL}, train AS (SELECT * FROM labelled WHERE {_SPLIT_SQL} < 80),
 {_features_sql('train')},
 classes AS (
   SELECT sentiment,
@@ -107,7 +107,7 @@ bayes AS (
   FROM vocabulary v JOIN idf i ON i.term = v.term JOIN classes c ON true JOIN totals t ON t.sentiment = c.sentiment
   LEFT JOIN weights w ON w.sentiment = c.sentiment AND w.term = v.term)"""
 
-SCORED_SQL = f"""{_BAYES_SQL}, {ROUTED_SQL},
+SCORED_SQL = f"""{BAYES_SQL}, {ROUTED_SQL},
 scoreable AS (SELECT *, {CLEAN_SQL.format('text')} AS clean FROM routed WHERE reason IS NULL),
 message_terms AS (
   SELECT event_id, term, count(*) AS tf FROM (SELECT event_id, unnest({_words_sql('clean')}) AS term FROM scoreable)
@@ -235,7 +235,7 @@ def document_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_BAYES_SQL}
+    f"""WITH {BAYES_SQL}
     SELECT sentiment, round(prior, 6) AS prior, term, round(log_likelihood, 6) AS log_likelihood FROM bayes"""
 )
 def naive_bayes_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +260,7 @@ def _test_terms(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataF
     stages = {type(stage): stage for stage in model.stages}
     terms = stages[CountVectorizerModel].vocabulary
     known = _term_rows(spark, terms, ["feature", "idf"], range(len(terms)), stages[IDFModel].idf.toArray().tolist())
-    counts = term_counts(kept_words(_training(spark, sf_dir)[1]), ["doc_id"])
+    counts = term_counts(kept_words(training(spark, sf_dir)[1]), ["doc_id"])
     joined = counts.join(F.broadcast(known), "term")
     return joined.select("doc_id", "feature", (F.col("tf") * F.col("idf")).alias("value"))
 
@@ -284,7 +284,7 @@ def _linear_classes(spark: SparkSession, sf_dir: str, model: PipelineModel) -> D
     start = spark.createDataFrame(list(enumerate(fit.interceptVector.toArray().tolist())), "class int, start double")
     sums = _test_terms(spark, sf_dir, model).join(weights, "feature").groupBy("doc_id", "class")
     sums = sums.agg(F.sum(F.col("value") * F.col("weight")).alias("sum"))
-    cells = _training(spark, sf_dir)[1].select("doc_id", F.explode(F.array(*[F.lit(n) for n in range(fit.numClasses)])).alias("class"))
+    cells = training(spark, sf_dir)[1].select("doc_id", F.explode(F.array(*[F.lit(n) for n in range(fit.numClasses)])).alias("class"))
     scores = cells.join(F.broadcast(start), "class").join(sums, ["doc_id", "class"], "left")
     return _first_largest(scores.select("doc_id", "class", (F.col("start") + F.coalesce("sum", F.lit(0.0))).alias("score")))
 
@@ -303,7 +303,7 @@ def _tree_classes(spark: SparkSession, sf_dir: str, model: PipelineModel) -> Dat
     )
     values = _test_terms(spark, sf_dir, model).groupBy("doc_id")
     values = values.agg(F.map_from_entries(F.collect_list(F.struct(F.col("feature").cast("int"), "value"))).alias("x"))
-    rows = _training(spark, sf_dir)[1].select("doc_id").join(values, "doc_id", "left")
+    rows = training(spark, sf_dir)[1].select("doc_id").join(values, "doc_id", "left")
     # Not constants, which would turn the first look-up into a join without keys.
     last = F.when(F.col("doc_id").isNotNull(), getattr(fit, "getNumTrees", 1) - 1)
     place = rows.select("doc_id", "x", F.explode(F.sequence(F.lit(0), last)).alias("treeID"))
@@ -323,7 +323,7 @@ def _checked_predictions(spark: SparkSession, sf_dir: str, name: str, classes: C
     """Test documents with their label, whether the model's class is the recomputed one, and whether the model has
     learned: it is right on its training part at least as often as the most frequent label is."""
     model = fitted(spark, sf_dir, name)
-    train_rows, test_rows = _training(spark, sf_dir)
+    train_rows, test_rows = training(spark, sf_dir)
     right = predict(train_rows, model).agg(
         F.count_if(F.col("prediction") == F.col(LABEL)).alias("right"), F.count_if(F.col(LABEL) == 0).alias("most")
     )
@@ -395,7 +395,7 @@ def models_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Features of this kind are not 0 and 1, which the Bernoulli model refuses.
     candidates = classifiers() | {"Not_Fitting": NaiveBayes(modelType="bernoulli"), "Not_Saveable": _Unsaveable()}
     metrics = compare_models(
-        *_training(spark, sf_dir), candidates, save_to=shared_folder(spark, "compared"), parallelism=4, inspect=inspect
+        *training(spark, sf_dir), candidates, save_to=shared_folder(spark, "compared"), parallelism=4, inspect=inspect
     )
     schema = "model string, e_accuracy double, e_f1 double, e_precision double, e_recall double, judged_rows long, samples long"
     joined = metrics.join(spark.createDataFrame([(name, *row) for name, row in seen.items()], schema), "model", "left")
@@ -415,7 +415,7 @@ def models_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {_BAYES_SQL} SELECT CAST(label AS BIGINT) AS label, sentiment FROM classes")
+@query(f"WITH {BAYES_SQL} SELECT CAST(label AS BIGINT) AS label, sentiment FROM classes")
 def labels_in_index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = labels_of(fitted(spark, sf_dir))
     return spark.createDataFrame(list(enumerate(labels)), "label long, sentiment string")
@@ -428,12 +428,12 @@ def predictions_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fitted(spark, sf_dir)
     save_model(model, path)
     again = load_model(path)
-    before = predict(_training(spark, sf_dir)[1], model)
+    before = predict(training(spark, sf_dir)[1], model)
     rows = predict(before.select("doc_id", TEXT, LABEL_TEXT, F.col("prediction").alias("before")), again)
     return rows.agg(F.count("*").alias("n"), F.count_if(F.col("before") != F.col("prediction")).alias("changed"))
 
 
-_TEST_SQL = f"""{_BAYES_SQL}, test AS (SELECT * FROM labelled WHERE {_SPLIT_SQL} >= 80),
+_TEST_SQL = f"""{BAYES_SQL}, test AS (SELECT * FROM labelled WHERE {_SPLIT_SQL} >= 80),
 test_terms AS (
   SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_words_sql('clean')}) AS term FROM test) GROUP BY ALL),
 test_sums AS (
@@ -453,7 +453,7 @@ cells AS (
     SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, n FROM cells"""
 )
 def naive_bayes_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return confusion_matrix(predict(_training(spark, sf_dir)[1], fitted(spark, sf_dir)))
+    return confusion_matrix(predict(training(spark, sf_dir)[1], fitted(spark, sf_dir)))
 
 
 @query(
@@ -471,7 +471,7 @@ def naive_bayes_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM rates"""
 )
 def naive_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = classification_metrics(predict(_training(spark, sf_dir)[1], fitted(spark, sf_dir)))
+    scores = classification_metrics(predict(training(spark, sf_dir)[1], fitted(spark, sf_dir)))
     return scores.select(*[F.round(score, 6).alias(score) for score in scores.columns])
 
 
