@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from chatterlens.functions.stopwords import ENGLISH
 from chatterlens.functions.text import clean_text, each, words_of
 
+# How a missing label is counted.
+NO_LABEL = "unlabelled"
+
 # Event times between which empty buckets are filled in.
 PLAUSIBLE = ("2000-01-01", "2100-01-01")
 
@@ -44,11 +47,12 @@ def sentiment_over_time(
     """Messages per time bucket and label.
 
     With ``fill`` the buckets between the first and the last of ``plausible`` times that hold no message appear too,
-    and each of these buckets has a number, if only zero, for each of ``labels``. Times are user text: buckets outside
-    ``plausible`` are given as they were counted, and nothing is filled in up to them. Rows without a time are in no
-    bucket.
+    and each of these buckets has a number, if only zero, for each of ``labels``, besides the numbers of the other
+    labels that it holds. Times are user text: buckets outside ``plausible`` are given as they were counted, and
+    nothing is filled in up to them. Rows without a time are in no bucket, rows without a label count as ``NO_LABEL``.
     """
-    counts = _bucketed(df, width, time).groupBy("bucket", "sentiment").agg(F.count("*").alias("n"))
+    label = F.coalesce("sentiment", F.lit(NO_LABEL)).alias("sentiment")
+    counts = _bucketed(df, width, time).groupBy("bucket", label).agg(F.count("*").alias("n"))
     if not fill:
         return counts
     if not labels:
@@ -69,16 +73,20 @@ def sentiment_over_time(
     none = F.lit(None).cast(held.schema["held"].dataType)
     rows = held.select("bucket", "held", "inside").unionByName(empty.select("bucket", none.alias("held"), F.lit(True).alias("inside")))
     own = F.coalesce(F.map_keys("held"), F.array().cast("array<string>"))
-    rows = rows.withColumn("sentiment", F.explode(F.when(F.col("inside"), wanted).otherwise(own)))
+    rows = rows.withColumn("sentiment", F.explode(F.when(F.col("inside"), F.array_union(wanted, own)).otherwise(own)))
     return rows.select("bucket", "sentiment", F.coalesce(F.col("held")[F.col("sentiment")], F.lit(0)).alias("n"))
 
 
 def sentiment_columns(
-    df: DataFrame, labels: Sequence[str], width: str = "5 minutes", time: str = "event_time"
+    df: DataFrame, labels: Sequence[str], width: str = "5 minutes", time: str = "event_time", other: str | None = None
 ) -> DataFrame:
-    """The same counts with one column per label."""
-    counted = _bucketed(df, width, time).groupBy("bucket").pivot("sentiment", list(labels)).agg(F.count(F.lit(1)))
-    return counted.fillna(0, list(labels))
+    """The same counts with one column per label, and one named ``other`` for all further labels and for none."""
+    label, names = F.col("sentiment"), list(labels)
+    if other is not None:
+        label, names = F.when(label.isin(names), label).otherwise(other), [*names, other]
+    labelled = _bucketed(df, width, time).withColumn("sentiment", label)
+    counted = labelled.groupBy("bucket").pivot("sentiment", names).agg(F.count(F.lit(1)))
+    return counted.fillna(0, names)
 
 
 def since(df: DataFrame, as_of: Column, width: str = "1 hour", time: str = "event_time") -> DataFrame:
@@ -130,10 +138,46 @@ def top_texts(df: DataFrame, column: str = "text", n: int = 50) -> DataFrame:
     return texts.groupBy("digest", "n").agg(F.collect_set(column)[0].alias(column)).select(column, "n")
 
 
+def _topical_words(df: DataFrame, column: str, stop_words: Sequence[str], *kept: Column) -> DataFrame:
+    words = df.select(*kept, each(words_of(clean_text(F.col(column)))).alias("word"))
+    return words.filter(F.col("word").isNotNull() & (F.col("word") != "") & ~F.col("word").isin(*stop_words))
+
+
+def rising_words(
+    df: DataFrame,
+    as_of: Column,
+    width: str = "1 hour",
+    before: str = "7 days",
+    n: int = 50,
+    least: int = 5,
+    column: str = "text",
+    time: str = "event_time",
+    stop_words: Sequence[str] = ENGLISH,
+) -> DataFrame:
+    """(word, recent, earlier, score) of the words whose rate has risen most in the last ``width``.
+
+    The score is the log-likelihood ratio of the word's rates in the last ``width`` and in the time ``before`` that;
+    words that are no more frequent than before, or are said fewer than ``least`` times, are left out. Rounded to six
+    digits; equal scores are ordered by word. A word that was not said before has the highest rise its count allows.
+    """
+    start = as_of - F.expr(f"interval {width}")
+    inside = df.filter(F.col(time).between(start - F.expr(f"interval {before}"), as_of))
+    counts = _topical_words(inside, column, stop_words, (F.col(time) >= start).alias("new")).groupBy("word")
+    counts = counts.agg(F.count_if("new").alias("recent"), F.count_if(~F.col("new")).alias("earlier"))
+    recent, earlier = F.col("recent"), F.col("earlier")
+    all_recent, all_earlier = (counts.agg(F.sum(name)).scalar() for name in ("recent", "earlier"))
+    share = (recent + earlier) / (all_recent + all_earlier)
+
+    def part(seen: Column, of: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / (of * share))).otherwise(0.0)
+
+    score = F.round(2 * (part(recent, all_recent) + part(earlier, all_earlier)), 6)
+    risen = counts.filter(recent >= least).filter(recent * all_earlier > earlier * all_recent)
+    return risen.withColumn("score", score).orderBy(F.desc("score"), "word").limit(n)
+
+
 def trending_words(
     df: DataFrame, column: str = "text", n: int = 50, stop_words: Sequence[str] = ENGLISH
 ) -> DataFrame:
     """Most frequent words of the cleaned texts without stop words; ties are ordered by word."""
-    words = df.select(each(words_of(clean_text(F.col(column)))).alias("word"))
-    topical = words.filter(F.col("word").isNotNull() & (F.col("word") != "") & ~F.col("word").isin(*stop_words))
-    return top_values(topical, "word", n)
+    return top_values(_topical_words(df, column, stop_words), "word", n)

@@ -13,6 +13,7 @@ from chatterlens.operators.dashboards import (
     newest,
     latest_rows,
     preview,
+    rising_words,
     row_count,
     sentiment_columns,
     sentiment_over_time,
@@ -115,6 +116,42 @@ def sentiment_per_five_minutes_filled(spark: SparkSession, sf_dir: str) -> DataF
     return filled.withColumn("bucket", time_text("bucket"))
 
 
+_ODD_LABELS_SQL = f"""{ACTIVITY_SQL}, labelled AS (
+  SELECT event_time, CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 31 = 0 THEN 'mixed' ELSE sentiment END AS sentiment
+  FROM activity)"""
+
+
+def _odd_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("event_id")
+    odd = F.when(number % 13 != 0, F.when(number % 31 == 0, "mixed").otherwise(F.col("sentiment")))
+    return activity(spark, sf_dir).withColumn("sentiment", odd)
+
+
+@query(
+    f"""WITH {_ODD_LABELS_SQL}, counts AS (
+      SELECT {_BUCKET_SQL} AS bucket, coalesce(sentiment, 'unlabelled') AS sentiment, count(*) AS n FROM labelled GROUP BY ALL),
+    grid AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 5 MINUTE)) AS bucket FROM counts),
+    cells AS (SELECT bucket, unnest(['negative', 'neutral', 'positive']) AS sentiment FROM grid
+      UNION SELECT bucket, sentiment FROM counts)
+    SELECT {time_sql('bucket')} AS bucket, sentiment, coalesce(n, 0) AS n FROM cells LEFT JOIN counts USING (bucket, sentiment)"""
+)
+def sentiment_filled_with_odd_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some messages have no label, and some one that is not among those of the dashboard."""
+    filled = sentiment_over_time(_odd_labels(spark, sf_dir), labels=LABELS, fill=True)
+    return filled.withColumn("bucket", time_text("bucket"))
+
+
+@query(
+    f"""WITH {_ODD_LABELS_SQL}
+    SELECT {time_sql(_BUCKET_SQL)} AS bucket, count(*) FILTER (WHERE sentiment = 'negative') AS negative,
+      count(*) FILTER (WHERE sentiment = 'neutral') AS neutral, count(*) FILTER (WHERE sentiment = 'positive') AS positive,
+      count(*) FILTER (WHERE coalesce(sentiment, '') NOT IN ('negative', 'neutral', 'positive')) AS other
+    FROM labelled GROUP BY ALL"""
+)
+def sentiment_columns_with_odd_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentiment_columns(_odd_labels(spark, sf_dir), LABELS, other="other").withColumn("bucket", time_text("bucket"))
+
+
 @query(
     f"""WITH {ACTIVITY_SQL}
     SELECT {time_sql(_BUCKET_SQL)} AS bucket, count(*) FILTER (WHERE sentiment = 'negative') AS negative,
@@ -182,6 +219,28 @@ def trending_message_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trending_words(messages(spark, sf_dir))
 
 
+@query(
+    f"""WITH {MESSAGES_SQL}, newest AS (SELECT max(event_time) AS ends FROM messages),
+    dated AS (
+      SELECT regexp_split_to_array({CLEAN_SQL.format('text')}, '\\s+') AS words, event_time >= ends - INTERVAL 1 DAY AS new
+      FROM messages, newest WHERE event_time BETWEEN ends - INTERVAL 8 DAY AND ends),
+    words AS (SELECT unnest(words) AS word, new FROM dated),
+    counts AS (
+      SELECT word, count(*) FILTER (WHERE new) AS recent, count(*) FILTER (WHERE NOT new) AS earlier FROM words
+      WHERE word <> '' AND word NOT IN ({STOP_WORDS_SQL}) GROUP BY word),
+    totals AS (SELECT sum(recent) AS all_recent, sum(earlier) AS all_earlier FROM counts),
+    rates AS (SELECT *, (recent + earlier) / (all_recent + all_earlier) AS share FROM counts, totals
+      WHERE recent >= 5 AND recent * all_earlier > earlier * all_recent)
+    SELECT word, recent, earlier, round(2 * (recent * ln(recent / (all_recent * share))
+      + CASE WHEN earlier > 0 THEN earlier * ln(earlier / (all_earlier * share)) ELSE 0 END), 6) AS score
+    FROM rates ORDER BY score DESC, word LIMIT 50"""
+)
+def words_risen_in_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the newest day that are more usual there than in the seven days before."""
+    rows = messages(spark, sf_dir)
+    return rising_words(rows, newest(rows), width="1 day", before="7 days")
+
+
 # Model report
 
 

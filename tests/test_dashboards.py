@@ -90,3 +90,26 @@ def test_top_texts(results, spark):
 
 def test_trending_words(results):
     assert [tuple(r) for r in d.trending_words(results, n=3).collect()] == [("great", 3), ("product", 2), ("worst", 2)]
+
+
+def test_labels_that_are_missing_or_not_listed(rows):
+    data = [("2024-01-01 00:01:00", "a"), ("2024-01-01 00:02:00", None), ("2024-01-01 00:11:00", "z"), ("9999-01-01 00:00:00", None)]
+    df = rows(data, "event_time string, sentiment string").withColumn("event_time", F.col("event_time").cast("timestamp"))
+    filled = d.sentiment_over_time(df, labels=["a", "b"], fill=True)
+    found = {(r.at, r.sentiment): r.n for r in filled.select(F.date_format("bucket", "yyyy HH:mm").alias("at"), "sentiment", "n").collect()}
+    assert found == {
+        ("2024 00:00", "a"): 1, ("2024 00:00", "b"): 0, ("2024 00:00", d.NO_LABEL): 1, ("2024 00:05", "a"): 0, ("2024 00:05", "b"): 0,
+        ("2024 00:10", "a"): 0, ("2024 00:10", "b"): 0, ("2024 00:10", "z"): 1, ("9999 00:00", d.NO_LABEL): 1,
+    }
+    columns = {r.at: (r.a, r.other) for r in d.sentiment_columns(df, ["a"], other="other").select(F.date_format("bucket", "yyyy HH:mm").alias("at"), "a", "other").collect()}
+    assert columns == {"2024 00:00": (1, 1), "2024 00:10": (0, 1), "9999 00:00": (0, 1)}
+
+
+def test_rising_words(rows):
+    old = [("2024-01-01 10:00:00", "common words common"), ("2024-01-02 10:00:00", "common film")] * 10
+    new = [("2024-01-02 23:30:00", "fresh fresh common the"), ("2024-01-02 23:40:00", "Fresh! film, fresh")] * 2
+    df = rows(old + new + [("2023-01-01 00:00:00", "fresh"), (None, "fresh")], "event_time string, text string")
+    df = df.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    found = d.rising_words(df, F.lit("2024-01-03 00:00:00").cast("timestamp"), least=2).collect()
+    assert [(r.word, r.recent, r.earlier) for r in found] == [("fresh", 8, 0), ("film", 2, 10)][: len(found)] and found[0].score > 10
+    assert d.rising_words(df, F.lit("2020-01-01").cast("timestamp")).count() == 0

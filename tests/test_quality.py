@@ -48,11 +48,11 @@ def test_confusion_matrix(rows):
 
 # Published scores of the four classifiers.
 PUBLISHED = [
-    ("Logistic_Regression", 0.6965, 0.6463, 0.6866, 0.6965, 35.76, None),
-    ("Random_Forest", 0.6333, 0.4986, 0.7589, 0.6333, 62.17, None),
-    ("Naive_Bayes", 0.7095, 0.7018, 0.7181, 0.7095, 6.92, None),
-    ("Decision_Tree", 0.6366, 0.5201, 0.6041, 0.6366, 41.85, None),
-    ("Broken", 0.0, 0.0, 0.0, 0.0, 0.0, "failed"),
+    ("Logistic_Regression", 0.6965, 0.6463, 0.6866, 0.6965, 35.76, None, None),
+    ("Random_Forest", 0.6333, 0.4986, 0.7589, 0.6333, 62.17, None, None),
+    ("Naive_Bayes", 0.7095, 0.7018, 0.7181, 0.7095, 6.92, None, None),
+    ("Decision_Tree", 0.6366, 0.5201, 0.6041, 0.6366, 41.85, None, None),
+    ("Broken", 0.0, 0.0, 0.0, 0.0, 0.0, None, "failed"),
 ]
 
 
@@ -66,9 +66,9 @@ def test_ranking(spark):
 
 
 def test_ranking_ties_and_failures(spark):
-    tied = metric_rows(spark, [("b", 0.5, 0.0, 0.0, 0.0, 0.0, None), ("a", 0.5, 0.0, 0.0, 0.0, 0.0, None)])
+    tied = metric_rows(spark, [("b", 0.5, 0.0, 0.0, 0.0, 0.0, None, None), ("a", 0.5, 0.0, 0.0, 0.0, 0.0, None, None)])
     assert [(r.model, r["rank"]) for r in rank_models(tied).collect()] == [("a", 1), ("b", 1)]
-    failed = metric_rows(spark, [("x", None, 0.0, 0.0, 0.0, 0.0, "e"), ("y", 0.1, 0.0, 0.0, 0.0, 0.0, None)])
+    failed = metric_rows(spark, [("x", None, 0.0, 0.0, 0.0, 0.0, None, "e"), ("y", 0.1, 0.0, 0.0, 0.0, 0.0, None, None)])
     assert best_model(failed).first().model == "y"
 
 
