@@ -1,9 +1,11 @@
-"""The three jobs as commands for spark-submit: compare classifiers, validate a topic, score a topic.
+"""The jobs as commands for spark-submit: compare classifiers, validate a topic, score a topic, index and search texts.
 
     spark-submit --py-files chatterlens.zip chatterlens/jobs.py compare --comments comments.csv --models /models
     ... validate --servers kafka:9092 --input raw --valid checked --dead /dead --checkpoint /checkpoints/validate
     ... score --servers kafka:9092 --input checked --model /models/Naive_Bayes_model --documents /documents
         --dead /unscored --results scored --checkpoint /checkpoints/score
+    ... index --documents /texts --index /index --segment 2024-01-01
+    ... search --index /index --words "late delivery"
 
 Without ``--servers`` topics are folders of JSON lines. ``chatterlens.zip`` holds this package.
 """
@@ -17,7 +19,8 @@ from contextlib import nullcontext
 from pyspark.sql import DataFrame, SparkSession
 
 from chatterlens.functions.text import drop_empty_text, with_clean_text
-from chatterlens.operators import dashboards, models, quality
+from chatterlens.operators import dashboards, models, quality, search
+from chatterlens.operators.keyed_table import KeyedTable
 from chatterlens.operators.validate import decode_messages
 from chatterlens.session import prepare
 from chatterlens.sources.tables import read_labelled_csv
@@ -51,7 +54,8 @@ def _show_predictions(model: str, predicted: DataFrame) -> None:
 
 def _topic(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     fmt = "kafka" if options.servers else "text"
-    values = read_messages(spark, fmt, options.input, options.servers, options.starting, options.max_per_trigger)
+    limits = options.max_per_trigger, options.max_bytes
+    values = read_messages(spark, fmt, options.input, options.servers, options.starting, limits[0], max_bytes=limits[1])
     return jobs.unique_values(values, options.unique_for) if options.unique_for else values
 
 
@@ -75,7 +79,11 @@ def validate(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def score(spark: SparkSession, options: argparse.Namespace) -> None:
     """Score the messages of a topic; write keyed documents, dead letters and, if asked for, a topic or an index."""
-    writers = [jobs.document_log(options.documents)]
+    if options.keyed:
+        results = KeyedTable(spark, options.documents, dimensions=("source", "sentiment"))
+        writers = [sinks.keyed_documents(results)]
+    else:
+        writers = [jobs.document_log(options.documents)]
     if options.results:
         writers.append(sinks.derived(_topic_sink(options, options.results), lambda batch: batch.drop("arrival")))
     if options.index:
@@ -85,6 +93,16 @@ def score(spark: SparkSession, options: argparse.Namespace) -> None:
     runner.run([query])
 
 
+def index(spark: SparkSession, options: argparse.Namespace) -> None:
+    """Index the texts of a Parquet folder as one segment of a search index."""
+    search.write_segment(spark.read.parquet(options.documents), options.index, options.segment, options.key, options.text)
+
+
+def find(spark: SparkSession, options: argparse.Namespace) -> None:
+    """Print the best documents of a search index for some words."""
+    search.search(spark, options.index, [options.words], options.most).orderBy("rank").show(options.most, truncate=False)
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="chatterlens")
     commands = parser.add_subparsers(required=True)
@@ -102,6 +120,7 @@ def _parser() -> argparse.ArgumentParser:
     topic.add_argument("--input", required=True)
     topic.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
     topic.add_argument("--max-per-trigger", type=int, help="messages (Kafka) or files (folder) per batch")
+    topic.add_argument("--max-bytes", type=int, help="bytes of a folder per batch, instead of files")
     topic.add_argument("--checkpoint", required=True)
     topic.add_argument("--trigger", help="interval such as '5 seconds'; default: as fast as possible")
     topic.add_argument("--once", action="store_true", help="work off what is there and stop")
@@ -120,6 +139,21 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--documents", required=True)
     command.add_argument("--results", help="topic for the results")
     command.add_argument("--index", help="search index for the results")
+    command.add_argument("--keyed", action="store_true", help="keep the documents as a keyed table with counts, not as a log")
+
+    command = commands.add_parser("index", help=index.__doc__)
+    command.set_defaults(run=index)
+    command.add_argument("--documents", required=True, help="Parquet folder")
+    command.add_argument("--index", required=True)
+    command.add_argument("--segment", required=True, help="name of this part of the index; a part of that name is replaced")
+    command.add_argument("--key", default="id", help="column that tells documents apart")
+    command.add_argument("--text", default="text", help="column to index")
+
+    command = commands.add_parser("search", help=find.__doc__)
+    command.set_defaults(run=find)
+    command.add_argument("--index", required=True)
+    command.add_argument("--words", required=True)
+    command.add_argument("--most", type=int, default=10, help="documents to show")
     return parser
 
 

@@ -31,9 +31,18 @@ from chatterlens.plans.fixtures import (
 from chatterlens.plans.learning import SCORED_SQL, fitted, scored_by_plugin
 from chatterlens.plans.registry import query
 from chatterlens.schemas import DEAD_LETTER, RESULT, VALIDATED
-from chatterlens.session import shared_folder
+from chatterlens.session import hadoop_path, rocksdb_state, shared_folder
 from chatterlens.sources.topics import encode_messages, read_messages
-from chatterlens.streaming.jobs import document_log, drop_repeats_stream, live_sentiment, score_stream, validate_stream
+from chatterlens.streaming.first_copy import first_copies
+from chatterlens.streaming.jobs import (
+    document_log,
+    drop_repeats_stream,
+    live_sentiment,
+    live_sentiment_stream,
+    live_table,
+    score_stream,
+    validate_stream,
+)
 from chatterlens.streaming.runner import (
     AVAILABLE_NOW,
     progress_logged,
@@ -41,6 +50,7 @@ from chatterlens.streaming.runner import (
     run,
     start_batches,
     start_table,
+    state_rows,
 )
 from chatterlens.streaming.sinks import batch_folder, fan_out, topic_folder
 
@@ -229,6 +239,21 @@ def stream_in_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("event_id", "sentiment", held.scalar().alias("bounded"))
 
 
+@query(f"""WITH {MESSAGES_SQL} SELECT md5(text) AS text_md5, true AS bounded FROM messages""")
+def stream_in_batches_of_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic of several files; no batch has more bytes than the largest of them."""
+    folder = shared_folder(spark, "stream-bytes")
+    encode_messages(messages(spark, sf_dir)).repartition(4).write.parquet(f"{folder}/topic")
+    files, place = hadoop_path(spark, f"{folder}/topic")
+    sizes = [status.getLen() for status in files.listStatus(place) if status.getPath().getName().startswith("part-")]
+    values = read_messages(spark, "parquet", f"{folder}/topic", max_bytes=max(sizes))
+    run([start_batches(decode_messages(values), batch_folder(f"{folder}/table"), f"{folder}/checkpoint", AVAILABLE_NOW)])
+    log = read_log(spark, f"{folder}/table")
+    # Files of about the same size, so a batch of that many bytes is one of them.
+    bounded = F.lit(len(sizes) == 1) | (rows_per_batch(log).agg(F.count("*")).scalar() >= min(2, len(sizes)))
+    return log.select(F.md5("text").alias("text_md5"), bounded.alias("bounded"))
+
+
 @query(f"WITH {ACTIVITY_SQL} SELECT event_id, sentiment, 1::BIGINT AS failures FROM activity")
 def stream_sink_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second sink of a batch fails once: the query fails, and its restart writes the batch to both again."""
@@ -310,3 +335,79 @@ def stream_live_sentiment_with_late_rows(spark: SparkSession, sf_dir: str) -> Da
         run([start_table(counts, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
     stored = spark.read.schema(counts.schema).parquet(f"{folder}/table")
     return stored.select(time_text("bucket").alias("bucket"), "sentiment", "n")
+
+
+@query(
+    """WITH copies AS (
+      SELECT event_id, unnest(CASE WHEN event_id % 7 = 3 THEN [1, 2] WHEN event_id % 7 = 5 THEN [0, 1] ELSE [0, 1, 2] END) AS version
+      FROM events)
+    SELECT event_id, max(version) AS version FROM copies GROUP BY event_id"""
+)
+def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches with copies of the events: the later a copy arrives, the earlier is its time, so it stays.
+
+    Some events are missing in the first or the third batch. The last batch has new ids an hour later, which let the
+    watermark pass all others, and copies that come too late.
+    """
+    folder = shared_folder(spark, "stream-first")
+    numbered = table(spark, sf_dir, "events").select("event_id")
+    begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    known = (F.col("event_id") % 7 != 3), F.lit(True), (F.col("event_id") % 7 != 5), F.lit(True)
+    schema = "event_id long, version int, event_time timestamp"
+    for version in range(4):
+        seconds = F.pmod("event_id", F.lit(60)) + (120 * (2 - version) if version < 3 else 3600)
+        number = F.col("event_id") if version < 3 else -F.col("event_id") - 1
+        copies = numbered.filter(known[version]).select(
+            number.alias("event_id"), F.lit(version).alias("version"), (begin + F.make_dt_interval(secs=seconds)).alias("event_time")
+        )
+        copies.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        with rocksdb_state(spark):
+            first = first_copies(stream, "event_id")
+            run([start_table(first, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
+    return spark.read.schema(schema).parquet(f"{folder}/table").select("event_id", "version")
+
+
+@query(
+    f"""WITH {ACTIVITY_SQL}, parts AS (
+      SELECT *, event_id * 3 // (SELECT count(*) FROM events) AS part FROM activity)
+    SELECT after, {time_sql('time_bucket(INTERVAL 5 MINUTE, event_time)')} AS bucket, sentiment, count(*) AS n
+    FROM parts, (VALUES (0), (1), (2)) a(after) WHERE part <= after GROUP BY ALL"""
+)
+def stream_open_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all buckets, open ones included, as they stood after each of three batches in order of time."""
+    folder, found = shared_folder(spark, "stream-open"), None
+    rows = activity(spark, sf_dir)
+    part = F.floor(F.col("event_id") * 3 / rows.agg(F.count("*")).scalar())
+    held = live_table(spark, f"{folder}/counts")
+    for after in range(3):
+        rows.filter(part == after).write.mode("append").parquet(f"{folder}/in")
+        run([live_sentiment_stream(_event_stream(spark, sf_dir, folder), held, f"{folder}/checkpoint", AVAILABLE_NOW)])
+        now = held.read().select(F.lit(after).alias("after"), time_text("bucket").alias("bucket"), "sentiment", "n")
+        found = now if found is None else found.union(now)
+    return found
+
+
+@query(
+    f"""WITH {ACTIVITY_SQL}, counts AS (
+      SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS bucket, sentiment FROM activity GROUP BY ALL),
+    ends AS (SELECT bucket + INTERVAL 5 MINUTE <= (SELECT max(event_time) FROM activity) - INTERVAL 10 MINUTE AS closed FROM counts)
+    SELECT count(*) FILTER (WHERE NOT closed) AS open_buckets, count(*) FILTER (WHERE NOT closed) AS state_rows,
+      count(*) FILTER (WHERE closed) AS late_rows FROM ends"""
+)
+def stream_state_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the state of the live counts holds at the end, read from its store and as reported, and how many counts
+    of buckets and labels came too late: closed buckets are sent again in a second batch."""
+    folder = shared_folder(spark, "stream-state")
+    rows = activity(spark, sf_dir)
+    newest = rows.agg(F.max("event_time")).scalar()
+    closed = F.window("event_time", "5 minutes")["end"] <= newest - F.expr("interval 10 minutes")
+    with progress_logged(spark, f"{folder}/progress"):
+        for part in (rows, rows.filter(closed)):
+            part.write.mode("append").parquet(f"{folder}/in")
+            counts = live_sentiment(_event_stream(spark, sf_dir, folder))
+            run([start_table(counts, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
+    told = progress_table(spark, f"{folder}/progress")
+    last = told.agg(F.max_by("state_rows", "batch_id").alias("state_rows"), F.sum("late_rows").alias("late_rows"))
+    held = state_rows(spark, f"{folder}/checkpoint").agg(F.count("*").alias("open_buckets"))
+    return held.select("open_buckets", *[last.select(name).scalar().alias(name) for name in ("state_rows", "late_rows")])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,3 +61,21 @@ def write_results(df: DataFrame, path: str, mode: str = "overwrite", gather: boo
 def read_results(spark: SparkSession, path: str, schema: T.StructType = RESULT) -> DataFrame:
     """Scan stored results without schema inference; ``event_date`` is the partition column."""
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])).parquet(path)
+
+
+def write_for_look_up(df: DataFrame, path: str, keys: Sequence[str] = ("id", "user"), time: str = "event_time", block: str = "16m") -> None:
+    """Store rows so that one key or a short time finds its rows without reading the rest.
+
+    Rows lie in order of time in files of their own ranges, so times skip files and parts of files by their bounds.
+    Each part of ``block`` bytes has a Bloom filter of every key, so a look-up reads the parts that may hold it.
+    """
+    size = int(block[:-1]) << {"k": 10, "m": 20}[block[-1]]
+    options = {"parquet.block.size": size, "parquet.bloom.filter.adaptive.enabled": "true"}
+    options |= {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
+    ordered = df.repartitionByRange(time).sortWithinPartitions(time)
+    ordered.write.mode("overwrite").options(**options).parquet(path)
+
+
+def look_up(spark: SparkSession, path: str, key: str, *found: object) -> DataFrame:
+    """Rows of some values of a key, from a table of ``write_for_look_up``."""
+    return spark.read.parquet(path).filter(F.col(key).isin(*found))

@@ -44,12 +44,16 @@ def read_messages(
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
     stream: bool = True,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Raw values of a topic as a binary ``value`` column, and for Kafka and Parquet their ``arrival``.
 
     ``fmt`` is ``kafka`` (``location`` is the topic), ``text`` (a folder of JSON lines) or ``parquet`` (a folder
     of files with a ``value`` and, if it has been kept, an ``arrival`` column). A folder is always read from its start.
+    A batch of a folder is limited by files or by ``max_bytes``, and has one file at least; Kafka counts messages only.
     """
+    if max_bytes is not None and (fmt == "kafka" or max_per_trigger is not None):
+        raise ValueError("bytes limit the batches of a folder, instead of a number of files")
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         if servers is None:
@@ -66,6 +70,8 @@ def read_messages(
         raise ValueError("a folder can only be read from its start")
     if max_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     if fmt == "text":
         return reader.schema("value string").text(location).select(F.col("value").cast("binary").alias("value"))
     return reader.schema(f"value binary, arrival {ARRIVAL}").parquet(location)

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chatterlens.operators.keyed_table import KeyedTable
 from chatterlens.operators.latest import with_document_id
 from chatterlens.operators.score import score_messages
 from chatterlens.operators.validate import dead_letters, decode_messages, valid_messages, with_reason
 from chatterlens.streaming.runner import start_batches
-from chatterlens.streaming.sinks import BatchWriter, batch_folder, derived, fan_out
+from chatterlens.streaming.sinks import BatchWriter, batch_folder, derived, fan_out, keyed_documents
 
 
 def validate_stream(
@@ -125,8 +126,12 @@ def drop_repeats_stream(df: DataFrame, key: str = "id", time: str = "event_time"
 
 
 def unique_values(values: DataFrame, delay: str) -> DataFrame:
-    """Raw values of a topic without those that the topic has had within ``delay`` of their arrival here."""
-    keyed = values.withColumn("value_id", F.md5("value")).withColumn("seen_at", F.current_timestamp())
+    """Raw values of a topic without those that the topic has had within ``delay`` of their arrival here.
+
+    A missing value repeats none: all of them pass.
+    """
+    value_id = F.coalesce(F.md5("value"), F.uuid())
+    keyed = values.withColumn("value_id", value_id).withColumn("seen_at", F.current_timestamp())
     return drop_repeats_stream(keyed, "value_id", "seen_at", delay).drop("value_id", "seen_at")
 
 
@@ -141,3 +146,26 @@ def live_sentiment(
         .agg(F.count("*").alias("n"))
     )
     return counted.select(F.col("window.start").alias("bucket"), F.col("window.end").alias("closed"), "sentiment", "n")
+
+
+def live_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The table that ``live_sentiment_stream`` keeps: one row per bucket and label."""
+    return KeyedTable(spark, path, ("bucket", "sentiment"), buckets=8, order=())
+
+
+def live_sentiment_stream(
+    results: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    trigger: str | None = "5 seconds",
+    width: str = "5 minutes",
+    delay: str = "10 minutes",
+    time: str = "event_time",
+    name: str = "live",
+) -> StreamingQuery:
+    """Keep the counts of all buckets, open ones included: every batch replaces the counts that it has changed.
+
+    State holds a bucket as ``live_sentiment`` does; the table keeps it for good.
+    """
+    counts = live_sentiment(results, width, delay, time)
+    return start_batches(counts, keyed_documents(table), checkpoint, trigger, mode="update", name=name)

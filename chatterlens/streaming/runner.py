@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import threading
 import time
+import uuid
 from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
+from chatterlens.session import hadoop_path
 from chatterlens.streaming.sinks import BatchWriter
 
 AVAILABLE_NOW = "available now"
@@ -95,6 +97,9 @@ PROGRESS = T.StructType(
         T.StructField("batch_milliseconds", T.LongType()),
         T.StructField("offsets_behind", T.DoubleType()),
         T.StructField("observed", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("state_rows", T.LongType()),
+        T.StructField("state_bytes", T.LongType()),
+        T.StructField("late_rows", T.LongType()),
     ]
 )
 
@@ -165,9 +170,48 @@ def progress_row(report: Mapping) -> dict:
         "batch_milliseconds": report.get("durationMs", {}).get("triggerExecution", 0),
         "offsets_behind": _offsets_behind(report),
         "observed": observed,
+        "state_rows": _state_sum(report, "numRowsTotal"),
+        "state_bytes": _state_sum(report, "memoryUsedBytes"),
+        "late_rows": _state_sum(report, "numRowsDroppedByWatermark"),
     }
 
 
+def _state_sum(report: Mapping, number: str) -> int:
+    """A number of all stateful steps together. Rows are those that reach the step: what an aggregation has made of a
+    batch's late rows, for example."""
+    return sum(step.get(number) or 0 for step in report.get("stateOperators", []))
+
+
 def progress_table(spark: SparkSession, path: str) -> DataFrame:
     """One row per logged batch, with the counts observed in it."""
     return spark.read.schema(PROGRESS).json(path)
+
+
+def compact_progress(spark: SparkSession, path: str) -> int:
+    """Write the log's many small files as one and delete them; returns how many they were.
+
+    Reports that are written meanwhile stay as they are. A compaction that was cut short leaves its reports twice, so
+    the next one drops repeats.
+    """
+    files, folder = hadoop_path(spark, path)
+    found = [status.getPath() for status in files.listStatus(folder) if status.getPath().getName().endswith(".json")]
+    if len(found) < 2:
+        return len(found)
+    lines = spark.read.text([str(place) for place in found]).distinct().orderBy("value")
+    out = files.create(hadoop_path(spark, f"{path}/{uuid.uuid4()}.json")[1], False)
+    for row in lines.toLocalIterator():
+        out.write(bytearray(f"{row.value}\n".encode()))
+    out.close()
+    for place in found:
+        files.delete(place, False)
+    return len(found)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """(key, value, partition_id) of all rows that a stateful step of a query holds after its last batch."""
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+
+
+def state_steps(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful steps of a query: their names, stores, partitions and batches."""
+    return spark.read.format("state-metadata").load(checkpoint)

@@ -7,6 +7,7 @@ from conftest import values
 
 from chatterlens import jobs
 from chatterlens.operators import models
+from chatterlens.operators.keyed_table import KeyedTable
 from chatterlens.operators.latest import read_log, upsert_view
 from chatterlens.functions.text import with_clean_text
 from chatterlens.sources.tables import CSV_OPTIONS
@@ -68,3 +69,26 @@ def test_topics_of_a_cluster_need_no_folder():
     assert options.run is jobs.score and options.results is None and options.starting == "earliest"
     with pytest.raises(SystemExit):
         jobs._parser().parse_args(["score"])
+
+
+def test_keyed_documents_index_and_search(spark, rows, tmp_path, capsys):
+    comments = rows([("good", "positive"), ("bad", "negative")], "Comment string, Sentiment string")
+    models.save_model(models.train(with_clean_text(comments, "Comment"), models.classifiers()["Naive_Bayes"]), str(tmp_path / "model"))
+    place = {name: str(tmp_path / name) for name in ("raw", "dead", "documents", "cp", "model", "texts", "index")}
+    for name, texts in (("a", ["good day", "bad day"]), ("b", ["good day", "good night"])):
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        lines = [json.dumps({"text": t, "user": "u", "timestamp": "2024-01-01T00:00:00Z", "location": "x"}) for t in texts]
+        (tmp_path / "raw" / name).write_text("\n".join(lines) + "\n")
+        jobs.main(
+            ["score", "--input", place["raw"], "--model", place["model"], "--documents", place["documents"], "--once", "--keyed"]
+            + ["--dead", place["dead"], "--checkpoint", place["cp"], "--max-bytes", "1000000"]
+        )
+    held = KeyedTable(spark, place["documents"], dimensions=("source", "sentiment"))
+    assert sorted(values(held.read(), "text")) == ["bad day", "good day", "good night"]
+    assert sum(values(held.counts(), "n")) == 3
+    held.read().write.parquet(place["texts"])
+    jobs.main(["index", "--documents", place["texts"], "--index", place["index"], "--segment", "one"])
+    capsys.readouterr()
+    jobs.main(["search", "--index", place["index"], "--words", "good night"])
+    best = next(row.id for row in held.read().collect() if row.text == "good night")
+    assert best in capsys.readouterr().out.split("\n")[3]

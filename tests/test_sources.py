@@ -9,7 +9,7 @@ from chatterlens.operators.validate import decode_messages
 from chatterlens.schemas import RESULT
 from chatterlens.sources.chat import chat_lines_to_messages, chat_messages_only
 from chatterlens.sources.comments import comments_to_messages
-from chatterlens.sources.tables import CSV_OPTIONS, conform, read_labelled_csv, read_results, write_results
+from chatterlens.sources.tables import CSV_OPTIONS, conform, look_up, read_labelled_csv, read_results, write_for_look_up, write_results
 from chatterlens.sources.topics import encode_messages, encode_rows, read_messages, topic_options
 
 
@@ -33,6 +33,8 @@ def test_read_messages_refuses_what_it_cannot_do(spark, tmp_path):
         read_messages(spark, "text", str(tmp_path), starting="latest")
     with pytest.raises(ValueError):
         read_messages(spark, "carrier pigeon", "x")
+    with pytest.raises(ValueError):
+        read_messages(spark, "text", str(tmp_path), max_per_trigger=1, max_bytes=1)
     with pytest.raises(ValueError):
         read_messages(spark, "kafka", "topic", "k:9092", starting="latest", stream=False)
 
@@ -165,3 +167,28 @@ def test_results_are_stored_by_date(spark, rows, tmp_path):
     assert values(recent, "text") == ["b"]
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def _rows_scanned(df):
+    """Rows that the scan of a plan gives on, after it has skipped what bounds and Bloom filters exclude."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_look_ups_read_little(spark, tmp_path):
+    path, number = str(tmp_path / "table"), F.col("id")
+    rows = spark.range(60_000).select(
+        F.md5(number.cast("string")).alias("id"),
+        F.concat(F.lit("u"), F.md5((number % 30_000).cast("string"))).alias("user"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.hash("id") % 1_000_000).alias("event_time"),
+        F.repeat(F.md5((-number).cast("string")), F.lit(10)).alias("text"),
+    )
+    write_for_look_up(rows.repartition(4), path, block="256k")
+    wanted = rows.first()
+    found = look_up(spark, path, "id", wanted.id)
+    assert [tuple(r) for r in found.collect()] == [tuple(wanted)] and _rows_scanned(found) <= 6000
+    assert look_up(spark, path, "user", wanted.user).count() == 2
+    recent = spark.read.parquet(path).filter(F.col("event_time") >= F.lit(wanted.event_time)).filter(F.col("event_time") <= F.lit(wanted.event_time))
+    assert _rows_scanned(recent) <= 6000 and look_up(spark, path, "id", "none").count() == 0

@@ -10,9 +10,10 @@ from chatterlens.operators.dashboards import sentiment_over_time
 from chatterlens.operators.latest import read_log, upsert_view
 from chatterlens.operators.models import classifiers, train
 from chatterlens.operators.validate import decode_messages, route
-from chatterlens.session import ROCKSDB, STATE_STORE
+from chatterlens.session import ROCKSDB, STATE_STORE, rocksdb_state
 from chatterlens.sources.topics import read_messages
 from chatterlens.streaming import jobs, runner, sinks
+from chatterlens.streaming.first_copy import first_copies
 
 RAW = [
     '{"text":"good day","user":"u","timestamp":"2024-01-01T00:00:00Z","location":"x"}',
@@ -242,3 +243,57 @@ def test_search_index_options():
         "es.write.operation": "index",
         "es.mapping.id": "id",
     }
+
+
+def test_the_earliest_copy_wins_and_state_ends(spark, tmp_path):
+    copies = lambda *items: events(*items)
+    files = [
+        ("a", copies(("x", "00:05:00", "late arrival"), ("y", "00:01:00", "only"), ("z", "00:02:00", "first"))),
+        ("b", copies(("x", "00:03:00", "first"), ("x", "00:04:00", "middle"))),
+        ("c", copies(("z", "00:06:00", "repeat"), ("far", "00:30:00", "p"))),
+        ("d", copies(("x", "00:01:00", "too late"), ("x", "00:21:00", "repeat"), ("far", "00:59:00", "p"))),
+        ("e", copies(("end", "03:00:00", "p"))),
+    ]
+    for name, lines in files:
+        feed(tmp_path / "in", (name, lines))
+        with rocksdb_state(spark):
+            first = first_copies(event_stream(spark, tmp_path / "in"))
+            finish(runner.start_table(first, str(tmp_path / "out"), str(tmp_path / "cp"), NOW))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    passed = found.select("id", "sentiment", F.date_format("event_time", "HH:mm").alias("at")).collect()
+    assert sorted(map(tuple, passed)) == [("far", "p", "00:30"), ("x", "first", "00:03"), ("y", "only", "00:01"), ("z", "first", "00:02")]
+    held = spark.read.format("statestore").option("stateVarName", "timer").load(str(tmp_path / "cp"))
+    assert {r.key.id for r in held.collect()} == {"end"}
+
+
+def test_open_buckets_after_each_batch(spark, tmp_path):
+    held, seen = jobs.live_table(spark, str(tmp_path / "table")), []
+    parts = [[("1", "00:01:00", "p"), ("2", "00:02:00", "n")], [("3", "00:03:00", "p"), ("4", "00:07:00", "p")], [("5", "01:00:00", "p")], [("6", "00:01:00", "p")]]
+    expected = [{("00:00", "p"): 1, ("00:00", "n"): 1}, {("00:00", "p"): 2, ("00:00", "n"): 1, ("00:05", "p"): 1}]
+    expected += [expected[1] | {("01:00", "p"): 1}] * 2  # the last message is late
+    for number, part in enumerate(parts):
+        feed(tmp_path / "in", (str(number), events(*part)))
+        finish(jobs.live_sentiment_stream(event_stream(spark, tmp_path / "in"), held, str(tmp_path / "cp"), NOW))
+        rows = held.read().select(F.date_format("bucket", "HH:mm").alias("at"), "sentiment", "n").collect()
+        seen.append({(r["at"], r.sentiment): r.n for r in rows})
+    assert seen == expected
+
+
+def test_progress_is_compacted(spark, tmp_path):
+    path = str(tmp_path / "progress")
+    feed(tmp_path / "in", ("a", RAW[:2]), ("b", RAW[2:]))
+    with runner.progress_logged(spark, path):
+        stream = decode_messages(read_messages(spark, "text", str(tmp_path / "in"), max_per_trigger=1))
+        finish(runner.start_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"), NOW))
+    before = values(runner.progress_table(spark, path).drop("observed"))
+    assert runner.compact_progress(spark, path) == len(before) and runner.compact_progress(spark, path) == 1
+    assert values(runner.progress_table(spark, path).drop("observed")) == before and len(before) >= 2
+
+
+def test_missing_values_repeat_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(None,)] * 3 + [("a",), ("a",), ("b",)], "value string").selectExpr("cast(value as binary) value")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    finish(runner.start_table(jobs.unique_values(stream, "10 minutes"), str(tmp_path / "out"), str(tmp_path / "cp"), NOW))
+    got = sorted((r.value.decode() if r.value else "null") for r in spark.read.parquet(str(tmp_path / "out")).select(F.col("value").cast("binary")).collect())
+    assert got == ["a", "b", "null", "null", "null"]
