@@ -182,20 +182,20 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: (text, runs) to the runs with hashes of the words to both sides, outwards.
+    """Arrow function: (text, ends) to the ends with hashes of the words beside them, outwards.
 
     ``REACH`` words are enough: where more agree, another piece of both texts begins.
     """
     for batch in slices(batches, "text"):
         words = words_of(batch.column("text"), BLANK_SEPARATED)
         hashes = (words.hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        runs, held = batch.column("runs"), batch.column("runs").flatten()
-        text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(runs).to_numpy())
+        ends, held = batch.column("ends"), batch.column("ends").flatten()
+        text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(ends).to_numpy())
         columns = {field.name: held.field(i) for i, field in enumerate(held.type)}
         low, high = words.first[text], words.first[text + 1]
-        begin, end = (low + columns[name].to_numpy() for name in ("begin", "end"))
-        columns["left"] = _lists([hashes[a:b][::-1] for a, b in zip(np.maximum(low, begin - REACH), begin)])
-        columns["right"] = _lists([hashes[a:b] for a, b in zip(end, np.minimum(high, end + REACH))])
+        at, left = low + columns["place"].to_numpy(), pc.equal(columns["side"], "left").to_numpy(zero_copy_only=False)
+        before = zip(np.maximum(low, at - REACH), at, np.minimum(high, at + REACH), left)
+        columns["words"] = _lists([hashes[a:b][::-1] if backwards else hashes[b:c] for a, b, c, backwards in before])
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
@@ -339,8 +339,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         )
         named = stored(_named(stored(held.distinct(), "held")), "named-paragraphs")
         release(docs.sparkSession)
-        around = stored(_surrounded(docs, named.where("piece")), "surrounded-pieces")
-        cut = _cut_paragraphs(named.where("NOT piece AND NOT kept")).union(_extended(around))
+        around = stored(_surrounded(docs, _ends(named.where("piece"))), "surrounded-ends")
+        release(docs.sparkSession)
+        cut = _cut_paragraphs(named.where("NOT kept")).union(_extended(around))
         return lasting(_passages(cut), "passages")
 
 
@@ -363,7 +364,8 @@ def _named(held: DataFrame) -> DataFrame:
 
 
 def _cut_paragraphs(named: DataFrame) -> DataFrame:
-    """(id, row, kept_id, begin, end) of paragraphs: all of one that the keeping text has too, else what is shared."""
+    """(id, row, kept_id, begin, end) of pieces and paragraphs: all of one that the keeping text has too, else what is
+    shared."""
     part = ~F.col("exact") & F.col("from").isNotNull()
     begin, end = F.col("begin") + F.col("from"), F.col("begin") + F.col("to")
     return named.select(
@@ -371,13 +373,41 @@ def _cut_paragraphs(named: DataFrame) -> DataFrame:
     )
 
 
-def _surrounded(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """The named runs with left and right: hashes of the words around."""
-    kept = named.select("id", "row", "begin", "end", "class", "kept_id", "kept")
-    runs = kept.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*kept.columns)).alias("runs"))
-    texts = _texts_with(docs, stored(runs, "runs"), "runs")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return texts.select("text", "runs").mapInArrow(_contexts, schema + ", left array<int>, right array<int>").distinct()
+def _runs_of_spans(spans: DataFrame) -> DataFrame:
+    """The spans (row, begin, end) with the number of the run that they are in: spans that overlap, or that fewer words
+    than a shingle part."""
+    by_place = Window.partitionBy("row").orderBy("begin", "end")
+    before = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("apart", F.coalesce(F.col("begin") - before >= SHINGLE, F.lit(True)))
+    return spans.withColumn("run", F.sum(F.col("apart").cast("int")).over(by_place)).drop("apart")
+
+
+def _ends(named: DataFrame) -> DataFrame:
+    """(id, row, kept_id, class, side, place, kept): where cut pieces may have to be extended, and where the kept pieces
+    of their classes end.
+
+    Only pieces within ``REACH`` of an end of their run of cut pieces can reach beyond it.
+    """
+    cut = _runs_of_spans(named.where("NOT kept").select("id", "row", "begin", "end", "class", "kept_id"))
+    run = Window.partitionBy("row", "run")
+    cut = cut.withColumns({"low": F.min("begin").over(run), "high": F.max("end").over(run)})
+    side = lambda name, place: F.struct(F.lit(name).alias("side"), F.col(place).alias("place"))
+    left = F.when(F.col("begin") - REACH < F.col("low"), side("left", "begin"))
+    right = F.when(F.col("end") + REACH > F.col("high"), side("right", "end"))
+    ends = cut.select("id", "row", "kept_id", "class", F.explode(F.array_compact(F.array(left, right))).alias("at"))
+    ends = stored(ends.select("id", "row", "kept_id", "class", "at.side", "at.place", F.lit(False).alias("kept")), "cut-ends")
+    both = F.explode(F.array(side("left", "begin"), side("right", "end"))).alias("at")
+    kept = named.where("kept").select("id", "row", "kept_id", "class", both)
+    kept = kept.select("id", "row", "kept_id", "class", "at.side", "at.place", F.lit(True).alias("kept"))
+    return ends.union(kept.join(ends.select("class", "side").distinct(), ["class", "side"], "left_semi").select(ends.columns))
+
+
+def _surrounded(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """The ends with the hashes of the words beside them."""
+    by_row = ends.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*ends.columns)).alias("ends"))
+    texts = _texts_with(docs, stored(by_row, "ends"), "ends")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ends.schema.fields)
+    return texts.select("text", "ends").mapInArrow(_contexts, schema + ", words array<int>")
 
 
 def _agreeing(one: Column, two: Column) -> Column:
@@ -400,28 +430,23 @@ def agreements(contexts: DataFrame) -> DataFrame:
 
 
 def _extended(around: DataFrame) -> DataFrame:
-    """(id, row, kept_id, begin, end) of the runs that are not kept, with the words to both sides that agree with a
-    kept run's of the same class."""
-    sides = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("words")) for side in ("left", "right")]))
-    contexts = around.select("class", "kept", sides.alias("context")).select("class", "kept", "context.side", "context.words")
-    agree = stored(agreements(contexts), "agreements")
-    cut = around.where("NOT kept")
-    for side in ("left", "right"):
-        known = agree.where(F.col("side") == side).select(F.col("class").alias("known"), F.col("words").alias("known_words"), F.col("agree").alias(f"{side}_agree"))
-        cut = cut.join(known, (F.col("class") == F.col("known")) & (F.col(side) == F.col("known_words")), "left").drop("known", "known_words")
-    begin = F.col("begin") - F.coalesce("left_agree", F.lit(0))
-    end = F.col("end") + F.coalesce("right_agree", F.lit(0))
-    return cut.select("id", "row", "kept_id", begin.alias("begin"), end.alias("end"))
+    """(id, row, kept_id, begin, end) of the words beside the cut pieces that agree with those beside a kept piece of the
+    same class."""
+    key = F.xxhash64("class", "side", "words").alias("context")
+    agree = agreements(around.select("class", "side", "words", "kept")).where("agree > 0")
+    agree = stored(agree.select(key, "agree"), "agreements")
+    cut = around.where("NOT kept").select("id", "row", "kept_id", "side", "place", key).join(agree, "context")
+    left, place = F.col("side") == "left", F.col("place")
+    begin = F.when(left, place - F.col("agree")).otherwise(place)
+    return cut.select("id", "row", "kept_id", begin.alias("begin"), F.when(left, place).otherwise(place + F.col("agree")).alias("end"))
 
 
 def _passages(cut: DataFrame) -> DataFrame:
     """Join overlapping spans of a text, and those that a gap of less than a shingle parts."""
-    by_place = Window.partitionBy("row").orderBy("begin")
-    before = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    run = F.sum(F.coalesce(F.col("apart"), F.lit(True)).cast("int")).over(by_place)
     cut = cut.groupBy("row", "begin").agg(F.max("end").alias("end"), F.first("id").alias("id"), F.min("kept_id").alias("kept_id"))
-    runs = cut.withColumn("apart", F.col("begin") - before >= SHINGLE).withColumn("run", run).groupBy("row", "run")
-    ends = runs.agg(F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("begin").alias("begin"), F.max("end").alias("end"))
+    ends = _runs_of_spans(cut).groupBy("row", "run").agg(
+        F.first("id").alias("id"), F.min("kept_id").alias("kept_id"), F.min("begin").alias("begin"), F.max("end").alias("end")
+    )
     return ends.select("id", "row", "kept_id", "begin", "end")
 
 
