@@ -72,8 +72,14 @@ def write_for_look_up(df: DataFrame, path: str, keys: Sequence[str] = ("id", "us
     size = int(block[:-1]) << {"k": 10, "m": 20}[block[-1]]
     options = {"parquet.block.size": size, "parquet.bloom.filter.adaptive.enabled": "true"}
     options |= {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
-    ordered = df.repartitionByRange(time).sortWithinPartitions(time)
-    ordered.write.mode("overwrite").options(**options).parquet(path)
+    conf, kind = df.sparkSession.conf, "spark.sql.parquet.outputTimestampType"
+    before = conf.get(kind)
+    conf.set(kind, "TIMESTAMP_MICROS")  # the older form of times has no bounds
+    try:
+        ordered = df.repartitionByRange(time).sortWithinPartitions(time)
+        ordered.write.mode("overwrite").options(**options).parquet(path)
+    finally:
+        conf.set(kind, before)
 
 
 def look_up(spark: SparkSession, path: str, key: str, *found: object) -> DataFrame:

@@ -41,8 +41,8 @@ def test_sentiment_over_time(results):
 def test_filled_buckets(results):
     filled = clock(d.sentiment_over_time(results, labels=["positive", "negative"], fill=True))
     found = values(filled)
-    assert len(found) == 10
-    assert ("00:10", "positive", 0) in found and ("00:00", "positive", 2) in found
+    assert len(found) == 11
+    assert ("00:10", "positive", 0) in found and ("00:00", "positive", 2) in found and ("00:20", "neutral", 1) in found
     with pytest.raises(ValueError):
         d.sentiment_over_time(results, fill=True)
 
