@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatterlens.llm.bottom_k import PAIRED, candidates, central_pairs, outside_pairs, ranked_sets, similar, text_key, with_component
+from chatterlens.llm.bottom_k import PAIRED, candidates, central_pairs, outside_pairs, share_of, similar, text_key, with_component
 from chatterlens.llm.hashing import BLANK_SEPARATED, Words, as_long, mixed, powers_up_to, slices, words_of
 from chatterlens.llm.steps import connected_components, lasting, release, stored, temporary
 
@@ -269,15 +269,40 @@ def similar_classes(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return both.where(similar(shared, F.size("values_a"), F.size("values_b"), percent)).select("a", "b")
 
 
+def ranked_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, alone, prefix) of all members of large groups, as ``bottom_k.ranked_sets`` has them.
+
+    Shingles that no other member has come first in every order, so only the others are joined with their counts.
+    """
+    everyone = members.select("node").union(members.select("pivot")).distinct()
+    own = sets.join(everyone, "node", "left_semi").select("node", "values")
+    entries = own.select("node", F.explode("values").alias("value"))
+    spread = entries.groupBy("value").agg(F.count("*").alias("spread")).where("spread > 1")
+    common = entries.join(spread, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("spread", "value"))).alias("common"))
+    ranked = own.select("node", F.size("values").cast("long").alias("n")).join(common, "node", "left")
+    alone = (F.col("n") - F.coalesce(F.size("common"), F.lit(0))).alias("alone")
+    first = F.transform(F.array_repeat(F.lit(1).cast("long"), alone.cast("int")), lambda one: F.struct(one.alias("spread"), F.lit(None).cast("long").alias("value")))
+    order = F.concat(first, F.coalesce("common", F.array().cast("array<struct<spread: long, value: long>>")))
+    prefix = F.slice(order, F.lit(1), (F.col("n") - share_of(F.col("n"), percent) + 1).cast("int"))
+    return ranked.select("node", "n", alone, prefix.alias("prefix"))
+
+
+def unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
+    """The members of those groups that lie in more than one component: in all others no link can change anything."""
+    nodes = members.select("pivot", "node").union(members.select("pivot", F.col("pivot").alias("node")).distinct())
+    held = with_component(nodes, components).groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(held.where("low != high").select("pivot"), "pivot", "left_semi")
+
+
 def linked_classes(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) and (node, component) of the classes that are similar to another, as ``bottom_k.near_duplicates``
     finds them."""
     links = stored(similar_classes(candidates(members), sets, percent), "paragraph-links")
     components = connected_components(links)
     sizes = members.groupBy("pivot").agg(F.count("*").alias("size")).where(F.col("size") >= PAIRED)
-    large = stored(members.join(sizes, "pivot").select("pivot", "node"), "large-bands")
+    large = stored(unsettled(members.join(sizes, "pivot").select("pivot", "node"), components), "large-bands")
     if not large.isEmpty():
-        ranked = stored(ranked_sets(large, sets, percent), "ranked-sets")
+        ranked = stored(ranked_classes(large, sets, percent), "ranked-sets")
         for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
             more = step(large, with_component(ranked, components))
             more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

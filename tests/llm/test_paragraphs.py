@@ -2,6 +2,7 @@ import random
 
 from conftest import values
 
+from chatterlens.llm import bottom_k
 from chatterlens.llm import paragraphs as p
 
 
@@ -265,3 +266,18 @@ def test_ids_that_are_no_numbers(rows):
     passage = " ".join(f"u{i}" for i in range(60))
     docs = rows([("7", passage), ("x", passage), ("8", passage)], "doc_id string, text string")
     assert sorted({(r.id, r.kept_id) for r in p.repeated_passages(docs).collect()}, key=repr) == [(8, 7), (None, 7)]
+
+
+def test_ranked_classes_equal_ranked_sets(rows):
+    rng = random.Random(17)
+    data = [(node, [rng.randrange(40) if rng.random() < 0.7 else 1000 * node + k for k in range(rng.randrange(1, 12))]) for node in range(30)]
+    sets = rows([(node, sorted(set(v))) for node, v in data], "node long, values array<long>")
+    members = rows([(0, node) for node in range(1, 25)], "pivot long, node long")
+    plain = lambda df: sorted((r.node, r.n, r.alone, [(e.spread, e.value if e.spread > 1 else None) for e in r.prefix]) for r in df.collect())
+    assert plain(p.ranked_classes(members, sets, 80)) == plain(bottom_k.ranked_sets(members, sets, 80))
+
+
+def test_groups_of_one_component_are_settled(rows):
+    members = rows([(1, 2), (1, 3), (5, 6), (5, 7)], "pivot long, node long")
+    components = rows([(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)], "node long, component long")
+    assert values(p.unsettled(members, components)) == [(5, 6), (5, 7)]
