@@ -59,6 +59,9 @@ from chatterlens.streaming.sinks import batch_folder, fan_out, topic_folder
 # hold nothing and read everything at once: files come in no order of time, and a cut would make rows late.
 FILES_PER_BATCH = 10_000
 
+# Every batch of copies has all ids, so they are held in groups.
+FIRST_COPY_BUCKETS = 4096
+
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages(spark, sf_dir, stream_table(spark, sf_dir, "events", FILES_PER_BATCH))
@@ -363,7 +366,7 @@ def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         copies.write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
         with rocksdb_state(spark):
-            first = first_copies(stream, "event_id")
+            first = first_copies(stream, "event_id", buckets=FIRST_COPY_BUCKETS)
             run([start_table(first, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW)])
     return spark.read.schema(schema).parquet(f"{folder}/table").select("event_id", "version")
 

@@ -266,6 +266,34 @@ def test_the_earliest_copy_wins_and_state_ends(spark, tmp_path):
     assert {r.key.id for r in held.collect()} == {"end"}
 
 
+def test_ids_of_a_bucket_share_one_state(spark, tmp_path):
+    ids = [f"id-{number}" for number in range(40)]
+    files = [
+        [(id, f"00:{5 + number % 4:02d}:00", f"{id} late arrival") for number, id in enumerate(ids)],
+        [(id, f"00:{2 + number % 3:02d}:00", f"{id} first") for number, id in enumerate(ids)],
+        [("far", "00:13:30", "p")],
+        [(id, "00:13:00", "repeat") for id in ids[::2]],
+        [("far", "00:27:00", "p"), ("far", "00:13:10", "earlier, but after its turn")],
+        [(ids[0], "00:26:00", "again"), ("new", "00:17:30", "p"), ("end", "03:00:00", "p")],
+    ]
+    passed, stores = {}, {}
+    for buckets in (None, 1, 7):
+        base = tmp_path / str(buckets)
+        base.mkdir()
+        for number, lines in enumerate(files):
+            feed(base / "in", (str(number), events(*lines)))
+            with rocksdb_state(spark):
+                first = first_copies(event_stream(spark, base / "in"), buckets=buckets)
+                finish(runner.start_table(first, str(base / "out"), str(base / "cp"), NOW))
+        found = spark.read.parquet(str(base / "out")).select("id", "sentiment", F.date_format("event_time", "HH:mm:ss").alias("at"))
+        passed[buckets] = sorted(map(tuple, found.collect()))
+        held = spark.read.format("statestore").option("stateVarName", "timer").load(str(base / "cp"))
+        stores[buckets] = held.count()
+    assert passed[1] == passed[7] == passed[None]
+    assert {(id, text) for id, text, _ in passed[1]} >= {(id, f"{id} first") for id in ids} and len(passed[1]) >= 42
+    assert stores[1] == 1 and stores[7] <= 7
+
+
 def test_open_buckets_after_each_batch(spark, tmp_path):
     held, seen = jobs.live_table(spark, str(tmp_path / "table")), []
     parts = [[("1", "00:01:00", "p"), ("2", "00:02:00", "n")], [("3", "00:03:00", "p"), ("4", "00:07:00", "p")], [("5", "01:00:00", "p")], [("6", "00:01:00", "p")]]
