@@ -18,6 +18,7 @@ from chatterlens.functions.text import clean_text, each, words_of
 
 FOLDERS = 64
 BLOCK = 65_536  # documents
+TASKS = 8  # for the words of a block
 
 # The usual parameters of BM25.
 SATURATION, LENGTH_SHARE = 1.2, 0.75
@@ -35,6 +36,19 @@ def term_folder(term: Column, folders: int = FOLDERS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(folders))
 
 
+def _last_places() -> tuple[Column, Column]:
+    """The sorted ``words`` and the place of each one's last occurrence."""
+    last = lambda word, place: F.when(~F.get("words", place + 1).eqNullSafe(word), place)
+    return F.col("words"), F.filter(F.transform("words", last), lambda place: place.isNotNull()).alias("lasts")
+
+
+def _counted() -> Column:
+    """(term, tf) of a document's words, counted in its row, and of the term of every document."""
+    before = lambda number: F.coalesce(F.get("lasts", number - 1), F.lit(-1))
+    entry = lambda last, number: F.struct(F.get("words", last).alias("term"), (last - before(number)).alias("tf"))
+    return F.concat(F.array(F.struct(F.lit(_EVERY).alias("term"), F.lit(1).alias("tf"))), F.transform("lasts", entry))
+
+
 def write_segment(
     docs: DataFrame, path: str, segment: str, key: str = "id", text: str = "text", folders: int = FOLDERS, blocks: int | None = None
 ) -> None:
@@ -45,13 +59,15 @@ def write_segment(
     """
     if blocks is None:
         blocks = math.ceil(docs.count() / BLOCK) or 1
-    words = docs.select(F.col(key).alias("id"), index_words(F.col(text)).alias("words"))
-    length = F.size("words")
-    terms = F.when(length > 0, F.concat(F.array(F.lit(_EVERY)), "words"))
-    counts = words.select("id", length.alias("length"), each(terms).alias("term")).filter("term is not null")
-    counts = counts.groupBy("id", "length", "term").agg(F.count("*").cast("int").alias("tf"))
+    words = docs.select(F.col(key).alias("id"), F.sort_array(index_words(F.col(text))).alias("words"))
+    words = words.filter(F.size("words") > 0).select("id", F.size("words").alias("length"), *_last_places())
+    counts = words.select("id", "length", each(_counted()).alias("term")).select("id", "length", "term.*")
+    # A term's postings of a block meet once. Tasks grow in number with the documents, so what one holds does not.
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    counts = counts.withColumn("block", block).repartition(blocks * TASKS, "term", "block")
+    counts = counts.groupBy("term", "block", "id", "length").agg(F.sum("tf").cast("int").alias("tf"))
     posting = F.when(F.col("term") != _EVERY, F.struct("id", "length", "tf"))
-    rows = counts.groupBy("term", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(
+    rows = counts.groupBy("term", "block").agg(
         F.count("*").alias("n"), F.sum("length").alias("words"), F.collect_list(posting).alias("postings")
     )
     rows = rows.withColumn("folder", term_folder(F.col("term"), folders)).hint("rebalance", "folder")

@@ -79,3 +79,27 @@ def test_an_empty_index(spark, rows, tmp_path):
     s.write_segment(rows([], "id long, text string"), str(tmp_path / "i"), "none", blocks=1)
     s.write_segment(rows([(1, "one")], "id long, text string"), str(tmp_path / "i"), "one", blocks=1)
     assert s.search(spark, str(tmp_path / "i"), ["one"]).count() == 1 and s.search(spark, str(tmp_path / "i"), ["two"]).count() == 0
+
+
+def test_the_number_of_tasks_grows_with_the_blocks(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK", 2)
+    seen = []
+    partitioned = type(rows([], "id long")).repartition
+
+    def repartition(df, number, *keys):
+        seen.append((number, keys))
+        return partitioned(df, number, *keys)
+
+    monkeypatch.setattr(type(rows([], "id long")), "repartition", repartition)
+    s.write_segment(rows(DOCS, "id long, text string"), str(tmp_path / "index"), "one")
+    assert seen == [(4 * s.TASKS, ("term", "block"))]
+    found = s.search(spark, str(tmp_path / "index"), ["cat dog the"]).collect()
+    assert sorted((r["rank"], r.id, r.score) for r in found) == brute(DOCS, "cat dog the", 10)
+
+
+def test_rows_of_one_document_add_up(spark, rows, tmp_path):
+    docs = [(1, "cat dog cat"), (1, "cat dog cat"), (2, "dog"), (None, "cat end"), (None, "cat end"), (3, None)]
+    s.write_segment(rows(docs, "id long, text string"), str(tmp_path / "index"), "one")
+    index = spark.read.parquet(str(tmp_path / "index")).selectExpr("term", "n", "explode_outer(postings) p").select("term", "n", "p.*")
+    found = {(r.term, r.id): (r.n, r.length, r.tf) for r in index.filter("term <> ''").collect()}
+    assert found == {("cat", 1): (2, 3, 4), ("dog", 1): (2, 3, 2), ("dog", 2): (2, 1, 1), ("cat", None): (2, 2, 2), ("end", None): (1, 2, 2)}
