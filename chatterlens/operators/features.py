@@ -6,6 +6,7 @@ states the same numbers as plain aggregations over (document, term) rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -32,6 +33,10 @@ WORDS, KEPT_WORDS = "words", "filtered_words"
 COUNTS, FEATURES = "raw_features", "features"
 VOCABULARY_SIZE = 10_000
 
+# Training rows of a partition, about. Trees hold a number for every term of the vocabulary and row, so this many take
+# some 200 MB, however little text they have.
+PARTITION_ROWS = 5_000
+
 
 def tokenizer() -> Tokenizer:
     """Lower-case and split at every single whitespace character: doubled blanks give empty tokens."""
@@ -99,7 +104,9 @@ def featurised(
         counter = fit_counts(held, size)
         counted = apply_stages(held, [index, counter]).select(LABEL, COUNTS)
         weights = fit_inverse_frequency(counted)
-        yield [index, *tokens, counter, weights], weights.transform(counted).select(LABEL, FEATURES)
+        features = weights.transform(counted).select(LABEL, FEATURES)
+        partitions = math.ceil(weights.numDocs / PARTITION_ROWS)
+        yield [index, *tokens, counter, weights], features.repartition(partitions) if partitions > 1 else features
     finally:
         held.unpersist()
 

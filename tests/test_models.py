@@ -180,3 +180,13 @@ def test_text_is_tokenised_once(comments):
     weighted.collect()
     plan = weighted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Generate ") == 1
+
+
+def test_training_rows_are_dealt_by_their_number(comments, monkeypatch):
+    with f.featurised(comments) as (_, features):
+        before = features.rdd.map(lambda row: (row.label, str(row.features))).collect()
+    monkeypatch.setattr(f, "PARTITION_ROWS", 2)
+    with f.featurised(comments) as (_, features):
+        after = features.rdd.glom().collect()
+    assert len(after) == -(-len(before) // 2) and max(map(len, after)) <= 4
+    assert sorted((row.label, str(row.features)) for part in after for row in part) == sorted(before)
