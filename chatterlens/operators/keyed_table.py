@@ -155,8 +155,13 @@ class KeyedTable:
         rows = current
         if known:
             old = self._rows(before, known)
-            kept = old.join(current.select(*self.key), self._same_key(old, current), "left_anti")
-            rows = kept.unionByName(current)
+            # Keys tell which buckets have rows that stay; only those move their rows.
+            keys = old.select(*self.key, _BUCKET)
+            stay = keys.join(current.select(*self.key), self._same_key(keys, current), "left_anti")
+            mixed = sorted(row[0] for row in stay.select(_BUCKET).distinct().collect())
+            if mixed:
+                held = self._rows(before, mixed)
+                rows = held.join(current.select(*self.key), self._same_key(held, current), "left_anti").unionByName(current)
         if touched:
             target = f"{self.path}/rows/{_WRITTEN}={after.version}"
             rows.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,9 +79,10 @@ def messages_found_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_in_place_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written twice into a keyed table: the second write replaces the first bucket by bucket."""
     held = KeyedTable(spark, shared_folder(spark, "keyed"))
-    documents = with_document_id(messages(spark, sf_dir)).select("id", "text")
+    documents = with_document_id(messages(spark, sf_dir)).select("id", "text").persist(StorageLevel.MEMORY_AND_DISK)
     for batch_id in range(2):
         held.upsert(documents, batch_id)
+    documents.unpersist()
     return held.read().select("id", F.md5("text").alias("text_md5"))
 
 

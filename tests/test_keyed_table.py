@@ -118,3 +118,17 @@ def test_columns_named_like_parts_of_the_table(spark, rows, tmp_path):
     for number in range(3):
         named.upsert(rows([(number % 2, 7 + number, 1)], "id long, version int, bucket int"), number)
     assert values(named.read()) == [(0, 9, 1), (1, 8, 1)] and values(named.counts()) == [(8, 1), (9, 1)]
+
+
+def test_buckets_whose_rows_are_all_replaced_are_not_moved(spark, rows, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "few"), buckets=4)
+    schema = "id string, text string"
+    first = rows([(f"id-{number}", "old") for number in range(40)], schema)
+    table.upsert(first, 0)
+    bucket = {r.id: r["_bucket"] for r in first.select("id", table._bucket()).collect()}
+    spared = min(bucket)
+    seen, read = [], KeyedTable._rows
+    monkeypatch.setattr(KeyedTable, "_rows", lambda self, manifest, buckets: seen.append(list(buckets)) or read(self, manifest, buckets))
+    table.upsert(rows([(id, "new") for id in bucket if id != spared], schema), 1)
+    assert seen == [[0, 1, 2, 3], [bucket[spared]]]
+    assert {tuple(r) for r in table.read().collect()} == {(id, "old" if id == spared else "new") for id in bucket}
