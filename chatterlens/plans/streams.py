@@ -5,8 +5,10 @@ Each one works off its input and stops. Sinks and checkpoints lie in the shared
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,9 @@ from chatterlens.streaming.sinks import batch_folder, fan_out, topic_folder
 # hold nothing and read everything at once: files come in no order of time, and a cut would make rows late.
 FILES_PER_BATCH = 10_000
 
+# What the values of one file of a topic have, about; a task writes it. With more values come more files.
+TOPIC_FILE_BYTES, ROW_GROUP_BYTES = 256 << 20, 8 << 20
+
 # Every batch of copies has all ids, so they are held in groups.
 FIRST_COPY_BUCKETS = 4096
 
@@ -246,7 +251,12 @@ def stream_in_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_in_batches_of_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic of several files; no batch has more bytes than the largest of them."""
     folder = shared_folder(spark, "stream-bytes")
-    encode_messages(messages(spark, sf_dir)).repartition(4).write.parquet(f"{folder}/topic")
+    values = encode_messages(messages(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    held = values.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    # Small row groups, so that a batch of one file is still read by many tasks.
+    topic = values.repartition(max(4, math.ceil(held / TOPIC_FILE_BYTES))).write.option("parquet.block.size", ROW_GROUP_BYTES)
+    topic.parquet(f"{folder}/topic")
+    values.unpersist()
     files, place = hadoop_path(spark, f"{folder}/topic")
     sizes = [status.getLen() for status in files.listStatus(place) if status.getPath().getName().startswith("part-")]
     values = read_messages(spark, "parquet", f"{folder}/topic", max_bytes=max(sizes))

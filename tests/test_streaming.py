@@ -10,6 +10,7 @@ from chatterlens.operators.dashboards import sentiment_over_time
 from chatterlens.operators.latest import read_log, upsert_view
 from chatterlens.operators.models import classifiers, train
 from chatterlens.operators.validate import decode_messages, route
+from chatterlens.plans import streams
 from chatterlens.session import ROCKSDB, STATE_STORE, rocksdb_state
 from chatterlens.sources.topics import read_messages
 from chatterlens.streaming import jobs, runner, sinks
@@ -325,3 +326,14 @@ def test_missing_values_repeat_nothing(spark, tmp_path):
     finish(runner.start_table(jobs.unique_values(stream, "10 minutes"), str(tmp_path / "out"), str(tmp_path / "cp"), NOW))
     got = sorted((r.value.decode() if r.value else "null") for r in spark.read.parquet(str(tmp_path / "out")).select(F.col("value").cast("binary")).collect())
     assert got == ["a", "b", "null", "null", "null"]
+
+
+def test_a_topic_has_more_files_with_more_bytes(spark, tmp_path, monkeypatch):
+    text = F.concat(F.lit("good day "), F.repeat(F.lit("x"), 1000))
+    spark.range(40).selectExpr("id event_id", "id user_id", "timestamp '2024-01-01' ts", "'view' event_type", "'{}' props").write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(40).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("web").alias("source")).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(streams, "TOPIC_FILE_BYTES", 5_000)
+    monkeypatch.setattr(streams, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    found = streams.stream_in_batches_of_bytes(spark, str(tmp_path)).collect()
+    assert len(found) == 40 and all(row.bounded for row in found)
+    assert len(list((tmp_path / "stream-bytes" / "topic").glob("part-*"))) >= 7
