@@ -339,8 +339,20 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     repeat both are one document. Ids are whole numbers, or strings that spell them; other strings have no id. Null
     and empty texts have no passages. An empty table gives an empty result. Other columns are not read.
     """
-    bands = bands_for(percent / 100)
     docs = docs.select(F.col(key).try_cast("long").alias("id"), row_key(key, text).alias("row"), F.col(text).alias("text"))
+    with temporary(docs.sparkSession):
+        named = _named(_held(docs, percent))
+        around = _surrounded(docs, _ends(named.where("piece")))
+        cut = _cut_paragraphs(named.where("NOT kept")).union(_extended(around))
+        return lasting(_passages(cut), "passages")
+
+
+def _held(docs: DataFrame, percent: int) -> DataFrame:
+    """The occurrences of all pieces and paragraphs of several texts, with their component and what they share.
+
+    Nothing else that is made on the way is kept.
+    """
+    bands = bands_for(percent / 100)
     with temporary(docs.sparkSession):
         names = [f"band{band}" for band in range(bands)]
         schema = ", ".join(f"{name} long" for name in ["id", "row", "begin", "end", "class", *names])
@@ -350,24 +362,26 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         )
         classes = stored(classes.where("row != last_row OR band0 IS NOT NULL"), "classes")
         release(docs.sparkSession)
-        members = stored(band_groups(classes, bands), "band-groups")
-        release(docs.sparkSession)
-        sets = stored(shingle_sets(docs, found, members), "paragraph-sets")
-        links, components = linked_classes(members, sets, percent)
-        linked = components.join(shared_spans(links, sets), "node").withColumnRenamed("node", "class")
-        linked = stored(linked.withColumnRenamed("class", "linked"), "linked")
+        linked = _linked(docs, found, classes, bands, percent)
         wanted = classes.where("row != last_row").select("class").union(linked.select("linked")).distinct()
         wanted = _checked(stored(wanted.withColumnRenamed("class", "wanted"), "wanted"))
         held = found.join(wanted, F.col("class") == F.col("wanted"), "left_semi")
         held = held.join(_checked(linked), F.col("class") == F.col("linked"), "left").select(
             "id", "row", "begin", "end", "class", F.coalesce("component", "class").alias("component"), "from", "to", F.col("band0").isNull().alias("piece")
         )
-        named = stored(_named(stored(held.distinct(), "held")), "named-paragraphs")
+        return lasting(held.distinct(), "held")
+
+
+def _linked(docs: DataFrame, found: DataFrame, classes: DataFrame, bands: int, percent: int) -> DataFrame:
+    """(linked, component, from, to) of the classes of paragraphs that are similar to another."""
+    with temporary(docs.sparkSession):
+        members = stored(band_groups(classes, bands), "band-groups")
         release(docs.sparkSession)
-        around = stored(_surrounded(docs, _ends(named.where("piece"))), "surrounded-ends")
+        sets = stored(shingle_sets(docs, found, members), "paragraph-sets")
+        links, components = linked_classes(members, sets, percent)
         release(docs.sparkSession)
-        cut = _cut_paragraphs(named.where("NOT kept")).union(_extended(around))
-        return lasting(_passages(cut), "passages")
+        linked = components.join(shared_spans(links, sets), "node").withColumnRenamed("node", "linked")
+        return lasting(linked, "linked")
 
 
 def _named(held: DataFrame) -> DataFrame:
@@ -376,16 +390,17 @@ def _named(held: DataFrame) -> DataFrame:
     Components that one text alone has are left out.
     """
     order = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("own")
-    classes = held.groupBy("component", "class").agg(order, F.min("row").alias("low"), F.max("row").alias("high"))
-    classes = stored(classes, "held-classes")
-    first = classes.groupBy("component").agg(F.min("own").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
-    first = first.where("low != high").select(F.col("component").alias("named"), "first")
-    kept = classes.join(first, F.col("component") == F.col("named")).select(
-        F.col("class").alias("named"), "first", (F.col("own.row") == F.col("first.row")).alias("exact")
-    )
-    named = held.join(_checked(stored(kept, "kept")), F.col("class") == F.col("named"))
-    columns = [F.col("first.id").alias("kept_id"), "exact", (F.col("row") == F.col("first.row")).alias("kept")]
-    return named.select(*held.columns, *columns)
+    with temporary(held.sparkSession):
+        classes = held.groupBy("component", "class").agg(order, F.min("row").alias("low"), F.max("row").alias("high"))
+        classes = stored(classes, "held-classes")
+        first = classes.groupBy("component").agg(F.min("own").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
+        first = first.where("low != high").select(F.col("component").alias("named"), "first")
+        kept = classes.join(first, F.col("component") == F.col("named")).select(
+            F.col("class").alias("named"), "first", (F.col("own.row") == F.col("first.row")).alias("exact")
+        )
+        named = held.join(_checked(stored(kept, "kept")), F.col("class") == F.col("named"))
+        columns = [F.col("first.id").alias("kept_id"), "exact", (F.col("row") == F.col("first.row")).alias("kept")]
+        return lasting(named.select(*held.columns, *columns), "named-paragraphs")
 
 
 def _cut_paragraphs(named: DataFrame) -> DataFrame:
@@ -430,9 +445,10 @@ def _ends(named: DataFrame) -> DataFrame:
 def _surrounded(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """The ends with the hashes of the words beside them."""
     by_row = ends.groupBy(F.col("row").alias("wanted_row")).agg(F.collect_list(F.struct(*ends.columns)).alias("ends"))
-    texts = _texts_with(docs, stored(by_row, "ends"), "ends")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ends.schema.fields)
-    return texts.select("text", "ends").mapInArrow(_contexts, schema + ", words array<int>")
+    with temporary(docs.sparkSession):
+        texts = _texts_with(docs, stored(by_row, "ends"), "ends")
+        return lasting(texts.select("text", "ends").mapInArrow(_contexts, schema + ", words array<int>"), "surrounded-ends")
 
 
 def _agreeing(one: Column, two: Column) -> Column:

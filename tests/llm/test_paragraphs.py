@@ -1,9 +1,12 @@
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 from conftest import values
 
 from chatterlens.llm import bottom_k
 from chatterlens.llm import paragraphs as p
+from chatterlens.session import _session_folder
 
 
 def corpus(seed=3):
@@ -281,3 +284,21 @@ def test_groups_of_one_component_are_settled(rows):
     members = rows([(1, 2), (1, 3), (5, 6), (5, 7)], "pivot long, node long")
     components = rows([(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)], "node long, component long")
     assert values(p.unsettled(members, components)) == [(5, 6), (5, 7)]
+
+
+def test_tables_that_no_later_step_reads_are_deleted(spark, rows, monkeypatch):
+    """While the words beside the cut runs are read, only the tables of the named passages and their ends are left."""
+    names, texts_with = [], p._texts_with
+
+    def listed(docs, lists, name):
+        folder = Path(urlparse(_session_folder(spark)).path)
+        names.append((name, {entry.name.rpartition("-")[0] for entry in folder.iterdir()}))
+        return texts_with(docs, lists, name)
+
+    monkeypatch.setattr(p, "_texts_with", listed)
+    docs, _ = corpus()
+    assert p.repeated_passages(rows(docs, "doc_id long, text string")).count()
+    before, left = dict(names)["places"], dict(names)["ends"]
+    assert {"paragraphs", "classes", "band-groups"} <= before
+    assert {"named-paragraphs", "ends"} <= left
+    assert not left & {"paragraphs", "classes", "band-groups", "paragraph-sets", "wanted", "held-classes", "kept"}
