@@ -30,8 +30,7 @@ ID_BITS = 18
 PLACE_BITS = 27  # of a byte in its word
 MERGE_SLOTS = 65_521
 WORD_SLOTS = 524_287
-JOINED = 8  # byte strings joined by one expression
-CHUNK = 32  # of these, joined at a time
+NO_BYTE = "\u0100"  # the first character that is no byte
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -165,11 +164,11 @@ class Vocabulary:
         return spark.createDataFrame(pa.table({"word": words, "ids": pa.array(ids, pa.list_(pa.int32()))}))
 
     def pieces(self, spark: SparkSession) -> DataFrame:
-        """One row with the ``pieces``, bytes by id."""
-        pieces: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
+        """One row with the ``pieces`` by id, bytes as characters of the same numbers."""
+        pieces: list[str | None] = [None] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            pieces[rank] = token
-        return spark.createDataFrame(pa.table({"pieces": pa.array([pieces], pa.list_(pa.binary()))}))
+            pieces[rank] = token.decode("ISO-8859-1")
+        return spark.createDataFrame(pa.table({"pieces": pa.array([pieces], pa.list_(pa.string()))}))
 
 
 @cache
@@ -215,25 +214,16 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
 
 def decoded(ids: Column, pieces: Column) -> Column:
-    """The bytes of token ids, joined in steps so that long texts are not copied once for each token.
+    """The bytes of token ids by the ``pieces``, joined as characters and turned into bytes once for a text.
 
     Null if one of the ids has no bytes.
     """
-    none = F.lit(b"")
-    joined = lambda parts: F.aggregate(parts, none, lambda all_before, part: F.concat(all_before, part))
-
-    def piece(place: Column) -> Column:
-        return F.when(place < F.size(ids), F.get(pieces, F.get(ids, place))).otherwise(none)
-
-    def begins(low: Column, high: Column, step: int) -> Column:
-        return F.sequence(low, F.greatest(low, high), F.lit(step))
-
-    def chunk(begin: Column) -> Column:
-        high = F.least(begin + JOINED * CHUNK, F.size(ids)) - 1
-        few = lambda first: F.concat(*[piece(first + more) for more in range(JOINED)])
-        return joined(F.transform(begins(begin, high, JOINED), few))
-
-    return F.when(ids.isNotNull(), joined(F.transform(begins(F.lit(0), F.size(ids) - 1, JOINED * CHUNK), chunk)))
+    parts = F.transform(ids, lambda one: F.get(pieces, one))
+    missing = F.lit(NO_BYTE)
+    return _let(
+        F.array_join(parts, "", NO_BYTE),
+        lambda joined: F.when(~F.contains(joined, missing), F.encode(joined, "ISO-8859-1")),
+    )
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:

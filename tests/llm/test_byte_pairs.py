@@ -87,3 +87,16 @@ def test_query_equals_library(spark, library):
         ids = library.encode_ordinary(doc.text or "")
         expected.append((doc.doc_id, len(ids), digest(" ".join(map(str, ids)).encode()), digest((doc.text or "").encode())))
     assert values(QUERIES["op13_byte_pairs"](spark, TABLES)) == sorted(expected, key=repr)
+
+
+def test_a_token_is_decoded_by_one_look_up():
+    """Each look-up is evaluated for every token of the corpus, so their number decides the time of decoding."""
+    assert str(b.decoded(F.col("ids"), F.col("pieces"))).count("pieces") == 1
+
+
+def test_every_token_is_decoded_to_its_bytes(rows):
+    tokens = b.vocabulary_of(PATH).ranks
+    data = [(1, list(tokens.values())), (2, [tokens[bytes([byte])] for byte in range(256)]), (3, [-1]), (4, [0, None])]
+    got = {r.id: r.decoded for r in b.decode(rows(data, "id long, ids array<int>"), PATH).collect()}
+    assert bytes(got[1]) == b"".join(tokens) and bytes(got[2]) == bytes(range(256))
+    assert got[3] is None and got[4] is None
