@@ -27,7 +27,7 @@ from chatterlens.llm.steps import kth_largest, stored, temporary
 
 FREQUENT = 400_000  # distinct words in the look-up table, besides the tokens
 ID_BITS = 18
-PLACE_BITS = 27  # of a byte in its word
+PLACE_BITS = 27  # of a part in its word
 MERGE_SLOTS = 65_521
 WORD_SLOTS = 524_287
 NO_BYTE = "\u0100"  # the first character that is no byte
@@ -84,30 +84,31 @@ def _bytes_of(word: Column) -> Column:
 def folded(word: Column, table: dict[str, Column]) -> Column:
     """Ids of a word that is no token; ``table`` has ``single`` ids of bytes and ``merges``.
 
-    The state is one number for each part of the word: the rank of the part joined with the next one, the part's first
-    byte and its id. The least number is the leftmost pair of least rank.
+    The state is one number for each part of the word: the rank of the part joined with the next one, the part's place
+    among the parts and its id. The least number is the leftmost pair of least rank, and says where it is.
     """
     mask, places, above = (1 << ID_BITS) - 1, (1 << PLACE_BITS) - 1 << ID_BITS, ID_BITS + PLACE_BITS
+    one_place, no_pair = 1 << ID_BITS, mask << above
 
-    def part(token: Column, begin: Column, following: Column) -> Column:
+    def part(token: Column, place: Column, following: Column) -> Column:
         key = F.shiftleft(token, ID_BITS).bitwiseOR(following)
         rank = F.try_element_at(F.get(table["merges"], F.pmod(key, F.lit(MERGE_SLOTS)).cast("int")), key)
-        return F.shiftleft(F.coalesce(rank, F.lit(mask).cast("long")), above).bitwiseOR(begin).bitwiseOR(token)
+        return F.shiftleft(F.coalesce(rank, F.lit(mask).cast("long")), above).bitwiseOR(place).bitwiseOR(token)
 
     def merged(parts: Column, least: Column, at: Column) -> Column:
-        token, begin = F.shiftright(least, above), least.bitwiseAND(places)
+        token = F.shiftright(least, above)
 
         def joined(one: Column, place: Column) -> Column:
-            here = part(token, begin, F.get(parts, at + 1).bitwiseAND(mask))
+            here = part(token, least.bitwiseAND(places), F.get(parts, at + 2).bitwiseAND(mask))
             before = part(one.bitwiseAND(mask), one.bitwiseAND(places), token)
-            return F.when(place == at - 1, here).when(place == at - 2, before).otherwise(one)
+            return F.when(place > at, one - one_place).when(place == at, here).when(place == at - 1, before).otherwise(one)
 
-        return F.transform(F.filter(parts, lambda _, place: place != at), joined)
+        return F.transform(F.filter(parts, lambda _, place: place != at + 1), joined)
 
     def step(parts: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
-            place = F.array_position(parts, least).cast("int")
-            return F.when(least >= mask << above, parts).otherwise(_let(place, lambda at: merged(parts, least, at)))
+            place = F.shiftright(least.bitwiseAND(places), ID_BITS).cast("int")
+            return F.when(least >= no_pair, parts).otherwise(_let(place, lambda at: merged(parts, least, at)))
 
         return _let(F.array_min(parts), merge)
 
