@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18  # of text at a time; arrays of numbers over it take many times that
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)

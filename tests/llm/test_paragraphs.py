@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from pathlib import Path
 from urllib.parse import urlparse
 
+import pyarrow as pa
 from conftest import values
 
 from chatterlens.llm import bottom_k
@@ -302,3 +304,16 @@ def test_tables_that_no_later_step_reads_are_deleted(spark, rows, monkeypatch):
     assert {"paragraphs", "classes", "band-groups"} <= before
     assert {"named-paragraphs", "ends"} <= left
     assert not left & {"paragraphs", "classes", "band-groups", "paragraph-sets", "wanted", "held-classes", "kept"}
+
+
+def test_a_batch_of_texts_takes_little_memory():
+    """A worker holds arrays over a slice of its batch only, so an executor's memory does not depend on the batch."""
+    texts = [" ".join(f"w{(i * 7919 + j) % 99991}" for j in range(1000)) for i in range(600)]
+    n = pa.array(range(600), pa.int64())
+    batch = pa.RecordBatch.from_arrays([n, n, pa.array(texts)], names=["id", "row", "text"])
+    list(p._found(3)([batch]))
+    tracemalloc.start()
+    found = sum(out.num_rows for out in p._found(3)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and peak < 10 << 20
