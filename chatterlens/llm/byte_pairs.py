@@ -103,7 +103,7 @@ def folded(word: Column, table: dict[str, Column]) -> Column:
             before = part(one.bitwiseAND(mask), one.bitwiseAND(places), token)
             return F.when(place > at, one - one_place).when(place == at, here).when(place == at - 1, before).otherwise(one)
 
-        return F.transform(F.filter(parts, lambda _, place: place != at + 1), joined)
+        return F.transform(F.array_remove(parts, F.get(parts, at + 1)), joined)
 
     def step(parts: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
