@@ -254,15 +254,13 @@ def near_duplicates(
         wanted = [pairs.select(F.col(c).alias("node")) for c in "ab"] + [large.select(F.col(c).alias("node")) for c in ("pivot", "node")]
         wanted = wanted[0].union(wanted[1]).union(wanted[2]).union(wanted[3]).distinct()
         sets = stored(full_sets(docs, key, text, length, nodes, wanted), "sets")
-        links = stored(confirmed(pairs, sets, percent), "links")
-        components = connected_components(links)
+        components = connected_components(confirmed(pairs, sets, percent))
         if not large.isEmpty():
             ranked = stored(ranked_sets(large, sets, percent), "ranked-sets")
             for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
                 more = step(large, with_component(ranked, components))
                 more = likely(_ordered(more).distinct(), nodes, k, percent)
-                links = stored(links.union(confirmed(more, sets, percent)), "links")
-                components = connected_components(links)
+                components = connected_components(confirmed(more, sets, percent), components)
         linked = rows.select("id", "key", F.col("n").alias("n_shingles"), "node").join(components, "node", "left")
         linked = linked.withColumn("component", F.coalesce("component", "node")).drop("node")
         first = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("component_id"))

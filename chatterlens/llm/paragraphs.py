@@ -306,8 +306,8 @@ def linked_classes(members: DataFrame, sets: DataFrame, percent: int) -> tuple[D
         for step in (central_pairs, lambda *group: outside_pairs(*group, percent)):
             more = step(large, with_component(ranked, components))
             more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            links = stored(links.union(similar_classes(more, sets, percent)), "paragraph-links")
-            components = connected_components(links)
+            found = stored(similar_classes(more, sets, percent), "paragraph-links")
+            links, components = links.union(found), connected_components(found, components)
     return links, components
 
 

@@ -5,7 +5,8 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from chatterlens.llm import bottom_k as b
-from chatterlens.llm.steps import connected_components
+from chatterlens.llm import steps
+from chatterlens.llm.steps import connected_components, stored
 
 
 def shingles(text, n):
@@ -101,3 +102,22 @@ def test_components(spark):
     found = connected_components(chain.union(star).union(chain))
     assert {(r.component, r["count"]) for r in found.groupBy("component").count().collect()} == {(0, 301), (1000, 300)}
     assert connected_components(chain.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("links", [[(2, 1), (3, 1), (5, 4), (4, 5), (4, 4)], []])
+def test_stars_take_no_round(rows, monkeypatch, links):
+    """Each round is several shuffles, which the driver plans, compiles and remembers."""
+    written = []
+    monkeypatch.setattr(steps, "stored", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    found = connected_components(rows(links, "a long, b long"))
+    assert len(written) == 1
+    assert {r.node: r.component for r in found.collect()} == ({1: 1, 2: 1, 3: 1, 4: 4, 5: 4} if links else {})
+
+
+def test_components_go_on_from_known_ones(rows):
+    rng = random.Random(5)
+    pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)]
+    old, new = (rows(part, "a long, b long") for part in (pairs[:35], pairs[35:]))
+    whole = connected_components(old.union(new)).collect()
+    assert len({r.node for r in whole}) == len(whole)
+    assert sorted(connected_components(new, connected_components(old)).collect()) == sorted(whole)
