@@ -3,10 +3,12 @@
 Texts are cut into words by the tokenizer's pattern. A word that is a token is its id; any other begins as the ids of
 its bytes, and a fold merges the leftmost pair of least rank until no neighbours make a token. The frequent words of
 the corpus are folded once each; a table of their ids and of all tokens answers most words of a text by look-up, and
-the remaining words are folded where they stand. Occurrences of words are never shuffled.
+the remaining words are folded where they stand. The most frequent words of all are looked up in a small table first,
+which a processor's cache holds. Occurrences of words are never shuffled.
 
-Ranks, ids and words reach the expressions as literals, hashed into many small maps, since a look-up in a map reads its
-entries one by one. Session variables make such literals without an expression for each entry.
+Words reach the expressions as literals, hashed into many small maps, since a look-up in a map reads its entries one by
+one; pairs of ids as an array at places that no two pairs share. Session variables make such literals without an
+expression for each entry.
 """
 
 from __future__ import annotations
@@ -26,10 +28,15 @@ from pyspark.sql import functions as F
 from chatterlens.llm.steps import kth_largest, stored, temporary
 
 FREQUENT = 400_000  # distinct words in the look-up table, besides the tokens
+HOT = 8_192  # words in the table that is read first
 ID_BITS = 18
 PLACE_BITS = 27  # of a part in its word
-MERGE_SLOTS = 65_521
+ABOVE = ID_BITS + PLACE_BITS  # bits of a part below its rank
+MASK = (1 << ID_BITS) - 1  # of an id, or the rank where no pair is
+BUCKETS = 65_521  # of pairs of ids that are shifted together
+FREE = 1 << 60  # a place without a pair, unlike all of them
 WORD_SLOTS = 524_287
+HOT_SLOTS = 16_381
 NO_BYTE = "\u0100"  # the first character that is no byte
 
 
@@ -44,20 +51,36 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _merges(ranks: dict[bytes, int]) -> pa.Array:
-    """One list of maps from a pair of ids to the id of their joint bytes; a pair is in the map of its slot."""
-    keys, merged = [], []
+def _pairs(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Pairs of ids, as one number each, to the id of their joint bytes."""
+    merged = {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
-                keys.append(left << ID_BITS | right)
-                merged.append(rank)
-    keys = np.array(keys, np.int64)
-    order = np.argsort(keys % MERGE_SLOTS, kind="stable")
-    ends = np.searchsorted((keys % MERGE_SLOTS)[order], np.arange(MERGE_SLOTS + 1))
-    slots = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[order]), pa.array(np.array(merged)[order]))
-    return pa.ListArray.from_arrays(pa.array([0, MERGE_SLOTS], pa.int32()), slots)
+                merged[left << ID_BITS | right] = rank
+    return merged
+
+
+def _placed(pairs: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Shifts of buckets of pairs, and the pairs with their ranks at places that no two of them share.
+
+    A pair is at its number and its bucket's shift, modulo the places. Two pairs of a bucket differ modulo the places,
+    since these and the buckets have no common divisor and as product more than any number of a pair.
+    """
+    places = max(5 * len(pairs) // 2, max(pairs, default=0) // BUCKETS) + 1
+    while places % BUCKETS == 0:
+        places += 1
+    buckets: dict[int, list[int]] = {}
+    for pair in pairs:
+        buckets.setdefault(pair % BUCKETS, []).append(pair)
+    shifts, entries = np.zeros(BUCKETS, np.int64), [FREE] * places
+    for bucket, members in sorted(buckets.items(), key=lambda one: -len(one[1])):
+        at = next(shift for shift in range(places) if all(entries[(pair + shift) % places] == FREE for pair in members))
+        shifts[bucket] = at
+        for pair in members:
+            entries[(pair + at) % places] = pair << ID_BITS | pairs[pair]
+    return shifts, np.array(entries, np.int64)
 
 
 @contextmanager
@@ -82,18 +105,21 @@ def _bytes_of(word: Column) -> Column:
 
 
 def folded(word: Column, table: dict[str, Column]) -> Column:
-    """Ids of a word that is no token; ``table`` has ``single`` ids of bytes and ``merges``.
+    """Ids of a word that is no token; ``table`` has the ``single`` parts of bytes and the ``merges``.
 
     The state is one number for each part of the word: the rank of the part joined with the next one, the part's place
     among the parts and its id. The least number is the leftmost pair of least rank, and says where it is.
     """
-    mask, places, above = (1 << ID_BITS) - 1, (1 << PLACE_BITS) - 1 << ID_BITS, ID_BITS + PLACE_BITS
-    one_place, no_pair = 1 << ID_BITS, mask << above
+    mask, places, above = MASK, (1 << PLACE_BITS) - 1 << ID_BITS, ABOVE
+    one_place, no_pair = 1 << ID_BITS, MASK << ABOVE
+    shifts, entries = table["merges"]["shifts"], table["merges"]["entries"]
 
     def part(token: Column, place: Column, following: Column) -> Column:
-        key = F.shiftleft(token, ID_BITS).bitwiseOR(following)
-        rank = F.try_element_at(F.get(table["merges"], F.pmod(key, F.lit(MERGE_SLOTS)).cast("int")), key)
-        return F.shiftleft(F.coalesce(rank, F.lit(mask).cast("long")), above).bitwiseOR(place).bitwiseOR(token)
+        pair = F.shiftleft(token, ID_BITS).bitwiseOR(following)
+        shift = F.get(shifts, (pair % BUCKETS).cast("int"))
+        entry = F.get(entries, ((pair + shift) % F.size(entries)).cast("int"))
+        rank = F.least(entry.bitwiseXOR(F.shiftleft(pair, ID_BITS)), F.lit(mask).cast("long"))  # a null is left out
+        return F.shiftleft(rank, above).bitwiseOR(place).bitwiseOR(token)
 
     def merged(parts: Column, least: Column, at: Column) -> Column:
         token = F.shiftright(least, above)
@@ -106,19 +132,21 @@ def folded(word: Column, table: dict[str, Column]) -> Column:
         return F.transform(F.array_remove(parts, F.get(parts, at + 1)), joined)
 
     def step(parts: Column, _: Column) -> Column:
-        def merge(least: Column) -> Column:
-            place = F.shiftright(least.bitwiseAND(places), ID_BITS).cast("int")
-            return F.when(least >= no_pair, parts).otherwise(_let(place, lambda at: merged(parts, least, at)))
+        def merge(at: Column) -> Column:
+            least = F.get(parts, at)
+            return F.when(least >= no_pair, parts).otherwise(merged(parts, least, at))
+
+        return _let(F.shiftright(F.array_min(parts).bitwiseAND(places), ID_BITS).cast("int"), merge)
 
-        return _let(F.array_min(parts), merge)
+    def begun(numbers: Column) -> Column:
+        def first(byte: Column, place: Column) -> Column:
+            following = F.coalesce(F.get(numbers, place + 1), F.lit(256))
+            return F.get(table["single"], byte * 257 + following).bitwiseOR(F.shiftleft(place.cast("long"), ID_BITS))
 
-    def begun(ids: Column) -> Column:
-        first = lambda place: F.shiftleft(place.cast("long"), ID_BITS)
-        return F.transform(ids, lambda one, place: part(one, first(place), F.get(ids, place + 1)))
+        return F.transform(numbers, first)
 
-    ids = F.transform(_bytes_of(word), lambda byte: F.get(table["single"], F.ascii(byte)))
     rounds = F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2)))
-    return F.aggregate(rounds, _let(ids, begun), step, lambda parts: F.transform(parts, lambda x: x.bitwiseAND(mask).cast("int")))
+    return F.aggregate(rounds, _let(F.transform(_bytes_of(word), F.ascii), begun), step, lambda parts: F.transform(parts, lambda x: x.bitwiseAND(mask).cast("int")))
 
 
 def words_of(text: Column, pattern: str) -> Column:
@@ -126,17 +154,21 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
 
-def _slot_of(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(WORD_SLOTS)).cast("int")
+def _slot_of(word: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
 
 
-def _word_table(words: DataFrame) -> DataFrame:
-    """One row with the ``words``: a list of maps from word to ids; a word is in the map of its slot."""
-    entry = F.struct("word", "ids")
-    held = words.groupBy(_slot_of(F.col("word")).cast("long").alias("slot")).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
-    slots = words.sparkSession.range(WORD_SLOTS).withColumnRenamed("id", "slot").join(held, "slot", "left")
+def _word_table(words: DataFrame, name: str, slots: int) -> DataFrame:
+    """One row with the words under a ``name``: a list of maps from word to ids; a word is in the map of its slot."""
+    entry, slot_of = F.struct("word", "ids"), _slot_of(F.col("word"), slots).cast("long")
+    held = words.groupBy(slot_of.alias("slot")).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
+    every = words.sparkSession.range(slots).withColumnRenamed("id", "slot").join(held, "slot", "left")
     by_slot = F.array_sort(F.collect_list(F.struct("slot", "held")), lambda one, two: F.signum(one["slot"] - two["slot"]).cast("int"))
-    return slots.agg(F.transform(by_slot, lambda slot: slot["held"]).alias("words"))
+    return every.agg(F.transform(by_slot, lambda slot: slot["held"]).alias(name))
+
+
+def _found(word: Column, held: Column, slots: int) -> Column:
+    return F.try_element_at(F.get(held, _slot_of(word, slots)), word)
 
 
 class Vocabulary:
@@ -144,14 +176,22 @@ class Vocabulary:
 
     def __init__(self, path: str):
         self.ranks = read_ranks(path)
-        if max(self.ranks.values()) >= (1 << ID_BITS) - 1:
+        if max(self.ranks.values()) >= MASK:
             raise ValueError(f"ids of {path} need more than {ID_BITS} bits")
-        self.single = pa.array([[self.ranks[bytes([b])] for b in range(256)]], pa.list_(pa.int64()))
-        self.merges = _merges(self.ranks)
+        self.single = [self._first_part(byte, following) for byte in range(256) for following in range(257)]
+        self.shifts, self.entries = _placed(_pairs(self.ranks))
+
+    def _first_part(self, byte: int, following: int) -> int:
+        """Rank of a byte joined with the following one, which is 256 at the end, and the byte's id."""
+        joint = bytes([byte, following]) if following < 256 else b""
+        return self.ranks.get(joint, MASK) << ABOVE | self.ranks[bytes([byte])]
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """One row with the ``single`` ids of bytes and the ``merges``."""
-        return spark.createDataFrame(pa.table({"single": self.single, "merges": self.merges}))
+        """One row with the ``single`` parts of bytes, by the byte and the following one, and the ``merges``."""
+        numbers = pa.list_(pa.int64())
+        kind = pa.struct({"shifts": numbers, "entries": numbers})
+        merges = pa.array([{"shifts": self.shifts, "entries": self.entries}], kind)
+        return spark.createDataFrame(pa.table({"single": pa.array([self.single], numbers), "merges": merges}))
 
     def tokens(self, spark: SparkSession) -> DataFrame:
         """(word, ids) of the tokens that are strings by themselves."""
@@ -178,20 +218,24 @@ def vocabulary_of(path: str) -> Vocabulary:
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str, pattern: str) -> DataFrame:
-    """(word, ids) of all tokens and of up to ``FREQUENT`` of the most frequent other words of all documents.
+    """(word, ids, hot) of all tokens and of up to ``FREQUENT`` of the most frequent other words of all documents; up to
+    ``HOT`` of the most frequent of both are hot.
 
-    Counted with a map-side combine; the least count comes from a distributed selection, so neither the driver nor a
+    Counted with a map-side combine; the least counts come from distributed selections, so neither the driver nor a
     task gets more than the table's rows. Which words are in the table decides speed only.
     """
     spark = docs.sparkSession
     tokens = vocabulary.tokens(spark)
     words = docs.select(F.explode(words_of(F.col(f"`{text}`"), pattern)).alias("word"))
-    counted = words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
-    counted = stored(counted.join(F.broadcast(tokens), "word", "left_anti").withColumn("n", F.col("n").cast("double")), "words")
-    least = kth_largest(counted, "n", FREQUENT + 1)
-    found = counted.where(F.col("n") > F.lit(least)).repartition("word")
+    counted = words.groupBy("word").agg(F.count("*").cast("double").alias("n")).where("n > 1")
+    counted = stored(counted.join(F.broadcast(tokens), "word", "left"), "words")
+    others = counted.where("ids IS NULL")
+    found = others.where(F.col("n") > F.lit(kth_largest(others, "n", FREQUENT + 1))).repartition("word")
+    hot = F.col("n") > F.lit(kth_largest(counted, "n", HOT + 1))
+    unused = tokens.join(counted.where("ids IS NOT NULL"), "word", "left_anti").select("word", "ids", F.lit(False).alias("hot"))
     with _literals(vocabulary.table(spark)) as table:
-        return found.select("word", folded(F.col("word"), table).alias("ids")).union(tokens)
+        folds = found.select("word", folded(F.col("word"), table).alias("ids"), hot.alias("hot"))
+        return folds.union(counted.where("ids IS NOT NULL").select("word", "ids", hot.alias("hot"))).union(unused)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,16 +248,22 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     spark, vocabulary = docs.sparkSession, vocabulary_of(path)
     with temporary(spark):
         words = stored(frequent_words(docs, vocabulary, text, pattern), "frequent-words")
-        with _literals(vocabulary.table(spark), _word_table(words)) as table:
+        tables = _word_table(words.where("hot"), "hot", HOT_SLOTS), _word_table(words, "words", WORD_SLOTS)
+        with _literals(vocabulary.table(spark), *tables) as table:
 
             def encoded(word: Column) -> Column:
-                look = F.try_element_at(F.get(table["words"], _slot_of(word)), word)
-                return F.coalesce(look, folded(word, table))
+                hot, known = _found(word, table["hot"], HOT_SLOTS), _found(word, table["words"], WORD_SLOTS)
+                return F.coalesce(hot, known, folded(word, table))
 
             cut = words_of(F.col(f"`{text}`"), pattern)
             return docs.select(F.col(f"`{key}`").alias("id"), F.flatten(F.transform(cut, encoded)).alias("ids"))
 
 
+def joined_ids(ids: Column) -> Column:
+    """The ids as decimal numbers with a blank between; JSON has them without a string for each."""
+    return F.trim(F.replace(F.to_json(ids), F.lit(","), F.lit(" ")), F.lit("[]"))
+
+
 def decoded(ids: Column, pieces: Column) -> Column:
     """The bytes of token ids by the ``pieces``, joined as characters and turned into bytes once for a text.
 

@@ -106,3 +106,35 @@ def test_every_token_is_decoded_to_its_bytes(rows):
     got = {r.id: r.decoded for r in b.decode(rows(data, "id long, ids array<int>"), PATH).collect()}
     assert bytes(got[1]) == b"".join(tokens) and bytes(got[2]) == bytes(range(256))
     assert got[3] is None and got[4] is None
+
+
+def test_a_word_begins_without_a_search_for_its_pairs():
+    """Bytes have the rank of their pair from their table; only a merge searches, for itself and the part before it."""
+    table = {"single": F.col("single"), "merges": F.col("merges")}
+    assert str(b.folded(F.col("word"), table)).count("merges[entries][") <= 2 < str(b.folded(F.col("word"), table)).count("merges")
+
+
+def test_no_two_pairs_share_a_place():
+    pairs = b._pairs(b.vocabulary_of(PATH).ranks)
+    for some in (pairs, dict(list(pairs.items())[:5]), {}, {7: 1, 7 + b.BUCKETS: 2, (1 << 36) - 1: 3}):
+        shifts, entries = b._placed(some)
+        for pair, rank in some.items():
+            assert entries[(pair + shifts[pair % b.BUCKETS]) % len(entries)] == pair << b.ID_BITS | rank
+        assert (entries != b.FREE).sum() == len(some)
+
+
+def test_words_of_all_three_kinds_are_encoded_alike(rows, library, monkeypatch):
+    """Hot words, other words of the table and words outside it; a hot table of three words is searched first."""
+    monkeypatch.setattr(b, "HOT", 3)
+    monkeypatch.setattr(b, "FREQUENT", 5)
+    texts = [" the zqxa zqxb"] * 9 + [" zqxc zqxd the of"] * 3 + [" zqxe zqxf zqxe and zqxg"]
+    docs = rows(list(enumerate(texts)), "doc_id long, text string")
+    found = b.encode(docs, PATH, PATTERN)
+    assert {r.id: r.ids for r in found.collect()} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+    words = b.frequent_words(docs, b.vocabulary_of(PATH), "text", PATTERN).select("word", "hot").collect()
+    assert {r.word for r in words if r.hot} == {" the", " zqxa", " zqxb"} and len({r.word for r in words}) == len(words)
+
+
+def test_ids_are_joined_by_blanks(rows):
+    df = rows([(1, [3, 50255, 0]), (2, []), (3, [12]), (4, None)], "id long, ids array<int>")
+    assert {r.id: r.s for r in df.select("id", b.joined_ids(F.col("ids")).alias("s")).collect()} == {1: "3 50255 0", 2: "", 3: "12", 4: None}
